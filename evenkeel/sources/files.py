@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions.columns import _NUMBER, col
+from evenkeel.sources.shared import materialize
 from evenkeel.spec import EmptyInputError, ValidationError
 
 # Cell texts that mean "missing".
@@ -119,26 +120,40 @@ def malformed_rows(
     schema: T.StructType,
     sep: str = ",",
     encoding: str = "UTF-8",
+    na_values: Iterable[str] = MISSING_TOKENS,
 ) -> DataFrame:
     """The lines of a CSV file that do not fit ``schema``, with the reason:
-    ``long`` (too many cells), ``short`` (too few) or ``value`` (a cell that
-    is not of the column's type)."""
-    wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    ``long`` (too many cells), ``short`` (too few) or ``value`` (the cells of
+    ``bad_columns`` are neither missing nor of the column's type).
+
+    The lines found are written to the shared folder first: Spark answers no
+    query on a CSV file that needs the raw line alone.
+    """
+    names = [f.name for f in schema.fields]
+    wide = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
     options = _csv_options(sep, encoding, False)
-    lines = (
-        spark.read.schema(wide)
-        .options(**options, columnNameOfCorruptRecord=_CORRUPT, nullValue="")
-        .csv(path)
-        .filter(col(_CORRUPT).isNotNull())
-    )
+    parsed = spark.read.schema(wide).options(**options, columnNameOfCorruptRecord=_CORRUPT).csv(path)
+    missing = list(na_values)
+    misfits = []
+    for f in schema.fields:
+        if not isinstance(f.dataType, T.StringType):
+            cell = F.when(~col(f.name).isin(missing), F.trim(col(f.name)))
+            misfit = cell.isNotNull() & cell.try_cast(f.dataType).isNull()
+            misfits.append(F.when(misfit, F.lit(f.name)))
+    bad = F.array_compact(F.array(*misfits)) if misfits else F.array().cast("array<string>")
+    wrong_shape = col(_CORRUPT).isNotNull()
+    found = parsed.withColumn("__bad", bad).filter(wrong_shape | (F.size("__bad") > 0))
+    found = materialize(found, "malformed")
     bare = F.regexp_replace(col(_CORRUPT), '"([^"]|"")*"', "")
     cells = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
-    expected = len(schema.fields)
-    return lines.select(
-        F.when(cells > expected, "long").when(cells < expected, "short").otherwise("value").alias("kind"),
-        cells.alias("n_cells"),
+    expected = len(names)
+    whole = F.to_csv(F.struct(*[col(n) for n in names]), {"sep": sep})
+    return found.select(
+        F.when(wrong_shape & (cells > expected), "long").when(wrong_shape, "short").otherwise("value").alias("kind"),
+        F.coalesce(cells, F.lit(expected)).alias("n_cells"),
         F.lit(expected).alias("n_expected"),
-        col(_CORRUPT).alias("line"),
+        F.when(~wrong_shape, F.col("__bad")).alias("bad_columns"),
+        F.coalesce(col(_CORRUPT), whole).alias("line"),
     )
 
 
