@@ -104,6 +104,8 @@ def fit_preprocessor(
     text = [c for c in roles.numeric if not is_number(dtype(df, c))]
     if text:
         raise ValidationError(f"columns {text} are not numeric")
+    if not roles.numeric and not roles.categorical:
+        return FittedPreprocessor(roles=roles, remainder=remainder)
     extra = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(roles.numeric):
         extra += [F.avg(number(df, c)).alias(f"avg_{i}"), F.var_pop(number(df, c)).alias(f"var_{i}")]
@@ -122,9 +124,7 @@ def fit_preprocessor(
                 means[c], deviations[c] = _imputed_scale(
                     stats["rows"], stats[f"n_{i}"], stats[f"avg_{i}"], stats[f"var_{i}"], medians[c]
                 )
-    for i, c in enumerate(roles.categorical):
-        if stats[f"width_{i}"] > MAX_CATEGORIES:
-            raise ValidationError(f"{c!r} has about {stats[f'width_{i}']} categories; group them first")
+    _check_widths({c: stats[f"width_{i}"] for i, c in enumerate(roles.categorical)})
     return FittedPreprocessor(
         roles=roles,
         remainder=remainder,
@@ -146,6 +146,13 @@ def _imputed_scale(rows: int, n: int, mean: float, var: float, fill: float) -> t
     return whole, deviation if deviation > 0 else 1.0
 
 
+def _check_widths(widths: dict[str, int]) -> None:
+    """Fail before the categories of a column are fetched, if too many."""
+    for c, width in widths.items():
+        if width > MAX_CATEGORIES:
+            raise ValidationError(f"{c!r} has about {width} categories; group them first")
+
+
 def _category(df: DataFrame, name: str) -> Column:
     return present(df, name).cast("string")
 
@@ -158,7 +165,7 @@ def _categories(df: DataFrame, names: Sequence[str]) -> dict[str, list[str | Non
     pairs = F.array(*[
         F.struct(F.lit(i).alias("i"), _category(df, c).alias("v")) for i, c in enumerate(names)
     ])
-    # the sketch in the fit has bounded the number of rows that arrive here
+    # callers have bounded the number of rows that arrive here with a sketch
     rows = df.select(F.explode(pairs).alias("p")).select("p.*").distinct().collect()
     found: dict[str, list[str | None]] = {}
     for i, c in enumerate(names):
@@ -237,6 +244,8 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace each column by one 0/1 column per category."""
     require_columns(df, columns)
+    widths = df.agg(*[F.approx_count_distinct(_category(df, c)).alias(f"w{i}") for i, c in enumerate(columns)])
+    _check_widths(dict(zip(columns, widths.first(), strict=True)))
     categories = _categories(df, columns)
     rest = cols(c for c in df.columns if c not in set(columns))
     blocks = [pair for c in columns for pair in _dummies(df, c, categories[c])]

@@ -12,8 +12,10 @@ from evenkeel.functions.columns import col, cols, is_one, ratio
 from evenkeel.functions.hashing import hash60, key_text
 from evenkeel.operators.clean import drop_missing
 from evenkeel.operators.contingency import contingency
-from evenkeel.operators.sampling import exact_rank, expand_copies, many_copies, with_copy_numbers
-from evenkeel.operators.validate import check_binary, require_columns
+from evenkeel.operators.sampling import (
+    exact_rank, expand_draws, spread_copies, with_copy_numbers,
+)
+from evenkeel.operators.validate import not_binary, require_columns
 from evenkeel.spec import SEED, ValidationError
 
 # Tolerance for equal rates, and for a target rate of 1.
@@ -27,7 +29,10 @@ BROADCAST_GROUPS = 10_000
 
 def group_rates(df: DataFrame, sensitive: Sequence[str], target: str) -> DataFrame:
     """Size, positives and selection rate per group, null groups left out."""
-    counts = contingency(drop_missing(df, sensitive), sensitive, target)
+    return _rates(contingency(drop_missing(df, sensitive), sensitive, target))
+
+
+def _rates(counts: DataFrame) -> DataFrame:
     return counts.withColumn("rate", ratio(F.col("positives"), F.col("n"), zero=0.0))
 
 
@@ -37,8 +42,7 @@ def oversample_plan(df: DataFrame, sensitive: Sequence[str], target: str) -> Dat
     N solves (p + N) / (n + N) = r, rounded half to even. Groups within
     1e-6 of the highest rate r get none, nor does any group when r is 1.
     """
-    rates = group_rates(df, sensitive, target).persist()
-    return _plan(rates)
+    return _plan(group_rates(df, sensitive, target).persist())
 
 
 def _plan(rates: DataFrame) -> DataFrame:
@@ -75,44 +79,52 @@ def oversample(
     copy are an error, as is a target other than 0 or 1.
     """
     require_columns(df, [target, *sensitive])
-    check_binary(df, [target], on_violation="error")
     if not key:
         df = with_copy_numbers(df)
         key = df.columns
-    plan = oversample_plan(df, sensitive, target)
-    total = plan.agg(
+    # one pass over the table: counts per group, and values that are no label
+    violations = F.count_if(not_binary(df, target)).alias("violations")
+    counts = contingency(df, sensitive, target, extra=[violations]).persist()
+    plan = _plan(_rates(drop_missing(counts, sensitive)))
+    wrong = counts.agg(F.sum("violations")).scalar()
+    short = F.col("n_to_add") > 0
+    found = plan.agg(
+        wrong.alias("wrong"),
         F.count(F.lit(1)).alias("groups"),
-        F.count_if(F.col("n_to_add") > 0).alias("short"),
-        F.count_if((F.col("n_to_add") > 0) & (F.col("positives") == 0)).alias("empty"),
-        F.coalesce(F.max(F.try_divide(F.col("n_to_add"), F.col("positives"))), F.lit(0.0)).alias("copies"),
+        F.count_if(short).alias("short"),
+        F.count_if(short & (F.col("positives") == 0)).alias("empty"),
+        F.sum("n_to_add").alias("total"),
+        F.max(F.try_divide(F.col("n_to_add"), F.col("positives"))).alias("copies"),
     ).first()
-    if total["empty"]:
-        raise ValidationError(f"{total['empty']} groups need positives but have none to copy")
+    if found["wrong"]:
+        raise ValidationError(f"{target!r} holds {found['wrong']} values other than 0 or 1")
+    if found["empty"]:
+        raise ValidationError(f"{found['empty']} groups need positives but have none to copy")
     original = df.withColumn(out, F.lit(0).cast("bigint"))
-    if total["groups"] < 2 or not total["short"]:
+    if found["groups"] < 2 or not found["short"]:
         return original
 
-    short = plan.filter(F.col("n_to_add") > 0).select(
+    needed = plan.filter(short).select(
         *[c.alias(f"__g{i}") for i, c in enumerate(cols(sensitive))],
         F.col("positives").alias("__pool"),
         F.col("n_to_add").alias("__add"),
     )
     groups = [f"__g{i}" for i in range(len(sensitive))]
-    draws = expand_copies(short, "__add", "__i")
+    draws = spread_copies(needed, "__add", "__i", found["total"])
     text = F.concat(F.lit(f"{int(seed)}:"), key_text(groups), F.lit(":"), F.col("__i").cast("string"))
     drawn = draws.groupBy(*groups, (F.pmod(hash60(text), F.col("__pool")) + 1).alias("__drawn")).agg(
         F.count(F.lit(1)).alias("__m")
     )
 
     pool = df.filter(is_one(df, target))
-    if total["short"] <= BROADCAST_GROUPS:
+    if found["short"] <= BROADCAST_GROUPS:
         member = [col(s) == F.col(g) for s, g in zip(sensitive, groups, strict=True)]
-        pool = pool.join(F.broadcast(short.select(*groups)), member, "left_semi")
+        pool = pool.join(F.broadcast(needed.select(*groups)), member, "left_semi")
     ranked = exact_rank(drop_missing(pool, sensitive), key, seed, "__rank", by=sensitive)
     match = [col(s) == F.col(g) for s, g in zip(sensitive, groups, strict=True)]
     hits = ranked.join(drawn, [*match, F.col("__rank") == F.col("__drawn")])
-    many = many_copies(math.ceil(total["copies"]), 1)
-    added = expand_copies(hits.select(*cols(df.columns), "__m"), "__m", out, spread=many)
+    hits = hits.select(*cols(df.columns), "__m")
+    added = expand_draws(hits, "__m", out, math.ceil(found["copies"]), 1)
     return original.unionByName(added)
 
 

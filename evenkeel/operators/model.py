@@ -33,8 +33,8 @@ def train_regressor(
     trees: int = 100,
     seed: int = SEED,
     exclude: Sequence[str] = (),
-    max_depth: int = 10,
-    max_bins: int = 64,
+    max_depth: int = 8,
+    max_bins: int = 32,
 ) -> TrainedModel:
     """Fit on all numeric columns but the target and ``exclude``.
 

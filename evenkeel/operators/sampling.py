@@ -19,7 +19,7 @@ import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,8 +36,14 @@ PREFIX_STEP = 3
 BOUNDARY_ROWS = 100_000
 # Hex digits of a rank bucket: 65,536 buckets.
 BUCKET_DIGITS = 4
-# Most copies one task makes of one row in a go.
-COPY_CHUNK = 100_000
+# Copies of one row that are made in one go: at least this many, and more
+# where the total would otherwise give more than MOST_CHUNKS pieces.
+COPY_CHUNK = 1_000
+MOST_CHUNKS = 1_000_000
+# Copies that a task should make when they are spread over the cluster.
+TASK_COPIES = 5_000_000
+# Rows with no more copies than this are expanded where they lie.
+RARE_COPIES = 16
 
 _HASH = "__hash"
 _BUCKET = "__bucket"
@@ -114,30 +120,30 @@ def _exact_cuts(
     return found
 
 
-def expand_copies(df: DataFrame, count: str, out: str, spread: bool = True) -> DataFrame:
-    """Repeat each row ``count`` times, numbered 1..count in ``out``; the
-    count column is dropped.
+def expand_copies(df: DataFrame, count: str, out: str) -> DataFrame:
+    """Repeat each row ``count`` times, numbered 1..count in ``out``, where
+    it lies; the count column is dropped. For small counts."""
+    keep = cols(c for c in df.columns if c != count)
+    numbers = F.sequence(F.lit(1).cast("bigint"), col(count).cast("bigint"))
+    return df.filter(col(count) > 0).select(*keep, F.explode(numbers).alias(out))
+
+
+def spread_copies(df: DataFrame, count: str, out: str, total: int) -> DataFrame:
+    """As ``expand_copies`` for counts of any size, ``total`` in sum.
 
-    A row with very many copies is cut into chunks that are spread over the
-    cluster before they are expanded, so no task makes them all. Callers that
-    know the counts to be small leave that out with ``spread=False``.
+    Rows are cut into chunks of copies, the chunks are dealt out to enough
+    tasks for the total, and only then expanded: the copies of one row are
+    made by many tasks, and no task makes many more than its share.
     """
     keep = cols(c for c in df.columns if c != count)
-    n = col(count)
-    if not spread:
-        numbers = F.sequence(F.lit(1).cast("bigint"), n.cast("bigint"))
-        return df.filter(n > 0).select(*keep, F.explode(numbers).alias(out))
-    few = df.filter((n > 0) & (n <= COPY_CHUNK)).select(
-        *keep, F.explode(F.sequence(F.lit(1).cast("bigint"), n.cast("bigint"))).alias(out)
-    )
-    start = F.explode(
-        F.sequence(F.lit(1).cast("bigint"), n.cast("bigint"), F.lit(COPY_CHUNK).cast("bigint"))
-    )
-    chunks = df.filter(n > COPY_CHUNK).select(*keep, n.alias("__count"), start.alias("__start"))
-    chunks = chunks.repartition(F.xxhash64("__start", *keep))
-    stop = F.least(F.col("__start") + F.lit(COPY_CHUNK - 1), F.col("__count"))
-    many = chunks.select(*keep, F.explode(F.sequence(F.col("__start"), stop)).alias(out))
-    return few.unionByName(many)
+    n = col(count).cast("bigint")
+    chunk = max(COPY_CHUNK, total // MOST_CHUNKS)
+    start = F.explode(F.sequence(F.lit(1).cast("bigint"), n, F.lit(chunk).cast("bigint")))
+    chunks = df.filter(n > 0).select(*keep, n.alias("__count"), start.alias("__start"))
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(total / TASK_COPIES))
+    dealt = chunks.repartition(tasks, F.xxhash64("__start", *keep))
+    stop = F.least(F.col("__start") + F.lit(chunk - 1), F.col("__count"))
+    return dealt.select(*keep, F.explode(F.sequence(F.col("__start"), stop)).alias(out))
 
 
 def with_copy_numbers(df: DataFrame, out: str = "copy_no") -> DataFrame:
@@ -146,15 +152,22 @@ def with_copy_numbers(df: DataFrame, out: str = "copy_no") -> DataFrame:
 
     Equal rows are counted before the shuffle: a row that fills a third of
     the table is one row on the wire. The counts are written to the shared
-    folder and expanded when read, where the few files that hold very common
-    rows are told apart by their statistics.
+    folder and expanded when read, rare rows in place, common ones spread
+    over the cluster; the files' statistics tell the two apart.
     """
     keep_free(df.columns, [out])
     odd = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.AtomicType)]
     if odd:
         raise ValidationError(f"rows with the nested columns {odd} need an explicit key")
     counted = df.groupBy(*cols(df.columns)).agg(F.count(F.lit(1)).alias("__copies"))
-    return expand_copies(materialize(counted, "counted"), "__copies", out)
+    counted = materialize(counted, "counted")
+    n = F.col("__copies")
+    rare = expand_copies(counted.filter(n <= RARE_COPIES), "__copies", out)
+    common = counted.filter(n > RARE_COPIES)
+    total = common.agg(F.sum("__copies")).first()[0]
+    if not total:
+        return rare
+    return rare.unionByName(spread_copies(common, "__copies", out, total))
 
 
 def keyed(df: DataFrame, key: Sequence[str] | None) -> tuple[DataFrame, list[str], list[str]]:
@@ -226,10 +239,10 @@ class Splits:
         return iter({"train": self.train, "val": self.val, "test": self.test}.items())
 
 
-def _labelled_split(
-    df: DataFrame, key: Sequence[str] | None, test_size: float, val_size: float, seed: int
-) -> tuple[DataFrame, Column, dict[str, int], list[str]]:
-    table, names, helpers = keyed(df, key)
+def _cut_split(
+    table: DataFrame, names: Sequence[str], test_size: float, val_size: float, seed: int
+) -> tuple[str, str, dict[str, int]]:
+    """The hash values at the end of train and of val, and the exact sizes."""
     sizes: dict[str, int] = {}
 
     def ranks(n: int) -> list[int]:
@@ -237,9 +250,7 @@ def _labelled_split(
         return [sizes["train"], sizes["train"] + sizes["val"]]
 
     _, (train_end, val_end) = hash_cuts(table, names, seed, ranks)
-    h = row_hash(names, seed)
-    label = F.when(h <= train_end, "train").when(h <= val_end, "val").otherwise("test")
-    return table, label, sizes, helpers
+    return train_end, val_end, sizes
 
 
 def split_labels(
@@ -251,8 +262,11 @@ def split_labels(
     out: str = "split",
 ) -> DataFrame:
     """The table with a column that says which split each row belongs to."""
-    table, label, _, _ = _labelled_split(df, key, test_size, val_size, seed)
-    return table.select(*cols(df.columns), label.alias(out))
+    table, names, _ = keyed(df, key)
+    train_end, val_end, _ = _cut_split(table, names, test_size, val_size, seed)
+    h = F.col(_HASH)
+    label = F.when(h <= train_end, "train").when(h <= val_end, "val").otherwise("test")
+    return table.withColumn(_HASH, row_hash(names, seed)).select(*cols(df.columns), label.alias(out))
 
 
 def train_val_test_split(
@@ -263,9 +277,15 @@ def train_val_test_split(
     seed: int = SEED,
 ) -> Splits:
     """Exact, unstratified split. Each part is a filter over the table."""
-    table, label, sizes, helpers = _labelled_split(df, key, test_size, val_size, seed)
-    parts = {name: table.filter(label == name).drop(*helpers) for name in ("train", "val", "test")}
-    return Splits(**parts, sizes=sizes)
+    table, names, helpers = keyed(df, key)
+    train_end, val_end, sizes = _cut_split(table, names, test_size, val_size, seed)
+    h = row_hash(names, seed)
+    return Splits(
+        train=table.filter(h <= train_end).drop(*helpers),
+        val=table.filter((h > train_end) & (h <= val_end)).drop(*helpers),
+        test=table.filter(h > val_end).drop(*helpers),
+        sizes=sizes,
+    )
 
 
 def cap_rows(
@@ -290,9 +310,11 @@ def draw_with_replacement(
     rank = F.pmod(hash60(F.concat(F.lit(f"{int(seed)}:"), i)), F.lit(max(size, 1)).cast("bigint")) + 1
     draws = df.sparkSession.range(1, n + 1).groupBy(rank.alias("__drawn")).agg(F.count(F.lit(1)).alias("__m"))
     hits = ranked.join(draws, F.col("__rank") == F.col("__drawn")).drop("__rank", "__drawn")
-    return expand_copies(hits, "__m", out, spread=many_copies(n, size))
+    return expand_draws(hits, "__m", out, n, size)
 
 
-def many_copies(n: int, size: int) -> bool:
-    """Can a row of ``size`` be drawn very often in ``n`` even draws?"""
-    return n > size * (COPY_CHUNK // 100)
+def expand_draws(hits: DataFrame, count: str, out: str, n: int, size: int) -> DataFrame:
+    """Make the copies of rows hit by ``n`` even draws from ``size`` rows."""
+    if n <= size * RARE_COPIES:
+        return expand_copies(hits, count, out)
+    return spread_copies(hits, count, out, n)

@@ -52,7 +52,10 @@ def check_expected_columns(
     missing = [r[0] for r in rows if r[2] == "warning"]
     if missing:
         warnings.warn(f"missing expected columns: {missing}", stacklevel=2)
-    return df.sparkSession.createDataFrame(rows, "column string, found boolean, severity string")
+    fields = ("column", "found", "severity")
+    structs = [F.struct(*[F.lit(v).alias(f) for f, v in zip(fields, r, strict=True)]) for r in rows]
+    listed = F.array(*structs) if structs else F.expr("cast(array() as array<struct<column: string, found: boolean, severity: string>>)")
+    return df.sparkSession.range(1).select(F.inline(listed))
 
 
 def require_nonempty(df: DataFrame, what: str = "table") -> None:
@@ -148,7 +151,8 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("share", ratio(F.col("n"), everything))
 
 
-def _violation(df: DataFrame, column: str) -> Column:
+def not_binary(df: DataFrame, column: str) -> Column:
+    """True where the value is not 0 or 1; null is neither."""
     return ~F.coalesce(number(df, column).isin(0.0, 1.0), F.lit(False))
 
 
@@ -156,7 +160,7 @@ def binary_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per column whose value is not 0 or 1; null is a violation."""
     flat = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(_violation(df, c)).alias(f"n_violations_{i}") for i, c in enumerate(columns)],
+        *[F.count_if(not_binary(df, c)).alias(f"n_violations_{i}") for i, c in enumerate(columns)],
     )
     return _rows(columns, ["n_violations"], flat).drop("position")
 
@@ -203,6 +207,6 @@ def validate(df: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 __all__ = [
     "binary_violations", "check_binary", "check_expected_columns", "distinct_preview",
-    "encoding_suspects", "group_cardinality", "null_ratio", "profile", "require_columns",
+    "encoding_suspects", "group_cardinality", "not_binary", "null_ratio", "profile", "require_columns",
     "require_nonempty", "require_null_ratio", "target_is_constant", "validate", "value_shares",
 ]

@@ -134,7 +134,7 @@ def odds_flow(
     spec: DatasetSpec,
     prediction: str = "pred_col",
     trees: int = 100,
-    max_depth: int = 10,
+    max_depth: int = 8,
     exclude: tuple[str, ...] = (),
     capped: bool = False,
     fit_on: str = "all",

@@ -118,6 +118,7 @@ def test_split_without_key(spark):
 
 def test_copies_of_very_common_rows(spark, monkeypatch):
     monkeypatch.setattr(sampling, "COPY_CHUNK", 4)
+    monkeypatch.setattr(sampling, "RARE_COPIES", 1)
     df = spark.createDataFrame([("a",)] * 11 + [("b",)] * 4 + [("c",)], "t string")
     got = sorted(map(tuple, ek.with_copy_numbers(df).collect()))
     assert got == [("a", i) for i in range(1, 12)] + [("b", i) for i in range(1, 5)] + [("c", 1)]
@@ -155,6 +156,5 @@ def test_draws(spark, monkeypatch):
     assert ek.draw_with_replacement(df, 0, ["id"]).count() == 0
     with pytest.raises(ek.ValidationError):
         ek.draw_with_replacement(df.limit(0), 5, ["id"])
-    monkeypatch.setattr(sampling, "COPY_CHUNK", 100)
     one = ek.draw_with_replacement(spark.range(1), 1234, ["id"])
     assert sorted(r["draw_no"] for r in one.collect()) == list(range(1, 1235))
