@@ -1,4 +1,8 @@
-"""Column helpers: quoting, missing values, numbers, labels, ratios."""
+"""SQL texts for columns: quoting, missing values, numbers, labels, ratios.
+
+Operators put expressions together as SQL text and hand each one to Spark in
+a single call.
+"""
 
 from __future__ import annotations
 
@@ -14,9 +18,31 @@ from evenkeel.spec import ValidationError
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?))\s*$"
 
 
+def quote(name: str) -> str:
+    """A column name as it stands, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def quotes(names: Iterable[str]) -> list[str]:
+    return [quote(n) for n in names]
+
+
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def double(value: float) -> str:
+    """A SQL double literal."""
+    return f"{float(value)!r}D"
+
+
+def exprs(texts: Iterable[str]) -> list[Column]:
+    return [F.expr(t) for t in texts]
+
+
 def col(name: str) -> Column:
-    """A column by its literal name, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quote(name))
 
 
 def cols(names: Iterable[str]) -> list[Column]:
@@ -39,57 +65,63 @@ def is_number(kind: T.DataType) -> bool:
     return isinstance(kind, T.NumericType)
 
 
-def present(df: DataFrame, name: str) -> Column:
+def is_text(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StringType, T.CharType, T.VarcharType))
+
+
+def present(df: DataFrame, name: str) -> str:
     """The column with NaN folded to null, so that both mean "missing"."""
-    if is_fractional(dtype(df, name)):
-        return F.when(~F.isnan(col(name)), col(name))
-    return col(name)
+    c = quote(name)
+    return f"CASE WHEN NOT isnan({c}) THEN {c} END" if is_fractional(dtype(df, name)) else c
+
 
+def all_present(df: DataFrame, names: Sequence[str]) -> str:
+    return " AND ".join(f"{present(df, n)} IS NOT NULL" for n in names) or "true"
 
-def as_number(value: Column, kind: T.DataType) -> Column:
-    """``value`` as double; text that is no number and NaN become null."""
-    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
-        return F.when(value.rlike(_NUMBER), F.trim(value).try_cast("double"))
+
+def as_number(c: str, kind: T.DataType) -> str:
+    """``c`` as double; text that is no number and NaN become null."""
+    if is_text(kind):
+        return f"CASE WHEN {c} RLIKE r'{_NUMBER}' THEN try_cast(trim({c}) AS double) END"
     if isinstance(kind, T.BooleanType):
-        return value.cast("int").cast("double")
+        return f"CAST(CAST({c} AS int) AS double)"
     if is_fractional(kind):
-        return F.when(~F.isnan(value), value.cast("double"))
-    if is_number(kind):
-        return value.cast("double")
-    return value.try_cast("double")
+        return f"CASE WHEN NOT isnan({c}) THEN CAST({c} AS double) END"
+    return f"try_cast({c} AS double)"
 
 
-def number(df: DataFrame, name: str) -> Column:
-    return as_number(col(name), dtype(df, name))
+def number(df: DataFrame, name: str) -> str:
+    return as_number(quote(name), dtype(df, name))
 
 
-def is_one(df: DataFrame, name: str) -> Column:
+def is_one(df: DataFrame, name: str) -> str:
     """True where the label equals 1, false otherwise (also for null)."""
     kind = dtype(df, name)
-    if is_number(kind):
-        hit = col(name) == F.lit(1)
-    elif isinstance(kind, T.BooleanType):
-        hit = col(name)
-    else:
-        hit = number(df, name) == F.lit(1.0)
-    return F.coalesce(hit, F.lit(False))
+    if isinstance(kind, T.BooleanType):
+        return f"coalesce({quote(name)}, false)"
+    value = quote(name) if is_number(kind) else number(df, name)
+    return f"coalesce({value} = 1, false)"
 
 
-def ratio(part: Column, whole: Column, zero: float | None = None) -> Column:
+def ratio(part: str, whole: str, zero: float | None = None) -> str:
     """``part / whole`` as one double division; ``zero`` when whole is 0."""
-    value = F.try_divide(part.cast("double"), whole.cast("double"))
-    return value if zero is None else F.coalesce(value, F.lit(float(zero)))
+    value = f"try_divide(CAST({part} AS double), CAST({whole} AS double))"
+    return value if zero is None else f"coalesce({value}, {double(zero)})"
 
 
-def total(name: str) -> Column:
+def total(name: str) -> str:
     """Sum of a count column, 0 over no rows."""
-    return F.coalesce(F.sum(name), F.lit(0).cast("bigint"))
+    return f"coalesce(sum({quote(name)}), 0L)"
 
 
-def group_label(names: Sequence[str]) -> Column:
+def group_label(names: Sequence[str]) -> str:
     """One text label per group: the value itself, or a JSON list of values."""
-    texts = [c.cast("string") for c in cols(names)]
-    return texts[0] if len(texts) == 1 else F.to_json(F.array(*texts))
+    texts = [f"CAST({c} AS string)" for c in quotes(names)]
+    return texts[0] if len(texts) == 1 else f"to_json(array({', '.join(texts)}))"
+
+
+def names_array(names: Sequence[str]) -> str:
+    return f"array({', '.join(text(n) for n in names)})"
 
 
 def keep_free(names: Iterable[str], reserved: Iterable[str]) -> None:

@@ -1,9 +1,8 @@
-"""Status ladders of the three checks, as column expressions."""
+"""Status ladders of the three checks, as SQL texts."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from evenkeel.functions.columns import double, text
 
 # Status texts as they appear in reports.
 PASSED = "Passed"
@@ -19,46 +18,33 @@ EO_INCONCLUSIVE = "Inconclusive (Could not calculate Equalized Odds difference)"
 EO_ERROR = "Calculation Error"
 
 
-def dp_status(difference: Column, n_rows: Column, threshold: float) -> Column:
+def dp_status(gap: str, n_rows: str, threshold: float) -> str:
     """Demographic parity: no rows is an error, an unmeasurable gap passes."""
-    gap = F.abs(F.coalesce(difference, F.lit(0.0)))
-    return (
-        F.when(n_rows == 0, F.lit(ERROR))
-        .when(gap > F.lit(float(threshold)), F.lit(WARNING))
-        .otherwise(F.lit(PASSED))
-    )
+    return f"""CASE WHEN {n_rows} = 0 THEN {text(ERROR)}
+        WHEN abs(coalesce({gap}, 0D)) > {double(threshold)} THEN {text(WARNING)}
+        ELSE {text(PASSED)} END"""
 
 
-def di_ratio(n_valid: Column, low: Column, high: Column) -> Column:
+def di_ratio(n_valid: str, low: str, high: str) -> str:
     """Lowest rate over highest rate, with the agreed values where undefined."""
-    return (
-        F.when(n_valid == 1, F.lit(1.0))
-        .when((n_valid >= 2) & (high > 0), low / high)
-        .when((n_valid >= 2) & (low == 0), F.lit(1.0))
-    )
-
-
-def di_status(n_valid: Column, low: Column, high: Column, threshold: float) -> Column:
-    share = F.try_divide(low, high)
-    return (
-        F.when(n_valid == 0, F.lit(DI_NO_RATES))
-        .when(n_valid == 1, F.lit(DI_ONE_GROUP))
-        .when((high > 0) & (share < F.lit(float(threshold))), F.lit(DI_WARNING))
-        .when(high > 0, F.lit(PASSED))
-        .when(low == 0, F.lit(DI_ZERO))
-        .otherwise(F.lit(DI_BAD_MAX))
-    )
-
-
-def eo_status(difference: Column, failed: Column, threshold: float) -> Column:
-    text = F.concat(
-        F.lit("Warning: Equalized Odds Difference ("),
-        F.format_string("%.4f", difference),
-        F.lit(f") > threshold ({float(threshold)})"),
-    )
-    return (
-        F.when(failed, F.lit(EO_ERROR))
-        .when(difference.isNull(), F.lit(EO_INCONCLUSIVE))
-        .when(F.abs(difference) > F.lit(float(threshold)), text)
-        .otherwise(F.lit(EO_PASSED))
-    )
+    return f"""CASE WHEN {n_valid} = 1 THEN 1D
+        WHEN {n_valid} >= 2 AND {high} > 0 THEN {low} / {high}
+        WHEN {n_valid} >= 2 AND {low} = 0 THEN 1D END"""
+
+
+def di_status(n_valid: str, low: str, high: str, threshold: float) -> str:
+    return f"""CASE WHEN {n_valid} = 0 THEN {text(DI_NO_RATES)}
+        WHEN {n_valid} = 1 THEN {text(DI_ONE_GROUP)}
+        WHEN {high} > 0 AND {low} / {high} < {double(threshold)} THEN {text(DI_WARNING)}
+        WHEN {high} > 0 THEN {text(PASSED)}
+        WHEN {low} = 0 THEN {text(DI_ZERO)}
+        ELSE {text(DI_BAD_MAX)} END"""
+
+
+def eo_status(gap: str, failed: str, threshold: float) -> str:
+    limit = text(f") > threshold ({float(threshold)})")
+    return f"""CASE WHEN {failed} THEN {text(EO_ERROR)}
+        WHEN {gap} IS NULL THEN {text(EO_INCONCLUSIVE)}
+        WHEN abs({gap}) > {double(threshold)}
+        THEN concat('Warning: Equalized Odds Difference (', format_string('%.4f', {gap}), {limit})
+        ELSE {text(EO_PASSED)} END"""

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions.columns import (
-    as_number, col, cols, dtype, group_label, is_fractional, is_integral, is_number, number, present,
+    all_present, col, cols, double, dtype, exprs, group_label, is_fractional, is_integral, is_number,
+    number, quote,
 )
 from evenkeel.operators.validate import require_columns
 from evenkeel.spec import LABEL_THRESHOLD, ColumnRoles, ValidationError
@@ -62,50 +63,50 @@ def assign_roles(df: DataFrame, roles: ColumnRoles, remainder: str = "passthroug
 def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows that have a value (neither null nor NaN) in all ``columns``."""
     require_columns(df, columns)
-    kept = df
-    for c in columns:
-        kept = kept.filter(present(df, c).isNotNull())
-    return kept
+    return df.filter(all_present(df, columns))
 
 
 def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """How many rows ``drop_missing`` would keep and drop, as one row."""
     require_columns(df, columns)
-    whole = F.lit(True)
-    for c in columns:
-        whole = whole & present(df, c).isNotNull()
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(whole).alias("n_kept"),
-        F.count_if(~whole).alias("n_dropped"),
-    )
+    whole = all_present(df, columns)
+    return df.agg(*exprs([
+        "count(1) AS n_rows",
+        f"count_if({whole}) AS n_kept",
+        f"count_if(NOT ({whole})) AS n_dropped",
+    ]))
 
 
 def to_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns as doubles; text that is no number becomes null."""
-    for c in columns:
-        df = df.withColumn(c, number(df, c))
-    return df
+    return df.withColumns({c: F.expr(number(df, c)) for c in columns})
+
+
+def label(df: DataFrame, column: str) -> tuple[str, str]:
+    """The column cut to an integer, and the condition that it holds a
+    number at all, as SQL texts. Whole numbers stay as they are."""
+    if is_integral(dtype(df, column)):
+        return f"CAST({quote(column)} AS bigint)", f"{quote(column)} IS NOT NULL"
+    value = number(df, column)
+    return f"try_cast({value} AS bigint)", f"({value}) IS NOT NULL"
 
 
 def to_label(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns as integers; fractions are cut off."""
-    for c in columns:
-        df = df.withColumn(c, as_number(col(c), dtype(df, c)).try_cast("bigint"))
-    return df
+    return df.withColumns({c: F.expr(label(df, c)[0]) for c in columns})
 
 
 def group_key(df: DataFrame, columns: Sequence[str], out: str | None = None) -> DataFrame:
     """Add one label column for a group of columns, by default named by
     joining their names with ``_``."""
     name = out or "_".join(columns)
-    return df if [name] == list(columns) else df.withColumn(name, group_label(columns))
+    return df if [name] == list(columns) else df.withColumn(name, F.expr(group_label(columns)))
 
 
 def binarize(df: DataFrame, score: str, out: str, threshold: float = LABEL_THRESHOLD) -> DataFrame:
     """1 where the score is above the threshold, else 0 (also for null)."""
-    above = F.coalesce(number(df, score) > F.lit(float(threshold)), F.lit(False))
-    return df.withColumn(out, above.cast("int"))
+    above = f"coalesce({number(df, score)} > {double(threshold)}, false)"
+    return df.withColumn(out, F.expr(f"CAST({above} AS int)"))
 
 
 def numeric_features(df: DataFrame, target: str, exclude: Sequence[str] = ()) -> list[str]:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import cols, is_one, keep_free, total
+from evenkeel.functions.columns import cols, exprs, is_one, keep_free, quote, quotes, total
 
 BASE = ("n", "positives")
 CONFUSION = ("selected", "tp", "fp", "fn", "tn")
@@ -28,41 +28,45 @@ def contingency(
     sensitive: Sequence[str],
     target: str,
     prediction: str | None = None,
-    extra: Sequence[Column] = (),
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows, positives and, given predictions, the confusion counts per group."""
+    """Rows, positives and, given predictions, the confusion counts per group.
+
+    ``extra`` are further aggregates, as SQL texts.
+    """
     keep_free(sensitive, [*BASE, *CONFUSION])
     y = is_one(df, target)
-    counts = [F.count(F.lit(1)).alias("n"), F.count_if(y).alias("positives")]
+    counts = ["count(1) AS n", f"count_if({y}) AS positives"]
     if prediction is not None:
         p = is_one(df, prediction)
         counts += [
-            F.count_if(p).alias("selected"),
-            F.count_if(y & p).alias("tp"),
-            F.count_if(~y & p).alias("fp"),
-            F.count_if(y & ~p).alias("fn"),
-            F.count_if(~y & ~p).alias("tn"),
+            f"count_if({p}) AS selected",
+            f"count_if({y} AND {p}) AS tp",
+            f"count_if(NOT {y} AND {p}) AS fp",
+            f"count_if({y} AND NOT {p}) AS fn",
+            f"count_if(NOT {y} AND NOT {p}) AS tn",
         ]
-    return df.groupBy(*cols(sensitive)).agg(*counts, *extra)
+    return df.groupBy(*cols(sensitive)).agg(*exprs([*counts, *extra]))
 
 
 def recount(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Add counts up to coarser groups, or to one row for the whole table."""
     names = [c for c in (*BASE, *CONFUSION) if c in counts.columns]
-    return counts.groupBy(*cols(by)).agg(*[total(c).alias(c) for c in names])
+    return counts.groupBy(*cols(by)).agg(*exprs(f"{total(c)} AS {quote(c)}" for c in names))
 
 
-def inline_groups(by_group: DataFrame, keys: Sequence[str], entry: Column) -> Column:
-    """The first ``INLINE_GROUPS`` groups, by key, as one array value.
+def inline_groups(by_group: DataFrame, keys: Sequence[str], entry: str) -> Column:
+    """``entry`` of the first ``INLINE_GROUPS`` groups, by key, as one array.
 
     Each task keeps no more rows than that, so the array stays bounded
     however many groups there are.
     """
+    names = ", ".join(quotes(keys))
     first = by_group.orderBy(*cols(keys)).limit(INLINE_GROUPS)
-    ordered = F.sort_array(F.collect_list(F.struct(*cols(keys), entry.alias("__entry"))))
-    return first.agg(F.transform(ordered, lambda g: g["__entry"])).scalar()
+    ordered = f"sort_array(collect_list(struct({names}, {entry} AS __entry)))"
+    return first.agg(F.expr(f"transform({ordered}, g -> g.__entry)")).scalar()
 
 
-def if_inline(n_groups: Column, value: Column) -> Column:
-    """``value``, or null where the groups are too many to be written inline."""
-    return F.when(n_groups <= INLINE_GROUPS, value)
+def inline_limit() -> str:
+    """Condition on ``n_groups``: are they few enough to be written inline?"""
+    return f"n_groups <= {INLINE_GROUPS}"

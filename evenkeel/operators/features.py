@@ -12,7 +12,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import col, cols, dtype, is_number, number, present
+from evenkeel.functions.columns import col, cols, dtype, exprs, is_number, number, present
 from evenkeel.operators.quantiles import exact_medians
 from evenkeel.operators.validate import require_columns
 from evenkeel.spec import ColumnRoles, ValidationError
@@ -78,7 +78,7 @@ class FittedPreprocessor:
         return df.select(*[value.alias(name) for name, value in out])
 
     def _numeric(self, df: DataFrame, name: str) -> Column:
-        value = number(df, name)
+        value = F.expr(number(df, name))
         if self.medians.get(name) is not None:
             value = F.coalesce(value, F.lit(float(self.medians[name])))
         if name in self.means:
@@ -108,7 +108,8 @@ def fit_preprocessor(
         return FittedPreprocessor(roles=roles, remainder=remainder)
     extra = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(roles.numeric):
-        extra += [F.avg(number(df, c)).alias(f"avg_{i}"), F.var_pop(number(df, c)).alias(f"var_{i}")]
+        value = number(df, c)
+        extra += exprs([f"avg({value}) AS avg_{i}", f"var_pop({value}) AS var_{i}"])
     extra += [
         F.approx_count_distinct(_category(df, c)).alias(f"width_{i}")
         for i, c in enumerate(roles.categorical)
@@ -154,7 +155,7 @@ def _check_widths(widths: dict[str, int]) -> None:
 
 
 def _category(df: DataFrame, name: str) -> Column:
-    return present(df, name).cast("string")
+    return F.expr(f"CAST({present(df, name)} AS string)")
 
 
 def _categories(df: DataFrame, names: Sequence[str]) -> dict[str, list[str | None]]:
@@ -222,7 +223,7 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     require_columns(df, columns)
     medians, _ = exact_medians(df, columns)
     for c, m in medians.items():
-        value = number(df, c)
+        value = F.expr(number(df, c))
         df = df.withColumn(c, value if m is None else F.coalesce(value, F.lit(float(m))))
     return df
 
@@ -231,12 +232,12 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Subtract the mean, divide by the population deviation (1 if it is 0)."""
     require_columns(df, columns)
     stats = df.agg(
-        *[F.avg(number(df, c)).alias(f"avg_{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(number(df, c)).alias(f"dev_{i}") for i, c in enumerate(columns)],
+        *exprs(f"avg({number(df, c)}) AS avg_{i}" for i, c in enumerate(columns)),
+        *exprs(f"stddev_pop({number(df, c)}) AS dev_{i}" for i, c in enumerate(columns)),
     ).first()
     for i, c in enumerate(columns):
         if stats[f"avg_{i}"] is not None:
-            value = (number(df, c) - F.lit(stats[f"avg_{i}"])) / F.lit(stats[f"dev_{i}"] or 1.0)
+            value = (F.expr(number(df, c)) - F.lit(stats[f"avg_{i}"])) / F.lit(stats[f"dev_{i}"] or 1.0)
             df = df.withColumn(c, value)
     return df
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from evenkeel.functions.columns import (
-    col, cols, dtype, is_integral, keep_free, number, present, ratio,
+    all_present, cols, double, dtype, exprs, is_integral, keep_free, names_array, number, quote,
+    quotes, ratio, text,
 )
 from evenkeel.functions.status import di_ratio, di_status
-from evenkeel.operators.contingency import if_inline, inline_groups
+from evenkeel.operators.contingency import inline_groups, inline_limit
 from evenkeel.operators.validate import require_columns
 from evenkeel.spec import DI_THRESHOLD
 
@@ -22,30 +22,30 @@ def positive_rate_by_group(df: DataFrame, sensitive: Sequence[str], target: str)
     a null rate."""
     require_columns(df, [target, *sensitive])
     keep_free(sensitive, ["positive_rate", "count"])
-    keyed = df
-    for s in sensitive:
-        keyed = keyed.filter(present(df, s).isNotNull())
     # whole numbers are added up exactly, whatever the order of the rows
-    value = col(target).cast("bigint") if is_integral(dtype(df, target)) else number(df, target)
+    whole = is_integral(dtype(df, target))
+    value = f"CAST({quote(target)} AS bigint)" if whole else number(df, target)
+    sums = exprs([f"sum({value}) AS __sum", f"count({value}) AS `count`"])
     return (
-        keyed.groupBy(*cols(sensitive))
-        .agg(F.sum(value).alias("__sum"), F.count(value).alias("count"))
-        .select(*cols(sensitive), ratio(col("__sum"), col("count")).alias("positive_rate"), col("count"))
+        df.filter(all_present(df, sensitive))
+        .groupBy(*cols(sensitive))
+        .agg(*sums)
+        .selectExpr(*quotes(sensitive), f"{ratio('__sum', '`count`')} AS positive_rate", "`count`")
     )
 
 
 def impact_summary(groups: DataFrame, threshold: float = DI_THRESHOLD) -> DataFrame:
-    low, high, n = F.col("min_positive_rate"), F.col("max_positive_rate"), F.col("n_valid")
-    return (
-        groups.agg(
-            F.count(F.lit(1)).alias("n_groups"),
-            F.count("positive_rate").alias("n_valid"),
-            F.min("positive_rate").alias("min_positive_rate"),
-            F.max("positive_rate").alias("max_positive_rate"),
-        )
-        .withColumn("disparate_impact_min_max_ratio", di_ratio(n, low, high))
-        .withColumn("bias_check_status", di_status(n, low, high, threshold))
-        .withColumn("disparate_impact_threshold", F.lit(float(threshold)))
+    rates = ("n_valid", "min_positive_rate", "max_positive_rate")
+    return groups.agg(*exprs([
+        "count(1) AS n_groups",
+        "count(positive_rate) AS n_valid",
+        "min(positive_rate) AS min_positive_rate",
+        "max(positive_rate) AS max_positive_rate",
+    ])).selectExpr(
+        "*",
+        f"{di_ratio(*rates)} AS disparate_impact_min_max_ratio",
+        f"{di_status(*rates, threshold)} AS bias_check_status",
+        f"{double(threshold)} AS disparate_impact_threshold",
     )
 
 
@@ -61,13 +61,14 @@ def disparate_impact_report(
 ) -> DataFrame:
     """The disparate impact check as one document row."""
     groups = positive_rate_by_group(df, sensitive, target).persist()
-    record = F.struct(*cols(sensitive), col("positive_rate"), col("count"))
-    return impact_summary(groups, threshold).select(
-        F.lit("Data Distribution Bias Check (Disparate Impact Min/Max Ratio)").alias("analysis_type"),
-        F.lit("Ratio of Min/Max Positive Rate per Group").alias("metric_calculated"),
-        F.array(*[F.lit(s) for s in sensitive]).alias("sensitive_features"),
-        F.lit(target).alias("target_column"),
-        if_inline(F.col("n_groups"), inline_groups(groups, sensitive, record)).alias("group_statistics"),
+    record = f"struct({', '.join(quotes(sensitive))}, positive_rate, `count`)"
+    listed = inline_groups(groups, sensitive, record)
+    return impact_summary(groups, threshold).withColumn("__listed", listed).selectExpr(
+        "'Data Distribution Bias Check (Disparate Impact Min/Max Ratio)' AS analysis_type",
+        "'Ratio of Min/Max Positive Rate per Group' AS metric_calculated",
+        f"{names_array(sensitive)} AS sensitive_features",
+        f"{text(target)} AS target_column",
+        f"CASE WHEN {inline_limit()} THEN __listed END AS group_statistics",
         "min_positive_rate",
         "max_positive_rate",
         "disparate_impact_min_max_ratio",

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import col, cols, is_one, ratio
+from evenkeel.functions.columns import col, cols, double, exprs, is_one, quotes, ratio
 from evenkeel.functions.hashing import hash60, key_text
 from evenkeel.operators.clean import drop_missing
 from evenkeel.operators.contingency import contingency
@@ -33,7 +33,7 @@ def group_rates(df: DataFrame, sensitive: Sequence[str], target: str) -> DataFra
 
 
 def _rates(counts: DataFrame) -> DataFrame:
-    return counts.withColumn("rate", ratio(F.col("positives"), F.col("n"), zero=0.0))
+    return counts.selectExpr("*", f"{ratio('positives', 'n', zero=0.0)} AS rate")
 
 
 def oversample_plan(df: DataFrame, sensitive: Sequence[str], target: str) -> DataFrame:
@@ -47,15 +47,15 @@ def oversample_plan(df: DataFrame, sensitive: Sequence[str], target: str) -> Dat
 
 def _plan(rates: DataFrame) -> DataFrame:
     best = rates.agg(F.max("rate")).scalar()
-    r = F.col("target_rate")
-    behind = r * F.col("n") - F.col("positives")
-    needed = F.rint(F.try_divide(behind, F.lit(1.0) - r)).cast("bigint")
-    disadvantaged = r - F.col("rate") >= F.lit(EQUAL_RATES)
-    reachable = (F.lit(1.0) - r >= F.lit(FULL_RATE)) & (behind > 0)
+    behind = "(target_rate * n - positives)"
     return (
         rates.withColumn("target_rate", best)
-        .withColumn("disadvantaged", disadvantaged)
-        .withColumn("n_to_add", F.when(disadvantaged & reachable, needed).otherwise(F.lit(0)).cast("bigint"))
+        .selectExpr("*", f"target_rate - rate >= {double(EQUAL_RATES)} AS disadvantaged")
+        .selectExpr(
+            "*",
+            f"""CASE WHEN disadvantaged AND 1D - target_rate >= {double(FULL_RATE)} AND {behind} > 0
+            THEN CAST(rint({behind} / (1D - target_rate)) AS bigint) ELSE 0L END AS n_to_add""",
+        )
     )
 
 
@@ -83,31 +83,30 @@ def oversample(
         df = with_copy_numbers(df)
         key = df.columns
     # one pass over the table: counts per group, and values that are no label
-    violations = F.count_if(not_binary(df, target)).alias("violations")
+    violations = f"count_if({not_binary(df, target)}) AS violations"
     counts = contingency(df, sensitive, target, extra=[violations]).persist()
     plan = _plan(_rates(drop_missing(counts, sensitive)))
-    wrong = counts.agg(F.sum("violations")).scalar()
-    short = F.col("n_to_add") > 0
-    found = plan.agg(
-        wrong.alias("wrong"),
-        F.count(F.lit(1)).alias("groups"),
-        F.count_if(short).alias("short"),
-        F.count_if(short & (F.col("positives") == 0)).alias("empty"),
-        F.sum("n_to_add").alias("total"),
-        F.max(F.try_divide(F.col("n_to_add"), F.col("positives"))).alias("copies"),
-    ).first()
-    if found["wrong"]:
-        raise ValidationError(f"{target!r} holds {found['wrong']} values other than 0 or 1")
+    found = plan.withColumn("wrong", counts.agg(F.sum("violations")).scalar()).agg(*exprs([
+        "count(1) AS groups",
+        "count_if(n_to_add > 0) AS short",
+        "count_if(n_to_add > 0 AND positives = 0) AS empty",
+        "sum(n_to_add) AS total",
+        "max(try_divide(n_to_add, positives)) AS copies",
+        "max(wrong) AS wrong",
+    ])).first()
+    wrong = found["wrong"] if found["groups"] else counts.agg(F.sum("violations")).first()[0]
+    if wrong:
+        raise ValidationError(f"{target!r} holds {wrong} values other than 0 or 1")
     if found["empty"]:
         raise ValidationError(f"{found['empty']} groups need positives but have none to copy")
     original = df.withColumn(out, F.lit(0).cast("bigint"))
     if found["groups"] < 2 or not found["short"]:
         return original
 
-    needed = plan.filter(short).select(
-        *[c.alias(f"__g{i}") for i, c in enumerate(cols(sensitive))],
-        F.col("positives").alias("__pool"),
-        F.col("n_to_add").alias("__add"),
+    needed = plan.filter("n_to_add > 0").selectExpr(
+        *[f"{c} AS __g{i}" for i, c in enumerate(quotes(sensitive))],
+        "positives AS __pool",
+        "n_to_add AS __add",
     )
     groups = [f"__g{i}" for i in range(len(sensitive))]
     draws = spread_copies(needed, "__add", "__i", found["total"])

@@ -44,7 +44,7 @@ def train_regressor(
     require_columns(train, [target])
     features = numeric_features(train, target, exclude)
     rows = drop_missing(train, [target]).select(
-        *cols(features), number(train, target).alias("__label")
+        *cols(features), F.expr(f"{number(train, target)} AS __label")
     )
     forest = RandomForestRegressor(
         featuresCol=_FEATURES,

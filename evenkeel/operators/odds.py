@@ -4,49 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from evenkeel.functions.columns import col, cols, keep_free, ratio, total
+from evenkeel.functions.columns import (
+    all_present, exprs, keep_free, names_array, quote, quotes, ratio, text, total,
+)
 from evenkeel.functions.status import eo_status
-from evenkeel.operators.clean import drop_missing, to_label, to_numeric
-from evenkeel.operators.contingency import contingency, if_inline, inline_groups, recount
+from evenkeel.operators.clean import label
+from evenkeel.operators.contingency import contingency, inline_groups, inline_limit, recount
 from evenkeel.operators.validate import require_columns
 from evenkeel.spec import EO_THRESHOLD
 
 METRICS = ("count", "selection_rate", "true_positive_rate", "false_positive_rate")
+_SPREADS = [f"{m}_difference" for m in METRICS]
 _NO_ROWS = "No valid data remaining after dropping missing values"
 _BAD_LABELS = "Labels other than 0 and 1 (or -1 and 1)"
 
 
+def _rates(zero_division: float | None) -> dict[str, str]:
+    """The four metrics over a frame of confusion counts. A group without
+    actual positives (negatives) has no TPR (FPR): ``zero_division``."""
+    return {
+        "count": "CAST(n AS double)",
+        "selection_rate": ratio("selected", "n"),
+        "true_positive_rate": ratio("tp", "(tp + fn)", zero_division),
+        "false_positive_rate": ratio("fp", "(fp + tn)", zero_division),
+    }
+
+
+def _named(rates: dict[str, str]) -> list[str]:
+    return [f"{value} AS {quote(name)}" for name, value in rates.items()]
+
+
 def labelled(df: DataFrame, sensitive: Sequence[str], target: str, prediction: str) -> DataFrame:
     """Rows with a group, a numeric label and a numeric prediction, both cut
     to integers."""
-    labels = [target, prediction]
-    require_columns(df, [*labels, *sensitive])
-    return to_label(drop_missing(to_numeric(df, labels), [*labels, *sensitive]), labels)
-
-
-def _rates(zero_division: float | None) -> list[Column]:
-    """The four metrics over a frame of confusion counts. A group without
-    actual positives (negatives) has no TPR (FPR): ``zero_division``."""
-    return [
-        F.col("n").cast("double").alias("count"),
-        ratio(F.col("selected"), F.col("n")).alias("selection_rate"),
-        ratio(F.col("tp"), F.col("tp") + F.col("fn"), zero_division).alias("true_positive_rate"),
-        ratio(F.col("fp"), F.col("fp") + F.col("tn"), zero_division).alias("false_positive_rate"),
-    ]
+    require_columns(df, [target, prediction, *sensitive])
+    labels = {c: label(df, c) for c in (target, prediction)}
+    kept = df.filter(" AND ".join([all_present(df, sensitive), *[known for _, known in labels.values()]]))
+    return kept.withColumns(dict(zip(labels, exprs(v for v, _ in labels.values()), strict=True)))
 
 
 def _confusion(df: DataFrame, sensitive: Sequence[str], target: str, prediction: str) -> DataFrame:
     keep_free(sensitive, METRICS)
     rows = labelled(df, sensitive, target, prediction)
-    y, p = col(target), col(prediction)
-    known = F.coalesce(y.isin(-1, 0, 1) & p.isin(-1, 0, 1), F.lit(False))
+    y, p = quote(target), quote(prediction)
     extra = [
-        F.count_if(~known).alias("unknown_labels"),
-        F.count_if((y == 0) | (p == 0)).alias("zero_labels"),
-        F.count_if((y == -1) | (p == -1)).alias("minus_labels"),
+        f"count_if(NOT coalesce({y} IN (-1, 0, 1) AND {p} IN (-1, 0, 1), false)) AS unknown_labels",
+        f"count_if({y} = 0 OR {p} = 0) AS zero_labels",
+        f"count_if({y} = -1 OR {p} = -1) AS minus_labels",
     ]
     return contingency(rows, sensitive, target, prediction, extra)
 
@@ -60,7 +66,7 @@ def classification_by_group(
 ) -> DataFrame:
     """Count, selection rate of the predictions, TPR and FPR per group."""
     counts = _confusion(df, sensitive, target, prediction)
-    return counts.select(*cols(sensitive), *_rates(zero_division))
+    return counts.selectExpr(*quotes(sensitive), *_named(_rates(zero_division)))
 
 
 def classification_overall(
@@ -71,7 +77,8 @@ def classification_overall(
     zero_division: float | None = 0.0,
 ) -> DataFrame:
     """The same four metrics over all rows, added up from the groups."""
-    return recount(_confusion(df, sensitive, target, prediction)).select(*_rates(zero_division))
+    counts = recount(_confusion(df, sensitive, target, prediction))
+    return counts.selectExpr(*_named(_rates(zero_division)))
 
 
 def between_group_difference(
@@ -83,40 +90,42 @@ def between_group_difference(
 ) -> DataFrame:
     """Highest minus lowest group value of each metric, as one row."""
     groups = classification_by_group(df, sensitive, target, prediction, zero_division)
-    return groups.agg(*[(F.max(m) - F.min(m)).alias(m) for m in METRICS])
+    return groups.agg(*exprs(f"max(`{m}`) - min(`{m}`) AS `{m}`" for m in METRICS))
 
 
 def odds_summary(counts: DataFrame, threshold: float, zero_division: float | None = 0.0) -> DataFrame:
     """Overall metrics, spreads and status in one row, from the counts."""
-    groups = counts.select("*", *_rates(zero_division))
-    confusion = ("n", "selected", "tp", "fp", "fn", "tn")
-    flat = groups.agg(
-        F.count(F.lit(1)).alias("n_groups"),
-        *[total(c).alias(c) for c in confusion],
-        *[total(c).alias(c) for c in ("unknown_labels", "zero_labels", "minus_labels")],
-        *[(F.max(m) - F.min(m)).alias(f"{m}_difference") for m in METRICS],
-    )
-    mixed = (F.col("zero_labels") > 0) & (F.col("minus_labels") > 0)
-    error = F.when(F.col("n") == 0, F.lit(_NO_ROWS)).when(
-        (F.col("unknown_labels") > 0) | mixed, F.lit(_BAD_LABELS)
-    )
-    flat = flat.withColumn("error_message", error)
-    ok = F.col("error_message").isNull()
-    spreads = [f"{m}_difference" for m in METRICS]
-    tpr, fpr = F.col("true_positive_rate_difference"), F.col("false_positive_rate_difference")
+    rates = _rates(zero_division)
+    sums = ("n", "selected", "tp", "fp", "fn", "tn", "unknown_labels", "zero_labels", "minus_labels")
     # greatest() skips nulls, an undefined spread must not be skipped
-    worst = F.when(tpr.isNotNull() & fpr.isNotNull(), F.greatest(tpr, fpr))
-    flat = flat.select(
-        "n_groups",
-        F.col("n").alias("n_rows"),
-        "error_message",
-        *[F.when(ok, m).alias(name) for m, name in zip(_rates(zero_division), METRICS, strict=True)],
-        *[F.when(ok, F.col(s)).alias(s) for s in spreads],
-        F.when(ok, worst).alias("equalized_odds_difference"),
-    )
-    return flat.withColumn(
-        "bias_check_status",
-        eo_status(F.col("equalized_odds_difference"), F.col("error_message").isNotNull(), threshold),
+    worst = """CASE WHEN true_positive_rate_difference IS NOT NULL AND false_positive_rate_difference IS NOT NULL
+        THEN greatest(true_positive_rate_difference, false_positive_rate_difference) END"""
+    return (
+        counts.selectExpr("*", *_named(rates))
+        .agg(*exprs([
+            "count(1) AS n_groups",
+            *[f"{total(c)} AS {c}" for c in sums],
+            *[f"max(`{m}`) - min(`{m}`) AS {s}" for m, s in zip(METRICS, _SPREADS, strict=True)],
+        ]))
+        .selectExpr(
+            "*",
+            f"""CASE WHEN n = 0 THEN {text(_NO_ROWS)}
+            WHEN unknown_labels > 0 OR (zero_labels > 0 AND minus_labels > 0) THEN {text(_BAD_LABELS)}
+            END AS error_message""",
+        )
+        .selectExpr(
+            "n_groups",
+            "n AS n_rows",
+            "error_message",
+            *[f"CASE WHEN error_message IS NULL THEN {v} END AS `{m}`" for m, v in rates.items()],
+            *[f"CASE WHEN error_message IS NULL THEN {s} END AS {s}" for s in _SPREADS],
+            f"CASE WHEN error_message IS NULL THEN {worst} END AS equalized_odds_difference",
+        )
+        .selectExpr(
+            "*",
+            eo_status("equalized_odds_difference", "error_message IS NOT NULL", threshold)
+            + " AS bias_check_status",
+        )
     )
 
 
@@ -143,22 +152,22 @@ def equalized_odds_report(
 ) -> DataFrame:
     """The equalized odds check as one document row, group labels kept."""
     counts = _confusion(df, sensitive, target, prediction).persist()
-    groups = counts.select(*cols(sensitive), *_rates(zero_division))
-    record = F.struct(*cols(sensitive), *cols(METRICS))
-    ok = F.col("error_message").isNull()
-    spread = F.struct(*[F.col(f"{m}_difference").alias(m) for m in METRICS])
-    overall = F.struct(*cols(METRICS), F.col("equalized_odds_difference"))
-    listed = F.when(ok, inline_groups(groups, sensitive, record))
-    return odds_summary(counts, threshold, zero_division).select(
-        F.lit("Classification Bias Check (Equalized Odds)").alias("check_type"),
-        F.lit(input_data).cast("string").alias("input_data"),
-        F.array(*[F.lit(s) for s in sensitive]).alias("sensitive_features_used"),
-        F.lit(target).alias("target_column"),
-        F.lit(prediction).alias("prediction_column"),
-        if_inline(F.col("n_groups"), listed).alias("metrics_by_group"),
-        F.struct(F.when(ok, spread).alias("difference")).alias("disparity_metrics"),
+    groups = counts.selectExpr(*quotes(sensitive), *_named(_rates(zero_division)))
+    metrics = ", ".join(quotes(METRICS))
+    listed = inline_groups(groups, sensitive, f"struct({', '.join(quotes(sensitive))}, {metrics})")
+    spread = ", ".join(f"{s} AS `{m}`" for m, s in zip(METRICS, _SPREADS, strict=True))
+    source = "CAST(NULL AS string)" if input_data is None else text(input_data)
+    ok = "error_message IS NULL"
+    return odds_summary(counts, threshold, zero_division).withColumn("__listed", listed).selectExpr(
+        "'Classification Bias Check (Equalized Odds)' AS check_type",
+        f"{source} AS input_data",
+        f"{names_array(sensitive)} AS sensitive_features_used",
+        f"{text(target)} AS target_column",
+        f"{text(prediction)} AS prediction_column",
+        f"CASE WHEN {ok} AND {inline_limit()} THEN __listed END AS metrics_by_group",
+        f"struct(CASE WHEN {ok} THEN struct({spread}) END AS difference) AS disparity_metrics",
         "bias_check_status",
         "error_message",
-        F.when(ok, overall).alias("overall_metrics"),
+        f"CASE WHEN {ok} THEN struct({metrics}, equalized_odds_difference) END AS overall_metrics",
         "n_groups",
     )

@@ -5,31 +5,31 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from evenkeel.functions.columns import (
-    as_number, cols, dtype, group_label, is_one, keep_free, present, ratio, total,
+    as_number, cols, double, dtype, exprs, group_label, is_one, keep_free, names_array, present,
+    ratio, text, total,
 )
 from evenkeel.functions.status import dp_status
 from evenkeel.operators.clean import drop_missing
-from evenkeel.operators.contingency import contingency, if_inline, inline_groups, recount
+from evenkeel.operators.contingency import contingency, inline_groups, inline_limit, recount
 from evenkeel.operators.impact import positive_rate_by_group
 from evenkeel.spec import DP_THRESHOLD
 
+_RATE = ratio("positives", "n")
+
 
 def selection_rate_by_group(df: DataFrame, sensitive: Sequence[str], target: str) -> DataFrame:
     """Share of rows whose target equals 1, per group. Rows with a missing
     target or group are left out."""
     counts = contingency(drop_missing(df, [target, *sensitive]), sensitive, target)
-    return counts.withColumn("selection_rate", ratio(F.col("positives"), F.col("n")))
+    return counts.selectExpr("*", f"{_RATE} AS selection_rate")
 
 
 def overall_selection_rate(df: DataFrame, sensitive: Sequence[str], target: str) -> DataFrame:
     """The same share over all rows, added up from the groups."""
     counts = contingency(drop_missing(df, [target, *sensitive]), sensitive, target)
-    return recount(counts).withColumn(
-        "overall_selection_rate", ratio(F.col("positives"), F.col("n"))
-    )
+    return recount(counts).selectExpr("*", f"{_RATE} AS overall_selection_rate")
 
 
 def selection_rate_rollup(df: DataFrame, sensitive: Sequence[str], target: str) -> DataFrame:
@@ -37,47 +37,42 @@ def selection_rate_rollup(df: DataFrame, sensitive: Sequence[str], target: str)
     that are summed over are null."""
     kept = drop_missing(df, [target, *sensitive])
     keep_free(sensitive, ["n", "positives", "selection_rate"])
-    return (
-        kept.rollup(*cols(sensitive))
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_one(kept, target)).alias("positives"))
-        .withColumn("selection_rate", ratio(F.col("positives"), F.col("n")))
-    )
+    counts = exprs(["count(1) AS n", f"count_if({is_one(kept, target)}) AS positives"])
+    return kept.rollup(*cols(sensitive)).agg(*counts).selectExpr("*", f"{_RATE} AS selection_rate")
 
 
 def _parity_groups(df: DataFrame, sensitive: Sequence[str], target: str) -> DataFrame:
     value = present(df, target)
-    extra = [F.min(value).alias("lowest"), F.max(value).alias("highest")]
+    extra = [f"min({value}) AS lowest", f"max({value}) AS highest"]
     counts = contingency(drop_missing(df, [target, *sensitive]), sensitive, target, extra=extra)
-    return counts.withColumn("selection_rate", ratio(F.col("positives"), F.col("n")))
+    return counts.selectExpr("*", f"{_RATE} AS selection_rate")
 
 
 def parity_summary(groups: DataFrame, threshold: float) -> DataFrame:
     """One row from the table per group. A target with a single value has no
     measurable gap: difference 0, and its mean as the overall rate."""
-    constant = F.col("lowest") == F.col("highest")
-    only_value = as_number(F.col("highest"), dtype(groups, "highest"))
-    flat = groups.agg(
-        total("n").alias("n_rows"),
-        F.count(F.lit(1)).alias("n_groups"),
-        total("positives").alias("positives"),
-        F.min("selection_rate").alias("min_rate"),
-        F.max("selection_rate").alias("max_rate"),
-        F.min("lowest").alias("lowest"),
-        F.max("highest").alias("highest"),
-    )
-    flat = flat.withColumn("target_is_constant", F.coalesce(constant, F.lit(True)))
-    pooled = ratio(F.col("positives"), F.col("n_rows"))
-    gap = F.coalesce(F.col("max_rate") - F.col("min_rate"), F.lit(0.0))
-    return flat.select(
-        "n_rows",
-        "n_groups",
-        "target_is_constant",
-        F.when(F.col("target_is_constant"), only_value).otherwise(pooled).alias("overall_selection_rate"),
-        F.when(F.col("target_is_constant"), F.lit(0.0)).otherwise(gap).alias("demographic_parity_difference"),
-        F.lit(float(threshold)).alias("bias_threshold_used"),
-    ).withColumn(
-        "bias_check_status",
-        dp_status(F.col("demographic_parity_difference"), F.col("n_rows"), threshold),
+    only_value = as_number("highest", dtype(groups, "highest"))
+    return (
+        groups.agg(*exprs([
+            f"{total('n')} AS n_rows",
+            "count(1) AS n_groups",
+            f"{total('positives')} AS positives",
+            "coalesce(max(selection_rate) - min(selection_rate), 0D) AS gap",
+            "coalesce(min(lowest) = max(highest), true) AS target_is_constant",
+            "max(highest) AS highest",
+        ]))
+        .selectExpr(
+            "n_rows",
+            "n_groups",
+            "target_is_constant",
+            f"CASE WHEN target_is_constant THEN {only_value} ELSE {ratio('positives', 'n_rows')} END"
+            " AS overall_selection_rate",
+            "CASE WHEN target_is_constant THEN 0D ELSE gap END AS demographic_parity_difference",
+            f"{double(threshold)} AS bias_threshold_used",
+        )
+        .selectExpr(
+            "*", f"{dp_status('demographic_parity_difference', 'n_rows', threshold)} AS bias_check_status"
+        )
     )
 
 
@@ -93,38 +88,38 @@ def demographic_parity_report(
 ) -> DataFrame:
     """The parity check as one document row, rates by group included."""
     groups = _parity_groups(df, sensitive, target).persist()
-    entry = F.struct(group_label(sensitive).alias("key"), F.col("selection_rate").alias("value"))
-    listed = F.when(F.col("target_is_constant"), F.expr("cast(map() as map<string, double>)")).otherwise(
-        F.map_from_entries(inline_groups(groups, sensitive, entry))
-    )
-    return parity_summary(groups, threshold).select(
-        if_inline(F.col("n_groups"), listed).alias("selection_rate_by_group"),
+    entry = f"struct({group_label(sensitive)} AS key, selection_rate AS value)"
+    listed = inline_groups(groups, sensitive, entry)
+    return parity_summary(groups, threshold).withColumn("__listed", listed).selectExpr(
+        f"CASE WHEN target_is_constant THEN CAST(map() AS map<string, double>)"
+        f" WHEN {inline_limit()} THEN map_from_entries(__listed) END AS selection_rate_by_group",
         "overall_selection_rate",
         "demographic_parity_difference",
         "bias_threshold_used",
         "bias_check_status",
-        F.array(*[F.lit(s) for s in sensitive]).alias("sensitive_features"),
-        F.lit(target).alias("target_column"),
-        F.lit("Demographic Parity").alias("check_type"),
+        f"{names_array(sensitive)} AS sensitive_features",
+        f"{text(target)} AS target_column",
+        "'Demographic Parity' AS check_type",
         "n_rows",
         "n_groups",
     )
 
 
+def _rate_gap(groups: DataFrame, threshold: float) -> DataFrame:
+    return groups.agg(*exprs([
+        f"{total('count')} AS n_rows",
+        "count(1) AS n_groups",
+        "coalesce(max(positive_rate) - min(positive_rate), 0D) AS positive_rate_difference",
+    ])).selectExpr(
+        "*", f"{dp_status('positive_rate_difference', 'n_rows', threshold)} AS bias_check_status"
+    )
+
+
 def positive_rate_difference(
     df: DataFrame, sensitive: Sequence[str], target: str, threshold: float = DP_THRESHOLD
 ) -> DataFrame:
     """The gap between group means of the target (the older parity report)."""
-    groups = positive_rate_by_group(df, sensitive, target)
-    gap = F.max("positive_rate") - F.min("positive_rate")
-    return groups.agg(
-        total("count").alias("n_rows"),
-        F.count(F.lit(1)).alias("n_groups"),
-        F.coalesce(gap, F.lit(0.0)).alias("positive_rate_difference"),
-    ).withColumn(
-        "bias_check_status",
-        dp_status(F.col("positive_rate_difference"), F.col("n_rows"), threshold),
-    )
+    return _rate_gap(positive_rate_by_group(df, sensitive, target), threshold)
 
 
 def positive_rate_report(
@@ -132,21 +127,14 @@ def positive_rate_report(
 ) -> DataFrame:
     """The older report shape: rate and count by group, gap, status."""
     groups = positive_rate_by_group(df, sensitive, target).persist()
-    entry = F.struct(
-        group_label(sensitive).alias("key"),
-        F.struct("positive_rate", "count").alias("value"),
-    )
-    gap = F.coalesce(F.max("positive_rate") - F.min("positive_rate"), F.lit(0.0))
-    flat = groups.agg(
-        total("count").alias("n_rows"), F.count(F.lit(1)).alias("n_groups"), gap.alias("gap")
-    )
-    listed = F.map_from_entries(inline_groups(groups, sensitive, entry))
-    return flat.select(
-        if_inline(F.col("n_groups"), listed).alias("group_statistics"),
-        F.array(*[F.lit(s) for s in sensitive]).alias("sensitive_features"),
-        F.lit(target).alias("target_column"),
-        F.col("gap").alias("positive_rate_difference"),
-        dp_status(F.col("gap"), F.col("n_rows"), threshold).alias("bias_check_status"),
+    entry = f"struct({group_label(sensitive)} AS key, struct(positive_rate, `count`) AS value)"
+    listed = inline_groups(groups, sensitive, entry)
+    return _rate_gap(groups, threshold).withColumn("__listed", listed).selectExpr(
+        f"CASE WHEN {inline_limit()} THEN map_from_entries(__listed) END AS group_statistics",
+        f"{names_array(sensitive)} AS sensitive_features",
+        f"{text(target)} AS target_column",
+        "positive_rate_difference",
+        "bias_check_status",
     )
 
 

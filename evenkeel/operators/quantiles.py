@@ -66,7 +66,7 @@ def exact_medians(
     ``extra`` aggregates are computed in the first pass and returned in its
     row, next to ``n_<i>``, the number of values of the i-th column.
     """
-    values = {i: number(df, c) for i, c in enumerate(columns)}
+    values = {i: F.expr(number(df, c)) for i, c in enumerate(columns)}
     # twice the sketch's error to each side of the middle
     around = [0.5 - 2 / SKETCH, 0.5 + 2 / SKETCH]
     first = df.agg(

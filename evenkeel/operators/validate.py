@@ -7,27 +7,30 @@ row-level checks are single aggregates: one row per task is shuffled.
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.functions.columns import col, number, present, ratio
+from evenkeel.functions.columns import (
+    all_present, col, double, exprs, number, present, quote, quotes, ratio, text,
+)
 from evenkeel.spec import NULL_THRESHOLD, DatasetSpec, EmptyInputError, ValidationError
 
 
-def _rows(columns: Sequence[str], fields: Sequence[str], flat: DataFrame) -> DataFrame:
-    """Turn one aggregate row with ``field_i`` columns into a row per column."""
+def _per_column(
+    df: DataFrame, columns: Sequence[str], name: str, aggregate: Callable[[str], str]
+) -> DataFrame:
+    """One row per column, with the row count and one aggregate called
+    ``name``, from a single pass over the table."""
+    counts = [f"{aggregate(c)} AS a{i}" for i, c in enumerate(columns)]
     structs = [
-        F.struct(
-            F.lit(i + 1).alias("position"),
-            F.lit(name).alias("column"),
-            *[F.col(f"{f}_{i}").alias(f) for f in fields],
-        )
-        for i, name in enumerate(columns)
+        f"struct({i + 1} AS position, {text(c)} AS `column`, a{i} AS {name})" for i, c in enumerate(columns)
     ]
-    return flat.select("n_rows", F.explode(F.array(*structs)).alias("r")).select("n_rows", "r.*")
+    flat = df.agg(*exprs(["count(1) AS n_rows", *counts]))
+    listed = f"CAST(array({', '.join(structs)}) AS array<struct<position: int, `column`: string, {name}: bigint>>)"
+    return flat.selectExpr("n_rows", f"inline({listed})")
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
@@ -71,18 +74,11 @@ def null_ratio(df: DataFrame, columns: Sequence[str], threshold: float = NULL_TH
     The ratio of an empty table is 0.
     """
     require_columns(df, columns)
-    flat = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(present(df, c).isNull()).alias(f"n_null_{i}") for i, c in enumerate(columns)],
-    )
-    share = ratio(F.col("n_null"), F.col("n_rows"), zero=0.0)
-    return (
-        _rows(columns, ["n_null"], flat)
-        .withColumn("null_ratio", share)
-        .withColumn("threshold", F.lit(float(threshold)))
-        .withColumn("passed", F.col("null_ratio") <= F.col("threshold"))
-        .drop("position")
-    )
+    rows = _per_column(df, columns, "n_null", lambda c: f"count_if(({present(df, c)}) IS NULL)")
+    return rows.selectExpr(
+        "n_rows", "`column`", "n_null", f"{ratio('n_null', 'n_rows', zero=0.0)} AS null_ratio",
+        f"{double(threshold)} AS threshold",
+    ).selectExpr("*", "null_ratio <= threshold AS passed")
 
 
 def require_null_ratio(df: DataFrame, column: str, threshold: float = NULL_THRESHOLD) -> float:
@@ -98,26 +94,16 @@ def encoding_suspects(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     """Rows per text column that hold U+FFFD, the mark of a wrong decoding."""
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    flat = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(col(c).contains("�")).alias(f"n_suspect_{i}") for i, c in enumerate(columns)],
-    )
-    return _rows(columns, ["n_suspect"], flat).drop("position")
+    rows = _per_column(df, columns, "n_suspect", lambda c: f"count_if(contains({quote(c)}, '\ufffd'))")
+    return rows.drop("position")
 
 
 def profile(df: DataFrame) -> DataFrame:
     """Shape and columns: one row per column with its type and filled cells."""
-    flat = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count(present(df, c)).alias(f"n_present_{i}") for i, c in enumerate(df.columns)],
-    )
-    kinds = F.create_map(
-        *[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())]
-    )
-    return (
-        _rows(df.columns, ["n_present"], flat)
-        .withColumn("n_columns", F.lit(len(df.columns)))
-        .withColumn("type", kinds[F.col("column")])
+    rows = _per_column(df, df.columns, "n_present", lambda c: f"count({present(df, c)})")
+    kinds = ", ".join(f"{text(f.name)}, {text(f.dataType.simpleString())}" for f in df.schema.fields)
+    return rows.selectExpr(
+        "*", f"{len(df.columns)} AS n_columns", f"element_at(map({kinds}), `column`) AS type"
     )
 
 
@@ -142,27 +128,26 @@ def distinct_preview(df: DataFrame, columns: Sequence[str], limit: int = 10) ->
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """Count and share of each non-null value."""
     counts = (
-        df.filter(present(df, column).isNotNull())
+        df.filter(all_present(df, [column]))
         .groupBy(col(column).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(1) AS n"))
         .persist()
     )
     everything = counts.agg(F.sum("n")).scalar()
-    return counts.withColumn("share", ratio(F.col("n"), everything))
+    return counts.withColumn("__all", everything).selectExpr(
+        "value", "n", f"{ratio('n', '__all')} AS share"
+    )
 
 
-def not_binary(df: DataFrame, column: str) -> Column:
-    """True where the value is not 0 or 1; null is neither."""
-    return ~F.coalesce(number(df, column).isin(0.0, 1.0), F.lit(False))
+def not_binary(df: DataFrame, column: str) -> str:
+    """SQL text: the value is not 0 or 1; null is neither."""
+    return f"NOT coalesce(({number(df, column)}) IN (0D, 1D), false)"
 
 
 def binary_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per column whose value is not 0 or 1; null is a violation."""
-    flat = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(not_binary(df, c)).alias(f"n_violations_{i}") for i, c in enumerate(columns)],
-    )
-    return _rows(columns, ["n_violations"], flat).drop("position")
+    rows = _per_column(df, columns, "n_violations", lambda c: f"count_if({not_binary(df, c)})")
+    return rows.drop("position")
 
 
 def check_binary(df: DataFrame, columns: Sequence[str], on_violation: str = "warn") -> int:
@@ -179,18 +164,16 @@ def check_binary(df: DataFrame, columns: Sequence[str], on_violation: str = "war
 def group_cardinality(df: DataFrame, sensitive: Sequence[str]) -> DataFrame:
     """Number of groups with a one-word verdict: ``too_few`` (below two),
     ``ok`` (two) or ``many`` (more than two). Null keys are no group."""
-    keyed = df.select(*[present(df, c).alias(c) for c in sensitive]).na.drop()
-    n = F.col("n_groups")
-    return (
-        keyed.distinct()
-        .agg(F.count(F.lit(1)).alias("n_groups"))
-        .withColumn("verdict", F.when(n < 2, "too_few").when(n == 2, "ok").otherwise("many"))
+    keyed = df.filter(all_present(df, sensitive)).selectExpr(*quotes(sensitive))
+    return keyed.distinct().agg(F.expr("count(1) AS n_groups")).selectExpr(
+        "n_groups",
+        "CASE WHEN n_groups < 2 THEN 'too_few' WHEN n_groups = 2 THEN 'ok' ELSE 'many' END AS verdict",
     )
 
 
 def target_is_constant(df: DataFrame, target: str) -> bool:
     value = present(df, target)
-    row = df.agg((F.min(value) == F.max(value)).alias("same"), F.count(value).alias("n")).first()
+    row = df.agg(*exprs([f"min({value}) = max({value}) AS same", f"count({value}) AS n"])).first()
     return row["n"] == 0 or bool(row["same"])
 
 
