@@ -325,6 +325,13 @@ def q_binarize(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("l_linestatus", "discounted").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT c_acctbal, c_name, c_mktsegment, c_nationkey FROM customer")
+def q_assign_roles(spark: SparkSession, sf: str) -> DataFrame:
+    """Drop the key, infer the roles, order the columns by role."""
+    rows = ek.drop_if_present(_table(spark, sf, "customer"), ["c_custkey", "not_there"])
+    return ek.assign_roles(rows, ek.infer_roles(rows, "c_nationkey", ["c_mktsegment"]))
+
+
 # --- feature transforms
 
 

@@ -6,6 +6,7 @@ a single call.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 from evenkeel.spec import ValidationError
 
 # Text that counts as a number. Java would also take "1d", "2f" and hex floats.
-_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?))\s*$"
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?))\s*$"
 
 
 def quote(name: str) -> str:
@@ -34,7 +35,8 @@ def text(value: str) -> str:
 
 def double(value: float) -> str:
     """A SQL double literal."""
-    return f"{float(value)!r}D"
+    x = float(value)
+    return f"{x!r}D" if math.isfinite(x) else f"CAST('{x!r}' AS double)"
 
 
 def exprs(texts: Iterable[str]) -> list[Column]:
@@ -82,7 +84,7 @@ def all_present(df: DataFrame, names: Sequence[str]) -> str:
 def as_number(c: str, kind: T.DataType) -> str:
     """``c`` as double; text that is no number and NaN become null."""
     if is_text(kind):
-        return f"CASE WHEN {c} RLIKE r'{_NUMBER}' THEN try_cast(trim({c}) AS double) END"
+        return f"CASE WHEN {c} RLIKE r'{NUMBER}' THEN try_cast(trim({c}) AS double) END"
     if isinstance(kind, T.BooleanType):
         return f"CAST(CAST({c} AS int) AS double)"
     if is_fractional(kind):

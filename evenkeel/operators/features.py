@@ -9,10 +9,12 @@ from collections import Counter
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import col, cols, dtype, exprs, is_number, number, present
+from evenkeel.functions.columns import (
+    double, dtype, exprs, is_number, number, present, quote, quotes, text,
+)
 from evenkeel.operators.quantiles import exact_medians
 from evenkeel.operators.validate import require_columns
 from evenkeel.spec import ColumnRoles, ValidationError
@@ -53,36 +55,36 @@ class FittedPreprocessor:
     def wide(self) -> list[str]:
         return [c for c, v in self.categories.items() if len(v) > self.dense_categories]
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Numeric block, one-hot block, remainder, sensitive, target.
 
         One projection, except for columns with very many categories.
+        ``keep`` names columns, such as a key, that count as remainder even
+        where the remainder is dropped.
         """
         require_columns(df, self.roles.essential)
         df, vectors = _sparse_columns(df, {c: self.categories[c] for c in self.wide})
-        out: list[tuple[str, Column]] = []
+        out: list[tuple[str, str]] = []
         for c in self.roles.numeric:
             if c not in self.dropped:
                 out.append((c, self._numeric(df, c)))
         for c in self.roles.categorical:
             if c in vectors:
-                out.append((f"{c}_onehot", col(vectors[c])))
+                out.append((f"{c}_onehot", vectors[c]))
             else:
                 out += _dummies(df, c, self.categories[c])
         listed = {self.roles.target, *self.roles.sensitive, *self.roles.numeric, *self.roles.categorical}
-        if self.remainder == "passthrough":
-            skip = listed | set(vectors.values())
-            out += [(c, col(c)) for c in df.columns if c not in skip]
-        out += [(c, col(c)) for c in (*self.roles.sensitive, self.roles.target)]
+        skip = listed | set(vectors.values())
+        rest = df.columns if self.remainder == "passthrough" else keep
+        out += [(c, quote(c)) for c in rest if c not in skip]
+        out += [(c, quote(c)) for c in (*self.roles.sensitive, self.roles.target)]
         _check_names(df, [name for name, _ in out])
-        return df.select(*[value.alias(name) for name, value in out])
+        return df.selectExpr(*[f"{value} AS {quote(name)}" for name, value in out])
 
-    def _numeric(self, df: DataFrame, name: str) -> Column:
-        value = F.expr(number(df, name))
-        if self.medians.get(name) is not None:
-            value = F.coalesce(value, F.lit(float(self.medians[name])))
+    def _numeric(self, df: DataFrame, name: str) -> str:
+        value = _imputed(df, name, self.medians.get(name))
         if name in self.means:
-            value = (value - F.lit(self.means[name])) / F.lit(self.deviations[name])
+            value = f"({value} - {double(self.means[name])}) / {double(self.deviations[name])}"
         return value
 
 
@@ -111,7 +113,7 @@ def fit_preprocessor(
         value = number(df, c)
         extra += exprs([f"avg({value}) AS avg_{i}", f"var_pop({value}) AS var_{i}"])
     extra += [
-        F.approx_count_distinct(_category(df, c)).alias(f"width_{i}")
+        F.expr(f"approx_count_distinct({_category(df, c)}) AS width_{i}")
         for i, c in enumerate(roles.categorical)
     ]
     medians, stats = exact_medians(df, roles.numeric, extra)
@@ -154,8 +156,13 @@ def _check_widths(widths: dict[str, int]) -> None:
             raise ValidationError(f"{c!r} has about {width} categories; group them first")
 
 
-def _category(df: DataFrame, name: str) -> Column:
-    return F.expr(f"CAST({present(df, name)} AS string)")
+def _imputed(df: DataFrame, name: str, median: float | None) -> str:
+    value = number(df, name)
+    return value if median is None else f"coalesce({value}, {double(median)})"
+
+
+def _category(df: DataFrame, name: str) -> str:
+    return f"CAST({present(df, name)} AS string)"
 
 
 def _categories(df: DataFrame, names: Sequence[str]) -> dict[str, list[str | None]]:
@@ -164,7 +171,7 @@ def _categories(df: DataFrame, names: Sequence[str]) -> dict[str, list[str | Non
     if not names:
         return {}
     pairs = F.array(*[
-        F.struct(F.lit(i).alias("i"), _category(df, c).alias("v")) for i, c in enumerate(names)
+        F.expr(f"struct({i} AS i, {_category(df, c)} AS v)") for i, c in enumerate(names)
     ])
     # callers have bounded the number of rows that arrive here with a sketch
     rows = df.select(F.explode(pairs).alias("p")).select("p.*").distinct().collect()
@@ -178,13 +185,13 @@ def _categories(df: DataFrame, names: Sequence[str]) -> dict[str, list[str | Non
     return found
 
 
-def _dummies(df: DataFrame, name: str, values: Sequence[str | None]) -> list[tuple[str, Column]]:
-    text = _category(df, name)
+def _dummies(df: DataFrame, name: str, values: Sequence[str | None]) -> list[tuple[str, str]]:
+    """Names and SQL texts of the 0/1 columns of one categorical column."""
+    value = _category(df, name)
     out = []
     for v in values:
-        hit = text.isNull() if v is None else text == F.lit(v)
-        label = MISSING_NAME if v is None else v
-        out.append((f"{name}_{label}", F.when(hit, 1.0).otherwise(0.0)))
+        hit = f"({value}) IS NULL" if v is None else f"{value} = {text(v)}"
+        out.append((f"{name}_{MISSING_NAME if v is None else v}", f"CASE WHEN {hit} THEN 1D ELSE 0D END"))
     return out
 
 
@@ -198,14 +205,14 @@ def _sparse_columns(
 
     vectors = {}
     for i, (c, values) in enumerate(wide.items()):
-        text, index, vector = f"__text{i}", f"__index{i}", f"__vector{i}"
+        value, index, vector = f"__value{i}", f"__index{i}", f"__vector{i}"
         labels = [MISSING_NAME if v is None else v for v in values]
-        df = df.withColumn(text, F.coalesce(_category(df, c), F.lit(MISSING_NAME)))
-        indexer = StringIndexerModel.from_labels(labels, text, index, handleInvalid="keep")
+        df = df.withColumn(value, F.expr(f"coalesce({_category(df, c)}, {text(MISSING_NAME)})"))
+        indexer = StringIndexerModel.from_labels(labels, value, index, handleInvalid="keep")
         # the last index is the one for unseen values, and dropLast drops it
         df = indexer.transform(df)
         encoder = OneHotEncoder(inputCol=index, outputCol=vector, dropLast=True)
-        df = encoder.fit(df).transform(df).drop(text, index)
+        df = encoder.fit(df).transform(df).drop(value, index)
         vectors[c] = vector
     return df, vectors
 
@@ -222,10 +229,7 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill missing values with the exact median of the column."""
     require_columns(df, columns)
     medians, _ = exact_medians(df, columns)
-    for c, m in medians.items():
-        value = F.expr(number(df, c))
-        df = df.withColumn(c, value if m is None else F.coalesce(value, F.lit(float(m))))
-    return df
+    return df.withColumns({c: F.expr(_imputed(df, c, m)) for c, m in medians.items()})
 
 
 def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -235,20 +239,21 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         *exprs(f"avg({number(df, c)}) AS avg_{i}" for i, c in enumerate(columns)),
         *exprs(f"stddev_pop({number(df, c)}) AS dev_{i}" for i, c in enumerate(columns)),
     ).first()
-    for i, c in enumerate(columns):
-        if stats[f"avg_{i}"] is not None:
-            value = (F.expr(number(df, c)) - F.lit(stats[f"avg_{i}"])) / F.lit(stats[f"dev_{i}"] or 1.0)
-            df = df.withColumn(c, value)
-    return df
+    scaled = {
+        c: f"({number(df, c)} - {double(stats[f'avg_{i}'])}) / {double(stats[f'dev_{i}'] or 1.0)}"
+        for i, c in enumerate(columns)
+        if stats[f"avg_{i}"] is not None
+    }
+    return df.withColumns({c: F.expr(value) for c, value in scaled.items()})
 
 
 def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace each column by one 0/1 column per category."""
     require_columns(df, columns)
-    widths = df.agg(*[F.approx_count_distinct(_category(df, c)).alias(f"w{i}") for i, c in enumerate(columns)])
-    _check_widths(dict(zip(columns, widths.first(), strict=True)))
+    widths = exprs(f"approx_count_distinct({_category(df, c)}) AS w{i}" for i, c in enumerate(columns))
+    _check_widths(dict(zip(columns, df.agg(*widths).first(), strict=True)))
     categories = _categories(df, columns)
-    rest = cols(c for c in df.columns if c not in set(columns))
+    rest = [c for c in df.columns if c not in set(columns)]
     blocks = [pair for c in columns for pair in _dummies(df, c, categories[c])]
-    _check_names(df, [c for c in df.columns if c not in set(columns)] + [n for n, _ in blocks])
-    return df.select(*rest, *[value.alias(name) for name, value in blocks])
+    _check_names(df, rest + [n for n, _ in blocks])
+    return df.selectExpr(*quotes(rest), *[f"{value} AS {quote(name)}" for name, value in blocks])

@@ -11,7 +11,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from evenkeel.functions.columns import cols
+from evenkeel.functions.hashing import key_text
 from evenkeel.functions.status import ERROR, PASSED
 from evenkeel.operators.clean import drop_if_present, infer_roles, recode
 from evenkeel.operators.features import FittedPreprocessor, fit_preprocessor
@@ -19,7 +22,7 @@ from evenkeel.operators.mitigate import oversample
 from evenkeel.operators.model import TrainedModel, predict, train_regressor
 from evenkeel.operators.odds import equalized_odds_report
 from evenkeel.operators.parity import demographic_parity_report
-from evenkeel.operators.sampling import Splits, cap_rows, keyed, train_val_test_split
+from evenkeel.operators.sampling import Splits, cap_rows, train_val_test_split, with_copy_numbers
 from evenkeel.operators.validate import validate
 from evenkeel.sources.shared import materialize
 from evenkeel.spec import ColumnRoles, DatasetSpec, ValidationError
@@ -27,6 +30,9 @@ from evenkeel.spec import ColumnRoles, DatasetSpec, ValidationError
 # Most rows kept of each split when splits are capped.
 SPLIT_CAPS = {"train": 5000, "val": 2000, "test": 2000}
 
+_ROW = "__row"
+_DRAW = "draw_no"
+
 
 @dataclass(frozen=True)
 class ParityResult:
@@ -75,56 +81,70 @@ def prepare(
     df, roles = _clean(df, spec)
     if fitted is None:
         fitted = fit_preprocessor(df, roles, spec.remainder, spec.scale)
-    return fitted.transform(df), fitted
+    return fitted.transform(df, keep=spec.key), fitted
+
+
+def _identified(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, list[str], list[str]]:
+    """The table, a key for its rows, and helper columns to drop at the end.
+
+    Without a key, the raw row and its copy number are hashed into one short
+    column, so that later steps need not look at whole rows again.
+    """
+    if spec.key:
+        return df, list(spec.key), []
+    numbered = with_copy_numbers(df, "__copy_no")
+    row = F.md5(key_text(numbered.columns, prefixed=True))
+    return numbered.select(*cols(df.columns), row.alias(_ROW)), [_ROW], [_ROW]
 
 
-def _prepared(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
-    if spec.key and spec.remainder == "drop":
-        raise ValidationError("a table with a key must pass its other columns through")
+def _prepared(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """Column report, prepared table, its key, helper columns."""
     checks = validate(df, spec)
-    encoded, _ = prepare(df, spec)
-    return checks, materialize(encoded, "prepared")
+    table, roles = _clean(df, spec)
+    table, key, helpers = _identified(table, spec)
+    fitted = fit_preprocessor(table, roles, spec.remainder, spec.scale)
+    return checks, materialize(fitted.transform(table, keep=key), "prepared"), key, helpers
 
 
 def _split(
-    df: DataFrame, spec: DatasetSpec, key: list[str], capped: bool, extra: tuple[str, ...] = ()
+    df: DataFrame, spec: DatasetSpec, key: list[str], helpers: list[str], capped: bool
 ) -> Splits:
-    """Split, cap on request, and drop helper and ``extra`` columns."""
-    table, names, helpers = keyed(df, key)
-    splits = train_val_test_split(table, names, spec.test_size, spec.val_size, spec.seed)
+    """Split, cap on request, and drop helper columns."""
+    splits = train_val_test_split(df, key, spec.test_size, spec.val_size, spec.seed)
     parts, sizes = dict(splits.items()), dict(splits.sizes)
     if capped:
         for name, most in SPLIT_CAPS.items():
-            parts[name] = cap_rows(parts[name], most, names, spec.seed + 1)
+            parts[name] = cap_rows(parts[name], most, key, spec.seed + 1)
             sizes[name] = min(sizes[name], most)
-    return Splits(**{n: drop_if_present(f, [*helpers, *extra]) for n, f in parts.items()}, sizes=sizes)
+    return Splits(**{n: drop_if_present(f, helpers) for n, f in parts.items()}, sizes=sizes)
 
 
 def parity_flow(df: DataFrame, spec: DatasetSpec, capped: bool = False) -> ParityResult:
     """Validate, prepare, check demographic parity, split. A warning does
     not stop the split."""
-    checks, processed = _prepared(df, spec)
-    report = demographic_parity_report(processed, spec.sensitive, spec.target, spec.dp_threshold)
-    return ParityResult(checks, processed, report, _split(processed, spec, list(spec.key), capped))
+    checks, table, key, helpers = _prepared(df, spec)
+    report = demographic_parity_report(table, spec.sensitive, spec.target, spec.dp_threshold)
+    splits = _split(table, spec, key, helpers, capped)
+    return ParityResult(checks, drop_if_present(table, helpers), report, splits)
 
 
 def mitigation_flow(df: DataFrame, spec: DatasetSpec, capped: bool = False) -> MitigationResult:
     """As ``parity_flow``; a table that does not pass is rebalanced and
     checked again before it is split."""
-    checks, processed = _prepared(df, spec)
-    report = demographic_parity_report(processed, spec.sensitive, spec.target, spec.dp_threshold)
+    checks, table, key, helpers = _prepared(df, spec)
+    processed = drop_if_present(table, helpers)
+    report = demographic_parity_report(table, spec.sensitive, spec.target, spec.dp_threshold)
     status = report.select("bias_check_status").first()[0]
     if status == ERROR:
         raise ValidationError("the parity check failed: no rows with a target and a group")
     if status == PASSED:
-        splits = _split(processed, spec, list(spec.key), capped)
+        splits = _split(table, spec, key, helpers, capped)
         return MitigationResult(checks, processed, report, False, processed, report, splits)
-    drawn = oversample(processed, spec.sensitive, spec.target, spec.key, spec.seed)
+    drawn = oversample(table, spec.sensitive, spec.target, key, spec.seed, out=_DRAW)
     balanced = materialize(drawn, "balanced")
     final = demographic_parity_report(balanced, spec.sensitive, spec.target, spec.dp_threshold)
-    key = [*spec.key, "draw_no"] if spec.key else balanced.columns
-    helpers = ("draw_no",) if spec.key else ("draw_no", "copy_no")
-    splits = _split(balanced, spec, key, capped, helpers)
+    helpers = [*helpers, _DRAW]
+    splits = _split(balanced, spec, [*key, _DRAW], helpers, capped)
     balanced = drop_if_present(balanced, helpers)
     return MitigationResult(checks, processed, report, True, balanced, final, splits)
 
@@ -145,16 +165,17 @@ def odds_flow(
     ``fit_on="train"`` splits first and learns medians and categories from
     the training rows only, so that nothing leaks from the test rows.
     """
-    if fit_on == "train":
+    if fit_on == "all":
+        checks, table, key, helpers = _prepared(df, spec)
+        splits = _split(table, spec, key, helpers, capped)
+    elif fit_on == "train":
         checks = validate(df, spec)
-        raw = _split(materialize(df, "raw"), spec, list(spec.key), capped)
-        train, fitted = prepare(raw.train, spec)
-        parts = {"train": train}
-        parts |= {n: prepare(f, spec, fitted)[0] for n, f in raw.items() if n != "train"}
+        table, roles = _clean(df, spec)
+        table, key, helpers = _identified(table, spec)
+        raw = _split(materialize(table, "raw"), spec, key, helpers, capped)
+        fitted = fit_preprocessor(raw.train, roles, spec.remainder, spec.scale)
+        parts = {n: fitted.transform(f, keep=spec.key) for n, f in raw.items()}
         splits = Splits(**parts, sizes=raw.sizes)
-    elif fit_on == "all":
-        checks, processed = _prepared(df, spec)
-        splits = _split(processed, spec, list(spec.key), capped)
     else:
         raise ValidationError(f"fit_on must be all or train, not {fit_on!r}")
     model = train_regressor(

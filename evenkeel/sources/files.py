@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.functions.columns import _NUMBER, col
+from evenkeel.functions.columns import NUMBER, exprs, quote, quotes, text
 from evenkeel.sources.shared import materialize
 from evenkeel.spec import EmptyInputError, ValidationError
 
@@ -61,48 +60,54 @@ def read_csv(
     else from one pass over the text. ``multiline`` allows line breaks inside
     quotes, at the price of files that cannot be read in parallel parts.
     """
+    na_values = tuple(na_values)
     options = _csv_options(sep, encoding, multiline)
     names = _header(spark, path, options)
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    cells = T.StructType([T.StructField(n, T.StringType()) for n in names])
     # enforceSchema=False makes Spark compare the header of every file
-    raw = spark.read.schema(text).options(**options, enforceSchema=False).csv(path)
-    missing = list(na_values)
-    raw = raw.select(*[F.when(~col(n).isin(missing), col(n)).alias(n) for n in names])
+    raw = spark.read.schema(cells).options(**options, enforceSchema=False).csv(path)
+    raw = raw.selectExpr(*[f"{_filled(n, na_values)} AS {quote(n)}" for n in names])
     if schema is None:
         schema = infer_types(raw)
     else:
         absent = [f.name for f in schema.fields if f.name not in names]
         if absent:
             raise ValidationError(f"missing columns {absent}; found {names}")
-    return raw.select(
-        *[
-            col(f.name).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else F.trim(col(f.name)).try_cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    return raw.selectExpr(*[f"{_typed(quote(f.name), f.dataType)} AS {quote(f.name)}" for f in schema.fields])
+
+
+def _filled(name: str, na_values: Iterable[str]) -> str:
+    """SQL text: the cell, or null where its text means "missing"."""
+    c = quote(name)
+    if not na_values:
+        return c
+    return f"CASE WHEN {c} NOT IN ({', '.join(text(v) for v in na_values)}) THEN {c} END"
+
+
+def _typed(value: str, kind: T.DataType) -> str:
+    if isinstance(kind, T.StringType):
+        return value
+    return f"try_cast(trim({value}) AS {kind.simpleString()})"
 
 
 def infer_types(df: DataFrame) -> T.StructType:
     """Types of text columns, from one aggregate over the table."""
     checks = []
-    for i, name in enumerate(df.columns):
-        c = col(name)
+    for i, c in enumerate(quotes(df.columns)):
+        truths = ", ".join(text(t) for t in TRUTHS)
         checks += [
-            F.count(c).alias(f"n{i}"),
-            F.count(F.trim(c).try_cast("bigint")).alias(f"i{i}"),
-            F.count_if(c.rlike(_NUMBER)).alias(f"f{i}"),
-            F.count_if(c.rlike(r"^\s*[+-]?\d+\s*$")).alias(f"d{i}"),
-            F.count_if(c.isin(*TRUTHS)).alias(f"b{i}"),
+            f"count({c}) AS n{i}",
+            f"count_if({c} RLIKE r'^\\s*[+-]?\\d+\\s*$' AND try_cast(trim({c}) AS bigint) IS NOT NULL) AS i{i}",
+            f"count_if({c} RLIKE r'{NUMBER}') AS f{i}",
+            f"count_if({c} IN ({truths})) AS b{i}",
         ]
-    seen = df.agg(*checks).first()
+    seen = df.agg(*exprs(checks)).first()
     fields = []
     for i, name in enumerate(df.columns):
         n = seen[f"n{i}"]
         if n == 0:
             kind = T.DoubleType()
-        elif seen[f"i{i}"] == n and seen[f"d{i}"] == n:
+        elif seen[f"i{i}"] == n:
             kind = T.LongType()
         elif seen[f"f{i}"] == n:
             kind = T.DoubleType()
@@ -129,31 +134,30 @@ def malformed_rows(
     The lines found are written to the shared folder first: Spark answers no
     query on a CSV file that needs the raw line alone.
     """
+    na_values = tuple(na_values)
     names = [f.name for f in schema.fields]
     wide = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
     options = _csv_options(sep, encoding, False)
     parsed = spark.read.schema(wide).options(**options, columnNameOfCorruptRecord=_CORRUPT).csv(path)
-    missing = list(na_values)
     misfits = []
     for f in schema.fields:
         if not isinstance(f.dataType, T.StringType):
-            cell = F.when(~col(f.name).isin(missing), F.trim(col(f.name)))
-            misfit = cell.isNotNull() & cell.try_cast(f.dataType).isNull()
-            misfits.append(F.when(misfit, F.lit(f.name)))
-    bad = F.array_compact(F.array(*misfits)) if misfits else F.array().cast("array<string>")
-    wrong_shape = col(_CORRUPT).isNotNull()
-    found = parsed.withColumn("__bad", bad).filter(wrong_shape | (F.size("__bad") > 0))
+            cell = _filled(f.name, na_values)
+            misfit = f"({cell}) IS NOT NULL AND {_typed(cell, f.dataType)} IS NULL"
+            misfits.append(f"CASE WHEN {misfit} THEN {text(f.name)} END")
+    bad = f"array_compact(CAST(array({', '.join(misfits)}) AS array<string>))"
+    found = parsed.selectExpr("*", f"{bad} AS __bad").filter(f"{_CORRUPT} IS NOT NULL OR size(__bad) > 0")
     found = materialize(found, "malformed")
-    bare = F.regexp_replace(col(_CORRUPT), '"([^"]|"")*"', "")
-    cells = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
-    expected = len(names)
-    whole = F.to_csv(F.struct(*[col(n) for n in names]), {"sep": sep})
-    return found.select(
-        F.when(wrong_shape & (cells > expected), "long").when(wrong_shape, "short").otherwise("value").alias("kind"),
-        F.coalesce(cells, F.lit(expected)).alias("n_cells"),
-        F.lit(expected).alias("n_expected"),
-        F.when(~wrong_shape, F.col("__bad")).alias("bad_columns"),
-        F.coalesce(col(_CORRUPT), whole).alias("line"),
+    bare = f"""regexp_replace({_CORRUPT}, r'"([^"]|"")*"', '')"""
+    cells = f"length({bare}) - length(replace({bare}, {text(sep)}, '')) + 1"
+    whole = f"to_csv(struct({', '.join(quotes(names))}), map('sep', {text(sep)}))"
+    return found.selectExpr("*", f"coalesce({cells}, {len(names)}) AS n_cells").selectExpr(
+        f"""CASE WHEN {_CORRUPT} IS NULL THEN 'value' WHEN n_cells > {len(names)} THEN 'long'
+        ELSE 'short' END AS kind""",
+        "n_cells",
+        f"{len(names)} AS n_expected",
+        f"CASE WHEN {_CORRUPT} IS NULL THEN __bad END AS bad_columns",
+        f"coalesce({_CORRUPT}, {whole}) AS line",
     )
 
 

@@ -145,3 +145,9 @@ def test_text_is_not_numeric(people):
         ek.fit_preprocessor(people, ek.ColumnRoles("y", ("g",), ("c",)))
     with pytest.raises(ek.ValidationError):
         ek.fit_preprocessor(people, ROLES, remainder="keep")
+
+
+def test_infinite_values(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("inf"),), (1.0,), (None,)], "x double")
+    assert ek.exact_medians(df, ["x"])[0] == {"x": float("inf")}
+    assert [r[0] for r in ek.impute_median(df, ["x"]).collect()][-1] == float("inf")

@@ -98,3 +98,10 @@ def test_report_keeps_nulls(spark, tmp_path):
     ek.write_report(report, str(tmp_path / "r"))
     (part,) = (tmp_path / "r").glob("part-*.json")
     assert json.loads(part.read_text()) == {"a": None, "b": 1}
+
+
+def test_other_missing_tokens(spark, tmp_path):
+    path = write(tmp_path, "a,b\n-,NA\n1,it's\n")
+    df = ek.read_csv(spark, path, na_values=["-"])
+    assert [tuple(r) for r in df.collect()] == [(None, "NA"), (1, "it's")]
+    assert dict(ek.read_csv(spark, path, na_values=[]).dtypes) == {"a": "string", "b": "string"}
