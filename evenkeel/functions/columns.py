@@ -96,13 +96,17 @@ def number(df: DataFrame, name: str) -> str:
     return as_number(quote(name), dtype(df, name))
 
 
-def is_one(df: DataFrame, name: str) -> str:
-    """True where the label equals 1, false otherwise (also for null)."""
+def equals_one(df: DataFrame, name: str) -> str:
+    """Condition that the label equals 1, in a form that scans can filter by."""
     kind = dtype(df, name)
     if isinstance(kind, T.BooleanType):
-        return f"coalesce({quote(name)}, false)"
-    value = quote(name) if is_number(kind) else number(df, name)
-    return f"coalesce({value} = 1, false)"
+        return quote(name)
+    return f"{quote(name)} = 1" if is_number(kind) else f"{number(df, name)} = 1"
+
+
+def is_one(df: DataFrame, name: str) -> str:
+    """True where the label equals 1, false otherwise (also for null)."""
+    return f"coalesce({equals_one(df, name)}, false)"
 
 
 def ratio(part: str, whole: str, zero: float | None = None) -> str:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import col, cols, double, exprs, is_one, quotes, ratio
+from evenkeel.functions.columns import col, cols, double, equals_one, exprs, quotes, ratio
 from evenkeel.functions.hashing import hash60, key_text
 from evenkeel.operators.clean import drop_missing
 from evenkeel.operators.contingency import contingency
@@ -115,7 +115,7 @@ def oversample(
         F.count(F.lit(1)).alias("__m")
     )
 
-    pool = df.filter(is_one(df, target))
+    pool = df.filter(equals_one(df, target))
     if found["short"] <= BROADCAST_GROUPS:
         member = [col(s) == F.col(g) for s, g in zip(sensitive, groups, strict=True)]
         pool = pool.join(F.broadcast(needed.select(*groups)), member, "left_semi")

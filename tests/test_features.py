@@ -30,17 +30,17 @@ def draw(kind, n, rng):
     return [rng.gauss(0, 1) for _ in range(n)]
 
 
-@pytest.mark.parametrize("kind", ["gauss", "heavy", "hot", "two", "wide"])
 @pytest.mark.parametrize("n", [1000, 1001])
-def test_median_search(spark, monkeypatch, kind, n):
+def test_median_search(spark, monkeypatch, n):
     """The narrowing search, forced on small data by a small sort limit."""
     monkeypatch.setattr(quantiles, "SORT_ROWS", 10)
-    monkeypatch.setattr(quantiles, "RANGES", 16)
-    rng = random.Random(f"{kind}{n}")
-    xs, ys = draw(kind, n, rng), draw("gauss", n, rng)
-    df = spark.createDataFrame(list(zip(xs, ys)), "x double, y double").repartition(5)
-    found, _ = ek.exact_medians(df, ["x", "y"])
-    assert found == {"x": statistics.median(xs), "y": statistics.median(ys)}
+    monkeypatch.setattr(quantiles, "RANGES", 64)
+    kinds = ["gauss", "heavy", "hot", "two", "wide"]
+    data = {k: draw(k, n, random.Random(f"{k}{n}")) for k in kinds}
+    schema = ", ".join(f"{k} double" for k in kinds)
+    df = spark.createDataFrame(list(zip(*data.values())), schema).repartition(5)
+    found, _ = ek.exact_medians(df, kinds)
+    assert found == {k: statistics.median(xs) for k, xs in data.items()}
 
 
 def test_medians_without_values(spark):
