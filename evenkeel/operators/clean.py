@@ -6,6 +6,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,11 +111,12 @@ def binarize(df: DataFrame, score: str, out: str, threshold: float = LABEL_THRES
 
 
 def numeric_features(df: DataFrame, target: str, exclude: Sequence[str] = ()) -> list[str]:
-    """Number and boolean columns other than the target."""
+    """Number, boolean and vector columns other than the target."""
     skip = {target, *exclude}
     names = [
         f.name for f in df.schema.fields
-        if f.name not in skip and (is_number(f.dataType) or isinstance(f.dataType, T.BooleanType))
+        if f.name not in skip
+        and (is_number(f.dataType) or isinstance(f.dataType, (T.BooleanType, VectorUDT)))
     ]
     if not names:
         raise ValidationError("no numeric feature columns to train on")

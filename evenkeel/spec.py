@@ -81,7 +81,7 @@ class DatasetSpec:
     def required(self) -> list[str]:
         listed = list(self.mandatory) or [self.target, *self.sensitive]
         essential = self.roles.essential if self.roles else []
-        return list(dict.fromkeys([*listed, *essential]))
+        return list(dict.fromkeys([*listed, *essential, *self.key]))
 
 
 # Layouts of the three known kinds of input table.
