@@ -8,6 +8,7 @@ count only (a model is trained in them).
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,18 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_demographic_parity(spark, "/root/testdata/sf0.001")
 
 
+def _register(module: str) -> None:
+    """Add the queries of a module that may have been left out of an installation."""
+    try:
+        found = import_module(module)
+    except ModuleNotFoundError as e:
+        if e.name != module and not module.startswith(f"{e.name}."):
+            raise
+    else:
+        _QUERIES.update(found.QUERIES)
+        _SQL.update(found.SQL)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
@@ -822,3 +835,7 @@ def q_odds_audit(spark: SparkSession, sf: str) -> DataFrame:
         F.col("overall_metrics.equalized_odds_difference").alias("equalized_odds_difference"),
         "bias_check_status",
     ).select("g.*", "equalized_odds_difference", "bias_check_status")
+
+
+for _optional in ("evenkeel.llm.queries", "corpus_pipeline"):
+    _register(_optional)
