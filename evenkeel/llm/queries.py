@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from evenkeel.llm.bpe import encode, read_ranks
 from evenkeel.llm.decontaminate import decontaminate
 from evenkeel.llm.jaccard import jaccard_join
+from evenkeel.llm.language import fit_language, identify, training_rows
+from evenkeel.llm.texts import fold
+from evenkeel.llm.token_counts import edited_counts
+from evenkeel.llm.toxicity import fit_toxicity, score_toxicity, training_sample
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +36,59 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# --- 4: language
+
+
+@query()
+def op4_language(spark: SparkSession, sf: str) -> DataFrame:
+    """Languages of all documents, learned from four folds of five."""
+    docs = _table(spark, sf, "documents")
+    held_out = (fold("doc_id", 5) == 0).alias("held_out")
+    return identify(
+        docs.select("doc_id", "text", held_out), fit_language(training_rows(docs)), carry=("doc_id", "held_out"))
+
+
+# --- 6: byte-level BPE
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+@query()
+def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of all documents, and the bytes they decode to."""
+    ranks = read_ranks(public_tokenizers.path(VOCABULARY))
+    return encode(_table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN, digests=True)
+
+
+# --- 8: token counts
+
+
+def with_edits(docs: DataFrame) -> DataFrame:
+    """Three edits of every document: its id put in after a third, forty
+    characters from the middle in upper case, the last tenth gone."""
+    n, number = F.length("text"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    middle = F.floor(n / 2).cast("int")
+    third = F.floor(n / 3).cast("int")
+    longer = n + F.length(number) + 2
+    kept = F.floor(longer * 0.9).cast("int")
+
+    def one(at, remove, insert):
+        return F.struct(at.alias("at"), remove.alias("remove"), insert.alias("insert"))
+
+    return docs.withColumn("edits", F.array(
+        one(third, F.lit(0), F.concat(F.lit(" "), number, F.lit(" "))),
+        one(middle, F.lit(40), F.upper(F.substring("text", middle + 1, F.lit(40)))),
+        one(kept, longer - kept, F.lit(""))))
+
+
+@query()
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of all documents before and after edits."""
+    ranks = read_ranks(public_tokenizers.path(VOCABULARY))
+    docs = with_edits(_table(spark, sf, "documents").select("doc_id", "text"))
+    return edited_counts(docs, ranks, public_tokenizers.PATTERN)
+
+
 # --- 7: n-gram Jaccard join
 
 _TOKENS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
@@ -80,3 +140,15 @@ FROM d LEFT JOIN spots USING (doc_id) LEFT JOIN found USING (doc_id)""")
 def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Words of documents inside passages of benchmark items."""
     return decontaminate(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+# --- 10: toxicity
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of all documents, learned from labels of four folds of five."""
+    docs = _table(spark, sf, "documents")
+    weights, intercept = fit_toxicity(training_sample(docs, _table(spark, sf, "labels")))
+    held_out = (fold("doc_id", 5) == 0).alias("held_out")
+    return score_toxicity(docs.select("doc_id", "text", held_out), weights, intercept, carry=("doc_id", "held_out"))

@@ -180,3 +180,56 @@ class Shared:
         if not hasattr(self.sent, "loaded"):
             self.sent.loaded = cloudpickle.loads(self.sent.value)
         return self.sent.loaded
+
+
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of texts as numbers, and where each text begins."""
+    total = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=total[1:])
+    return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32), total[offsets]
+
+
+_folded: np.ndarray | None = None
+
+
+def letters(data: np.ndarray, offsets: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts as lower-case letters with one space for each run of anything
+    else, after ``pad`` spaces and before one; and where each text begins."""
+    global _folded
+    if _folded is None:
+        table = np.full(0x110000, 32, np.uint32)
+        for c in range(0x110000):
+            if (s := chr(c)).isalpha():
+                table[c] = ord(s.lower()[0])
+        _folded = table
+    points, at = code_points(data, offsets)
+    chars = _folded[points]
+    n = len(at) - 1
+    blank = chars == 32
+    keep = np.ones(len(chars), bool)
+    keep[1:] = ~(blank[1:] & blank[:-1])
+    head = at[:-1][at[:-1] < at[1:]]
+    keep[head] = ~blank[head]  # a text starts after its padding
+    last = at[1:][at[:-1] < at[1:]] - 1
+    keep[last] &= ~blank[last]
+    kept = np.zeros(len(chars) + 1, np.int64)
+    np.cumsum(keep, out=kept[1:])
+    size = kept[at[1:]] - kept[at[:-1]]
+    begin = np.zeros(n + 1, np.int64)
+    np.cumsum(size + pad + 1, out=begin[1:])
+    out = np.full(begin[-1], 32, np.uint32)
+    out[spans(begin[:-1] + pad, size)] = chars[keep]
+    return out, begin
+
+
+def grams(chars: np.ndarray, order: int) -> np.ndarray:
+    """Hashes of the ``order`` characters that end at each place from the
+    ``order``-th on."""
+    n = len(chars) - order + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    h = np.full(n, order, np.uint64)
+    for j in range(order):
+        h *= _M
+        h += chars[j: n + j]
+    return mixed(h)
