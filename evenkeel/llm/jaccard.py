@@ -10,16 +10,17 @@ The choice weighs the rows of the lists against the pairs they can yield at
 most, from exact list lengths. A pair uses the smaller l of the two.
 
 Large groups of near copies would still make all pairs. So each class first
-proposes one hub, the class of the longest lists among those that it shares a
-prefix shingle with, and verified classes of a hub form a cluster. Within
-clusters, links are counted by matrix tiles that return one number per class.
-Prefix lists then only make pairs between different clusters. No link is lost:
-each pair lies either inside a cluster or between two.
+proposes one hub, the class with the most and longest lists for its size among
+those that it shares enough prefix shingles with, and classes that proposals connect form a block.
+Within blocks, pairs are verified by matrix tiles that return one row per class:
+its number of links, and the class that leads its part of the tile. Prefix lists
+then only make pairs between different blocks. No link is lost: each pair lies
+either inside a block or between two.
 
 The order needs no exact frequencies, any order finds the same links. Shingles
-count as frequent if more than ``frequent`` classes hold them among their first
-ones in hash order; at most ``order_size`` of them, the most frequent, are
-broadcast (8 bytes each).
+count as frequent if more than ``frequent`` documents hold them among their
+first ones; at most ``order_size`` of them, the most frequent, are broadcast (9
+bytes each).
 
 Shingles are 64-bit hashes, and equal hashes count as equal shingles or sets.
 """
@@ -38,11 +39,11 @@ from evenkeel.llm.texts import NOT_BLANK, Shared, blocks, map_batches, mixed, pi
 from evenkeel.sources.shared import materialize
 
 SIZE, SIMILAR = 4, 85
-FREQUENT, ORDER_SIZE = 32, 1 << 20
-MOST_MATCHES, LOOK_AHEAD = 4, 1.5
+FREQUENT, ORDER_SIZE = 8, 1 << 20
+MOST_MATCHES = 4
 #: Cost of verifying a pair, in rows of a list.
 VERIFY_COST = 20
-TILE = 256
+TILE = 512
 BITMAP = 1 << 26
 
 
@@ -74,45 +75,88 @@ def _least_overlap(n: int, similar: int) -> int:
     return -(-similar * n // 100)
 
 
-def _frequent(docs: DataFrame, size: int, similar: int, frequent: int, most: int) -> np.ndarray:
-    """Shingles that many documents hold among their first in hash order."""
+class _Order:
+    """The global order: frequent shingles by the bits of their counts, after
+    all others; within a level by hash."""
 
-    def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for _, sets in _sets(batches, size):
-            parts = [s[: int(LOOK_AHEAD * (len(s) - _least_overlap(len(s), similar) + MOST_MATCHES)) + 1]
-                     for s in sets]
-            token, n = np.unique(np.concatenate(parts), return_counts=True)
-            yield {"token": token.view(np.int64), "n": n.astype(np.int32)}
-
-    counts = map_batches(docs.select("text"), first_ones, "token long, n int")
-    often = materialize(counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > frequent), "often")
-    bound = frequent
-    while (kept := often.where(F.col("n") > bound)).count() > most:
-        bound *= 2
-    rows = kept.toPandas()
-    return np.sort(rows["token"].to_numpy(np.int64, copy=True).view(np.uint64))
-
-
-def _prefixes(docs: DataFrame, size: int, similar: int, often: np.ndarray) -> DataFrame:
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
+        by = np.argsort(tokens)
+        self.tokens, self.levels = tokens[by], np.log2(counts[by]).astype(np.uint8)
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[self.tokens >> np.uint64(44)] = True
+
+    def levels_of(self, s: np.ndarray) -> np.ndarray | None:
+        """The level of each shingle, 0 for those that are not frequent."""
+        maybe = np.flatnonzero(self.seen[s >> np.uint64(44)])
+        if not len(maybe):
+            return None
+        at = np.minimum(np.searchsorted(self.tokens, s[maybe]), len(self.tokens) - 1)
+        same = self.tokens[at] == s[maybe]
+        if not same.any():
+            return None
+        out = np.zeros(len(s), np.uint8)
+        out[maybe[same]] = self.levels[at[same]]
+        return out
+
+
+def _longest_prefix(n: int, similar: int) -> int:
+    return n - _least_overlap(n, similar) + MOST_MATCHES
+
+
+def _frequent(docs: DataFrame, size: int, similar: int, frequent: int, most: int) -> _Order:
+    """Shingles that many documents hold among the first ones.
+
+    The first pass counts what would be prefixes in hash order. Where frequent
+    shingles stand in one, rarer ones will take their place: a second pass
+    counts as many further shingles of those documents as will move up, judged
+    by the share of frequent ones so far.
+    """
+
+    def counted(shared: Shared | None) -> Iterator:
+        def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+            for _, sets in _sets(batches, size):
+                parts = [np.zeros(0, np.uint64)]
+                for s in sets:
+                    w = _longest_prefix(len(s), similar)
+                    if shared is None:
+                        parts.append(s[:w])
+                    elif (level := shared.value.levels_of(s[:w])) is not None:
+                        rare = np.mean(level == 0)
+                        end = len(s) if rare < 0.2 else int(1.3 * w / rare) + 8
+                        parts.append(s[w:end])
+                token, n = np.unique(np.concatenate(parts), return_counts=True)
+                yield {"token": token.view(np.int64), "n": n.astype(np.int32)}
+
+        rows = map_batches(docs.select("text"), first_ones, "token long, n int")
+        return materialize(rows.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > frequent), "often")
+
+    def order(often: DataFrame) -> _Order:
+        bound = frequent
+        while (kept := often.where(F.col("n") > bound)).count() > most:
+            bound *= 2
+        rows = kept.groupBy("token").agg(F.max("n").alias("n")).toPandas()
+        return _Order(rows["token"].to_numpy(np.int64, copy=True).view(np.uint64), rows["n"].to_numpy(np.int64))
+
+    often = counted(None)
+    first = order(often)
+    if not len(first.tokens):
+        return first
+    return order(often.unionByName(counted(Shared(docs.sparkSession, first))))
+
+
+def _prefixes(docs: DataFrame, size: int, similar: int, order: _Order) -> DataFrame:
     """Per document its set's name and size and the longest prefix it may use."""
-    shared = Shared(docs.sparkSession, often)
+    shared = Shared(docs.sparkSession, order)
 
     def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        late = shared.value
-        seen = np.zeros(1 << 20, bool)
-        seen[late >> np.uint64(44)] = True
         for batch, sets in _sets(batches, size):
             out, names = [], []
             for s in sets:
                 names.append(_name(s))
-                take = len(s) - _least_overlap(len(s), similar) + MOST_MATCHES
-                maybe = np.flatnonzero(seen[s >> np.uint64(44)])
-                if len(maybe):
-                    at = np.minimum(np.searchsorted(late, s[maybe]), len(late) - 1)
-                    last = np.zeros(len(s), bool)
-                    last[maybe[late[at] == s[maybe]]] = True
-                    s = np.concatenate([s[~last], s[last]])
-                out.append(s[:take])
+                level = shared.value.levels_of(s)
+                if level is not None:
+                    s = s[np.argsort(level, kind="stable")]
+                out.append(s[: _longest_prefix(len(s), similar)])
             yield {
                 "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
                 "class": np.array(names, np.int64), "n": np.array([len(s) for s in sets], np.int64),
@@ -132,20 +176,17 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     spot = F.pmod(F.col("text_hash"), F.lit(BITMAP)) + 1  # positions are numbered from 1
     bits = wanted.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")).collect()
-    table = np.zeros(BITMAP, bool)
+    table = np.zeros(BITMAP // 8, np.uint8)
     for r in bits:
-        part = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8), bitorder="little")
-        low = (r["bucket"] - 1) * len(part)
-        table[low: low + len(part)] = part
-    shared = Shared(docs.sparkSession, np.packbits(table))
+        part = np.frombuffer(bytes(r["bits"]), np.uint8)
+        table[(r["bucket"] - 1) * len(part):][: len(part)] = part
+    shared = Shared(docs.sparkSession, table)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        bitmap = np.unpackbits(shared.value).astype(bool)
-
         def some() -> Iterator[pa.RecordBatch]:
             for b in batches:
                 at = np.mod(b.column("text_hash").to_numpy(zero_copy_only=False), BITMAP)
-                yield b.filter(pa.array(bitmap[at]))
+                yield b.filter(pa.array((shared.value[at >> 3] >> (at & 7) & 1).astype(bool)))
 
         for batch, sets in _sets(some(), size):
             yield {
@@ -174,8 +215,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     return both.where(_enough(common, F.col("na"), F.col("nb"), similar)).drop("ta", "tb")
 
 
-def _filtered(matches: DataFrame, similar: int) -> DataFrame:
-    """Pairs (a, b) with enough shared prefix shingles, from one row per match."""
+def _filtered(matches: DataFrame, similar: int, dense: bool = False) -> DataFrame:
+    """Pairs (a, b) with enough shared prefix shingles, from one row per match.
+
+    With ``dense`` also pairs that share a quarter of the shorter prefix: where
+    they stand in a crowd, a tile settles them at less cost than lists do.
+    """
     need = F.least("la", "lb")
     grouped = matches.where(
         (100 * F.least("na", "nb") >= similar * F.greatest("na", "nb"))
@@ -184,23 +229,28 @@ def _filtered(matches: DataFrame, similar: int) -> DataFrame:
         F.count("*").alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
     # all shared shingles up to the last match are counted; after it no more fit than are left
     most = F.col("shared") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    kept = grouped.where((F.col("shared") >= F.col("need")) & _enough(most, F.col("na"), F.col("nb"), similar))
-    return kept.select("a", "b", "na", "nb")
+    fits = (F.col("shared") >= F.col("need")) & _enough(most, F.col("na"), F.col("nb"), similar)
+    if dense:
+        fewer = F.least("na", "nb")
+        fits |= 4 * F.col("shared") >= fewer - F.ceil(similar * fewer / F.lit(100)) + F.col("need")
+    kept = grouped.where(fits)
+    return kept.select("a", "b", "na", "nb", "shared")
 
 
 def _inner_links(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """Links within clusters, per class weighted by copies: (class, links).
+    """Links within blocks: (class, links, leader), a row per class and tile.
 
-    ``members``: (cluster, class, copies). The pairs of a cluster are cut into
+    ``members``: (block, class, copies). The pairs of a block are cut into
     tiles of some TILE x TILE classes; a class goes to as many tiles as the
-    cluster has parts. A tile returns one number per class.
+    block has parts. ``links`` counts linked documents, ``leader`` is the
+    smallest class that links of the tile reach.
     """
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("g")).where("g > 1")
+    sizes = members.groupBy("block").agg(F.count("*").alias("g")).where("g > 1")
     parts = F.ceil(F.col("g") / TILE).cast("int")
-    placed = members.join(sizes, "cluster").withColumn("parts", parts).withColumn(
+    placed = members.join(sizes, "block").withColumn("parts", parts).withColumn(
         "own", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "copies")
+        "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "copies")
     rows = dealt.join(sets, "class")
 
     def count(table: pa.Table) -> pa.Table:
@@ -234,10 +284,15 @@ def _inner_links(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame
         links[a] += near @ copies[b]
         if i != j:
             links[b] += copies[a] @ near
-        return pa.table({"class": name, "links": links})
+        leader, before = name.copy(), None
+        far = np.iinfo(np.int64).max
+        while before is None or (leader != before).any():
+            before = leader.copy()
+            leader[a] = np.minimum(leader[a], np.where(near, leader[b][None, :], far).min(1, initial=far))
+            leader[b] = np.minimum(leader[b], np.where(near, leader[a][:, None], far).min(0, initial=far))
+        return pa.table({"class": name, "links": links, "leader": leader})
 
-    found = rows.groupBy("cluster", "i", "j").applyInArrow(count, "class long, links long")
-    return found.groupBy("class").agg(F.sum("links").alias("links"))
+    return rows.groupBy("block", "i", "j").applyInArrow(count, "class long, links long, leader long")
 
 
 def jaccard_join(
@@ -258,8 +313,8 @@ def jaccard_join(
     """
     docs = pick(docs, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    often = _frequent(docs, size, similar, frequent, order_size)
-    found = materialize(_prefixes(docs, size, similar, often), "prefixes")
+    order = _frequent(docs, size, similar, frequent, order_size)
+    found = materialize(_prefixes(docs, size, similar, order), "prefixes")
     classes = found.where("n > 0").groupBy("class", "n").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("one"), F.count("*").alias("copies"))
     # one copy of each class gives the prefix, so that copies are not counted in the lists
@@ -277,59 +332,58 @@ def jaccard_join(
     costs = F.array_sort(F.array(*[
         F.struct((r * (1 + VERIFY_COST / k)).alias("cost"), F.lit(k).cast("long").alias("k"))
         for k, r in enumerate(rows, 1)]))
-    chosen = tokens.groupBy("class").agg(costs[0]["k"].alias("l"), F.avg("df").alias("rank"))
+    chosen = tokens.groupBy("class").agg(costs[0]["k"].alias("l"), (F.sum("df") / F.any_value("n")).alias("rank"))
     overlap = F.col("n") - slack
     tokens = tokens.join(chosen, "class").withColumn("l", F.least("l", overlap)).where("v <= l")
     tokens = materialize(tokens, "lists")
 
-    # hubs: the class of the longest lists, per list
+    # blocks: each class proposes the class of the longest lists, per list
     side = ["class", "n", "p", "v", "l"]
     best = tokens.groupBy("token").agg(F.max(F.struct("rank", *side)).alias("hub"))
-    names = {"class": "{}", "n": "n{}", "p": "p{}", "v": "v{}", "l": "l{}"}
-    near_a = [F.col(c).alias(names[c].format("a")) for c in side]
+
+    def named(end: str, prefix: str = "") -> list[Column]:
+        return [F.col(prefix + c).alias(end if c == "class" else c + end) for c in side]
+
     proposed = tokens.join(best, "token").where(F.col("class") != F.col("hub.class")).select(
-        *near_a, *[F.col(f"hub.{c}").alias(names[c].format("b")) for c in side])
-    proposed = materialize(_filtered(proposed, similar), "hubs")
+        *named("a"), *named("b", "hub."))
+    chosen = _filtered(proposed, similar, dense=True).groupBy("a").agg(
+        F.max_by("b", F.struct("shared", "b")).alias("b"))
+    hubs = materialize(chosen, "hubs")
+    blocks_of = materialize(components(hubs).withColumnRenamed("component", "block"), "blocks")
     rep = classes.select("class", "doc_id", "text_hash")
 
-    def sets_for(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-        return materialize(_sets_of(docs, materialize(rep.join(ids, "class"), "wanted"), size), "sets")
-
-    sets = sets_for(proposed)
-    hubs = materialize(_verified(proposed, sets, similar).groupBy("a").agg(F.min("b").alias("hub")), "hubs")
-    # a class without a hub is a cluster of its own, or with those that chose it
-    cluster = F.coalesce("hub", "class")
-    members = classes.join(hubs, classes["class"] == hubs["a"], "left").select(
-        cluster.alias("cluster"), "class", "n", "copies")
-    members = materialize(members, "members")
-    inner = _inner_links(members.select("cluster", "class", "copies"), sets, similar)
-
-    # lists make pairs between clusters only
-    placed = materialize(tokens.join(members.select("class", "cluster"), "class"), "placed")
-    groups = placed.select("token", "cluster").distinct()
-    other = groups.select("token", F.col("cluster").alias("other"))
-    meets = groups.join(other, "token").where("cluster < other")
-    a = placed.select("token", "cluster", *near_a)
-    b = placed.select("token", F.col("cluster").alias("other"), *[F.col(c).alias(names[c].format("b")) for c in side])
-    between = a.join(meets, ["token", "cluster"]).join(b, ["token", "other"])
+    def sets_for(ids: DataFrame) -> DataFrame:
+        return materialize(_sets_of(docs, materialize(rep.join(ids.distinct(), "class"), "wanted"), size), "sets")
+
+    members = blocks_of.withColumnRenamed("node", "class").join(classes.select("class", "copies"), "class")
+    inner = materialize(_inner_links(
+        members.select("block", "class", "copies"), sets_for(members.select("class")), similar), "inner")
+
+    # lists make pairs between blocks only; a class outside is a block of its own
+    placed = tokens.join(blocks_of, tokens["class"] == blocks_of["node"], "left").withColumn(
+        "block", F.coalesce("block", "class"))
+    placed = materialize(placed.select("token", "block", *side), "placed")
+    groups = placed.select("token", "block").distinct()
+    meets = groups.join(groups.select("token", F.col("block").alias("other")), "token").where("block < other")
+    a = placed.select("token", "block", *named("a"))
+    b = placed.select("token", F.col("block").alias("other"), *named("b"))
+    between = a.join(meets, ["token", "block"]).join(b, ["token", "other"])
     between = materialize(_filtered(between, similar), "between")
-    outer = materialize(_verified(between, sets_for(between), similar), "outer")
-
-    # components of clusters, then of documents
-    at = members.select("class", "cluster")
-    links = outer.join(at.toDF("a", "ca"), "a").join(at.toDF("b", "cb"), "b").select(
-        F.col("ca").alias("a"), F.col("cb").alias("b"))
-    joined = components(links)
-    weight = classes.select("class", "copies")
-    ends = outer.select("a", "b").union(outer.select("b", "a"))
-    far = ends.join(weight.toDF("b", "w"), "b").groupBy(F.col("a").alias("class")).agg(F.sum("w").alias("far"))
-    labelled = members.join(joined, members["cluster"] == joined["node"], "left").withColumn(
-        "part", F.coalesce("component", "cluster")).join(inner, "class", "left").join(far, "class", "left")
-    whole = labelled.join(classes.select("class", "doc_id"), "class")
+    ends = between.select(F.col("a").alias("class")).union(between.select("b"))
+    outer = materialize(_verified(between, sets_for(ends), similar).select("a", "b"), "outer")
+
+    # components of classes, then of documents
+    led = inner.where("leader <> class").select(F.col("class").alias("a"), F.col("leader").alias("b"))
+    joined = components(outer.unionByName(led))
+    weight = classes.select(F.col("class").alias("b"), F.col("copies").alias("links"))
+    far = outer.unionByName(outer.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(weight, "b")
+    links = far.select(F.col("a").alias("class"), "links").unionByName(inner.select("class", "links"))
+    links = links.groupBy("class").agg(F.sum("links").alias("links"))
+    whole = classes.join(joined, classes["class"] == joined["node"], "left").withColumn(
+        "part", F.coalesce("component", "class")).join(links, "class", "left")
     smallest = whole.groupBy("part").agg(F.min("doc_id").alias("least"))
     facts = whole.join(smallest, "part").select(
-        "class", "least", (F.coalesce("links", F.lit(0)) + F.coalesce("far", F.lit(0)) + F.col("copies") - 1).alias("links"))
+        "class", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     filled = found.select("doc_id", "class", "n").where("n > 0").join(facts, "class").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"),
         F.col("class").alias("class_id"), F.col("links").cast("long").alias("n_links"))

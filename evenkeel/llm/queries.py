@@ -13,6 +13,7 @@ from evenkeel.llm.bpe import encode, read_ranks
 from evenkeel.llm.decontaminate import decontaminate
 from evenkeel.llm.jaccard import jaccard_join
 from evenkeel.llm.language import fit_language, identify, training_rows
+from evenkeel.llm.suffix_tree import score_texts, training_condition
 from evenkeel.llm.texts import fold
 from evenkeel.llm.token_counts import edited_counts
 from evenkeel.llm.toxicity import fit_toxicity, score_toxicity, training_sample
@@ -36,6 +37,15 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# --- 3: language-model scores
+
+
+@query()
+def op3_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Log probabilities of all documents, learned from six folds of seven."""
+    return score_texts(_table(spark, sf, "documents"), training_condition(7, 2))
+
+
 # --- 4: language
 
 
