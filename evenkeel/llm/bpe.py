@@ -20,7 +20,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from evenkeel.llm.texts import Shared, blocks, map_batches, pick, texts_of
+from evenkeel.llm.texts import Shared, blocks, carrying, checked, map_batches, pick, texts_of
 
 MEMO = 400_000
 _PART = 1 << 20
@@ -138,16 +138,6 @@ class Encoder(dict):
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-def _checked(carry: Sequence[str], own: set[str]) -> None:
-    if clash := set(carry) & own:
-        raise ValueError(f"cannot carry columns named like results: {sorted(clash)}")
-
-
-def _schema(docs: DataFrame, carry: Sequence[str], rest: str) -> str:
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    return ", ".join([*(f"{c} {kinds[c]}" for c in carry), rest])
-
-
 def encode(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, carry: Sequence[str] = ("doc_id",), digests: bool = False
 ) -> DataFrame:
@@ -161,7 +151,7 @@ def encode(
     what it does not match is left out. Null and empty texts have no tokens.
     The vocabulary is broadcast; its size is that of a file.
     """
-    _checked(carry, {"n_tokens", "ids", "ids_sha256", "decoded_sha256"})
+    checked(carry, {"n_tokens", "ids", "ids_sha256", "decoded_sha256"})
     docs = pick(docs, *dict.fromkeys([*carry, "text"]))
     shared = Shared(docs.sparkSession, Encoder(ranks, pattern))
     results = "n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>")
@@ -179,7 +169,7 @@ def encode(
                 out["ids"] = pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32()))
             yield out
 
-    return map_batches(docs, run, _schema(docs, carry, results))
+    return map_batches(docs, run, carrying(docs, carry, results))
 
 
 def decode(rows: DataFrame, ranks: dict[bytes, int], carry: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -187,7 +177,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], carry: Sequence[str] = ("do
 
     Null and empty id lists give no bytes; an unknown id is an error.
     """
-    _checked(carry, {"decoded"})
+    checked(carry, {"decoded"})
     rows = pick(rows, *dict.fromkeys([*carry, "ids"]))
     tokens = Shared(rows.sparkSession, {rank: token for token, rank in ranks.items()})
 
@@ -196,4 +186,4 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], carry: Sequence[str] = ("do
             yield {c: batch.column(c) for c in carry} | {"decoded": pa.array(
                 [b"".join(map(tokens.value.__getitem__, i or ())) for i in batch.column("ids").to_pylist()], pa.binary())}
 
-    return map_batches(rows, run, _schema(rows, carry, "decoded binary"))
+    return map_batches(rows, run, carrying(rows, carry, "decoded binary"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.texts import ALNUM, Shared, as_bytes, blocks, map_batches, pick, shingles, spans, words
+from evenkeel.llm.texts import ALNUM, Shared, as_bytes, blocks, carrying, checked, map_batches, pick, shingles, spans, words
 
 WINDOW, SHINGLE = 13, 3
 #: Characters of items in one broadcast index.
@@ -169,9 +169,7 @@ def _pass(docs: DataFrame, carry: Sequence[str], items: list, window: int, shing
                      pa.array([r["text"] for r in items], pa.string()), window, shingle)
     counts = _counts(docs.select("text"), found.shingles_of()) if found.parts else {}
     index = Shared(docs.sparkSession, _Index(found, counts))
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join([f"{c} {kinds[c]}" for c in carry] + [
-        "n_words long", "hit_from array<long>", "hit_to array<long>", "items array<string>"])
+    schema = carrying(docs, carry, "n_words long, hit_from array<long>, hit_to array<long>, items array<string>")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch, data, offsets in blocks(batches):
@@ -227,10 +225,7 @@ def decontaminate(
     are one item; repeated documents each get a row; an empty benchmark leaves
     all clean; other columns of either table are ignored.
     """
-    clash = set(carry) & {"n_words", "n_hit", "n_items", "items_sha256", "contaminated",
-                          "hit_from", "hit_to", "items"}
-    if clash:
-        raise ValueError(f"cannot carry columns named like results: {sorted(clash)}")
+    checked(carry, {"n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_from", "hit_to", "items"})
     docs = pick(docs, *dict.fromkeys([*carry, "text"])).withColumn("__text", F.xxhash64("text"))
     items = pick(benchmark, "item_id", "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0

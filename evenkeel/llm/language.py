@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from evenkeel.llm.bpe import _checked, _schema
-from evenkeel.llm.texts import Shared, blocks, fold, grams, letters, map_batches, pick, spans
+from evenkeel.llm.texts import Shared, blocks, carrying, checked, fold, grams, letters, map_batches, pick, spans
 
 ORDER = 4
 #: Texts per language that a model learns from; a quarter sets thresholds.
@@ -248,7 +247,7 @@ def identify(docs: DataFrame, model: LanguageModel, carry: Sequence[str] = ("doc
     unlike all that was learned. A model of no languages calls all 'und'. On
     ties the first language by name counts. Repeated rows are judged alike.
     """
-    _checked(carry, {"lang_pred", "score", "bits", "rejected"})
+    checked(carry, {"lang_pred", "score", "bits", "rejected"})
     docs = pick(docs, *dict.fromkeys([*carry, "text"]))
     shared = Shared(docs.sparkSession, model)
 
@@ -256,7 +255,7 @@ def identify(docs: DataFrame, model: LanguageModel, carry: Sequence[str] = ("doc
         for batch, data, offsets in blocks(batches):
             yield {c: batch.column(c) for c in carry} | shared.value.predict(data, offsets)
 
-    return map_batches(docs, run, _schema(docs, carry, "lang_pred string, score double, bits double, rejected boolean"))
+    return map_batches(docs, run, carrying(docs, carry, "lang_pred string, score double, bits double, rejected boolean"))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

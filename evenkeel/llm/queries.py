@@ -13,10 +13,12 @@ from evenkeel.llm.bpe import encode, read_ranks
 from evenkeel.llm.decontaminate import decontaminate
 from evenkeel.llm.jaccard import jaccard_join
 from evenkeel.llm.language import fit_language, identify, training_rows
+from evenkeel.llm.neighbours import nearest
 from evenkeel.llm.suffix_tree import score_texts, training_condition
 from evenkeel.llm.texts import fold
 from evenkeel.llm.token_counts import edited_counts
 from evenkeel.llm.toxicity import fit_toxicity, score_toxicity, training_sample
+from evenkeel.llm.url_rules import HostRule, PatternRule, judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +39,24 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# --- 2: nearest neighbours
+
+
+@query(sql="""
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
+ok AS (SELECT vec_id, e FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND list_dot_product(e, e) > 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id,
+    list_dot_product(q.e, c.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(c.e, c.e))) AS score
+  FROM ok q JOIN ok c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""")
+def op2_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """The five nearest rows of every fiftieth vector."""
+    vectors = _table(spark, sf, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 # --- 3: language-model scores
 
 
@@ -58,6 +78,44 @@ def op4_language(spark: SparkSession, sf: str) -> DataFrame:
         docs.select("doc_id", "text", held_out), fit_language(training_rows(docs)), carry=("doc_id", "held_out"))
 
 
+# --- 5: URL filters
+
+HOST_RULES = [
+    HostRule("block", "net/"), HostRule("allow", "example.net/en/"),
+    HostRule("block", "example.com/de/"), HostRule("allow", "org/fr/"),
+]
+#: Names that tell of advertising, gambling, spam and the like.
+PATTERN_RULES = [
+    PatternRule("block", r"://([^/?#]*[.])?ads-track[.]", ("ads", "track")),
+    PatternRule("block", r"://([^/?#]*[.])?cheap-pills[.]", ("cheap", "pills")),
+    PatternRule("block", r"://([^/?#]*[.])?casino-[a-z]+[.]", ("casino",)),
+    PatternRule("block", r"://([^/?#]*[.])?spam-farm[.]", ("spam", "farm")),
+    PatternRule("block", r"://([^/?#]*[.])?free-bets[.]", ("free", "bets")),
+    PatternRule("block", r"://([^/?#]*[.])?adult-[a-z]+[.]", ("adult",)),
+    PatternRule("block", r"[?&]utm_medium=affiliate(&|#|$)", ("utm", "medium", "affiliate")),
+    PatternRule("allow", r"://[^/?#]+/robots[.]txt$", ("robots", "txt")),
+]
+_MATCHES = {v: " OR ".join(f"regexp_matches(lower(url), '{r.pattern}')" for r in PATTERN_RULES if r.verdict == v)
+            for v in ("allow", "block")}
+
+
+@query(sql=f"""
+WITH u AS (SELECT page_id, url, row_number() OVER () AS n,
+    coalesce(CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END, '') AS rest FROM pages),
+p AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules(text, verdict) AS (VALUES {", ".join(f"('{r.text}', '{r.verdict}')" for r in HOST_RULES)}),
+parts AS (SELECT text, verdict, split_part(text, '/', 1) AS h, substr(text, instr(text, '/')) AS pre FROM rules),
+best AS (SELECT n, arg_max(text, len(text)) AS rule, arg_max(verdict, len(text)) AS v FROM p JOIN parts
+  ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN {_MATCHES["allow"]} THEN 'allow'
+  WHEN {_MATCHES["block"]} THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN best USING (n)""")
+def op5_url_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdicts on all page URLs."""
+    return judge(_table(spark, sf, "pages"), HOST_RULES, PATTERN_RULES)
+
+
 # --- 6: byte-level BPE
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"

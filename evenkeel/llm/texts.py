@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 BLOCK_BYTES = 1 << 20
 #: Multipliers and salts of the hashes; any odd numbers would do.
@@ -71,14 +73,29 @@ def blocks(
             low = high
 
 
-def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` of a function from batches to column dicts."""
-    names = [part.strip().split(" ")[0] for part in schema.split(",")]
+def checked(carry: Sequence[str], own: set[str]) -> None:
+    """Columns that are carried along may not be named like results."""
+    if clash := set(carry) & own:
+        raise ValueError(f"cannot carry columns named like results: {sorted(clash)}")
+
+
+def carrying(df: DataFrame, carry: Sequence[str], results: str) -> T.StructType:
+    """The schema of carried columns and results."""
+    return T.StructType([df.schema[c] for c in carry] + T.StructType.fromDDL(results).fields)
+
+
+def map_batches(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` of a function from batches to dicts of columns."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kinds = {f.name: f.type for f in to_arrow_schema(schema)}
+
+    def column(values, kind: pa.DataType) -> pa.Array:
+        values = values if isinstance(values, pa.Array) else pa.array(values)
+        return values if values.type == kind or pa.types.is_timestamp(kind) else values.cast(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in fn(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(columns[n]) if not isinstance(
-                columns[n], (pa.Array, pa.ChunkedArray)) else columns[n] for n in names], names)
+            yield pa.RecordBatch.from_arrays([column(columns[n], k) for n, k in kinds.items()], list(kinds))
 
     return df.mapInArrow(run, schema)
 

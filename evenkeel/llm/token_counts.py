@@ -21,8 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from evenkeel.llm.bpe import Encoder, _checked, _schema
-from evenkeel.llm.texts import Shared, blocks, map_batches, pick
+from evenkeel.llm.bpe import Encoder
+from evenkeel.llm.texts import Shared, blocks, carrying, checked, map_batches, pick
 
 LEAF, REACH = 64, 2
 
@@ -126,7 +126,7 @@ def edited_counts(
     does a null entry; a null ``insert`` is empty, a null number zero; places
     beyond the end are the end. Every row is on its own, repeated ones too.
     """
-    _checked(carry, {"n_tokens", "n_edited", "n_pretokens", "n_encoded"})
+    checked(carry, {"n_tokens", "n_edited", "n_pretokens", "n_encoded"})
     docs = pick(docs, *dict.fromkeys([*carry, "text", "edits"]))
     shared = Shared(docs.sparkSession, Encoder(ranks, pattern))
 
@@ -143,5 +143,5 @@ def edited_counts(
             yield {c: batch.column(c) for c in carry} | dict(zip(
                 ("n_tokens", "n_edited", "n_pretokens", "n_encoded"), facts.T))
 
-    return map_batches(docs, run, _schema(
+    return map_batches(docs, run, carrying(
         docs, carry, "n_tokens long, n_edited long, n_pretokens long, n_encoded long"))

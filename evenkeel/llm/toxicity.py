@@ -20,8 +20,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.bpe import _checked, _schema
-from evenkeel.llm.texts import Shared, blocks, fold, grams, letters, map_batches, pick
+from evenkeel.llm.texts import Shared, blocks, carrying, checked, fold, grams, letters, map_batches, pick
 from evenkeel.sources.shared import materialize
 
 ORDERS, BUCKETS = (3, 4, 5), 1 << 18
@@ -108,7 +107,7 @@ def score_toxicity(
     Null and empty texts have no n-grams and get the score of the intercept.
     Texts are judged whole and each on its own; repeated rows get equal scores.
     """
-    _checked(carry, {"score", "predicted"})
+    checked(carry, {"score", "predicted"})
     docs = pick(docs, *dict.fromkeys([*carry, "text"]))
     shared = Shared(docs.sparkSession, weights)
 
@@ -120,4 +119,4 @@ def score_toxicity(
             yield {c: batch.column(c) for c in carry} | {
                 "score": score, "predicted": (score >= 0.5).astype(np.int32)}
 
-    return map_batches(docs, run, _schema(docs, carry, "score double, predicted int"))
+    return map_batches(docs, run, carrying(docs, carry, "score double, predicted int"))
