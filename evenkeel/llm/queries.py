@@ -14,6 +14,7 @@ from evenkeel.llm.decontaminate import decontaminate
 from evenkeel.llm.jaccard import jaccard_join
 from evenkeel.llm.language import fit_language, identify, training_rows
 from evenkeel.llm.neighbours import nearest
+from evenkeel.llm.pii import KINDS, count_of, digest, fit_judge, with_spans
 from evenkeel.llm.suffix_tree import score_texts, training_condition
 from evenkeel.llm.texts import fold
 from evenkeel.llm.token_counts import edited_counts
@@ -39,6 +40,20 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# --- 1: personal data
+
+
+@query()
+def op1_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in all documents: exact rules, and what trees add."""
+    docs = _table(spark, sf, "documents")
+    rows = with_spans(docs, fit_judge(docs))
+    spans = F.col("spans")
+    counts = [count_of(spans, k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    return rows.select(
+        "doc_id", *counts, F.sha2(digest(spans, True), 256).alias("base_sha256"), digest(spans, False).alias("spans"))
+
+
 # --- 2: nearest neighbours
 
 
