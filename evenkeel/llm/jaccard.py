@@ -218,7 +218,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
 def _filtered(matches: DataFrame, similar: int, dense: bool = False) -> DataFrame:
     """Pairs (a, b) with enough shared prefix shingles, from one row per match.
 
-    With ``dense`` also pairs that share a quarter of the shorter prefix: where
+    With ``dense`` also pairs that share an eighth of the shorter prefix: where
     they stand in a crowd, a tile settles them at less cost than lists do.
     """
     need = F.least("la", "lb")
@@ -232,7 +232,7 @@ def _filtered(matches: DataFrame, similar: int, dense: bool = False) -> DataFram
     fits = (F.col("shared") >= F.col("need")) & _enough(most, F.col("na"), F.col("nb"), similar)
     if dense:
         fewer = F.least("na", "nb")
-        fits |= 4 * F.col("shared") >= fewer - F.ceil(similar * fewer / F.lit(100)) + F.col("need")
+        fits |= 8 * F.col("shared") >= fewer - F.ceil(similar * fewer / F.lit(100)) + F.col("need")
     kept = grouped.where(fits)
     return kept.select("a", "b", "na", "nb", "shared")
 
