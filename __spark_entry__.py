@@ -276,11 +276,25 @@ def q_group_cardinality(spark: SparkSession, sf: str) -> DataFrame:
     return ek.group_cardinality(_orders_with_gaps(spark, sf), ["priority", "filled"])
 
 
-@query("""SELECT 'p_partkey' AS "column", true AS found, 'ok' AS severity FROM (SELECT count(*) FROM part)
-UNION ALL SELECT 'p_brand', true, 'ok'
-UNION ALL SELECT 'p_weight', false, 'warning'""")
+@query("""SELECT 'p_partkey' AS "column", true AS found, 'ok' AS severity, count(p_partkey) AS filled FROM part
+UNION ALL SELECT 'p_brand', true, 'ok', count(p_brand) FROM part
+UNION ALL SELECT 'p_weight', false, 'warning', 0""")
 def q_expected_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return ek.check_expected_columns(_table(spark, sf, "part"), ["p_brand", "p_weight"], ["p_partkey"])
+    """Which columns are there, and how many of their cells are filled?"""
+    part = _table(spark, sf, "part")
+    listed = ek.check_expected_columns(part, ["p_brand", "p_weight"], ["p_partkey"])
+    filled = part.agg(F.count("p_partkey").alias("p_partkey"), F.count("p_brand").alias("p_brand"))
+    counts = filled.unpivot([], ["p_partkey", "p_brand"], "column", "filled")
+    return listed.join(counts, "column", "left").fillna(0, ["filled"])
+
+
+@query(f"""WITH {ORDERS}
+SELECT o_orderkey::VARCHAR AS grp, avg(filled)::DOUBLE AS rate, (SELECT count(*) FROM ords) AS n_groups
+FROM ords GROUP BY o_orderkey""")
+def q_parity_report_many_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """A report lists all groups, however many."""
+    report = ek.demographic_parity_report(_orders(spark, sf), ["o_orderkey"], "filled")
+    return report.select(F.explode("selection_rate_by_group").alias("grp", "rate"), "n_groups")
 
 
 # --- cleaning

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 
 from evenkeel.functions.columns import (
     all_present, col, cols, double, dtype, exprs, group_label, is_fractional, is_integral, is_number,
-    number, quote,
+    is_text, number, quote,
 )
 from evenkeel.operators.validate import require_columns
 from evenkeel.spec import LABEL_THRESHOLD, ColumnRoles, ValidationError
@@ -24,12 +25,27 @@ def drop_if_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def recode(df: DataFrame, column: str, mapping: Mapping) -> DataFrame:
-    """Replace values by a map; values without an entry become null."""
-    chain = None
+    """Replace values by a map; values without an entry become null.
+
+    A key matches values of its own sort only: a text key no number, a number
+    no text.
+    """
+    kind = dtype(df, column)
+    chain = F.when(F.lit(False), F.lit(next(iter(mapping.values()), None)))
     for old, new in mapping.items():
-        step = col(column) == F.lit(old)
-        chain = F.when(step, F.lit(new)) if chain is None else chain.when(step, F.lit(new))
-    return df.withColumn(column, F.lit(None) if chain is None else chain)
+        if _same_sort(kind, old):
+            chain = chain.when(col(column) == F.lit(old), F.lit(new))
+    return df.withColumn(column, chain)
+
+
+def _same_sort(kind: T.DataType, value: object) -> bool:
+    if is_text(kind):
+        return isinstance(value, str)
+    if isinstance(kind, T.BooleanType) or isinstance(value, bool):
+        return isinstance(kind, T.BooleanType) and isinstance(value, bool)
+    if is_number(kind):
+        return isinstance(value, (int, float, Decimal))
+    return not isinstance(value, (str, int, float))
 
 
 def infer_roles(df: DataFrame, target: str, sensitive: Sequence[str]) -> ColumnRoles:
@@ -127,7 +143,7 @@ def align_features(features: Sequence[str], test: DataFrame) -> list[str]:
     """The training features that the test table has, in training order."""
     kept = [f for f in features if f in test.columns]
     if not kept:
-        raise ValidationError("none of the training features is in the test table")
+        raise ValidationError("the test table holds no column that the model was trained on")
     if len(kept) < len(features):
         gap = [f for f in features if f not in kept]
         warnings.warn(f"training features missing from the test table: {gap}", stacklevel=2)

@@ -18,9 +18,9 @@ from evenkeel.functions.columns import cols, exprs, is_one, keep_free, quote, qu
 BASE = ("n", "positives")
 CONFUSION = ("selected", "tp", "fp", "fn", "tn")
 
-# Largest number of groups written inside a report document. Reports on more
-# groups carry no inline list; the full table per group is their exact form.
-INLINE_GROUPS = 10_000
+# Largest number of groups written inside a report document. A document on
+# more is an error, never an incomplete one; the table per group has no bound.
+DOCUMENT_GROUPS = 1_000_000
 
 
 def contingency(
@@ -56,17 +56,18 @@ def recount(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def inline_groups(by_group: DataFrame, keys: Sequence[str], entry: str) -> Column:
-    """``entry`` of the first ``INLINE_GROUPS`` groups, by key, as one array.
+    """``entry`` of all groups, in order of the key, as one array.
 
-    Each task keeps no more rows than that, so the array stays bounded
-    however many groups there are.
+    Beyond ``DOCUMENT_GROUPS`` groups the array is bounded, not whole;
+    ``whole`` turns that into an error.
     """
     names = ", ".join(quotes(keys))
-    first = by_group.orderBy(*cols(keys)).limit(INLINE_GROUPS)
+    first = by_group.limit(DOCUMENT_GROUPS)
     ordered = f"sort_array(collect_list(struct({names}, {entry} AS __entry)))"
     return first.agg(F.expr(f"transform({ordered}, g -> g.__entry)")).scalar()
 
 
-def inline_limit() -> str:
-    """Condition on ``n_groups``: are they few enough to be written inline?"""
-    return f"n_groups <= {INLINE_GROUPS}"
+def whole(value: str) -> str:
+    """``value``, or an error where ``n_groups`` are too many for a document."""
+    return (f"CASE WHEN n_groups <= {DOCUMENT_GROUPS} THEN {value} ELSE raise_error("
+            f"'over {DOCUMENT_GROUPS} groups do not fit a document; use the table per group') END")

@@ -19,9 +19,8 @@ from evenkeel.operators.quantiles import exact_medians
 from evenkeel.operators.validate import require_columns
 from evenkeel.spec import ColumnRoles, ValidationError
 
-# Widest block of 0/1 columns made for one categorical column; above it the
-# categories go into one sparse vector column.
-DENSE_CATEGORIES = 1_000
+# Categories become 0/1 columns, or one sparse vector column per feature.
+CATEGORY_FORMS = ("columns", "vector")
 # Most categories that can be held as fitted state at all.
 MAX_CATEGORIES = 1_000_000
 
@@ -39,7 +38,7 @@ class FittedPreprocessor:
     deviations: dict[str, float] = field(default_factory=dict)
     categories: dict[str, list[str | None]] = field(default_factory=dict)
     dropped: tuple[str, ...] = ()
-    dense_categories: int = DENSE_CATEGORIES
+    category_form: str = "columns"
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), ensure_ascii=False)
@@ -53,12 +52,12 @@ class FittedPreprocessor:
 
     @property
     def wide(self) -> list[str]:
-        return [c for c, v in self.categories.items() if len(v) > self.dense_categories]
+        return list(self.categories) if self.category_form == "vector" else []
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Numeric block, one-hot block, remainder, sensitive, target.
 
-        One projection, except for columns with very many categories.
+        One projection, except for categories as vectors.
         ``keep`` names columns, such as a key, that count as remainder even
         where the remainder is dropped.
         """
@@ -93,13 +92,17 @@ def fit_preprocessor(
     roles: ColumnRoles,
     remainder: str = "passthrough",
     scale: bool = False,
-    dense_categories: int = DENSE_CATEGORIES,
+    category_form: str = "columns",
 ) -> FittedPreprocessor:
     """Learn medians, scales and categories. Only these reach the driver.
 
     A numeric column without any value is dropped with a warning; over an
-    empty table all numeric columns are kept.
+    empty table all numeric columns are kept. ``category_form="vector"`` makes
+    one sparse vector per categorical column, however many categories there are;
+    the number of categories never decides it.
     """
+    if category_form not in CATEGORY_FORMS:
+        raise ValidationError(f"category_form must be one of {CATEGORY_FORMS}, not {category_form!r}")
     if remainder not in ("passthrough", "drop"):
         raise ValidationError(f"remainder must be passthrough or drop, not {remainder!r}")
     require_columns(df, roles.essential)
@@ -136,7 +139,7 @@ def fit_preprocessor(
         deviations=deviations,
         categories=_categories(df, roles.categorical),
         dropped=dropped,
-        dense_categories=dense_categories,
+        category_form=category_form,
     )
 
 
@@ -206,8 +209,9 @@ def _sparse_columns(
     vectors = {}
     for i, (c, values) in enumerate(wide.items()):
         value, index, vector = f"__value{i}", f"__index{i}", f"__vector{i}"
-        labels = [MISSING_NAME if v is None else v for v in values]
-        df = df.withColumn(value, F.expr(f"coalesce({_category(df, c)}, {text(MISSING_NAME)})"))
+        # marked, so that a missing value and a category of any text differ
+        labels = ["missing" if v is None else f"={v}" for v in values]
+        df = df.withColumn(value, F.expr(f"coalesce(concat('=', {_category(df, c)}), 'missing')"))
         indexer = StringIndexerModel.from_labels(labels, value, index, handleInvalid="keep")
         # the last index is the one for unseen values, and dropLast drops it
         df = indexer.transform(df)

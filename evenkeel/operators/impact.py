@@ -11,7 +11,7 @@ from evenkeel.functions.columns import (
     quotes, ratio, text,
 )
 from evenkeel.functions.status import di_ratio, di_status
-from evenkeel.operators.contingency import inline_groups, inline_limit
+from evenkeel.operators.contingency import inline_groups, whole
 from evenkeel.operators.validate import require_columns
 from evenkeel.spec import DI_THRESHOLD
 
@@ -68,7 +68,7 @@ def disparate_impact_report(
         "'Ratio of Min/Max Positive Rate per Group' AS metric_calculated",
         f"{names_array(sensitive)} AS sensitive_features",
         f"{text(target)} AS target_column",
-        f"CASE WHEN {inline_limit()} THEN __listed END AS group_statistics",
+        f"{whole('__listed')} AS group_statistics",
         "min_positive_rate",
         "max_positive_rate",
         "disparate_impact_min_max_ratio",

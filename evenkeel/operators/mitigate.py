@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import col, cols, double, equals_one, exprs, quotes, ratio
+from evenkeel.functions.columns import col, cols, double, equals_one, exprs, number, quotes, ratio
 from evenkeel.functions.hashing import hash60, key_text
 from evenkeel.operators.clean import drop_missing
 from evenkeel.operators.contingency import contingency
@@ -28,20 +28,28 @@ BROADCAST_GROUPS = 10_000
 
 
 def group_rates(df: DataFrame, sensitive: Sequence[str], target: str) -> DataFrame:
-    """Size, positives and selection rate per group, null groups left out."""
-    return _rates(contingency(drop_missing(df, sensitive), sensitive, target))
+    """Size, positives and selection rate per group, null groups left out.
+
+    Rows without a target count for the size, not for the rate.
+    """
+    known = f"count({number(df, target)}) AS __known"
+    return _rates(contingency(drop_missing(df, sensitive), sensitive, target, extra=[known]), "__known").drop("__known")
 
 
-def _rates(counts: DataFrame) -> DataFrame:
-    return counts.selectExpr("*", f"{ratio('positives', 'n', zero=0.0)} AS rate")
+def _rates(counts: DataFrame, whole: str = "n") -> DataFrame:
+    return counts.selectExpr("*", f"{ratio('positives', whole, zero=0.0)} AS rate")
 
 
 def oversample_plan(df: DataFrame, sensitive: Sequence[str], target: str) -> DataFrame:
     """How many positives each group needs to reach the highest rate.
 
     N solves (p + N) / (n + N) = r, rounded half to even. Groups within
-    1e-6 of the highest rate r get none, nor does any group when r is 1.
+    1e-6 of the highest rate r get none, nor does any group when r is 1. A
+    target other than 0 or 1, or none, is an error.
     """
+    wrong = df.agg(F.expr(f"count_if({not_binary(df, target)})")).first()[0]
+    if wrong:
+        raise ValidationError(f"{target!r} holds {wrong} values other than 0 or 1")
     return _plan(group_rates(df, sensitive, target).persist())
 
 
@@ -123,7 +131,7 @@ def oversample(
     match = [col(s) == F.col(g) for s, g in zip(sensitive, groups, strict=True)]
     hits = ranked.join(drawn, [*match, F.col("__rank") == F.col("__drawn")])
     hits = hits.select(*cols(df.columns), "__m")
-    added = expand_draws(hits, "__m", out, math.ceil(found["copies"]), 1)
+    added = expand_draws(hits, "__m", out, math.ceil(found["copies"]), 1, found["total"])
     return original.unionByName(added)
 
 

@@ -11,13 +11,13 @@ from evenkeel.functions.columns import (
 )
 from evenkeel.functions.status import eo_status
 from evenkeel.operators.clean import label
-from evenkeel.operators.contingency import contingency, inline_groups, inline_limit, recount
+from evenkeel.operators.contingency import contingency, inline_groups, recount, whole
 from evenkeel.operators.validate import require_columns
 from evenkeel.spec import EO_THRESHOLD
 
 METRICS = ("count", "selection_rate", "true_positive_rate", "false_positive_rate")
 _SPREADS = [f"{m}_difference" for m in METRICS]
-_NO_ROWS = "No valid data remaining after dropping missing values"
+_NO_ROWS = "every row lacks a group, a target or a prediction"
 _BAD_LABELS = "Labels other than 0 and 1 (or -1 and 1)"
 
 
@@ -164,7 +164,7 @@ def equalized_odds_report(
         f"{names_array(sensitive)} AS sensitive_features_used",
         f"{text(target)} AS target_column",
         f"{text(prediction)} AS prediction_column",
-        f"CASE WHEN {ok} AND {inline_limit()} THEN __listed END AS metrics_by_group",
+        f"CASE WHEN {ok} THEN {whole('__listed')} END AS metrics_by_group",
         f"struct(CASE WHEN {ok} THEN struct({spread}) END AS difference) AS disparity_metrics",
         "bias_check_status",
         "error_message",

@@ -12,7 +12,7 @@ from evenkeel.functions.columns import (
 )
 from evenkeel.functions.status import dp_status
 from evenkeel.operators.clean import drop_missing
-from evenkeel.operators.contingency import contingency, inline_groups, inline_limit, recount
+from evenkeel.operators.contingency import contingency, inline_groups, recount, whole
 from evenkeel.operators.impact import positive_rate_by_group
 from evenkeel.spec import DP_THRESHOLD
 
@@ -92,7 +92,7 @@ def demographic_parity_report(
     listed = inline_groups(groups, sensitive, entry)
     return parity_summary(groups, threshold).withColumn("__listed", listed).selectExpr(
         f"CASE WHEN target_is_constant THEN CAST(map() AS map<string, double>)"
-        f" WHEN {inline_limit()} THEN map_from_entries(__listed) END AS selection_rate_by_group",
+        f" ELSE {whole('map_from_entries(__listed)')} END AS selection_rate_by_group",
         "overall_selection_rate",
         "demographic_parity_difference",
         "bias_threshold_used",
@@ -130,7 +130,7 @@ def positive_rate_report(
     entry = f"struct({group_label(sensitive)} AS key, struct(positive_rate, `count`) AS value)"
     listed = inline_groups(groups, sensitive, entry)
     return _rate_gap(groups, threshold).withColumn("__listed", listed).selectExpr(
-        f"CASE WHEN {inline_limit()} THEN map_from_entries(__listed) END AS group_statistics",
+        f"{whole('map_from_entries(__listed)')} AS group_statistics",
         f"{names_array(sensitive)} AS sensitive_features",
         f"{text(target)} AS target_column",
         "positive_rate_difference",

@@ -9,6 +9,7 @@ few values are sorted.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row
@@ -22,7 +23,7 @@ RANGES = 4096
 SORT_ROWS = 100_000
 # Relative rank error of the sketch is at most 1 / SKETCH.
 SKETCH = 100
-_HUGE = 8e307
+_HUGE = sys.float_info.max
 
 
 class _Search:
@@ -33,6 +34,7 @@ class _Search:
         self.low, self.high = low, high
         self.below = 0
         self.inside = n
+        self.stuck = False
         self.middle: tuple[float, float] | None = (low, low) if low == high else None
 
     @property
@@ -49,6 +51,10 @@ class _Search:
                     place.append((r, below))
             below += r["n"]
         (first, before), (second, _) = place
+        if first["n"] == self.inside and first["lo"] == self.low and first["hi"] == self.high and first["lo"] < first["hi"]:
+            if self.stuck:
+                raise RuntimeError(f"the values from {self.low} to {self.high} cannot be told apart")
+            self.stuck = True
         if first["b"] != second["b"]:
             self.middle = (first["hi"], second["lo"])
         elif first["lo"] == first["hi"]:
@@ -105,7 +111,10 @@ def _count_ranges(
     for i, (low, high) in bounds.items():
         low, high = max(low, -_HUGE), min(high, _HUGE)
         v = values[i]
-        step = F.floor((v - F.lit(low)) / F.lit(high - low) * F.lit(RANGES)) if high > low else F.lit(0)
+        # halved where the difference would leave the range of doubles
+        part = 1.0 if math.isfinite(high - low) else 0.5
+        low_part, width = low * part, high * part - low * part
+        step = F.floor((v * F.lit(part) - F.lit(low_part)) / F.lit(width) * F.lit(RANGES)) if width > 0 else F.lit(0)
         b = F.when(v < low, -1).when(v > high, RANGES).otherwise(F.least(step, F.lit(RANGES - 1)))
         structs.append(F.struct(F.lit(i).alias("i"), b.cast("int").alias("b"), v.alias("v")))
     rows = (

@@ -313,8 +313,11 @@ def draw_with_replacement(
     return expand_draws(hits, "__m", out, n, size)
 
 
-def expand_draws(hits: DataFrame, count: str, out: str, n: int, size: int) -> DataFrame:
-    """Make the copies of rows hit by ``n`` even draws from ``size`` rows."""
+def expand_draws(
+    hits: DataFrame, count: str, out: str, n: int, size: int, total: int | None = None
+) -> DataFrame:
+    """Make the copies of rows hit by ``n`` even draws from ``size`` rows, of
+    ``total`` draws in all (``n`` by default)."""
     if n <= size * RARE_COPIES:
         return expand_copies(hits, count, out)
-    return spread_copies(hits, count, out, n)
+    return spread_copies(hits, count, out, n if total is None else total)

@@ -36,7 +36,7 @@ def _per_column(
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise ValidationError(f"missing mandatory columns: {missing}; found: {df.columns}")
+        raise ValidationError(f"required columns {missing} are missing from {df.columns}")
 
 
 def check_expected_columns(
@@ -85,7 +85,7 @@ def require_null_ratio(df: DataFrame, column: str, threshold: float = NULL_THRES
     row = null_ratio(df, [column], threshold).first()
     if not row["passed"]:
         raise ValidationError(
-            f"excessive null values ({row['null_ratio']:.2%}) in {column!r}; threshold: {threshold:.2%}"
+            f"{column!r} is null in {row['null_ratio']:.2%} of its rows, more than {threshold:.2%}"
         )
     return row["null_ratio"]
 

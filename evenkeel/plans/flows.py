@@ -102,7 +102,7 @@ def _prepared(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame, l
     checks = validate(df, spec)
     table, roles = _clean(df, spec)
     table, key, helpers = _identified(table, spec)
-    fitted = fit_preprocessor(table, roles, spec.remainder, spec.scale)
+    fitted = fit_preprocessor(table, roles, spec.remainder, spec.scale, spec.category_form)
     return checks, materialize(fitted.transform(table, keep=key), "prepared"), key, helpers
 
 
@@ -121,9 +121,11 @@ def _split(
 
 def parity_flow(df: DataFrame, spec: DatasetSpec, capped: bool = False) -> ParityResult:
     """Validate, prepare, check demographic parity, split. A warning does
-    not stop the split."""
+    not stop the split, an error does."""
     checks, table, key, helpers = _prepared(df, spec)
     report = demographic_parity_report(table, spec.sensitive, spec.target, spec.dp_threshold)
+    if report.select("bias_check_status").first()[0] == ERROR:
+        raise ValidationError("the parity check failed: no rows with a target and a group")
     splits = _split(table, spec, key, helpers, capped)
     return ParityResult(checks, drop_if_present(table, helpers), report, splits)
 
@@ -173,7 +175,7 @@ def odds_flow(
         table, roles = _clean(df, spec)
         table, key, helpers = _identified(table, spec)
         raw = _split(materialize(table, "raw"), spec, key, helpers, capped)
-        fitted = fit_preprocessor(raw.train, roles, spec.remainder, spec.scale)
+        fitted = fit_preprocessor(raw.train, roles, spec.remainder, spec.scale, spec.category_form)
         parts = {n: fitted.transform(f, keep=spec.key) for n, f in raw.items()}
         splits = Splits(**parts, sizes=raw.sizes)
     else:

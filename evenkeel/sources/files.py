@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from evenkeel.functions.columns import NUMBER, exprs, quote, quotes, text
+from evenkeel.functions.columns import NUMBER, as_number, exprs, quote, quotes, text
 from evenkeel.sources.shared import materialize
 from evenkeel.spec import EmptyInputError, ValidationError
 
@@ -87,6 +87,8 @@ def _filled(name: str, na_values: Iterable[str]) -> str:
 def _typed(value: str, kind: T.DataType) -> str:
     if isinstance(kind, T.StringType):
         return value
+    if isinstance(kind, (T.FloatType, T.DoubleType)):  # no suffixes, no hexadecimal
+        return f"CAST({as_number(value, T.StringType())} AS {kind.simpleString()})"
     return f"try_cast(trim({value}) AS {kind.simpleString()})"
 
 

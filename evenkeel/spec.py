@@ -70,6 +70,7 @@ class DatasetSpec:
     encoding: str = "UTF-8"
     remainder: str = "passthrough"
     scale: bool = False
+    category_form: str = "columns"
     null_threshold: float = NULL_THRESHOLD
     dp_threshold: float = DP_THRESHOLD
     eo_threshold: float = EO_THRESHOLD

@@ -72,14 +72,20 @@ def test_odd_column_names(spark):
 
 
 def test_too_many_groups_for_a_document(spark, monkeypatch):
-    monkeypatch.setattr(contingency_module, "INLINE_GROUPS", 2)
+    monkeypatch.setattr(contingency_module, "DOCUMENT_GROUPS", 2)
     df = frame(spark, [("a", 1.0), ("b", 0.0), ("c", 1.0)])
-    row = ek.demographic_parity_report(df, ["g"], "y").first()
-    assert row["selection_rate_by_group"] is None
-    assert (row["n_groups"], row["demographic_parity_difference"]) == (3, 1.0)
+    with pytest.raises(Exception, match="over 2 groups"):
+        ek.demographic_parity_report(df, ["g"], "y").first()
     assert ek.selection_rate_by_group(df, ["g"], "y").count() == 3
 
 
+def test_all_groups_are_listed(spark):
+    df = spark.range(10_001).selectExpr("CAST(id AS string) AS g", "CAST(id % 2 AS double) AS y")
+    row = ek.demographic_parity_report(df, ["g"], "y").first()
+    assert len(row["selection_rate_by_group"]) == 10_001
+    assert len(ek.disparate_impact_report(df, ["g"], "y").first()["group_statistics"]) == 10_001
+
+
 # Rates per group, then ratio and status.
 LADDER = [
     ([1.0, 0.5], 0.5, "Warning: Potential Adverse Impact Detected"),

@@ -116,14 +116,21 @@ def test_empty_input_keeps_columns(people):
 
 def test_wide_category_becomes_a_vector(people):
     with pytest.warns(UserWarning):
-        fitted = ek.fit_preprocessor(people, ROLES, dense_categories=2)
+        fitted = ek.fit_preprocessor(people, ROLES, category_form="vector")
     out = fitted.transform(people)
-    assert out.columns == ["a", "c_u", "c_v", "d_onehot", "flag", "g", "y"]
+    assert out.columns == ["a", "c_onehot", "d_onehot", "flag", "g", "y"]
     assert [list(r["d_onehot"].toArray()) for r in out.collect()] == [[1, 0, 0], [0, 0, 1], [0, 1, 0]]
     unseen = people.withColumn("d", F.lit("zz"))
     assert [sum(r["d_onehot"].toArray()) for r in fitted.transform(unseen).collect()] == [0, 0, 0]
 
 
+def test_missing_is_no_category_of_that_name(spark):
+    df = spark.createDataFrame([(1, None, "f", 1), (2, "nan", "f", 0), (3, "x", "m", 1)], "id long, c string, g string, y int")
+    roles = ek.ColumnRoles("y", ("g",), (), ("c",))
+    out = ek.fit_preprocessor(df, roles, category_form="vector").transform(df, keep=["id"])
+    assert len({tuple(r["c_onehot"].toArray()) for r in out.collect()}) == 3
+
+
 def test_too_many_categories(people, monkeypatch):
     monkeypatch.setattr(features, "MAX_CATEGORIES", 1)
     with pytest.warns(UserWarning), pytest.raises(ek.ValidationError, match="categories"):

@@ -8,7 +8,7 @@ def encoded(spark):
     rows = [(i, float(i % 5), f"c{i % 6}", "ab"[i % 2], int(i % 6 < 3)) for i in range(120)]
     df = spark.createDataFrame(rows, "id long, x double, c string, g string, y int")
     roles = ek.ColumnRoles("y", ("g",), ("x",), ("c",))
-    wide = ek.fit_preprocessor(df, roles, dense_categories=3).transform(df, keep=["id"])
+    wide = ek.fit_preprocessor(df, roles, category_form="vector").transform(df, keep=["id"])
     return ek.materialize(wide, "encoded")
 
 

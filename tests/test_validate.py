@@ -80,7 +80,7 @@ def test_parse_features():
 def test_validate_spec(people, spark):
     spec = ek.DatasetSpec(target="y", sensitive=("grp",), expected=("id",), null_threshold=0.6)
     assert ek.validate(people, spec).count() == 3
-    with pytest.raises(ek.ValidationError, match="excessive"):
+    with pytest.raises(ek.ValidationError, match="is null in"):
         ek.validate(people, ek.DatasetSpec(target="y", sensitive=("grp",)))
     with pytest.raises(ek.ValidationError, match="missing"):
         ek.validate(people, ek.LABOUR_MARKET)
@@ -89,4 +89,3 @@ def test_validate_spec(people, spark):
 def test_reserved_names(people):
     with pytest.raises(ek.ValidationError):
         ek.contingency(people.withColumnRenamed("grp", "n"), ["n"], "y")
-    assert contingency_module.INLINE_GROUPS >= 1000
