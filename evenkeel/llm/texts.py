@@ -114,20 +114,26 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-_powers = np.ones(1, np.uint64)
-_inverse = np.ones(1, np.uint64)
+class _Kept(dict):
+    """Tables that a process makes for itself; they are never sent along with
+    the functions that use them."""
+
+    def __reduce__(self):
+        return _Kept, ()
+
+
+_kept = _Kept()
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers, _inverse
-    if len(_powers) < n:
+    """Powers of an odd number and of its inverse."""
+    if len(_kept.get("powers", ((),))[0]) < n:
         size = max(n, BLOCK_BYTES + (1 << 16))
-        inverse = np.uint64(pow(int(_P), -1, 2**64))
-        steps = np.full(size, _P), np.full(size, inverse)
+        steps = np.full(size, _P), np.full(size, np.uint64(pow(int(_P), -1, 2**64)))
         for s in steps:
             s[0] = 1
-        _powers, _inverse = (np.cumprod(s, dtype=np.uint64) for s in steps)
-    return _powers, _inverse
+        _kept["powers"] = tuple(np.cumprod(s, dtype=np.uint64) for s in steps)
+    return _kept["powers"]
 
 
 def words(
@@ -206,21 +212,22 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32), total[offsets]
 
 
-_folded: np.ndarray | None = None
+def _folded() -> np.ndarray:
+    """The lower-case letter of each character, a space for all others. There
+    are no letters beyond the third plane."""
+    if "folded" not in _kept:
+        table = np.full(0x110000, 32, np.uint32)
+        for c in [c for c in range(0x40000) if chr(c).isalpha()]:
+            table[c] = ord(chr(c).lower()[0])
+        _kept["folded"] = table
+    return _kept["folded"]
 
 
 def letters(data: np.ndarray, offsets: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray]:
     """Texts as lower-case letters with one space for each run of anything
     else, after ``pad`` spaces and before one; and where each text begins."""
-    global _folded
-    if _folded is None:
-        table = np.full(0x110000, 32, np.uint32)
-        for c in range(0x110000):
-            if (s := chr(c)).isalpha():
-                table[c] = ord(s.lower()[0])
-        _folded = table
     points, at = code_points(data, offsets)
-    chars = _folded[points]
+    chars = _folded()[points]
     n = len(at) - 1
     blank = chars == 32
     keep = np.ones(len(chars), bool)
