@@ -188,15 +188,21 @@ class LanguageModel:
 def fit_language(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     """Learn from ``docs`` (text, lang) where lang is not null.
 
-    At most ``sample`` texts per language, those of the smallest hashes; the
-    rest of the table is not needed for a model of this order. Texts are whole.
+    At most ``sample`` different texts per language, those of the smallest
+    hashes; the rest of the table is not needed for a model of this order. Texts
+    are whole, and copies of a text count once.
     """
     rows = pick(docs, "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.withColumn("key", F.xxhash64("lang", "text"))
+    # languages are few: each is a column of the model
+    sizes = F.broadcast(rows.groupBy("lang").agg(F.approx_count_distinct("key").alias("texts")))
+    place = F.col("key") / F.lit(2.0**64) + 0.5  # of the hash among all hashes
+    low = rows.select("lang", "key").join(sizes, "lang").where(place * F.col("texts") < 4.0 * sample + 100)
     least = W.partitionBy("lang").orderBy("key")
-    keys = rows.select("lang", "key").withColumn("n", F.row_number().over(least)).where(F.col("n") <= sample)
+    keys = low.select("lang", "key").distinct().withColumn("n", F.row_number().over(least)).where(F.col("n") <= sample)
     # the sample is small by its definition: ``sample`` keys per language
-    chosen = rows.join(F.broadcast(keys.select("key").distinct()), "key", "left_semi")
+    chosen = rows.join(F.broadcast(keys.select("lang", "key")), ["lang", "key"], "left_semi")
+    chosen = chosen.groupBy("lang", "key").agg(F.any_value("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch, data, offsets in blocks(batches):
