@@ -110,8 +110,9 @@ def profile(df: DataFrame) -> DataFrame:
 def distinct_preview(df: DataFrame, columns: Sequence[str], limit: int = 10) -> DataFrame:
     """The first ``limit`` distinct values of each column, in text order.
 
-    One pass for all columns; the row limit per column is applied by each
-    task before the shuffle, so a column of unbounded width stays cheap.
+    One pass for all columns. Each task sends a value once, however often it
+    occurs; the limit applies to the distinct values, so a column of unique
+    values is shuffled whole.
     """
     pairs = F.explode(
         F.array(*[
