@@ -243,6 +243,20 @@ def test_languages(spark):
     assert {r.lang_pred for r in none} == {"und"}
 
 
+def test_copies_do_not_fill_the_language_sample(spark):
+    rng = random.Random(6)
+    tongues = {"aa": "ba ka la ma na".split(), "bb": "ith oth eth uth ang".split()}
+    rows = [(" ".join("".join(rng.choices(tongues[lang], k=3)) for _ in range(30)), lang) for lang in ["aa", "bb"] * 40]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    copies = spark.createDataFrame([("baka", "aa")], "text string, lang string").join(spark.range(3000)).drop("id")
+    one, many = (fit_language(d, sample=20) for d in (docs.unionByName(copies.limit(1)), docs.unionByName(copies)))
+    assert [k.tolist() for k in one.keys] == [k.tolist() for k in many.keys]
+    assert all(np.array_equal(a, b) for a, b in zip(one.rows, many.rows))
+    asked = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in identify(asked, many).collect()}
+    assert all(got[i].lang_pred == lang and not got[i].rejected for i, (_, lang) in enumerate(rows))
+
+
 def test_toxicity(spark):
     rng = random.Random(5)
     plain = "the river runs slowly past quiet houses and green fields".split()
