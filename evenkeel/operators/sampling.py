@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions.columns import col, cols, keep_free
-from evenkeel.functions.hashing import hash60, key_text, row_hash
+from evenkeel.functions.hashing import hash60, key_text, row_digest, row_hash
 from evenkeel.operators.validate import require_columns
 from evenkeel.sources.shared import materialize
 from evenkeel.spec import SEED, ValidationError
@@ -44,8 +44,11 @@ MOST_CHUNKS = 1_000_000
 TASK_COPIES = 5_000_000
 # Rows with no more copies than this are expanded where they lie.
 RARE_COPIES = 16
+# Most digests of repeated rows that are broadcast, 16 bytes each.
+BROADCAST_DIGESTS = 1_000_000
 
 _HASH = "__hash"
+_DIGEST = "__digest"
 _BUCKET = "__bucket"
 _GROUP = "__group"
 _ABOVE_ALL = "g"  # greater than any hex text
@@ -150,19 +153,40 @@ def with_copy_numbers(df: DataFrame, out: str = "copy_no") -> DataFrame:
     """Number the copies of each distinct row 1..c, so that all columns
     together with ``out`` are a key.
 
-    Equal rows are counted before the shuffle: a row that fills a third of
-    the table is one row on the wire. The counts are written to the shared
-    folder and expanded when read, rare rows in place, common ones spread
-    over the cluster; the files' statistics tell the two apart.
+    Only 16-byte digests of the rows are shuffled to find the rows that
+    repeat. Rows that do not stay where they lie, as copy 1. Repeated rows are
+    counted before their shuffle: a row that fills a third of the table is one
+    row on the wire. The counts are written to the shared folder and expanded
+    when read, rare rows in place, common ones spread over the cluster; the
+    files' statistics tell the two apart.
+
+    With more than ``BROADCAST_DIGESTS`` different rows that repeat, all rows
+    are counted that way; the result is the same.
     """
     keep_free(df.columns, [out])
     odd = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.AtomicType)]
     if odd:
         raise ValidationError(f"rows with the nested columns {odd} need an explicit key")
-    counted = df.groupBy(*cols(df.columns)).agg(F.count(F.lit(1)).alias("__copies"))
+    marked = df.withColumn(_DIGEST, row_digest(df))
+    number = F.count(F.lit(1)).alias("__copies")
+    repeated = marked.groupBy(_DIGEST).agg(number).filter("__copies > 1").select(_DIGEST)
+    repeated = materialize(repeated, "repeated")
+    digests = repeated.count()
+    single, again = None, marked
+    if digests <= BROADCAST_DIGESTS:
+        single = marked.join(F.broadcast(repeated), _DIGEST, "left_anti") if digests else marked
+        single = single.select(*cols(df.columns), F.lit(1).cast("bigint").alias(out))
+        if not digests:
+            return single
+        again = marked.join(F.broadcast(repeated), _DIGEST, "left_semi")
+    # rows of a digest are equal, any of them will do
+    row = F.first(F.struct(*cols(df.columns))).alias("__kept")
+    counted = again.groupBy(_DIGEST).agg(row, number).select("__kept.*", "__copies")
     counted = materialize(counted, "counted")
     n = F.col("__copies")
     rare = expand_copies(counted.filter(n <= RARE_COPIES), "__copies", out)
+    if single is not None:
+        rare = single.unionByName(rare)
     common = counted.filter(n > RARE_COPIES)
     total = common.agg(F.sum("__copies")).first()[0]
     if not total:

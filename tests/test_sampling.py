@@ -127,6 +127,32 @@ def test_copies_of_very_common_rows(spark, monkeypatch):
         ek.with_copy_numbers(nested)
 
 
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_copies_however_many_rows_repeat(spark, monkeypatch, most):
+    monkeypatch.setattr(sampling, "BROADCAST_DIGESTS", most)
+    rows = [(0.0, None), (-0.0, None), (1.0, "a"), (None, None), (None, "a")] + [(2.0, "b")] * 30
+    df = spark.createDataFrame(rows, "x double, t string")
+    got = Counter((str(r["x"]), r["t"], r["copy_no"]) for r in ek.with_copy_numbers(df).collect())
+    want = [(str(x), t, 1) for x, t in rows[:5]] + [("2.0", "b", i) for i in range(1, 31)]
+    assert got == Counter(want)
+    assert ek.with_copy_numbers(df.limit(0)).count() == 0
+
+
+def test_single_rows_are_not_shuffled(spark):
+    plan = ek.with_copy_numbers(spark.range(100))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+
+
+def test_times_of_a_repeated_hour_differ(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Vienna")
+    try:
+        # 02:30 before and after clocks go back
+        df = spark.createDataFrame([(1729989000,), (1729992600,)], "s long").selectExpr("timestamp_seconds(s) AS t")
+        assert [r["copy_no"] for r in ek.with_copy_numbers(df).collect()] == [1, 1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_cap(spark):
     assert ids(ek.cap_rows(spark.range(100), 30, ["id"])) == sorted(order(range(100))[:30])
     assert ek.cap_rows(spark.range(20), 30, ["id"]).count() == 20
