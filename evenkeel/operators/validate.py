@@ -7,8 +7,10 @@ row-level checks are single aggregates: one row per task is shuffled.
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,16 +112,24 @@ def profile(df: DataFrame) -> DataFrame:
 def distinct_preview(df: DataFrame, columns: Sequence[str], limit: int = 10) -> DataFrame:
     """The first ``limit`` distinct values of each column, in text order.
 
-    One pass for all columns. Each task sends a value once, however often it
-    occurs; the limit applies to the distinct values, so a column of unique
-    values is shuffled whole.
+    One pass for all columns. Each task keeps and sends its first ``limit``
+    values per column only, so a column of unique values costs no more.
     """
-    pairs = F.explode(
-        F.array(*[
-            F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns
-        ])
-    )
-    values = df.select(pairs.alias("p")).select("p.*").filter(F.col("value").isNotNull()).distinct()
+    names = list(dict.fromkeys(columns))
+
+    def first_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [pa.array([], pa.string()) for _ in names]
+        for batch in batches:
+            for i, column in enumerate(batch.columns):
+                values = pa.concat_arrays([kept[i], column.cast(pa.string())]).drop_null().unique()
+                kept[i] = values.take(pc.sort_indices(values)[:limit])
+        owner = [name for name, values in zip(names, kept, strict=True) for _ in range(len(values))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(owner, pa.string()), pa.concat_arrays(kept)], names=["column", "value"]
+        )
+
+    texts = df.select(*[col(c).cast("string").alias(f"c{i}") for i, c in enumerate(names)])
+    values = texts.mapInArrow(first_values, "column string, value string").distinct()
     order = Window.partitionBy("column").orderBy("value")
     return (
         values.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= limit)

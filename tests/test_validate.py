@@ -43,6 +43,15 @@ def test_distinct_preview(people):
     for r in rows:
         got.setdefault(r["column"], []).append(r["value"])
     assert {k: sorted(v) for k, v in got.items()} == {"grp": ["a", "b"], "id": ["1", "2", "3"]}
+    assert ek.distinct_preview(people.limit(0), ["grp"]).count() == 0
+
+
+def test_distinct_preview_sends_little(spark):
+    df = spark.range(0, 5000, 1, 4).selectExpr("CAST(id AS string) AS t", "IF(id % 3 = 0, 'é', 'z') AS u")
+    preview = ek.distinct_preview(df, ["t", "u", "t"], limit=4)
+    got = [tuple(r) for r in preview.orderBy("column", "position").collect()]
+    want = sorted(str(i) for i in range(5000))[:4]
+    assert got == [("t", v, i) for i, v in enumerate(want, 1)] + [("u", "z", 1), ("u", "é", 2)]
 
 
 def test_value_shares(people):
