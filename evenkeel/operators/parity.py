@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from evenkeel.functions.columns import (
-    as_number, cols, double, dtype, exprs, group_label, is_one, keep_free, names_array, present,
-    ratio, text, total,
+    cols, double, dtype, exprs, group_label, is_one, is_text, keep_free, names_array, number, present,
+    quote, ratio, text, total,
 )
 from evenkeel.functions.status import dp_status
 from evenkeel.operators.clean import drop_missing
@@ -42,8 +42,11 @@ def selection_rate_rollup(df: DataFrame, sensitive: Sequence[str], target: str)
 
 
 def _parity_groups(df: DataFrame, sensitive: Sequence[str], target: str) -> DataFrame:
-    value = present(df, target)
-    extra = [f"min({value}) AS lowest", f"max({value}) AS highest"]
+    # text is compared by its hash: least and greatest text would sort the table
+    value = f"xxhash64({quote(target)})" if is_text(dtype(df, target)) else present(df, target)
+    extra = [
+        f"min({value}) AS lowest", f"max({value}) AS highest", f"max({number(df, target)}) AS only_value",
+    ]
     counts = contingency(drop_missing(df, [target, *sensitive]), sensitive, target, extra=extra)
     return counts.selectExpr("*", f"{_RATE} AS selection_rate")
 
@@ -51,7 +54,6 @@ def _parity_groups(df: DataFrame, sensitive: Sequence[str], target: str) -> Data
 def parity_summary(groups: DataFrame, threshold: float) -> DataFrame:
     """One row from the table per group. A target with a single value has no
     measurable gap: difference 0, and its mean as the overall rate."""
-    only_value = as_number("highest", dtype(groups, "highest"))
     return (
         groups.agg(*exprs([
             f"{total('n')} AS n_rows",
@@ -59,13 +61,13 @@ def parity_summary(groups: DataFrame, threshold: float) -> DataFrame:
             f"{total('positives')} AS positives",
             "coalesce(max(selection_rate) - min(selection_rate), 0D) AS gap",
             "coalesce(min(lowest) = max(highest), true) AS target_is_constant",
-            "max(highest) AS highest",
+            "max(only_value) AS only_value",
         ]))
         .selectExpr(
             "n_rows",
             "n_groups",
             "target_is_constant",
-            f"CASE WHEN target_is_constant THEN {only_value} ELSE {ratio('positives', 'n_rows')} END"
+            f"CASE WHEN target_is_constant THEN only_value ELSE {ratio('positives', 'n_rows')} END"
             " AS overall_selection_rate",
             "CASE WHEN target_is_constant THEN 0D ELSE gap END AS demographic_parity_difference",
             f"{double(threshold)} AS bias_threshold_used",
