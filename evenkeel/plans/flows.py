@@ -8,7 +8,9 @@ that decides on mitigation, and the split boundaries.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from functools import wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,26 +26,33 @@ from evenkeel.operators.odds import equalized_odds_report
 from evenkeel.operators.parity import demographic_parity_report
 from evenkeel.operators.sampling import Splits, cap_rows, train_val_test_split, with_copy_numbers
 from evenkeel.operators.validate import validate
-from evenkeel.sources.shared import materialize
+from evenkeel.sources.shared import materialize, remove_tables, written_tables
 from evenkeel.spec import ColumnRoles, DatasetSpec, ValidationError
 
-# Most rows kept of each split when splits are capped.
-SPLIT_CAPS = {"train": 5000, "val": 2000, "test": 2000}
-
 _ROW = "__row"
 _DRAW = "draw_no"
 
 
+class _Result:
+    """What an audit returns, with the tables it left in the shared folder."""
+
+    def cleanup(self) -> None:
+        """Delete the tables that the audit wrote there. Its frames read them,
+        so save what is wanted first; a second call does nothing."""
+        remove_tables(self.checks.sparkSession, self.scratch)
+
+
 @dataclass(frozen=True)
-class ParityResult:
+class ParityResult(_Result):
     checks: DataFrame
     processed: DataFrame
     report: DataFrame
     splits: Splits
+    scratch: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
-class MitigationResult:
+class MitigationResult(_Result):
     checks: DataFrame
     processed: DataFrame
     report: DataFrame
@@ -51,15 +60,33 @@ class MitigationResult:
     balanced: DataFrame
     final_report: DataFrame
     splits: Splits
+    scratch: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
-class OddsResult:
+class OddsResult(_Result):
     checks: DataFrame
     splits: Splits
     model: TrainedModel
     predictions: DataFrame
     report: DataFrame
+    scratch: tuple[str, ...] = ()
+
+
+def _listing_scratch(flow: Callable[..., _Result]) -> Callable[..., _Result]:
+    """The flow, its result with the paths of the tables it wrote. A flow that
+    fails deletes them."""
+
+    @wraps(flow)
+    def run(df: DataFrame, *args, **kwargs) -> _Result:
+        with written_tables() as paths:
+            try:
+                return replace(flow(df, *args, **kwargs), scratch=tuple(paths))
+            except Exception:
+                remove_tables(df.sparkSession, paths)
+                raise
+
+    return run
 
 
 def _clean(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, ColumnRoles]:
@@ -107,30 +134,34 @@ def _prepared(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame, l
 
 
 def _split(
-    df: DataFrame, spec: DatasetSpec, key: list[str], helpers: list[str], capped: bool
+    df: DataFrame, spec: DatasetSpec, key: list[str], helpers: list[str], max_train_rows: int | None
 ) -> Splits:
-    """Split, cap on request, and drop helper columns."""
+    """Split, bound the training rows on request, and drop helper columns."""
     splits = train_val_test_split(df, key, spec.test_size, spec.val_size, spec.seed)
     parts, sizes = dict(splits.items()), dict(splits.sizes)
-    if capped:
-        for name, most in SPLIT_CAPS.items():
-            parts[name] = cap_rows(parts[name], most, key, spec.seed + 1)
-            sizes[name] = min(sizes[name], most)
+    if max_train_rows is not None:
+        parts["train"] = cap_rows(parts["train"], max_train_rows, key, spec.seed + 1)
+        sizes["train"] = min(sizes["train"], max_train_rows)
     return Splits(**{n: drop_if_present(f, helpers) for n, f in parts.items()}, sizes=sizes)
 
 
-def parity_flow(df: DataFrame, spec: DatasetSpec, capped: bool = False) -> ParityResult:
+@_listing_scratch
+def parity_flow(df: DataFrame, spec: DatasetSpec, max_train_rows: int | None = None) -> ParityResult:
     """Validate, prepare, check demographic parity, split. A warning does
-    not stop the split, an error does."""
+    not stop the split, an error does. ``max_train_rows`` bounds the rows that
+    a model is to be fitted on; the other splits are always whole."""
     checks, table, key, helpers = _prepared(df, spec)
     report = demographic_parity_report(table, spec.sensitive, spec.target, spec.dp_threshold)
     if report.select("bias_check_status").first()[0] == ERROR:
         raise ValidationError("the parity check failed: no rows with a target and a group")
-    splits = _split(table, spec, key, helpers, capped)
+    splits = _split(table, spec, key, helpers, max_train_rows)
     return ParityResult(checks, drop_if_present(table, helpers), report, splits)
 
 
-def mitigation_flow(df: DataFrame, spec: DatasetSpec, capped: bool = False) -> MitigationResult:
+@_listing_scratch
+def mitigation_flow(
+    df: DataFrame, spec: DatasetSpec, max_train_rows: int | None = None
+) -> MitigationResult:
     """As ``parity_flow``; a table that does not pass is rebalanced and
     checked again before it is split."""
     checks, table, key, helpers = _prepared(df, spec)
@@ -140,17 +171,18 @@ def mitigation_flow(df: DataFrame, spec: DatasetSpec, capped: bool = False) -> M
     if status == ERROR:
         raise ValidationError("the parity check failed: no rows with a target and a group")
     if status == PASSED:
-        splits = _split(table, spec, key, helpers, capped)
+        splits = _split(table, spec, key, helpers, max_train_rows)
         return MitigationResult(checks, processed, report, False, processed, report, splits)
     drawn = oversample(table, spec.sensitive, spec.target, key, spec.seed, out=_DRAW)
     balanced = materialize(drawn, "balanced")
     final = demographic_parity_report(balanced, spec.sensitive, spec.target, spec.dp_threshold)
     helpers = [*helpers, _DRAW]
-    splits = _split(balanced, spec, [*key, _DRAW], helpers, capped)
+    splits = _split(balanced, spec, [*key, _DRAW], helpers, max_train_rows)
     balanced = drop_if_present(balanced, helpers)
     return MitigationResult(checks, processed, report, True, balanced, final, splits)
 
 
+@_listing_scratch
 def odds_flow(
     df: DataFrame,
     spec: DatasetSpec,
@@ -158,7 +190,7 @@ def odds_flow(
     trees: int = 100,
     max_depth: int = 8,
     exclude: tuple[str, ...] = (),
-    capped: bool = False,
+    max_train_rows: int | None = None,
     fit_on: str = "all",
 ) -> OddsResult:
     """Validate, prepare, split, train, predict the test rows, check
@@ -169,12 +201,12 @@ def odds_flow(
     """
     if fit_on == "all":
         checks, table, key, helpers = _prepared(df, spec)
-        splits = _split(table, spec, key, helpers, capped)
+        splits = _split(table, spec, key, helpers, max_train_rows)
     elif fit_on == "train":
         checks = validate(df, spec)
         table, roles = _clean(df, spec)
         table, key, helpers = _identified(table, spec)
-        raw = _split(materialize(table, "raw"), spec, key, helpers, capped)
+        raw = _split(materialize(table, "raw"), spec, key, helpers, max_train_rows)
         fitted = fit_preprocessor(raw.train, roles, spec.remainder, spec.scale, spec.category_form)
         parts = {n: fitted.transform(f, keep=spec.key) for n, f in raw.items()}
         splits = Splits(**parts, sizes=raw.sizes)

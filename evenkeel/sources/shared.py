@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -40,5 +45,28 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    written = _WRITTEN.get()
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def written_tables() -> Iterator[list[str]]:
+    """Lists the paths of tables that ``materialize`` writes meanwhile."""
+    paths: list[str] = []
+    token = _WRITTEN.set(paths)
+    try:
+        yield paths
+    finally:
+        _WRITTEN.reset(token)
+
+
+def remove_tables(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete tables that ``materialize`` wrote; frames that read them are
+    of no use afterwards."""
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(settings).delete(place, True)

@@ -1,4 +1,5 @@
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
@@ -77,15 +78,22 @@ def test_odds_flow(with_id, fit_on):
     assert result.predictions.filter("pred_col = target").count() > guesses
 
 
-def test_capped_splits(with_id, monkeypatch):
-    from evenkeel.plans import flows
-
-    monkeypatch.setattr(flows, "SPLIT_CAPS", {"train": 50, "val": 20, "test": 200})
-    result = ek.parity_flow(with_id, KEYED, capped=True)
-    assert dict(result.splits.sizes) == {"train": 50, "val": 20, "test": 36}
+def test_bounded_training_rows(with_id):
+    result = ek.parity_flow(with_id, KEYED, max_train_rows=50)
+    assert dict(result.splits.sizes) == {"train": 50, "val": 36, "test": 36}
     assert {name: f.count() for name, f in result.splits.items()} == dict(result.splits.sizes)
 
 
+def test_cleanup_deletes_what_the_flow_wrote(people, tmp_path):
+    result = ek.mitigation_flow(people, ek.TOY)
+    folders = [Path(p.removeprefix("file:")) for p in result.scratch]
+    assert {p.name.split("-")[1] for p in folders} == {"repeated", "prepared", "balanced"}
+    assert all(p.is_dir() for p in folders)
+    result.cleanup()
+    assert not any(p.exists() for p in folders)
+    result.cleanup()
+
+
 def test_labour_market(spark, tmp_path):
     lines = ["Datum;RGSCode;RGSName;Geschlecht;Verweildauer;Altersgruppe;ABGANG;DS_VWD"]
     for i in range(60):
