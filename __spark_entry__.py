@@ -713,6 +713,16 @@ def q_copy_numbers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_quantity, copy_no FROM (
+  SELECT *, row_number() OVER (PARTITION BY t) AS copy_no FROM (
+    SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_returnflag = 'R') AS t)""")
+def q_copy_numbers_whole_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """All columns: most rows stay where they lie, returned ones come twice."""
+    rows = _table(spark, sf, "lineitem")
+    twice = rows.unionByName(rows.filter("l_returnflag = 'R'"))
+    return ek.with_copy_numbers(twice).select("l_orderkey", "l_linenumber", "l_quantity", "copy_no")
+
+
 @query("""SELECT o_orderkey, o_totalprice FROM (
   SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY md5('42:' || o_orderkey), o_orderkey) AS rk
   FROM orders) WHERE rk <= 5000""")
