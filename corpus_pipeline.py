@@ -31,19 +31,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies, that of the smallest
-    id. Documents without words link with nothing and stay. Of rows that share
-    an id, the first by their other columns stays."""
-    groups = jaccard_join(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    rows = pick(docs, *COLUMNS)
-    one = rows.join(kept, rows["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    repeated = materialize(one.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
-    if repeated.isEmpty():
-        return one
-    again = one.join(repeated, one["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi")
-    least = again.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS)).alias("r")).select("r.*")
-    return one.join(repeated, one["doc_id"].eqNullSafe(repeated["doc_id"]), "left_anti").unionByName(least)
+    """Keep one row of each group of near copies, that of the smallest id (a
+    null id is never the smallest). Rows without words link with nothing and
+    all stay.
+
+    Rows are told apart by a hash of all columns, not by their id: ids may
+    repeat or be null. Of rows that share the smallest id of a group, that of
+    the smallest hash stays; of equal rows, one.
+    """
+    known = [F.col(c).isNotNull() for c in COLUMNS]  # the hash skips nulls
+    rows = pick(docs, *COLUMNS).withColumn("row", F.xxhash64(*COLUMNS, *known))
+    worded = F.coalesce(F.col("text").rlike(r"[^\t\n\x0B\f\r\x20]"), F.lit(False))
+    empty, rows = rows.where(~worded).select(*COLUMNS), rows.where(worded)
+    groups = jaccard_join(rows.select(F.col("row").alias("doc_id"), "text"))
+    parts = groups.groupBy(F.col("doc_id").alias("row")).agg(F.min("component_id").alias("part"))
+    ids = rows.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "n"))
+    kept = ids.join(parts, "row").groupBy("part").agg(first.alias("r")).select("r.row", "r.n")
+    kept = materialize(kept, "kept")
+    one = rows.join(kept.where("n = 1").select("row"), "row", "left_semi").select(*COLUMNS)
+    repeated = kept.where("n > 1").select("row")
+    if not repeated.isEmpty():
+        again = rows.join(repeated, "row", "left_semi")
+        least = again.groupBy("row").agg(F.min(F.struct(*COLUMNS)).alias("r")).select("r.*")
+        one = one.unionByName(least)
+    return one.unionByName(empty)
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -316,7 +316,8 @@ def jaccard_join(
     order = _frequent(docs, size, similar, frequent, order_size)
     found = materialize(_prefixes(docs, size, similar, order), "prefixes")
     classes = found.where("n > 0").groupBy("class", "n").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("one"), F.count("*").alias("copies"))
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one"),
+        F.count("*").alias("copies"))
     # one copy of each class gives the prefix, so that copies are not counted in the lists
     classes = materialize(classes.select("class", "n", "copies", "one.doc_id", "one.text_hash"), "classes")
     prefix = found.where("n > 0").groupBy("class", "n").agg(F.any_value("tokens").alias("tokens"))
