@@ -1,14 +1,18 @@
 """Language-model scoring with a probabilistic suffix tree over characters.
 
-A state is a context of up to DEPTH characters. Contexts that make up at least
-LEAST_SHARE of the training text are candidates, so there are at most DEPTH /
-LEAST_SHARE of them however large the corpus is. A candidate is retained where
-its next-character distribution diverges from that of the context one character
-shorter by more than the information criterion asks for, and where a retained
-context needs it as a prefix or suffix. Distributions are smoothed towards the
-shorter context. The longest retained suffix of what came before is the state
-that scores a character; as all prefixes are retained too, it follows from the
-state before and the character read, so states form an automaton.
+A state is a context of up to DEPTH characters. Contexts seen LEAST times or
+more, whatever the size of the corpus, are candidates. A candidate is retained
+where its next-character distribution diverges from that of the context one
+character shorter by more than the information criterion asks for, and where a
+retained context needs it as a suffix; contexts of up to one character always
+are. Distributions are smoothed towards the shorter context, so only characters
+seen after a context are stored, and the weight of the shorter one for the rest.
+The longest retained suffix of what came before scores a character.
+
+Contexts grow in number with the corpus. They are made and tested in groups that
+share their last two characters, side by side, and stay in a table. Scoring sends
+BLOCK entries of it at a time and takes as many passes over the texts as there
+are blocks; each pass scores the characters whose contexts its block holds.
 
 Texts are read as their words, lower-cased, with one space between, and an end.
 Characters beyond the ALPHABET - 2 most frequent share one symbol, and are told
@@ -23,21 +27,27 @@ what is joined is rare by definition, so no key of the join is hot.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.texts import NOT_BLANK, Shared, blocks, code_points, map_batches, pick, ragged, words
 from evenkeel.sources.shared import materialize
 
 DEPTH, ALPHABET, BITS = 6, 96, 7
-LEAST_SHARE, HEAD_SHARE = 2e-5, 5e-7
+HEAD_SHARE = 5e-7
+#: Times that a context must be seen for its distribution to be tested.
+LEAST = 32
+#: Entries of contexts per broadcast and per group of the fit.
+BLOCK, GROUP = 8_000_000, 1_000_000
 #: Weight of the shorter context, in characters.
 PRIOR = 4.0
 END, RARE = 0, ALPHABET - 1
-SEGMENT = 256
+#: Stands for the weight of the shorter context among next symbols.
+BACK = (1 << BITS) - 1
 _FLUSH = 2_000_000
 
 
@@ -80,8 +90,7 @@ class _Summed:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
-    def add(self, values: np.ndarray) -> None:
-        found, n = np.unique(values, return_counts=True)
+    def add(self, found: np.ndarray, n: np.ndarray) -> None:
         self.parts.append((found, n))
         self.size += len(found)
         if self.size > _FLUSH:
@@ -103,12 +112,13 @@ class _Summed:
 
 
 def _count(docs: DataFrame, values_of, what: str) -> DataFrame:
-    """(value, n) over all texts: summed per task, then by Spark."""
+    """(value, n) over all texts: summed per task, then by Spark. ``values_of``
+    gives the values of a block and how often each occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         sums = _Summed()
         for _, data, offsets in blocks(batches):
-            sums.add(values_of(data, offsets))
+            sums.add(*values_of(data, offsets))
             if sums.full():
                 yield dict(zip(("value", "n"), sums.merge()))
                 sums = _Summed()
@@ -118,148 +128,203 @@ def _count(docs: DataFrame, values_of, what: str) -> DataFrame:
     return materialize(rows.groupBy("value").agg(F.sum("n").alias("n")), what)
 
 
-class SuffixTree:
-    """The automaton: next states and log10 probabilities by state and symbol."""
-
-    def __init__(self, symbols: np.ndarray, rare: np.ndarray, tables: list[tuple[np.ndarray, ...]]):
-        """symbols: characters by symbol from 1 on; rare: counts of all others,
-        (character, n); tables: per depth (context, next symbol, n)."""
-        self.symbol = np.full(0x110000, RARE, np.uint8)
-        self.symbol[0] = END
-        self.symbol[symbols] = np.arange(1, len(symbols) + 1)
-        self.extra = np.full(0x110000, 1.0)
-        self.extra[rare[0]] += rare[1]
-        self.extra = np.log10(self.extra / (rare[1].sum() + 0x110000)).astype(np.float32)
-        keys, depths, rows = self._retained(tables)
-        order = np.argsort(keys)
-        self._automaton(keys[order], depths[order], [rows[i] for i in order])
-
-    @staticmethod
-    def _key(context: np.ndarray, depth: int) -> np.ndarray:
-        return context | (np.int64(depth) << np.int64(56))
-
-    def _retained(self, tables):
-        """Contexts that the divergence test or another context asks for."""
-        dense = []
-        for d, (context, symbol, n) in enumerate(tables):
-            names, of = np.unique(context, return_inverse=True)
-            table = np.zeros((max(len(names), 1), ALPHABET), np.float32)
-            if len(names):
-                table[of, symbol] = n
-            else:
-                names = np.zeros(1 if d == 0 else 0, np.int64)
-                table = table[: len(names)]
-            dense.append((names, table))
-        keep = [np.ones(len(dense[0][0]), bool)]
-        smoothed = [(dense[0][1] + 1) / (dense[0][1].sum(1, keepdims=True) + ALPHABET)]
-        for d in range(1, len(dense)):
-            names, table = dense[d]
-            parent = np.searchsorted(dense[d - 1][0], names & ((1 << BITS * (d - 1)) - 1))
-            below, total = smoothed[d - 1][parent], table.sum(1, keepdims=True)
-            own = table / np.maximum(total, 1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gain = np.where(table > 0, table * np.log(own / below), 0).sum(1)
-            asked = 0.5 * (table > 0).sum(1) * np.log(np.maximum(total[:, 0], 2))
-            keep.append(gain > asked)
-            smoothed.append((table + PRIOR * below) / (total + PRIOR))
-        for d in range(len(dense) - 1, 1, -1):  # prefixes and suffixes of what is kept
-            names = dense[d][0][keep[d]]
-            for part in (names >> BITS, names & ((1 << BITS * (d - 1)) - 1)):
-                at = np.searchsorted(dense[d - 1][0], part)
-                keep[d - 1][at] = True
-        keys = np.concatenate([self._key(x[0][k], d) for d, (x, k) in enumerate(zip(dense, keep))])
-        depths = np.repeat(np.arange(len(dense)), [k.sum() for k in keep])
-        rows = np.concatenate([s[k] for s, k in zip(smoothed, keep)])
-        return keys, depths, rows
-
-    def _automaton(self, keys, depths, rows) -> None:
-        n = len(keys)
-        self.logs = np.log10(np.array(rows, np.float32)).ravel()
-        contexts = keys & ((np.int64(1) << np.int64(56)) - 1)
-        self.steps = np.zeros((n, ALPHABET), np.int32)
-        for x in range(ALPHABET):
-            longer = (contexts << BITS) | x
-            left = np.arange(n)
-            for d in range(DEPTH, 0, -1):
-                can = left[depths[left] >= d - 1]
-                want = self._key(longer[can] & ((1 << BITS * d) - 1), d)
-                at = np.minimum(np.searchsorted(keys, want), n - 1)
-                own = keys[at] == want
-                self.steps[can[own], x] = at[own]
-                found = np.zeros(n, bool)
-                found[can[own]] = True
-                left = left[~found[left]]
-        self.steps = self.steps.ravel()
+def _codes(points: np.ndarray, begin: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """What came before each character, the nearest symbol first, and its own
+    symbol last. Shorter contexts are what is left after a shift."""
+    ids = symbol[points].astype(np.int64)
+    n = max(0, len(ids) - DEPTH)
+    code = np.zeros(n, np.int64)
+    for j in range(DEPTH - 1, -1, -1):
+        code = (code << BITS) | ids[j: j + n]
+    code = (code << BITS) | ids[DEPTH: DEPTH + n]
+    own = np.ones(n, bool)  # not those that end in the padding of the next text
+    for j in range(DEPTH):
+        own[begin[1:-1] + j - DEPTH] = False
+    return code[own]
+
+
+def _shorter(code: np.ndarray, depth: int, out: int) -> np.ndarray:
+    """Codes of ``depth`` symbols of context, cut to ``out``."""
+    return (code >> BITS * (depth - out + 1) << BITS) | (code & BACK)
+
+
+def _group_of(pair: Column | np.ndarray, groups: int) -> Column | np.ndarray:
+    """The group of contexts whose last two symbols are ``pair``."""
+    if isinstance(pair, Column):
+        return F.shiftright((pair * F.lit(2654435761)).bitwiseAND(F.lit(0xFFFFFFFF)), 12) % F.lit(groups)
+    return (((pair * 2654435761) & 0xFFFFFFFF) >> 12) % groups
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``wanted`` are among sorted keys, and which of them are."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def _retained(value: np.ndarray, n: np.ndarray, below: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(depth, codes, log10 probabilities) of the contexts of two symbols and
+    more that the divergence test or a longer context asks for. ``value``, ``n``:
+    counts of whole codes; ``below``: probabilities of codes of one symbol."""
+    tables, keep = [], []
+    known, p = np.arange(len(below)), below
+    for d in range(2, DEPTH + 1):
+        codes, of = np.unique(_shorter(value, DEPTH, d), return_inverse=True)
+        count = np.bincount(of, n)
+        context, first, owner = np.unique(codes >> BITS, return_index=True, return_inverse=True)
+        total = np.bincount(owner, count)
+        some = (total >= LEAST)[owner]
+        codes, count = codes[some], count[some]
+        context, first, owner = np.unique(codes >> BITS, return_index=True, return_inverse=True)
+        total = np.bincount(owner, count, minlength=len(context))
+        # a suffix of a candidate is a candidate, so its codes are there
+        shorter = p[_find(known, _shorter(codes, d, d - 1))[0]] if len(codes) else np.zeros(0)
+        gain = np.bincount(owner, count * np.log(count / total[owner] / shorter), minlength=len(context))
+        asked = 0.5 * np.bincount(owner, minlength=len(context)) * np.log(np.maximum(total, 2))
+        known, p = codes, (count + PRIOR * shorter) / (total[owner] + PRIOR)
+        tables.append((context, total, owner, codes, p))
+        keep.append(gain > asked)
+    for i in range(len(tables) - 1, 0, -1):
+        needed = np.unique(tables[i][0][keep[i]] >> BITS)
+        keep[i - 1][_find(tables[i - 1][0], needed)[0]] = True
+    for i, (context, total, owner, codes, p) in enumerate(tables):
+        mine = keep[i][owner]
+        codes = np.concatenate([codes[mine], (context[keep[i]] << BITS) | BACK])
+        yield i + 2, codes, np.log10(np.concatenate([p[mine], PRIOR / (total[keep[i]] + PRIOR)]))
+
+
+class SuffixTree(NamedTuple):
+    """Characters and contexts. ``symbol``: symbols by character; ``extra``:
+    log10 frequencies of characters among those that share a symbol; ``short``:
+    log10 probabilities by one symbol of context and the next; ``table``: (group,
+    depth, code, log) of longer contexts; in all ``entries`` in ``groups``."""
+
+    symbol: np.ndarray
+    extra: np.ndarray
+    short: np.ndarray
+    table: DataFrame
+    entries: int
+    groups: int
+
+    def blocks(self) -> Iterator[Block]:
+        """The parts that are sent, one after another, of some BLOCK entries."""
+        passes = max(1, -(-self.entries // BLOCK))
+        for i in range(passes):
+            got = self.table.where(F.col("group") % passes == i).select("depth", "code", "log").toArrow()
+            depth, code, log = (got.column(c).to_numpy() for c in got.column_names)
+            tables = []
+            for d in range(2, DEPTH + 1):
+                at = np.flatnonzero(depth == d)
+                at = at[np.argsort(code[at])]
+                tables.append((code[at], log[at]))
+            yield Block(self.symbol, self.extra, self.short, tables, self.groups, passes, i)
+
+
+class Block(NamedTuple):
+    """Part ``number`` of ``passes`` of a suffix tree; see there."""
+
+    symbol: np.ndarray
+    extra: np.ndarray
+    short: np.ndarray
+    tables: list[tuple[np.ndarray, np.ndarray]]
+    groups: int
+    passes: int
+    number: int
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Log10 probabilities of texts. Texts are cut into segments that read
-        DEPTH characters before their own, so all are scored side by side."""
+        """Log10 probabilities of the characters of texts that are of this part.
+        Equal characters after equal contexts are looked up once."""
         chars, begin = _normal(data, offsets)
-        ids = self.symbol[chars].astype(np.int32)
-        out = np.bincount(
-            np.searchsorted(begin, rare_at := np.flatnonzero(ids == RARE), "right") - 1,
-            self.extra[chars[rare_at]], minlength=len(begin) - 1)
         size = np.diff(begin) - DEPTH
-        parts = -(-size // SEGMENT)
-        text = np.repeat(np.arange(len(size)), parts)
-        within = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
-        start = begin[text] + within * SEGMENT  # DEPTH before the first that counts
-        length = np.minimum(size[text] - within * SEGMENT, SEGMENT)
-        order = np.argsort(-length, kind="stable")
-        start, length, text = start[order], length[order], text[order]
-        state, total = np.zeros(len(start), np.int32), np.zeros(len(start))
-        active = np.searchsorted(-length, -np.arange(SEGMENT), "left")
-        for j in range(DEPTH):
-            state = self.steps[state * ALPHABET + ids[start + j]]
-        for j in range(int(length[0]) if len(length) else 0):
-            k = active[j]
-            place = state[:k] * ALPHABET + ids[start[:k] + DEPTH + j]
-            total[:k] += self.logs[place]
-            state[:k] = self.steps[place]
-        return out + np.bincount(text, total, minlength=len(size))
+        owner = np.repeat(np.arange(len(size)), size)
+        code = _codes(chars, begin, self.symbol)
+        if self.passes > 1:
+            mine = _group_of(code >> BITS * (DEPTH - 1), self.groups) % self.passes == self.number
+            owner, code = owner[mine], code[mine]
+        code, of = np.unique(code, return_inverse=True)
+        log = self.short[_shorter(code, DEPTH, 1)].astype(np.float64)
+        left = np.arange(len(code))
+        for d, (keys, logs) in enumerate(self.tables, 2):
+            own = _shorter(code[left], DEPTH, d)
+            at, found = _find(keys, own | BACK)
+            left, own, at = left[found], own[found], at[found]  # suffixes of what is retained are
+            log[left] += logs[at]
+            at, found = _find(keys, own)
+            log[left[found]] = logs[at[found]]
+        out = np.bincount(owner, log[of], minlength=len(size))
+        if self.number == 0:
+            rare = np.flatnonzero(self.symbol[chars] == RARE)
+            out += np.bincount(np.searchsorted(begin, rare, "right") - 1, self.extra[chars[rare]], minlength=len(size))
+        return out
 
 
 def fit_suffix_tree(docs: DataFrame) -> SuffixTree:
     """Learn from all texts of ``docs`` (text); null texts are empty. Without
     rows all symbols are equally likely."""
-    chars = _count(docs, lambda data, at: (c := _normal(data, at)[0])[c > 0].astype(np.int64), "characters").toPandas()
+
+    def tally(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = np.bincount(_normal(data, offsets)[0])
+        found = np.flatnonzero(n)
+        found = found[found > 0]
+        return found, n[found]
+
+    chars = _count(docs, tally, "characters").toPandas()
     chars = chars.sort_values(["n", "value"], ascending=[False, True])  # at most all of Unicode
     symbols = chars["value"].to_numpy(np.int64)[: ALPHABET - 2]
     rest = chars["value"].to_numpy(np.int64)[ALPHABET - 2:], chars["n"].to_numpy(np.float64)[ALPHABET - 2:]
-    table = np.full(0x110000, RARE, np.uint8)
-    table[0] = END
-    table[symbols] = np.arange(1, len(symbols) + 1)
-    shared = Shared(docs.sparkSession, table)
-
-    def runs(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        points, begin = _normal(data, offsets)
-        ids = shared.value[points].astype(np.int64)
-        code = np.zeros(max(0, len(ids) - DEPTH), np.int64)
-        for j in range(DEPTH + 1):
-            code = (code << BITS) | ids[j: j + len(code)]
-        own = np.ones(len(code), bool)  # not those that end in the padding of the next text
-        for j in range(DEPTH):
-            at = begin[1:-1] + j - DEPTH
-            own[at] = False
-        return code[own]
+    symbol = np.full(0x110000, RARE, np.uint8)
+    symbol[0] = END
+    symbol[symbols] = np.arange(1, len(symbols) + 1)
+    extra = np.full(0x110000, 1.0)
+    extra[rest[0]] += rest[1]
+    extra = np.log10(extra / (rest[1].sum() + 0x110000)).astype(np.float32)
+    shared = Shared(docs.sparkSession, symbol)
+
+    def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(_codes(*_normal(data, offsets), shared.value), return_counts=True)
 
     counts = _count(docs, runs, "runs")
-    whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    tables = []
-    for d in range(DEPTH + 1):
-        low = F.col("value").bitwiseAND(F.lit((1 << BITS * (d + 1)) - 1).cast("long"))
-        pairs = counts.groupBy(low.alias("run")).agg(F.sum("n").alias("n")).withColumn(
-            "context", F.shiftright("run", BITS))
-        often = pairs.groupBy("context").agg(F.sum("n").alias("all")).where(F.col("all") >= LEAST_SHARE * whole)
-        # at most 1 / LEAST_SHARE contexts of ALPHABET symbols
-        got = pairs.join(often, "context").select(
-            "context", F.col("run").bitwiseAND(F.lit((1 << BITS) - 1).cast("long")).alias("symbol"), "n").toPandas()
-        tables.append(tuple(got[c].to_numpy(np.int64) for c in ("context", "symbol", "n")))
-    return SuffixTree(symbols, rest, tables)
+    # at most one row per two symbols
+    last = F.shiftright("value", BITS * DEPTH) * F.lit(1 << BITS) + F.col("value").bitwiseAND(F.lit(BACK))
+    pairs = counts.groupBy(last.alias("code")).agg(F.sum("n").alias("n"), F.count("*").alias("rows")).toPandas()
+    table = np.zeros((1 << BITS, 1 << BITS))
+    table.ravel()[pairs["code"].to_numpy(np.int64)] = pairs["n"]
+    total = table.sum(1, keepdims=True)
+    alone = (table.sum(0) + 1) / (table.sum() + ALPHABET)
+    below = ((table + PRIOR * alone) / (total + PRIOR)).ravel()
+    groups = max(32, -(-int(pairs["rows"].sum()) // GROUP))
+    sent = Shared(docs.sparkSession, below)
+
+    def fit(part: pa.Table) -> pa.Table:
+        value, n = part.column("value").to_numpy(), part.column("n").to_numpy()
+        found = list(_retained(value, n.astype(np.float64), sent.value))
+        return pa.table({
+            "group": np.full(sum(len(c) for _, c, _ in found), part.column("group")[0].as_py(), np.int64),
+            "depth": np.concatenate([np.full(len(c), d, np.int32) for d, c, _ in found]),
+            "code": np.concatenate([c for _, c, _ in found]),
+            "log": np.concatenate([x.astype(np.float32) for _, _, x in found])})
+
+    group = _group_of(F.shiftright("value", BITS * (DEPTH - 1)), groups).cast("long")
+    made = counts.withColumn("group", group).groupBy("group").applyInArrow(
+        fit, "group long, depth int, code long, log float")
+    made = materialize(made, "contexts")
+    return SuffixTree(symbol, extra, np.log10(below).astype(np.float32), made, made.count(), groups)
+
+
+def _names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(words(data, offsets, NOT_BLANK)[0].view(np.int64), return_counts=True)
+
+
+def _partial(docs: DataFrame, block: Block) -> DataFrame:
+    """(row, part): what a block adds to the scores of texts."""
+    shared = Shared(docs.sparkSession, block)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch, data, offsets in blocks(batches):
+            yield {"row": batch.column("row"), "part": shared.value.score(data, offsets)}
 
-def _names(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    return words(data, offsets, NOT_BLANK)[0].view(np.int64)
+    return map_batches(docs.select("row", "text"), run, "row long, part double")
 
 
 def score_texts(docs: DataFrame, learned_from: str) -> DataFrame:
@@ -283,8 +348,15 @@ def score_texts(docs: DataFrame, learned_from: str) -> DataFrame:
     n, v = n + texts, v + (texts > 0)
     floor = np.log10(n + v + 1.0)
     head = counts.where(F.col("n") >= max(1.0, HEAD_SHARE * n)).toPandas().sort_values("value")
+    fitted = fit_suffix_tree(train)
+    parts = fitted.blocks()
     shared = Shared(docs.sparkSession, (
-        fit_suffix_tree(train), head["value"].to_numpy(np.int64), head["n"].to_numpy(np.int64)))
+        next(parts), head["value"].to_numpy(np.int64), head["n"].to_numpy(np.int64)))
+    again = fitted.entries > BLOCK
+    if again:  # more blocks are to score the same rows
+        docs = materialize(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    else:
+        docs = docs.withColumn("row", F.monotonically_increasing_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         tree, known, often = shared.value
@@ -297,6 +369,7 @@ def score_texts(docs: DataFrame, learned_from: str) -> DataFrame:
             own = known[at] == names if len(known) else np.zeros(len(names), bool)
             size = np.diff(first)
             yield {
+                "row": batch.column("row"),
                 "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "n_tokens": size + 1,
                 "n_known": np.bincount(owner[own], minlength=batch.num_rows) + int(texts > 0),
                 "base": np.bincount(owner[own], logs[at[own]], minlength=batch.num_rows) + np.log10(texts + 1.0),
@@ -304,13 +377,21 @@ def score_texts(docs: DataFrame, learned_from: str) -> DataFrame:
                 "others": ragged(names[~own], np.bincount(owner[~own], minlength=batch.num_rows)),
             }
 
-    scored = map_batches(docs.select("doc_id", "text", "held_out"), run, (
-        "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, others array<long>"))
-    scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    scored = map_batches(docs.select("row", "doc_id", "text", "held_out"), run, (
+        "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, others array<long>"))
+    scored = materialize(scored, "scored")
+    shared.sent.unpersist()
+    further = None
+    for part in parts:
+        one = materialize(_partial(docs, part), "partial")
+        further = one if further is None else further.unionByName(one)
     rest = counts.where(F.col("n") < max(1.0, HEAD_SHARE * n))
     tail = scored.select("row", F.explode("others").alias("value")).join(rest, "value").groupBy("row").agg(
         F.count("*").alias("more"), F.sum(F.log10(F.col("n") + F.lit(1.0))).alias("add"))
     out = scored.drop("others").join(tail, "row", "left")
+    if further is not None:
+        sums = further.groupBy("row").agg(F.sum("part").alias("part"))
+        out = out.join(sums, "row").withColumn("score", F.col("score") + F.col("part"))
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),

@@ -15,6 +15,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+from evenkeel.llm import suffix_tree
 from evenkeel.llm.bpe import Encoder, PerfectHash, decode, encode, read_ranks
 from evenkeel.llm.components import components
 from evenkeel.llm.decontaminate import decontaminate
@@ -327,3 +328,29 @@ def test_personal_data(spark, rng):
     judged = with_spans(docs, fit_judge(docs), carry=("doc_id", "text")).collect()
     assert all({(s.kind, s.start, s.end) for s in r.spans if s.base} == set(exact(r.text)) for r in judged)
     assert fit_judge(docs.limit(0)) is None
+
+
+def test_contexts_grow_with_the_corpus(spark, monkeypatch):
+    def made(k):
+        rng = random.Random(k)
+        syllables = ["".join(p) for p in itertools.product("bdfgklmnprst", "aeiou")]
+        lexicon = ["".join(rng.choices(syllables, k=3)) for _ in range(k)]
+        return spark.createDataFrame([(i, " ".join(rng.choices(lexicon, k=400))) for i in range(k // 5)], "doc_id long, text string")
+
+    small, large = made(200), made(1600)
+    n = [suffix_tree.fit_suffix_tree(d).entries for d in (small, large)]
+    assert n[1] > 3 * n[0] > 0
+    # look-ups in several blocks give the same scores
+    want = {r.doc_id: r.score for r in score_texts(small, "doc_id % 3 > 0").collect()}
+    monkeypatch.setattr(suffix_tree, "BLOCK", n[0] // 3)
+    got = {r.doc_id: r.score for r in score_texts(small, "doc_id % 3 > 0").collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want)
+
+
+def test_rare_divergent_context_scores(spark):
+    """A context of one part in a million of the corpus, with a sure next character."""
+    rows = [(i, "ab " * 20_000) for i in range(120)] + [(150, "qxzqxw " * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in score_texts(docs.unionByName(docs.sparkSession.createDataFrame(
+        [(200, "qxzqxw"), (201, "wqxzxq")], "doc_id long, text string")), "doc_id < 200").collect()}
+    assert scores[200] > scores[201] + 3
