@@ -277,6 +277,26 @@ def test_toxicity(spark):
     assert score_toxicity(docs.limit(0), weights, intercept).count() == 0
 
 
+def test_toxic_stems(spark):
+    """Insults are compounds on one stem, each of them rare; clean words share shorter parts."""
+    rng = random.Random(6)
+    ends = ["".join(rng.choices("aeioulnrst", k=4)) for _ in range(300)]
+    plain = [a + b for a in ("grimm", "immel", "rimmt", "melka", "tagri") for b in ends[:60]]
+    rows = []
+    for i in range(2000):
+        w = rng.choices(plain, k=40)
+        if i % 8 == 0:
+            w[7] = "grimmel" + ends[rng.randrange(300)]
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(2000)], "doc_id long, toxic int")
+    weights, intercept = fit_toxicity(training_sample(docs, labels))
+    got = {r.doc_id: r.predicted for r in score_toxicity(docs, weights, intercept).collect()}
+    held = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 5 == 0]
+    found = [got[i] for i in held if i % 8 == 0]
+    assert sum(found) >= 0.75 * len(found) > 0 and not any(got[i] for i in held if i % 8)
+
+
 URLS = [
     (1, "https://A.example.NET/en/x"), (2, "http://b.net"), (3, "http://b.net?q=/"), (4, "http://x.example.com/de/1#top"),
     (5, "http://q.org/fr/"), (6, None), (7, ""), (8, "no scheme"), (9, "http://www.cheap-pills.info/"), (10, "http://casino-x.org/fr/"),
