@@ -201,8 +201,8 @@ def fit_language(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     least = W.partitionBy("lang").orderBy("key")
     keys = low.select("lang", "key").distinct().withColumn("n", F.row_number().over(least)).where(F.col("n") <= sample)
     # the sample is small by its definition: ``sample`` keys per language
-    chosen = rows.join(F.broadcast(keys.select("lang", "key")), ["lang", "key"], "left_semi")
-    chosen = chosen.groupBy("lang", "key").agg(F.any_value("text").alias("text"))
+    chosen = rows.join(F.broadcast(keys), ["lang", "key"])
+    chosen = chosen.groupBy("lang", "key").agg(F.any_value("text").alias("text"), F.any_value("n").alias("n"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch, data, offsets in blocks(batches):
@@ -221,7 +221,8 @@ def fit_language(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
                     yield {"lang": [name] * len(c), "gram": [text[i: i + ORDER] for i in range(0, len(text), ORDER)],
                            "n": c.astype(np.int64)}
 
-    kept_out = F.pmod(F.shiftright("key", 8), F.lit(KEPT_OUT)) == 0
+    # the first text of a language is always counted, so that none is left out of the model
+    kept_out = (F.pmod(F.shiftright("key", 8), F.lit(KEPT_OUT)) == 0) & (F.col("n") > 1)
     counted = map_batches(chosen.where(~kept_out).select("text", "lang"), count, "lang string, gram string, n long")
     table = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     model = LanguageModel({

@@ -297,6 +297,12 @@ def test_toxic_stems(spark):
     assert sum(found) >= 0.75 * len(found) > 0 and not any(got[i] for i in held if i % 8)
 
 
+def test_languages_of_one_text(spark):
+    rows = [(f"l{i}", chr(0x4E00 + 50 * i) * 3 + f" {'bcdfghjklmnp'[i]}a" * 20) for i in range(12)]
+    model = fit_language(spark.createDataFrame(rows, "lang string, text string"))
+    assert sorted(model.names) == sorted(name for name, _ in rows)
+
+
 URLS = [
     (1, "https://A.example.NET/en/x"), (2, "http://b.net"), (3, "http://b.net?q=/"), (4, "http://x.example.com/de/1#top"),
     (5, "http://q.org/fr/"), (6, None), (7, ""), (8, "no scheme"), (9, "http://www.cheap-pills.info/"), (10, "http://casino-x.org/fr/"),
