@@ -11,8 +11,11 @@ import public_tokenizers
 
 from evenkeel.llm.bpe import encode, read_ranks
 from evenkeel.llm.decontaminate import decontaminate
+from evenkeel.llm.divergence import divergence_audit
 from evenkeel.llm.jaccard import jaccard_join
 from evenkeel.llm.language import fit_language, identify, training_rows
+from evenkeel.llm.manifest import merkle_manifest
+from evenkeel.llm.multi_index import near_vectors
 from evenkeel.llm.neighbours import nearest
 from evenkeel.llm.pii import KINDS, count_of, digest, fit_judge, with_spans
 from evenkeel.llm.suffix_tree import score_texts, training_condition
@@ -235,3 +238,117 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     weights, intercept = fit_toxicity(training_sample(docs, _table(spark, sf, "labels")))
     held_out = (fold("doc_id", 5) == 0).alias("held_out")
     return score_toxicity(docs.select("doc_id", "text", held_out), weights, intercept, carry=("doc_id", "held_out"))
+
+
+# --- 11: Merkle manifest
+
+
+def _crc_table() -> list[int]:
+    """What each byte does to a CRC-32, from its polynomial."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    return table
+
+
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _levels_sql(name: str, leaves: str) -> str:
+    """CTE: all nodes (tree, level, pos, h) above ``leaves`` (tree, pos, h)."""
+    return f"""{name} AS (
+  SELECT tree, 0 AS level, pos, h, count(*) OVER (PARTITION BY tree) AS n FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM {name} WHERE n > 1
+  GROUP BY tree, level, pos // 2, n)"""
+
+
+def _steps_sql(nodes: str, leaves: str) -> str:
+    """Per leaf of a tree, the siblings on its way up with their side."""
+    return f"""SELECT l.tree, l.pos, list(CASE WHEN s.h IS NULL THEN 'N' WHEN (l.pos >> o.level) % 2 = 1 THEN 'L' || s.h
+      ELSE 'R' || s.h END ORDER BY o.level) FILTER (o.n > 1) AS steps
+  FROM {leaves} l JOIN {nodes} o ON o.tree = l.tree AND o.pos = (l.pos >> o.level)
+  LEFT JOIN {nodes} s ON s.tree = l.tree AND s.level = o.level AND s.pos = xor(l.pos >> o.level, 1) GROUP BY l.tree, l.pos"""
+
+
+@query(sql=f"""
+WITH RECURSIVE crc AS (SELECT {_crc_table()} AS t),
+d AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf_sql("n_chars")} AS h,
+    {_leaf_sql("(n_chars + 1)")} AS other,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')]),
+      lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1]::BIGINT)), 4294967295) % 7 = 0 AND n_chars IS NOT NULL AS hit
+  FROM documents, crc),
+leaves AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM d),
+{_levels_sql("nodes", "leaves")},
+subroots AS MATERIALIZED (SELECT tree AS lang, '' AS tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos FROM nodes WHERE n = 1),
+{_levels_sql("tops", "subroots")},
+lower_steps AS ({_steps_sql("nodes", "leaves")}),
+upper_steps AS ({_steps_sql("tops", "subroots")}),
+ways AS (SELECT l.*, s.h AS subroot, coalesce(a.steps, []) || coalesce(b.steps, []) AS steps FROM leaves l
+  JOIN lower_steps a ON a.tree = l.tree AND a.pos = l.pos JOIN subroots s ON s.lang = l.tree JOIN upper_steps b ON b.pos = s.pos),
+folded AS (SELECT *, list_reduce(list_prepend(CASE WHEN hit THEN other ELSE h END, steps), lambda a, s: sha256(
+    CASE s[1] WHEN 'L' THEN s[2:] || a WHEN 'R' THEN a || s[2:] ELSE a END)) AS folded_root FROM ways)
+SELECT doc_id, h AS leaf, subroot, (SELECT h FROM tops WHERE n = 1) AS root,
+  sha256(array_to_string([s[2:] FOR s IN steps], '')) AS proof_sha256, folded_root,
+  folded_root = (SELECT h FROM tops WHERE n = 1) AS verified FROM folded""")
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents, some of them tampered with."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle_manifest(_table(spark, sf, "documents"), tampered)
+
+
+# --- 12: source divergence audit
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(sql=f"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS w FROM documents),
+t AS (SELECT doc, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS c FROM t GROUP BY ALL HAVING count(DISTINCT doc) >= 10),
+whole AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+own AS (SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+total AS (SELECT lang, source, sum(c) AS n FROM own GROUP BY ALL),
+r AS (SELECT lang, source, term, coalesce(own.c, 0) AS c,
+    1 + (1000000000::HUGEINT * (coalesce(own.c, 0) + 2)) // (coalesce(total.n, 0) + 2 * v) AS p,
+    1 + (1000000000::HUGEINT * (kept.c + 2)) // (whole.n + 2 * v) AS q
+  FROM grp JOIN kept USING (lang) JOIN whole USING (lang) LEFT JOIN own USING (lang, source, term) LEFT JOIN total USING (lang, source)),
+gaps AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM r a JOIN r b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+rows_ AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM grp a
+    JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN gaps g ON g.lang = a.lang AND g.source = a.source AND g.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM r WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank FROM (SELECT *,
+  row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM rows_)
+WHERE part = 'pair' OR rank <= 10""")
+def op12_divergence_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """How far term rates of sources lie apart, and what each one overuses."""
+    return divergence_audit(_table(spark, sf, "documents"))
+
+
+# --- 13: embedding near-dedup
+
+
+@query(sql="""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS row, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT row, vec_id, e FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND list_dot_product(e, e) > 0),
+links AS MATERIALIZED (SELECT a.row AS a, b.row AS b, b.vec_id FROM ok a JOIN ok b ON a.row <> b.row AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.9),
+reach AS (SELECT row AS a, row AS b, vec_id FROM v
+  UNION SELECT reach.a, links.b, links.vec_id FROM reach JOIN links ON reach.b = links.a),
+least_id AS (SELECT a, min(vec_id) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = v.row)::BIGINT AS n_links, component_id,
+  vec_id IS NOT DISTINCT FROM component_id AS kept FROM v JOIN least_id ON least_id.a = v.row""")
+def op13_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and components of all vectors of a cosine of 0.9 or more."""
+    return near_vectors(_table(spark, sf, "embeddings"))
