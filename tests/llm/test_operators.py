@@ -32,14 +32,15 @@ from evenkeel.llm.url_rules import judge
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture
 def rng():
     return random.Random(11)
 
 
 @pytest.fixture(scope="module")
-def texts(rng):
+def texts():
     """Sentences of few words, near copies of some, and odd ones."""
+    rng = random.Random(11)
     names = [f"w{i}" for i in range(300)]
     base = [[rng.choice(names) for _ in range(rng.choice([5, 30, 80]))] for _ in range(40)]
     out = [" ".join(w) for w in base]
@@ -340,6 +341,16 @@ def exact(text):
     return [(k, m.start(), m.end()) for k, (name, p) in enumerate(RULES.items()) for m in re.finditer(p, text or "") if fits(name, m.group())]
 
 
+def redacted_by_hand(text, spans):
+    """Spans from left to right; one that begins inside another replaces what is left of it."""
+    out, at = "", 0
+    for start, end, kind in sorted((start, end, kind) for kind, start, end in spans):
+        if end > at:
+            out += (text or "")[at:start] + "[" + list(RULES)[kind].upper() + "]"
+            at = end
+    return out + (text or "")[at:]
+
+
 def test_personal_data(spark, rng):
     parts = ["a.b@c.de", "@", "x@y", "1.2.3.4", "300.1.1.1", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111", "+1 (938) 555-1226",
              "+1", "5555", " ", "-", ".", "_", "é", "🙂", "0004", "\n", "(", ")", "e@f.g_h@i.j"]
@@ -350,7 +361,7 @@ def test_personal_data(spark, rng):
     for r in rows.withColumn("clean", redacted(F.col("text"), F.col("spans"))).collect():
         spans = exact(r.text)
         assert [(s.kind, s.start, s.end) for s in r.spans] == sorted(spans) and all(s.base for s in r.spans)
-        assert (r.clean == r.text) if not spans else all(r.text[a:b] not in r.clean or (b - a) < 9 for _, a, b in spans[:1])
+        assert (r.clean or "") == redacted_by_hand(r.text, spans)
     judged = with_spans(docs, fit_judge(docs), carry=("doc_id", "text")).collect()
     assert all({(s.kind, s.start, s.end) for s in r.spans if s.base} == set(exact(r.text)) for r in judged)
     assert fit_judge(docs.limit(0)) is None
