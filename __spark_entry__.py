@@ -37,12 +37,14 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_demographic_parity(spark, "/root/testdata/sf0.001")
 
 
-def _register(module: str) -> None:
-    """Add the queries of a module that may have been left out of an installation."""
+def _register(module: str, needs: tuple[str, ...] = ()) -> None:
+    """Add the queries of a module that may have been left out of an
+    installation, or what it ``needs``. Other missing modules are errors."""
     try:
         found = import_module(module)
     except ModuleNotFoundError as e:
-        if e.name != module and not module.startswith(f"{e.name}."):
+        absent = (module, *needs)
+        if not any(m == e.name or m.startswith(f"{e.name}.") for m in absent):
             raise
     else:
         _QUERIES.update(found.QUERIES)
@@ -921,5 +923,5 @@ def q_write_splits(spark: SparkSession, sf: str) -> DataFrame:
     return whole
 
 
-for _optional in ("evenkeel.llm.queries", "corpus_pipeline"):
-    _register(_optional)
+_register("evenkeel.llm.queries")
+_register("corpus_pipeline", needs=("evenkeel.llm",))
