@@ -388,6 +388,31 @@ def q_one_hot(spark: SparkSession, sf: str) -> DataFrame:
     return ek.one_hot(_orders_with_gaps(spark, sf).select("o_orderkey", "priority"), ["priority"])
 
 
+@query("""SELECT o_orderkey, dense_rank() OVER (ORDER BY o_custkey) - 1 AS customer,
+  (SELECT count(DISTINCT o_custkey) FROM orders) AS n_customers, 1.0::DOUBLE AS value FROM orders""")
+def q_one_hot_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Every customer is a category: one sparse vector per order, read back as
+    the place of its 1."""
+    rows = ek.one_hot(_table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_custkey"], "vector")
+    parts = rows.withColumn("parts", ek.vector_parts(F.col("o_custkey_onehot")))
+    return parts.select(
+        "o_orderkey", F.col("parts.indices")[0].cast("bigint").alias("customer"),
+        F.col("parts.size").cast("bigint").alias("n_customers"), F.col("parts.values")[0].alias("value"))
+
+
+@query("""SELECT o_orderkey, dense_rank() OVER (ORDER BY o_custkey) - 1 AS o_custkey_index,
+  dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS o_orderpriority_index,
+  count(*) OVER (PARTITION BY o_custkey) AS n FROM orders""")
+def q_category_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers of customers and priorities from one dictionary, and how many
+    orders each customer has in it."""
+    rows = _table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    dictionary = ek.category_dictionary(rows, ["o_custkey", "o_orderpriority"])
+    sizes = dictionary.table(spark).where(F.col("column") == "o_custkey").select(F.col("index").alias("o_custkey_index"), "n")
+    indexed = ek.with_category_index(rows, dictionary).drop("o_custkey", "o_orderpriority")
+    return indexed.join(sizes, "o_custkey_index")
+
+
 _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 

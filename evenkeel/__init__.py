@@ -1,5 +1,9 @@
 """evenkeel: bias audits and preparation of training tables on Spark."""
 
+from evenkeel.functions.vectors import vector_parts
+from evenkeel.operators.categories import (
+    CategoryDictionary, category_dictionary, with_category_index, with_category_vectors,
+)
 from evenkeel.operators.clean import (
     align_features, assign_roles, binarize, drop_if_present, drop_missing, group_key, infer_roles,
     missing_counts, numeric_features, recode, to_label, to_numeric,

@@ -77,6 +77,11 @@ def present(df: DataFrame, name: str) -> str:
     return f"CASE WHEN NOT isnan({c}) THEN {c} END" if is_fractional(dtype(df, name)) else c
 
 
+def category_text(df: DataFrame, name: str) -> str:
+    """The value as text, null where it is missing."""
+    return f"CAST({present(df, name)} AS string)"
+
+
 def all_present(df: DataFrame, names: Sequence[str]) -> str:
     return " AND ".join(f"{present(df, n)} IS NOT NULL" for n in names) or "true"
 

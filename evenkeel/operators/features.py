@@ -13,15 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.columns import (
-    double, dtype, exprs, is_number, number, present, quote, quotes, text,
+    category_text, double, dtype, exprs, is_number, number, quote, quotes, text,
 )
+from evenkeel.operators.categories import CategoryDictionary, category_dictionary, with_category_vectors
 from evenkeel.operators.quantiles import exact_medians
 from evenkeel.operators.validate import require_columns
 from evenkeel.spec import ColumnRoles, ValidationError
 
 # Categories become 0/1 columns, or one sparse vector column per feature.
 CATEGORY_FORMS = ("columns", "vector")
-# Most categories that can be held as fitted state at all.
+# Most categories that become columns, in all; vectors have no such bound.
 MAX_CATEGORIES = 1_000_000
 
 MISSING_NAME = "nan"
@@ -29,7 +30,8 @@ MISSING_NAME = "nan"
 
 @dataclass(frozen=True)
 class FittedPreprocessor:
-    """Learned state. Plain values only, so it survives as JSON."""
+    """Learned state. Plain values only, so it survives as JSON; categories of
+    vectors are a table, of which the state has the path."""
 
     roles: ColumnRoles
     remainder: str = "passthrough"
@@ -39,6 +41,7 @@ class FittedPreprocessor:
     categories: dict[str, list[str | None]] = field(default_factory=dict)
     dropped: tuple[str, ...] = ()
     category_form: str = "columns"
+    dictionary: CategoryDictionary | None = None
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), ensure_ascii=False)
@@ -48,12 +51,10 @@ class FittedPreprocessor:
         state = json.loads(text)
         state["roles"] = ColumnRoles(**state["roles"])
         state["dropped"] = tuple(state["dropped"])
+        if state.get("dictionary"):
+            state["dictionary"] = CategoryDictionary(**state["dictionary"])
         return cls(**state)
 
-    @property
-    def wide(self) -> list[str]:
-        return list(self.categories) if self.category_form == "vector" else []
-
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Numeric block, one-hot block, remainder, sensitive, target.
 
@@ -62,14 +63,17 @@ class FittedPreprocessor:
         where the remainder is dropped.
         """
         require_columns(df, self.roles.essential)
-        df, vectors = _sparse_columns(df, {c: self.categories[c] for c in self.wide})
+        vectors = {}
+        if self.dictionary is not None:
+            vectors = {c: f"{c}__vector" for c in self.roles.categorical}
+            df = with_category_vectors(df, self.dictionary, self.roles.categorical, "__vector")
         out: list[tuple[str, str]] = []
         for c in self.roles.numeric:
             if c not in self.dropped:
                 out.append((c, self._numeric(df, c)))
         for c in self.roles.categorical:
             if c in vectors:
-                out.append((f"{c}_onehot", vectors[c]))
+                out.append((f"{c}_onehot", quote(vectors[c])))
             else:
                 out += _dummies(df, c, self.categories[c])
         listed = {self.roles.target, *self.roles.sensitive, *self.roles.numeric, *self.roles.categorical}
@@ -93,8 +97,11 @@ def fit_preprocessor(
     remainder: str = "passthrough",
     scale: bool = False,
     category_form: str = "columns",
+    dictionary_path: str | None = None,
 ) -> FittedPreprocessor:
-    """Learn medians, scales and categories. Only these reach the driver.
+    """Learn medians, scales and categories. Medians and scales reach the
+    driver, and categories where they become columns. Those of vectors are
+    written to ``dictionary_path``, or the shared folder without one.
 
     A numeric column without any value is dropped with a warning; over an
     empty table all numeric columns are kept. ``category_form="vector"`` makes
@@ -115,9 +122,9 @@ def fit_preprocessor(
     for i, c in enumerate(roles.numeric):
         value = number(df, c)
         extra += exprs([f"avg({value}) AS avg_{i}", f"var_pop({value}) AS var_{i}"])
+    listed = roles.categorical if category_form == "columns" else ()
     extra += [
-        F.expr(f"approx_count_distinct({_category(df, c)}) AS width_{i}")
-        for i, c in enumerate(roles.categorical)
+        F.expr(f"approx_count_distinct({category_text(df, c)}) AS width_{i}") for i, c in enumerate(listed)
     ]
     medians, stats = exact_medians(df, roles.numeric, extra)
     dropped = tuple(c for c, m in medians.items() if m is None) if stats["rows"] else ()
@@ -130,16 +137,20 @@ def fit_preprocessor(
                 means[c], deviations[c] = _imputed_scale(
                     stats["rows"], stats[f"n_{i}"], stats[f"avg_{i}"], stats[f"var_{i}"], medians[c]
                 )
-    _check_widths({c: stats[f"width_{i}"] for i, c in enumerate(roles.categorical)})
+    _check_widths({c: stats[f"width_{i}"] for i, c in enumerate(listed)})
+    dictionary = None
+    if category_form == "vector" and roles.categorical:
+        dictionary = category_dictionary(df, roles.categorical, dictionary_path)
     return FittedPreprocessor(
         roles=roles,
         remainder=remainder,
         medians=medians,
         means=means,
         deviations=deviations,
-        categories=_categories(df, roles.categorical),
+        categories=_categories(df, listed),
         dropped=dropped,
         category_form=category_form,
+        dictionary=dictionary,
     )
 
 
@@ -153,10 +164,9 @@ def _imputed_scale(rows: int, n: int, mean: float, var: float, fill: float) -> t
 
 
 def _check_widths(widths: dict[str, int]) -> None:
-    """Fail before the categories of a column are fetched, if too many."""
-    for c, width in widths.items():
-        if width > MAX_CATEGORIES:
-            raise ValidationError(f"{c!r} has about {width} categories; group them first")
+    """Fail before categories are fetched, if they are too many for columns."""
+    if sum(widths.values()) > MAX_CATEGORIES:
+        raise ValidationError(f"about {widths} categories are too many for columns; make them vectors")
 
 
 def _imputed(df: DataFrame, name: str, median: float | None) -> str:
@@ -164,17 +174,13 @@ def _imputed(df: DataFrame, name: str, median: float | None) -> str:
     return value if median is None else f"coalesce({value}, {double(median)})"
 
 
-def _category(df: DataFrame, name: str) -> str:
-    return f"CAST({present(df, name)} AS string)"
-
-
 def _categories(df: DataFrame, names: Sequence[str]) -> dict[str, list[str | None]]:
     """Distinct values per column, in order, null last. One pass for all
     columns; each task sends its distinct values only."""
     if not names:
         return {}
     pairs = F.array(*[
-        F.expr(f"struct({i} AS i, {_category(df, c)} AS v)") for i, c in enumerate(names)
+        F.expr(f"struct({i} AS i, {category_text(df, c)} AS v)") for i, c in enumerate(names)
     ])
     # callers have bounded the number of rows that arrive here with a sketch
     rows = df.select(F.explode(pairs).alias("p")).select("p.*").distinct().collect()
@@ -190,7 +196,7 @@ def _categories(df: DataFrame, names: Sequence[str]) -> dict[str, list[str | Non
 
 def _dummies(df: DataFrame, name: str, values: Sequence[str | None]) -> list[tuple[str, str]]:
     """Names and SQL texts of the 0/1 columns of one categorical column."""
-    value = _category(df, name)
+    value = category_text(df, name)
     out = []
     for v in values:
         hit = f"({value}) IS NULL" if v is None else f"{value} = {text(v)}"
@@ -198,29 +204,6 @@ def _dummies(df: DataFrame, name: str, values: Sequence[str | None]) -> list[tup
     return out
 
 
-def _sparse_columns(
-    df: DataFrame, wide: dict[str, list[str | None]]
-) -> tuple[DataFrame, dict[str, str]]:
-    """Add a sparse vector per wide column; unseen values are all zero."""
-    if not wide:
-        return df, {}
-    from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
-
-    vectors = {}
-    for i, (c, values) in enumerate(wide.items()):
-        value, index, vector = f"__value{i}", f"__index{i}", f"__vector{i}"
-        # marked, so that a missing value and a category of any text differ
-        labels = ["missing" if v is None else f"={v}" for v in values]
-        df = df.withColumn(value, F.expr(f"coalesce(concat('=', {_category(df, c)}), 'missing')"))
-        indexer = StringIndexerModel.from_labels(labels, value, index, handleInvalid="keep")
-        # the last index is the one for unseen values, and dropLast drops it
-        df = indexer.transform(df)
-        encoder = OneHotEncoder(inputCol=index, outputCol=vector, dropLast=True)
-        df = encoder.fit(df).transform(df).drop(value, index)
-        vectors[c] = vector
-    return df, vectors
-
-
 def _check_names(df: DataFrame, names: Sequence[str]) -> None:
     strict = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
     counts = Counter(n if strict else n.lower() for n in names)
@@ -251,13 +234,20 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.expr(value) for c, value in scaled.items()})
 
 
-def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace each column by one 0/1 column per category."""
+def one_hot(df: DataFrame, columns: Sequence[str], category_form: str = "columns") -> DataFrame:
+    """Replace each column by one 0/1 column per category, or by one sparse
+    vector ``<column>_onehot``, which may have any number of them."""
     require_columns(df, columns)
-    widths = exprs(f"approx_count_distinct({_category(df, c)}) AS w{i}" for i, c in enumerate(columns))
+    rest = [c for c in df.columns if c not in set(columns)]
+    if category_form == "vector":
+        vectors = [f"{c}_onehot" for c in columns]
+        _check_names(df, rest + vectors)
+        return with_category_vectors(df, category_dictionary(df, columns), columns).selectExpr(*quotes([*rest, *vectors]))
+    if category_form != "columns":
+        raise ValidationError(f"category_form must be one of {CATEGORY_FORMS}, not {category_form!r}")
+    widths = exprs(f"approx_count_distinct({category_text(df, c)}) AS w{i}" for i, c in enumerate(columns))
     _check_widths(dict(zip(columns, df.agg(*widths).first(), strict=True)))
     categories = _categories(df, columns)
-    rest = [c for c in df.columns if c not in set(columns)]
     blocks = [pair for c in columns for pair in _dummies(df, c, categories[c])]
     _check_names(df, rest + [n for n, _ in blocks])
     return df.selectExpr(*quotes(rest), *[f"{value} AS {quote(name)}" for name, value in blocks])

@@ -36,6 +36,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/evenkeel-{name}-{uuid.uuid4().hex}"
 
 
+def write_scratch(df: DataFrame, name: str = "table") -> str:
+    """Write a table to the shared folder; returns its path."""
+    path = scratch_path(df.sparkSession, name)
+    written = _WRITTEN.get()
+    if written is not None:
+        written.append(path)
+    df.write.parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a table to the shared folder once and read it back.
 
@@ -43,13 +53,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     ``checkpoint()`` the copy is columnar, so later steps read only the
     columns they need.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    written = _WRITTEN.get()
-    if written is not None:
-        written.append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_scratch(df, name))
 
 
 @contextmanager

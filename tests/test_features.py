@@ -2,10 +2,12 @@ import random
 import statistics
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 import evenkeel as ek
-from evenkeel.operators import features, quantiles
+from evenkeel.functions.vectors import folded_vector, vector_parts
+from evenkeel.operators import categories, features, quantiles
 
 
 def values(df, *names):
@@ -158,3 +160,45 @@ def test_infinite_values(spark):
     df = spark.createDataFrame([(float("inf"),), (float("inf"),), (1.0,), (None,)], "x double")
     assert ek.exact_medians(df, ["x"])[0] == {"x": float("inf")}
     assert [r[0] for r in ek.impute_median(df, ["x"]).collect()][-1] == float("inf")
+
+
+@pytest.mark.parametrize("most, longest", [(100_000, 256), (2, 256), (0, 0), (100_000, 1)])
+def test_category_numbers(spark, monkeypatch, most, longest):
+    """By broadcast, by shuffle, and both; any text is a category of its own."""
+    monkeypatch.setattr(categories, "BROADCAST_VALUES", most)
+    monkeypatch.setattr(categories, "BROADCAST_BYTES", longest)
+    texts = ["b", "a", None, "a", "nan", "missing", "=a", "", "x" * 300, "ä", "a"]
+    rows = [(i, t, None if i == 3 else float((i * 7) % 5), i % 2 == 0) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id int, c string, n double, flag boolean").repartition(3)
+    found = ek.category_dictionary(df, ["c", "n", "flag"])
+    order = [*sorted({t for t in texts if t is not None}, key=str.encode), None]
+    numbers = [*sorted({r[2] for r in rows if r[2] is not None}), None]
+    assert found.widths == {"c": len(order), "n": len(numbers), "flag": 2}
+    got = ek.with_category_index(df, found).collect()
+    assert {r["id"]: (r["c_index"], r["n_index"], r["flag_index"]) for r in got} == {
+        i: (order.index(t), numbers.index(x), int(f)) for i, t, x, f in rows}
+    other = spark.createDataFrame([(1, "new", 99.0, None)], df.schema)
+    assert tuple(ek.with_category_index(other, found, ["c", "flag"]).first())[-2:] == (None, None)
+    counts = {(r["column"], r["value"]): r["n"] for r in found.table(spark).collect()}
+    assert counts["c", "a"] == 3 and counts["c", None] == 1 and counts["flag", "true"] == 6
+
+
+def test_vectors_have_no_bound_of_categories(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(features, "MAX_CATEGORIES", 1)
+    df = spark.range(500).selectExpr("id", "concat('c', id) AS c", "'f' AS g", "CAST(id % 2 AS int) AS y")
+    fitted = ek.fit_preprocessor(df, ek.ColumnRoles("y", ("g",), (), ("c",)), category_form="vector", dictionary_path=str(tmp_path / "d"))
+    assert fitted.categories == {} and fitted.dictionary.widths == {"c": 500}
+    again = ek.FittedPreprocessor.from_json(fitted.to_json())
+    assert again == fitted
+    out = again.transform(df, keep=["id"]).select("id", ek.vector_parts(F.col("c_onehot")).alias("p")).collect()
+    names = sorted(f"c{i}" for i in range(500))
+    assert all(r["p"]["indices"] == [names.index(f"c{r['id']}")] and r["p"]["size"] == 500 for r in out)
+    with pytest.raises(ek.ValidationError):
+        ek.one_hot(df, ["c"], "rows")
+
+
+def test_folded_vectors(spark):
+    df = spark.createDataFrame([(Vectors.sparse(9, [1, 4, 8], [1.0, 2.0, 3.0]),), (Vectors.dense([0.0, 5.0]),), (Vectors.sparse(3, [], []),)], ["v"])
+    rows = df.select("v", folded_vector(vector_parts(F.col("v")), 4).alias("w")).collect()
+    for r in rows:
+        assert r["w"].size == 4 and sum(r["w"].toArray()) == sum(r["v"].toArray())
