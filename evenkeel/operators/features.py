@@ -25,6 +25,9 @@ CATEGORY_FORMS = ("columns", "vector")
 # Most categories that become columns, in all; vectors have no such bound.
 MAX_CATEGORIES = 1_000_000
 
+# Rows whose categories one task may put together.
+FEW_ROWS = 10_000
+
 MISSING_NAME = "nan"
 
 
@@ -98,10 +101,12 @@ def fit_preprocessor(
     scale: bool = False,
     category_form: str = "columns",
     dictionary_path: str | None = None,
+    rows: int | None = None,
 ) -> FittedPreprocessor:
     """Learn medians, scales and categories. Medians and scales reach the
     driver, and categories where they become columns. Those of vectors are
-    written to ``dictionary_path``, or the shared folder without one.
+    written to ``dictionary_path``, or the shared folder without one. ``rows``
+    may state the number of rows: a few are learned from in one pass.
 
     A numeric column without any value is dropped with a warning; over an
     empty table all numeric columns are kept. ``category_form="vector"`` makes
@@ -123,10 +128,12 @@ def fit_preprocessor(
         value = number(df, c)
         extra += exprs([f"avg({value}) AS avg_{i}", f"var_pop({value}) AS var_{i}"])
     listed = roles.categorical if category_form == "columns" else ()
-    extra += [
-        F.expr(f"approx_count_distinct({category_text(df, c)}) AS width_{i}") for i, c in enumerate(listed)
-    ]
-    medians, stats = exact_medians(df, roles.numeric, extra)
+    few = rows is not None and rows <= FEW_ROWS
+    for i, c in enumerate(listed):
+        value = category_text(df, c)
+        extra.append(F.expr(f"collect_set({value}) AS set_{i}" if few else f"approx_count_distinct({value}) AS width_{i}"))
+        extra.append(F.expr(f"count_if(({value}) IS NULL) AS gaps_{i}"))
+    medians, stats = exact_medians(df, roles.numeric, extra, rows)
     dropped = tuple(c for c, m in medians.items() if m is None) if stats["rows"] else ()
     if dropped:
         warnings.warn(f"numeric columns without any value are dropped: {list(dropped)}", stacklevel=2)
@@ -137,7 +144,12 @@ def fit_preprocessor(
                 means[c], deviations[c] = _imputed_scale(
                     stats["rows"], stats[f"n_{i}"], stats[f"avg_{i}"], stats[f"var_{i}"], medians[c]
                 )
-    _check_widths({c: stats[f"width_{i}"] for i, c in enumerate(listed)})
+    if few:
+        sets = [[*stats[f"set_{i}"], *([None] if stats[f"gaps_{i}"] else [])] for i in range(len(listed))]
+        categories = {c: _in_order(df, c, values) for c, values in zip(listed, sets, strict=True)}
+    else:
+        _check_widths({c: stats[f"width_{i}"] for i, c in enumerate(listed)})
+        categories = _categories(df, listed)
     dictionary = None
     if category_form == "vector" and roles.categorical:
         dictionary = category_dictionary(df, roles.categorical, dictionary_path)
@@ -147,7 +159,7 @@ def fit_preprocessor(
         medians=medians,
         means=means,
         deviations=deviations,
-        categories=_categories(df, listed),
+        categories=categories,
         dropped=dropped,
         category_form=category_form,
         dictionary=dictionary,
@@ -186,14 +198,16 @@ def _categories(df: DataFrame, names: Sequence[str]) -> dict[str, list[str | Non
     rows = df.select(F.explode(pairs).alias("p")).select("p.*").distinct().collect()
     found: dict[str, list[str | None]] = {}
     for i, c in enumerate(names):
-        values = [r["v"] for r in rows if r["i"] == i]
-        as_value = float if is_number(dtype(df, c)) else str
-        found[c] = sorted((v for v in values if v is not None), key=as_value)
-        if None in values:
-            found[c].append(None)
+        found[c] = _in_order(df, c, [r["v"] for r in rows if r["i"] == i])
     return found
 
 
+def _in_order(df: DataFrame, name: str, values: Sequence[str | None]) -> list[str | None]:
+    as_value = float if is_number(dtype(df, name)) else str
+    ordered = sorted((v for v in values if v is not None), key=as_value)
+    return [*ordered, None] if None in values else ordered
+
+
 def _dummies(df: DataFrame, name: str, values: Sequence[str | None]) -> list[tuple[str, str]]:
     """Names and SQL texts of the 0/1 columns of one categorical column."""
     value = category_text(df, name)

@@ -13,9 +13,10 @@ from evenkeel.functions.hashing import hash60, key_text
 from evenkeel.operators.clean import drop_missing
 from evenkeel.operators.contingency import contingency
 from evenkeel.operators.sampling import (
-    exact_rank, expand_draws, spread_copies, with_copy_numbers,
+    KEY_HASH, expand_draws, fetch_rows, ranked_keys, spread_copies, with_copy_numbers,
 )
 from evenkeel.operators.validate import not_binary, require_columns
+from evenkeel.sources.shared import materialize
 from evenkeel.spec import SEED, ValidationError
 
 # Tolerance for equal rates, and for a target rate of 1.
@@ -50,7 +51,7 @@ def oversample_plan(df: DataFrame, sensitive: Sequence[str], target: str) -> Dat
     wrong = df.agg(F.expr(f"count_if({not_binary(df, target)})")).first()[0]
     if wrong:
         raise ValidationError(f"{target!r} holds {wrong} values other than 0 or 1")
-    return _plan(group_rates(df, sensitive, target).persist())
+    return _plan(group_rates(df, sensitive, target))
 
 
 def _plan(rates: DataFrame) -> DataFrame:
@@ -92,7 +93,7 @@ def oversample(
         key = df.columns
     # one pass over the table: counts per group, and values that are no label
     violations = f"count_if({not_binary(df, target)}) AS violations"
-    counts = contingency(df, sensitive, target, extra=[violations]).persist()
+    counts = materialize(contingency(df, sensitive, target, extra=[violations]), "group-counts")
     plan = _plan(_rates(drop_missing(counts, sensitive)))
     found = plan.withColumn("wrong", counts.agg(F.sum("violations")).scalar()).agg(*exprs([
         "count(1) AS groups",
@@ -127,11 +128,13 @@ def oversample(
     if found["short"] <= BROADCAST_GROUPS:
         member = [col(s) == F.col(g) for s, g in zip(sensitive, groups, strict=True)]
         pool = pool.join(F.broadcast(needed.select(*groups)), member, "left_semi")
-    ranked = exact_rank(drop_missing(pool, sensitive), key, seed, "__rank", by=sensitive)
+    # only groups and hashes of keys are ranked and meet the draws; whole rows are fetched at the end
+    ranked = ranked_keys(drop_missing(pool, sensitive), key, seed, "__rank", by=sensitive)
     match = [col(s) == F.col(g) for s, g in zip(sensitive, groups, strict=True)]
-    hits = ranked.join(drawn, [*match, F.col("__rank") == F.col("__drawn")])
-    hits = hits.select(*cols(df.columns), "__m")
-    added = expand_draws(hits, "__m", out, math.ceil(found["copies"]), 1, found["total"])
+    hits = ranked.join(drawn, [*match, F.col("__rank") == F.col("__drawn")]).select(KEY_HASH, "__m")
+    rows = fetch_rows(drop_missing(pool, sensitive), materialize(hits, "hits"), key, seed)
+    rows = rows.select(*cols(df.columns), "__m")
+    added = expand_draws(rows, "__m", out, math.ceil(found["copies"]), 1, found["total"])
     return original.unionByName(added)
 
 

@@ -89,7 +89,7 @@ def demographic_parity_report(
     df: DataFrame, sensitive: Sequence[str], target: str, threshold: float = DP_THRESHOLD
 ) -> DataFrame:
     """The parity check as one document row, rates by group included."""
-    groups = _parity_groups(df, sensitive, target).persist()
+    groups = _parity_groups(df, sensitive, target)
     entry = f"struct({group_label(sensitive)} AS key, selection_rate AS value)"
     listed = inline_groups(groups, sensitive, entry)
     return parity_summary(groups, threshold).withColumn("__listed", listed).selectExpr(
@@ -128,7 +128,7 @@ def positive_rate_report(
     df: DataFrame, sensitive: Sequence[str], target: str, threshold: float = DP_THRESHOLD
 ) -> DataFrame:
     """The older report shape: rate and count by group, gap, status."""
-    groups = positive_rate_by_group(df, sensitive, target).persist()
+    groups = positive_rate_by_group(df, sensitive, target)
     entry = f"struct({group_label(sensitive)} AS key, struct(positive_rate, `count`) AS value)"
     listed = inline_groups(groups, sensitive, entry)
     return _rate_gap(groups, threshold).withColumn("__listed", listed).selectExpr(

@@ -19,12 +19,12 @@ import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.functions.columns import col, cols, keep_free
-from evenkeel.functions.hashing import hash60, key_text, row_digest, row_hash
+from evenkeel.functions.columns import col, cols, is_fractional, keep_free
+from evenkeel.functions.hashing import hash60, key_text, row_hash
 from evenkeel.operators.validate import require_columns
 from evenkeel.sources.shared import materialize
 from evenkeel.spec import SEED, ValidationError
@@ -44,9 +44,13 @@ MOST_CHUNKS = 1_000_000
 TASK_COPIES = 5_000_000
 # Rows with no more copies than this are expanded where they lie.
 RARE_COPIES = 16
-# Most digests of repeated rows that are broadcast, 16 bytes each.
+# Most hashes of repeated rows that are broadcast, 8 bytes each.
 BROADCAST_DIGESTS = 1_000_000
 
+# Most drawn rows whose hashes are broadcast, some 30 bytes each.
+BROADCAST_HITS = 500_000
+
+KEY_HASH = "__key_hash"
 _HASH = "__hash"
 _DIGEST = "__digest"
 _BUCKET = "__bucket"
@@ -56,16 +60,22 @@ _BELOW_ALL = ""  # smaller than any hex text
 
 
 def hash_cuts(
-    df: DataFrame, key: Sequence[str], seed: int, ranks: Callable[[int], Sequence[int]]
+    df: DataFrame, key: Sequence[str], seed: int, ranks: Callable[[int], Sequence[int]], rows: int | None = None
 ) -> tuple[int, list[str]]:
     """Row count n and, for each k in ``ranks(n)``, the text h so that exactly
     k rows have a hash <= h.
 
     Reads only the key columns: one pass for tables up to some 100 million
-    rows, one more for each further factor of 4,096, and one to finish.
+    rows, one more for each further factor of 4,096, and one to finish. Where
+    the number of ``rows`` is known and one task may sort them, one pass does.
     """
     require_columns(df, key)
     hashes = df.select(row_hash(key, seed).alias(_HASH))
+    if rows is not None and 0 < rows <= BOUNDARY_ROWS:
+        wanted = [min(max(int(k), 0), rows) for k in ranks(rows)]
+        places = {i: ("", k, rows) for i, k in enumerate(wanted) if 0 < k < rows}
+        found = _exact_cuts(hashes, places, key) if places else {}
+        return rows, [found.get(i, _BELOW_ALL if k == 0 else _ABOVE_ALL) for i, k in enumerate(wanted)]
     counts = _prefix_counts(hashes, PREFIX_STEP)
     n = sum(counts.values())
     wanted = [min(max(int(k), 0), n) for k in ranks(n)]
@@ -149,25 +159,46 @@ def spread_copies(df: DataFrame, count: str, out: str, total: int) -> DataFrame:
     return dealt.select(*keep, F.explode(F.sequence(F.col("__start"), stop)).alias(out))
 
 
+def _row_keys(df: DataFrame) -> tuple[list[Column], list[Column], list[Column]]:
+    """What tells rows apart: group keys, named k0, k1, ...; the columns again
+    from these; and what to hash. Grouping takes -0.0 for 0.0 and hashing skips
+    nulls, so signs of zeros and nulls are keys of their own."""
+    keys, back, flags = [], [], []
+    for i, f in enumerate(df.schema.fields):
+        c = col(f.name)
+        keys.append(c.alias(f"k{i}"))
+        flags.append(c.isNull())
+        value = F.col(f"k{i}")
+        if is_fractional(f.dataType):
+            negative = F.when(c == 0, c.cast("string").startswith("-")).otherwise(False)
+            keys.append(negative.alias(f"z{i}"))
+            flags.append(negative)
+            value = F.when(F.col(f"z{i}"), F.lit(-0.0).cast(f.dataType)).otherwise(value)
+        back.append(value.alias(f.name))
+    return keys, back, [*cols(df.columns), *flags]
+
+
 def with_copy_numbers(df: DataFrame, out: str = "copy_no") -> DataFrame:
     """Number the copies of each distinct row 1..c, so that all columns
     together with ``out`` are a key.
 
-    Only 16-byte digests of the rows are shuffled to find the rows that
-    repeat. Rows that do not stay where they lie, as copy 1. Repeated rows are
-    counted before their shuffle: a row that fills a third of the table is one
-    row on the wire. The counts are written to the shared folder and expanded
-    when read, rare rows in place, common ones spread over the cluster; the
-    files' statistics tell the two apart.
+    Only 8-byte hashes of the rows are shuffled to find candidates for rows that
+    repeat; each task sends a hash once. Rows whose hash stands alone stay where
+    they lie, as copy 1. Candidates are counted by all their columns, so that
+    equal hashes of different rows do no harm, and before their shuffle: a row
+    that fills a third of the table is one row on the wire. The counts are
+    written to the shared folder and expanded when read, rare rows in place,
+    common ones spread over the cluster; the files' statistics tell the two apart.
 
-    With more than ``BROADCAST_DIGESTS`` different rows that repeat, all rows
+    With more than ``BROADCAST_DIGESTS`` different hashes that repeat, all rows
     are counted that way; the result is the same.
     """
     keep_free(df.columns, [out])
     odd = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.AtomicType)]
     if odd:
         raise ValidationError(f"rows with the nested columns {odd} need an explicit key")
-    marked = df.withColumn(_DIGEST, row_digest(df))
+    keys, back, hashed = _row_keys(df)
+    marked = df.withColumn(_DIGEST, F.xxhash64(*hashed))
     number = F.count(F.lit(1)).alias("__copies")
     repeated = marked.groupBy(_DIGEST).agg(number).filter("__copies > 1").select(_DIGEST)
     repeated = materialize(repeated, "repeated")
@@ -179,9 +210,7 @@ def with_copy_numbers(df: DataFrame, out: str = "copy_no") -> DataFrame:
         if not digests:
             return single
         again = marked.join(F.broadcast(repeated), _DIGEST, "left_semi")
-    # rows of a digest are equal, any of them will do
-    row = F.first(F.struct(*cols(df.columns))).alias("__kept")
-    counted = again.groupBy(_DIGEST).agg(row, number).select("__kept.*", "__copies")
+    counted = again.groupBy(*keys).agg(number).select(*back, "__copies")
     counted = materialize(counted, "counted")
     n = F.col("__copies")
     rare = expand_copies(counted.filter(n <= RARE_COPIES), "__copies", out)
@@ -218,6 +247,10 @@ def exact_rank(
     on the bucket the window already partitioned by.
     """
     hashed = df.withColumn(_HASH, row_hash(key, seed))
+    return _ranked(hashed, key, out, by).select(*cols(df.columns), col(out))
+
+
+def _ranked(hashed: DataFrame, ties: Sequence[str], out: str, by: Sequence[str]) -> DataFrame:
     bucketed = hashed.withColumn(_BUCKET, F.substring(_HASH, 1, BUCKET_DIGITS))
     if by:
         # as text, which is never null, so that plain equality joins all rows
@@ -228,9 +261,29 @@ def exact_rank(
     before = Window.partitionBy(_GROUP).orderBy(_BUCKET) if by else Window.orderBy(_BUCKET)
     offset = F.coalesce(F.sum("__n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select(*place, offset.alias("__offset"))
-    inside = Window.partitionBy(*place).orderBy(_HASH, *cols(key))
+    inside = Window.partitionBy(*place).orderBy(_HASH, *cols(ties))
     ranked = bucketed.withColumn("__pos", F.row_number().over(inside)).join(offsets, place)
-    return ranked.select(*cols(df.columns), (F.col("__offset") + F.col("__pos")).cast("bigint").alias(out))
+    return ranked.select(*cols(hashed.columns), (F.col("__offset") + F.col("__pos")).cast("bigint").alias(out))
+
+
+def ranked_keys(df: DataFrame, key: Sequence[str], seed: int, out: str, by: Sequence[str] = ()) -> DataFrame:
+    """The ranks of ``exact_rank`` with nothing but the group and the key as its
+    hash (``KEY_HASH``): what a draw needs of a wide table."""
+    return _ranked(df.select(*cols(by), row_hash(key, seed).alias(_HASH)), (), out, by).select(
+        *cols(by), F.unhex(_HASH).alias(KEY_HASH), col(out))
+
+
+def fetch_rows(df: DataFrame, hits: DataFrame, key: Sequence[str], seed: int) -> DataFrame:
+    """The rows of ``df`` whose key hash is in ``hits`` (``KEY_HASH`` and more
+    columns, one row per hash), with those columns.
+
+    Few hits are broadcast, so that no row of the table moves; otherwise the
+    join shuffles the table once. ``hits`` should be a written table.
+    """
+    marked = df.withColumn(KEY_HASH, F.unhex(row_hash(key, seed)))
+    if hits.count() <= BROADCAST_HITS:
+        hits = F.broadcast(hits)
+    return marked.join(hits, KEY_HASH).drop(KEY_HASH)
 
 
 def shuffle(df: DataFrame, key: Sequence[str] | None = None, seed: int = SEED) -> DataFrame:
@@ -264,7 +317,7 @@ class Splits:
 
 
 def _cut_split(
-    table: DataFrame, names: Sequence[str], test_size: float, val_size: float, seed: int
+    table: DataFrame, names: Sequence[str], test_size: float, val_size: float, seed: int, rows: int | None = None
 ) -> tuple[str, str, dict[str, int]]:
     """The hash values at the end of train and of val, and the exact sizes."""
     sizes: dict[str, int] = {}
@@ -273,7 +326,7 @@ def _cut_split(
         sizes.update(zip(("train", "val", "test"), split_sizes(n, test_size, val_size), strict=True))
         return [sizes["train"], sizes["train"] + sizes["val"]]
 
-    _, (train_end, val_end) = hash_cuts(table, names, seed, ranks)
+    _, (train_end, val_end) = hash_cuts(table, names, seed, ranks, rows)
     return train_end, val_end, sizes
 
 
@@ -299,10 +352,13 @@ def train_val_test_split(
     test_size: float = 0.15,
     val_size: float = 0.15,
     seed: int = SEED,
+    rows: int | None = None,
 ) -> Splits:
-    """Exact, unstratified split. Each part is a filter over the table."""
+    """Exact, unstratified split. Each part is a filter over the table.
+
+    ``rows`` may state the number of rows where it is known."""
     table, names, helpers = keyed(df, key)
-    train_end, val_end, sizes = _cut_split(table, names, test_size, val_size, seed)
+    train_end, val_end, sizes = _cut_split(table, names, test_size, val_size, seed, rows)
     h = row_hash(names, seed)
     return Splits(
         train=table.filter(h <= train_end).drop(*helpers),
@@ -329,12 +385,13 @@ def draw_with_replacement(
     size = df.count()
     if n and not size:
         raise ValidationError("there are no rows to draw from")
-    ranked = exact_rank(df, key, seed, "__rank")
+    require_columns(df, key)
+    ranked = ranked_keys(df, key, seed, "__rank")
     i = F.col("id").cast("string")
     rank = F.pmod(hash60(F.concat(F.lit(f"{int(seed)}:"), i)), F.lit(max(size, 1)).cast("bigint")) + 1
     draws = df.sparkSession.range(1, n + 1).groupBy(rank.alias("__drawn")).agg(F.count(F.lit(1)).alias("__m"))
     hits = ranked.join(draws, F.col("__rank") == F.col("__drawn")).drop("__rank", "__drawn")
-    return expand_draws(hits, "__m", out, n, size)
+    return expand_draws(fetch_rows(df, materialize(hits, "hits"), key, seed), "__m", out, n, size)
 
 
 def expand_draws(

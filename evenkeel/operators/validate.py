@@ -85,11 +85,15 @@ def null_ratio(df: DataFrame, columns: Sequence[str], threshold: float = NULL_TH
 
 def require_null_ratio(df: DataFrame, column: str, threshold: float = NULL_THRESHOLD) -> float:
     row = null_ratio(df, [column], threshold).first()
-    if not row["passed"]:
-        raise ValidationError(
-            f"{column!r} is null in {row['null_ratio']:.2%} of its rows, more than {threshold:.2%}"
-        )
-    return row["null_ratio"]
+    return checked_ratio(column, row["n_null"], row["n_rows"], threshold)
+
+
+def checked_ratio(column: str, n_null: int, n_rows: int, threshold: float = NULL_THRESHOLD) -> float:
+    """The null ratio, 0 for an empty table; an error beyond the threshold."""
+    ratio_ = n_null / n_rows if n_rows else 0.0
+    if ratio_ > threshold:
+        raise ValidationError(f"{column!r} is null in {ratio_:.2%} of its rows, more than {threshold:.2%}")
+    return ratio_
 
 
 def encoding_suspects(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -142,7 +146,6 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
         df.filter(all_present(df, [column]))
         .groupBy(col(column).alias("value"))
         .agg(F.expr("count(1) AS n"))
-        .persist()
     )
     everything = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("__all", everything).selectExpr(
@@ -188,19 +191,24 @@ def target_is_constant(df: DataFrame, target: str) -> bool:
     return row["n"] == 0 or bool(row["same"])
 
 
-def validate(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """All checks of a raw table. Raises on a critical one, returns the
-    column report otherwise."""
+def validate_columns(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """The column report; reads no rows. A missing required column is an error."""
     if not df.columns:
         raise EmptyInputError("the table has no columns")
     require_columns(df, spec.required)
-    report = check_expected_columns(df, spec.expected, spec.required)
+    return check_expected_columns(df, spec.expected, spec.required)
+
+
+def validate(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """All checks of a raw table. Raises on a critical one, returns the
+    column report otherwise."""
+    report = validate_columns(df, spec)
     require_null_ratio(df, spec.target, spec.null_threshold)
     return report
 
 
 __all__ = [
-    "binary_violations", "check_binary", "check_expected_columns", "distinct_preview",
+    "binary_violations", "check_binary", "check_expected_columns", "checked_ratio", "distinct_preview",
     "encoding_suspects", "group_cardinality", "not_binary", "null_ratio", "profile", "require_columns",
-    "require_nonempty", "require_null_ratio", "target_is_constant", "validate", "value_shares",
+    "require_nonempty", "require_null_ratio", "target_is_constant", "validate", "validate_columns", "value_shares",
 ]

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from evenkeel.functions.columns import NUMBER, as_number, exprs, quote, quotes, text
-from evenkeel.sources.shared import materialize
+from evenkeel.sources.shared import materialize, write_scratch
 from evenkeel.spec import EmptyInputError, ValidationError
 
 # Cell texts that mean "missing".
@@ -121,6 +122,30 @@ def infer_types(df: DataFrame) -> T.StructType:
     return T.StructType(fields)
 
 
+def _misfits(schema: T.StructType, na_values: Iterable[str]) -> str:
+    """SQL text: the columns whose cells are neither missing nor of the type."""
+    found = []
+    for f in schema.fields:
+        if not isinstance(f.dataType, T.StringType):
+            cell = _filled(f.name, na_values)
+            found.append(f"CASE WHEN ({cell}) IS NOT NULL AND {_typed(cell, f.dataType)} IS NULL THEN {text(f.name)} END")
+    return f"array_compact(CAST(array({', '.join(found)}) AS array<string>))"
+
+
+def _cells_of_line(sep: str, n: int) -> str:
+    """SQL text: how many cells a line has that has not ``n``, else n."""
+    bare = f"""regexp_replace({_CORRUPT}, r'"([^"]|"")*"', '')"""
+    return f"coalesce(length({bare}) - length(replace({bare}, {text(sep)}, '')) + 1, {n})"
+
+
+def _kind(n: int) -> str:
+    return f"CASE WHEN {_CORRUPT} IS NULL THEN 'value' WHEN n_cells > {n} THEN 'long' ELSE 'short' END"
+
+
+def _line(names: Iterable[str], sep: str) -> str:
+    return f"coalesce({_CORRUPT}, to_csv(struct({', '.join(quotes(names))}), map('sep', {text(sep)})))"
+
+
 def malformed_rows(
     spark: SparkSession,
     path: str,
@@ -141,28 +166,86 @@ def malformed_rows(
     wide = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
     options = _csv_options(sep, encoding, False)
     parsed = spark.read.schema(wide).options(**options, columnNameOfCorruptRecord=_CORRUPT).csv(path)
-    misfits = []
-    for f in schema.fields:
-        if not isinstance(f.dataType, T.StringType):
-            cell = _filled(f.name, na_values)
-            misfit = f"({cell}) IS NOT NULL AND {_typed(cell, f.dataType)} IS NULL"
-            misfits.append(f"CASE WHEN {misfit} THEN {text(f.name)} END")
-    bad = f"array_compact(CAST(array({', '.join(misfits)}) AS array<string>))"
-    found = parsed.selectExpr("*", f"{bad} AS __bad").filter(f"{_CORRUPT} IS NOT NULL OR size(__bad) > 0")
+    found = parsed.selectExpr("*", f"{_misfits(schema, na_values)} AS __bad").filter(f"{_CORRUPT} IS NOT NULL OR size(__bad) > 0")
     found = materialize(found, "malformed")
-    bare = f"""regexp_replace({_CORRUPT}, r'"([^"]|"")*"', '')"""
-    cells = f"length({bare}) - length(replace({bare}, {text(sep)}, '')) + 1"
-    whole = f"to_csv(struct({', '.join(quotes(names))}), map('sep', {text(sep)}))"
-    return found.selectExpr("*", f"coalesce({cells}, {len(names)}) AS n_cells").selectExpr(
-        f"""CASE WHEN {_CORRUPT} IS NULL THEN 'value' WHEN n_cells > {len(names)} THEN 'long'
-        ELSE 'short' END AS kind""",
+    return found.selectExpr("*", f"{_cells_of_line(sep, len(names))} AS n_cells").selectExpr(
+        f"{_kind(len(names))} AS kind",
         "n_cells",
         f"{len(names)} AS n_expected",
         f"CASE WHEN {_CORRUPT} IS NULL THEN __bad END AS bad_columns",
-        f"coalesce({_CORRUPT}, {whole}) AS line",
+        f"{_line(names, sep)} AS line",
     )
 
 
+@dataclass(frozen=True)
+class Landing:
+    """A CSV file after its one parse, both outputs read from the same copy."""
+
+    rows: DataFrame
+    bad: DataFrame
+    counts: Mapping[str, int] = field(default_factory=dict)
+    path: str = ""
+
+
+def land_csv(
+    spark: SparkSession,
+    path: str,
+    to: str | None = None,
+    sep: str = ",",
+    encoding: str = "UTF-8",
+    schema: T.StructType | None = None,
+    na_values: Iterable[str] = MISSING_TOKENS,
+) -> Landing:
+    """Parse a CSV file once and keep the result as Parquet under ``to``, or in
+    the shared folder without one.
+
+    ``rows`` are all lines with their types, as ``read_csv`` gives them: cells
+    that do not fit are null. ``bad`` are the lines that do not fit, as
+    ``malformed_rows`` gives them, so that both can be looked at without another
+    parse. ``counts`` come with the write: ``n_rows``, ``bad:short``,
+    ``bad:long``, ``bad:unreadable`` (cells of the wrong type) and
+    ``suspect:<column>`` (wrongly decoded text). Without a ``schema`` the copy
+    holds text, and types are inferred from it.
+    """
+    na_values = tuple(na_values)
+    options = _csv_options(sep, encoding, False)
+    names = _header(spark, path, options)
+    if schema is not None and (absent := [f.name for f in schema.fields if f.name not in names]):
+        raise ValidationError(f"missing columns {absent}; found {names}")
+    wide = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
+    raw = spark.read.schema(wide).options(
+        **options, columnNameOfCorruptRecord=_CORRUPT, enforceSchema=False).csv(path)
+    wanted = schema or T.StructType([T.StructField(n, T.StringType()) for n in names])
+    cells = [f"{_typed(f'({_filled(f.name, na_values)})', f.dataType)} AS {quote(f.name)}" for f in wanted.fields]
+    marked = raw.selectExpr("*", f"{_misfits(wanted, na_values)} AS __bad", f"{_cells_of_line(sep, len(names))} AS n_cells")
+    misfit = f"({_CORRUPT} IS NOT NULL OR size(__bad) > 0)"
+    told = marked.selectExpr(
+        *cells, f"CASE WHEN {misfit} THEN {_kind(len(names))} END AS __kind", "n_cells AS __n_cells",
+        f"CASE WHEN {_CORRUPT} IS NULL THEN __bad END AS __bad_columns",
+        f"CASE WHEN {misfit} THEN {_line(names, sep)} END AS __line")
+    seen = Observation()
+    texts = [f.name for f in wanted.fields if isinstance(f.dataType, T.StringType)]
+    told = told.observe(seen, *exprs([
+        "count(1) AS n_rows",
+        *[f"count_if(__kind = '{k}') AS {k}" for k in ("short", "long", "value")],
+        *[f"count_if(contains({quote(c)}, '\ufffd')) AS s{i}" for i, c in enumerate(texts)]]))
+    if to is None:
+        to = write_scratch(told, "landing")
+    else:
+        told.write.mode("overwrite").parquet(to)
+    found = seen.get
+    copy = spark.read.schema(told.schema).parquet(to)
+    rows = copy.selectExpr(*quotes(f.name for f in wanted.fields))
+    if schema is None:
+        kinds = infer_types(rows)
+        rows = rows.selectExpr(*[f"{_typed(quote(f.name), f.dataType)} AS {quote(f.name)}" for f in kinds.fields])
+    bad = copy.filter("__kind IS NOT NULL").selectExpr(
+        "__kind AS kind", "__n_cells AS n_cells", f"{len(names)} AS n_expected", "__bad_columns AS bad_columns", "__line AS line")
+    counts = {"n_rows": found["n_rows"], "bad:short": found["short"], "bad:long": found["long"], "bad:unreadable": found["value"],
+              **{f"suspect:{c}": found[f"s{i}"] for i, c in enumerate(texts)}}
+    return Landing(rows, bad, counts, to)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -87,7 +87,7 @@ def test_bounded_training_rows(with_id):
 def test_cleanup_deletes_what_the_flow_wrote(people, tmp_path):
     result = ek.mitigation_flow(people, ek.TOY)
     folders = [Path(p.removeprefix("file:")) for p in result.scratch]
-    assert {p.name.split("-")[1] for p in folders} == {"repeated", "prepared", "balanced"}
+    assert {p.name.split("-")[1] for p in folders} == {"landed", "repeated", "prepared", "group", "hits", "balanced"}
     assert all(p.is_dir() for p in folders)
     result.cleanup()
     assert not any(p.exists() for p in folders)
