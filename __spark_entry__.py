@@ -176,7 +176,7 @@ def q_csv_latin1_schema(spark: SparkSession, sf: str) -> DataFrame:
     rows = _table(spark, sf, "orders").select(
         "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
     )
-    rows.write.options(header=True, sep=";", encoding="ISO-8859-1").csv(path)
+    ek.write_table(rows, path, "csv", sep=";", encoding="latin1")
     return ek.read_csv(spark, path, sep=";", encoding="latin1", schema=rows.schema)
 
 
@@ -203,9 +203,70 @@ def q_malformed_rows(spark: SparkSession, sf: str) -> DataFrame:
     return bad.groupBy("kind", "n_cells", "n_expected").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+_LANDED = """CASE p_partkey % 7 WHEN 1 THEN 'short' WHEN 2 THEN 'long' WHEN 3 THEN 'value' END"""
+
+
+@query(f"""WITH p AS (SELECT *, {_LANDED} AS kind FROM part)
+SELECT 'row' AS what, p_partkey::BIGINT AS p_partkey, p_size::BIGINT AS p_size, CASE WHEN kind IN ('short', 'value') THEN NULL
+  ELSE p_retailprice END AS price, NULL::INTEGER AS n_cells FROM p
+UNION ALL SELECT kind, p_partkey, NULL, NULL, CASE kind WHEN 'short' THEN 2 WHEN 'long' THEN 4 ELSE 3 END FROM p
+  WHERE kind IS NOT NULL
+UNION ALL SELECT 'count ' || coalesce(kind, 'rows'), count(*), NULL, NULL, NULL FROM p WHERE kind IS NOT NULL
+  GROUP BY kind
+UNION ALL SELECT 'count rows', count(*), NULL, NULL, NULL FROM p""")
+def q_land_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as lines that are too short, too long, or have 1d for a price: one
+    parse gives the typed rows, the bad lines and the counts."""
+    path = scratch_path(spark, "part-lines")
+    number, size, price = [F.col(c).cast("string") for c in ("p_partkey", "p_size", "p_retailprice")]
+    kind = F.expr(_LANDED)
+    cells = F.when(kind == "short", F.array(number, size)).when(kind == "long", F.array(number, size, price, F.lit("more")))
+    cells = cells.when(kind == "value", F.array(number, size, F.lit("1d"))).otherwise(F.array(number, size, price))
+    lines = _table(spark, sf, "part").select(F.concat_ws(",", cells).alias("p_partkey,p_size,p_retailprice"))
+    ek.write_table(lines, path, "csv", sep="\x01")  # no cell is quoted: the separator stands in none
+    schema = T.StructType.fromDDL("p_partkey bigint, p_size bigint, p_retailprice double")
+    landed = ek.land_csv(spark, path, scratch_path(spark, "landed"), schema=schema)
+    empty = F.lit(None).cast("bigint")
+    rows = landed.rows.select(
+        F.lit("row").alias("what"), "p_partkey", "p_size", F.col("p_retailprice").alias("price"), F.lit(None).cast("int").alias("n_cells"))
+    bad = landed.bad.select(
+        "kind", F.substring_index("line", ",", 1).cast("bigint"), empty, F.lit(None).cast("double"), "n_cells")
+    names = {"n_rows": "rows", "bad:short": "short", "bad:long": "long", "bad:unreadable": "value"}
+    counts = spark.createDataFrame(
+        [(f"count {names[k]}", n, None, None, None) for k, n in landed.counts.items() if k in names], rows.schema)
+    return rows.union(bad).union(counts)
+
+
+@query("""SELECT 'text' AS "column", count(*) AS n_rows,
+  count(*) FILTER (regexp_matches(text, '[\u00A0-\u00FF]')) AS n_suspect FROM documents""")
+def q_wrong_encoding(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written in Latin-1 and read as UTF-8."""
+    path = scratch_path(spark, "latin1-texts")
+    text = F.regexp_replace("text", r"[\s\\\"]+", " ")
+    ek.write_table(_table(spark, sf, "documents").select("doc_id", text.alias("text")), path, "csv", encoding="latin1")
+    return ek.encoding_suspects(ek.read_csv(spark, path, schema=T.StructType.fromDDL("doc_id bigint, text string")))
+
+
 # --- validation and profiling
 
 
+@query(f"""WITH {GAPS} SELECT * FROM (
+  SELECT 'n_rows' AS name, count(*) AS n FROM gaps
+  UNION ALL SELECT 'null:priority', count(*) - count(priority) FROM gaps
+  UNION ALL SELECT 'not_binary:filled', count(*) FILTER (filled IS NULL) FROM gaps
+  UNION ALL SELECT 'not_binary:o_orderkey', count(*) FILTER (o_orderkey NOT IN (0, 1)) FROM gaps
+  UNION ALL SELECT 'suspect:priority', 0 FROM (SELECT 1)
+  UNION ALL SELECT 'dropped', count(*) FILTER (priority IS NULL OR filled IS NULL) FROM gaps
+  UNION ALL SELECT 'copied', count(*) FROM gaps)""")
+def q_observed_copy(spark: SparkSession, sf: str) -> DataFrame:
+    """All checks of a table, counted while it is written."""
+    copy, counts = ek.observed_copy(
+        _orders_with_gaps(spark, sf), present_in=["priority"], binary=["filled", "o_orderkey"],
+        essential=["priority", "filled"], texts=None)
+    told = spark.createDataFrame(list(counts.items()), "name string, n long")
+    return told.unionByName(copy.select(F.lit("copied").alias("name")).groupBy("name").agg(F.count("*").alias("n")))
+
+
 @query(f"""WITH {GAPS}
 SELECT 'filled' AS "column", count(*) AS n_rows, count(*) FILTER (filled IS NULL) AS n_null,
        (count(*) FILTER (filled IS NULL))::DOUBLE / count(*) AS null_ratio, 0.1::DOUBLE AS threshold,

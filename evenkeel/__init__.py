@@ -17,6 +17,7 @@ from evenkeel.operators.impact import (
 )
 from evenkeel.operators.mitigate import group_rates, oversample, oversample_plan
 from evenkeel.operators.model import TrainedModel, predict, train_regressor
+from evenkeel.operators.observed import observed_copy, quality_counts
 from evenkeel.operators.odds import (
     between_group_difference, classification_by_group, classification_overall, equalized_odds,
     equalized_odds_report,
@@ -35,9 +36,9 @@ from evenkeel.operators.validate import (
     group_cardinality, null_ratio, profile, require_columns, require_nonempty, require_null_ratio,
     target_is_constant, validate, value_shares,
 )
-from evenkeel.plans import mitigation_flow, odds_flow, parity_flow, prepare
+from evenkeel.plans import land, mitigation_flow, odds_flow, parity_flow, prepare
 from evenkeel.sources import (
-    infer_types, malformed_rows, materialize, read_csv, read_parquet, write_report, write_splits,
+    Landing, infer_types, land_csv, malformed_rows, materialize, read_csv, read_parquet, write_report, write_splits,
     write_table,
 )
 from evenkeel.spec import (

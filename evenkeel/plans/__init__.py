@@ -1,10 +1,10 @@
 """Whole audits composed of the operators."""
 
 from evenkeel.plans.flows import (
-    MitigationResult, OddsResult, ParityResult, mitigation_flow, odds_flow, parity_flow, prepare,
+    MitigationResult, OddsResult, ParityResult, land, mitigation_flow, odds_flow, parity_flow, prepare,
 )
 
 __all__ = [
-    "MitigationResult", "OddsResult", "ParityResult", "mitigation_flow", "odds_flow",
+    "MitigationResult", "OddsResult", "ParityResult", "land", "mitigation_flow", "odds_flow",
     "parity_flow", "prepare",
 ]

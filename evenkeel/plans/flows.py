@@ -13,8 +13,9 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 from functools import wraps
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenkeel.functions.columns import cols
 from evenkeel.functions.hashing import key_text
@@ -28,7 +29,7 @@ from evenkeel.operators.odds import equalized_odds_report
 from evenkeel.operators.parity import demographic_parity_report
 from evenkeel.operators.sampling import Splits, cap_rows, train_val_test_split, with_copy_numbers
 from evenkeel.operators.validate import checked_ratio, validate_columns
-from evenkeel.sources.files import Landing
+from evenkeel.sources.files import Landing, csv_columns, land_csv
 from evenkeel.sources.shared import materialize, remove_tables, written_tables
 from evenkeel.spec import ColumnRoles, DatasetSpec, ValidationError
 
@@ -100,6 +101,20 @@ def _listing_scratch(flow: Callable[..., _Result]) -> Callable[..., _Result]:
     return run
 
 
+def land(spark: SparkSession, path: str, spec: DatasetSpec, to: str | None = None) -> Landing:
+    """The file of a known layout, parsed once: what the audits start from.
+
+    Expected columns that the file lacks are left out here; the audits warn of
+    them or fail.
+    """
+    schema = spec.schema
+    if schema is not None:
+        found = csv_columns(spark, path, spec.sep, spec.encoding)
+        known = {f.name: f for f in schema.fields}
+        schema = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in found])
+    return land_csv(spark, path, to, spec.sep, spec.encoding, schema)
+
+
 def _clean(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, ColumnRoles]:
     for column, mapping in spec.recodes.items():
         if column in df.columns:

@@ -1,7 +1,9 @@
 """Readers and writers."""
 
 from evenkeel.sources.files import (
+    Landing,
     infer_types,
+    land_csv,
     malformed_rows,
     read_csv,
     read_parquet,
@@ -12,6 +14,6 @@ from evenkeel.sources.files import (
 from evenkeel.sources.shared import materialize, shared_dir
 
 __all__ = [
-    "infer_types", "malformed_rows", "materialize", "read_csv", "read_parquet",
+    "Landing", "infer_types", "land_csv", "malformed_rows", "materialize", "read_csv", "read_parquet",
     "shared_dir", "write_report", "write_splits", "write_table",
 ]

@@ -45,6 +45,11 @@ def _header(spark: SparkSession, path: str, options: Mapping) -> list[str]:
     return names
 
 
+def csv_columns(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> list[str]:
+    """The header of a CSV file."""
+    return _header(spark, path, _csv_options(sep, encoding, False))
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -250,12 +255,14 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Save a table as Parquet or CSV, replacing what is there."""
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", sep: str = ",", encoding: str = "UTF-8") -> None:
+    """Save a table as Parquet or CSV, replacing what is there; ``sep`` and
+    ``encoding`` are for CSV."""
     if fmt == "parquet":
         df.write.mode("overwrite").parquet(path)
     elif fmt == "csv":
-        df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+        options = {k: v for k, v in _csv_options(sep, encoding, False).items() if k not in ("multiLine", "mode")}
+        df.write.mode("overwrite").options(**options).csv(path)
     else:
         raise ValidationError(f"unsupported output format: {fmt}")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.sql import types as T
+
 # Default thresholds of the checks. All comparisons are strict.
 DP_THRESHOLD = 0.1
 EO_THRESHOLD = 0.05
@@ -55,7 +57,8 @@ class DatasetSpec:
 
     ``roles`` may be left out, in which case features are inferred from the
     column types. ``key`` names columns that together identify a row; without
-    it rows are identified by their content.
+    it rows are identified by their content. ``schema`` are the types of the
+    columns in files, by name; without it types are inferred.
     """
 
     target: str
@@ -77,6 +80,7 @@ class DatasetSpec:
     test_size: float = 0.15
     val_size: float = 0.15
     seed: int = SEED
+    schema: T.StructType | None = None
 
     @property
     def required(self) -> list[str]:
@@ -85,6 +89,11 @@ class DatasetSpec:
         return list(dict.fromkeys([*listed, *essential, *self.key]))
 
 
+def _schema(text: Sequence[str] = (), whole: Sequence[str] = (), real: Sequence[str] = ()) -> T.StructType:
+    kinds = ((text, T.StringType()), (whole, T.LongType()), (real, T.DoubleType()))
+    return T.StructType([T.StructField(n, kind) for names, kind in kinds for n in names])
+
+
 # Layouts of the three known kinds of input table.
 TOY = DatasetSpec(target="target", sensitive=("sensitive_attr",))
 
@@ -103,6 +112,8 @@ LABOUR_MARKET = DatasetSpec(
     recodes={"Geschlecht": {"Männer": 1, "Frauen": 2}},
     sep=";",
     encoding="latin1",
+    schema=_schema(
+        text=("Datum", "RGSName", "Geschlecht", "Verweildauer", "Altersgruppe"), whole=("RGSCode", "ABGANG"), real=("DS_VWD",)),
 )
 
 EUROSTAT = DatasetSpec(
@@ -121,4 +132,7 @@ EUROSTAT = DatasetSpec(
     mandatory=("OBS_VALUE", "sex", "TIME_PERIOD", "freq", "age", "unit", "geo"),
     drop=("DATAFLOW", "LAST UPDATE", "OBS_FLAG", "CONF_STATUS"),
     remainder="drop",
+    schema=_schema(
+        text=("DATAFLOW", "LAST UPDATE", "freq", "sex", "age", "unit", "geo", "OBS_FLAG", "CONF_STATUS"),
+        whole=("TIME_PERIOD",), real=("OBS_VALUE",)),
 )

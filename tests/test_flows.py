@@ -102,8 +102,10 @@ def test_labour_market(spark, tmp_path):
     path = tmp_path / "labour.csv"
     path.write_bytes("\n".join(lines).encode("latin1"))
     spec = ek.LABOUR_MARKET
-    df = ek.read_csv(spark, str(path), spec.sep, spec.encoding)
-    result = ek.parity_flow(df, spec)
+    landed = ek.land(spark, str(path), spec, str(tmp_path / "landed"))
+    path.unlink()  # the file is parsed once
+    result = ek.parity_flow(landed, spec)
+    assert result.counts["n_rows"] == 60 and result.counts["bad:short"] == 0 and result.counts["dropped"] == 0
     assert result.processed.columns == [
         "RGSCode", "DS_VWD", "Verweildauer_kurz", "Verweildauer_lang",
         "Altersgruppe_50+", "Altersgruppe_<25", "Geschlecht", "ABGANG",
@@ -162,3 +164,44 @@ def test_shared_folder(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(_Session("spark://host"))
     assert ek.materialize(spark.range(3), "t").count() == 3
+
+
+def test_bad_lines_are_warned_of(spark, tmp_path):
+    lines = ["feature1,sensitive_attr,target", *[f"{i},{'ab'[i % 2]},{int(i % 3 == 0)}" for i in range(30)], "1,a,1,9", "2,b"]
+    path = tmp_path / "toy.csv"
+    path.write_text("\n".join(lines))
+    with pytest.warns(UserWarning, match="1 lines of the file are long"):
+        result = ek.parity_flow(ek.land(spark, str(path), ek.TOY), ek.TOY)
+    assert result.counts["bad:long"] == result.counts["bad:short"] == 1
+    assert result.counts["n_rows"] == 32 and result.counts["null:target"] == 1 and result.counts["dropped"] == 1
+
+
+def test_odds_flow_tells_of_odd_labels(spark, with_id):
+    from pyspark.sql import functions as F
+
+    odd = with_id.withColumn("target", F.when(F.col("id") % 11 == 0, 2).when(F.col("id") % 23 != 1, F.col("target")))
+    with pytest.warns(UserWarning) as told:
+        result = ek.odds_flow(odd, KEYED, trees=2, max_depth=2)
+    texts = " ".join(str(w.message) for w in told)
+    assert "'target' holds" in texts and "lack an essential value" in texts
+    tested = result.predictions
+    assert result.counts["test_n_rows"] == tested.count() == 36
+    assert result.counts["test_dropped"] == tested.filter("target IS NULL").count() > 0
+    assert result.counts["test_not_binary:target"] == tested.filter("target IS NULL OR target = 2").count()
+    assert result.counts["not_binary:target"] == odd.filter("target IS NULL OR target = 2").count()
+
+
+def test_parity_flow_reads_its_input_once(spark, with_id, tmp_path):
+    path = str(tmp_path / "raw")
+    with_id.write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        reads.add(1)
+        yield from batches
+
+    source = spark.read.parquet(path)
+    watched = source.coalesce(1).mapInArrow(counting, source.schema)
+    result = ek.parity_flow(watched, KEYED)
+    assert reads.value == 1 and sum(f.count() for _, f in result.splits.items()) == 240
+    assert reads.value == 1

@@ -102,3 +102,25 @@ def test_repeatable(rows_from_counts):
     first = sorted(map(tuple, over(df, key=["id"]).collect()))
     assert first == sorted(map(tuple, over(df.repartition(6), key=["id"]).collect()))
     assert first != sorted(map(tuple, over(df, key=["id"], seed=1).collect()))
+
+
+def test_whole_rows_are_fetched_last(rows_from_counts, monkeypatch):
+    """One exchange at most holds the wide column, whether hits are broadcast or not."""
+    from pyspark.sql import functions as F
+
+    from evenkeel.operators import sampling
+
+    df = rows_from_counts([("a", 60, 30), ("b", 60, 9)]).withColumn("wide", F.concat(F.lit("w"), "id"))
+    want = None
+    for most, exchanges in ((500_000, 0), (0, 1)):
+        monkeypatch.setattr(sampling, "BROADCAST_HITS", most)
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            out = over(df, key=["id"])
+            plan_ = out._jdf.queryExecution().executedPlan().toString()
+        finally:
+            df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        assert plan_.count("Exchange hashpartitioning(__key_hash") <= 2 * exchanges
+        got = sorted(map(tuple, out.collect()))
+        want = want or got
+        assert got == want

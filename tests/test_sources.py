@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import types as T
@@ -105,3 +106,50 @@ def test_other_missing_tokens(spark, tmp_path):
     df = ek.read_csv(spark, path, na_values=["-"])
     assert [tuple(r) for r in df.collect()] == [(None, "NA"), (1, "it's")]
     assert dict(ek.read_csv(spark, path, na_values=[]).dtypes) == {"a": "string", "b": "string"}
+
+
+def test_landing_gives_rows_and_bad_lines_from_one_parse(spark, tmp_path):
+    path = write(tmp_path, 'a,b\n1,2\n3\n4,"5,6",7\n8,x\n9,NA\n10,1d\n')
+    schema = T.StructType([T.StructField("b", T.IntegerType()), T.StructField("a", T.IntegerType())])
+    landed = ek.land_csv(spark, path, str(tmp_path / "copy"), schema=schema)
+    Path(path).unlink()  # nothing is read from the file again
+    assert sorted(map(str, map(tuple, landed.rows.collect()))) == sorted(map(str, [
+        (2, 1), (None, 3), (None, 4), (None, 8), (None, 9), (None, 10)]))
+    got = {(r["kind"], r["n_cells"], r["n_expected"], tuple(r["bad_columns"] or ()), r["line"]) for r in landed.bad.collect()}
+    assert got == {("short", 1, 2, (), "3"), ("long", 3, 2, (), '4,"5,6",7'), ("value", 2, 2, ("b",), "8,x"), ("value", 2, 2, ("b",), "10,1d")}
+    assert landed.counts == {"n_rows": 6, "bad:short": 1, "bad:long": 1, "bad:unreadable": 2}
+    assert "MapInArrow" not in landed.rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_landing_infers_types_and_finds_wrong_encodings(spark, tmp_path):
+    path = write(tmp_path, "name,n\nMänner,1\nFrauen,2\n", "latin1")
+    landed = ek.land_csv(spark, path)
+    assert dict(landed.rows.dtypes) == {"name": "string", "n": "bigint"}
+    assert landed.counts["suspect:name"] == 1 and landed.counts["suspect:n"] == 0 and landed.bad.isEmpty()
+    right = ek.land_csv(spark, path, encoding="latin1")
+    assert right.counts["suspect:name"] == 0 and {r[0] for r in right.rows.collect()} == {"Männer", "Frauen"}
+    with pytest.raises(ek.ValidationError, match="missing columns"):
+        ek.land_csv(spark, path, schema=T.StructType([T.StructField("zz", T.StringType())]))
+    with pytest.raises(ek.EmptyInputError):
+        ek.land_csv(spark, write(tmp_path, "", name="none.csv"))
+    empty = ek.land_csv(spark, write(tmp_path, "a,b\n", name="head.csv"))
+    assert empty.counts["n_rows"] == 0 and empty.rows.columns == ["a", "b"]
+
+
+def test_latin1_output(spark, tmp_path):
+    df = spark.createDataFrame([("Männer", "a;b"), ("Frauen", None)], "g string, t string")
+    ek.write_table(df, str(tmp_path / "out"), "csv", sep=";", encoding="latin1")
+    raw = b"".join(p.read_bytes() for p in (tmp_path / "out").glob("part-*"))
+    assert "Männer;\"a;b\"".encode("latin1") in raw
+    back = ek.read_csv(spark, str(tmp_path / "out"), sep=";", encoding="latin1")
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
+def test_observed_copy(spark):
+    df = spark.createDataFrame([(1, "x�", 1.0), (2, None, float("nan")), (0, "y", None)], "y int, t string, v double")
+    copy, counts = ek.observed_copy(df, present_in=["t", "v"], binary=["y"], essential=["t", "v"], texts=None)
+    assert counts == {"n_rows": 3, "null:t": 1, "null:v": 2, "not_binary:y": 1, "suspect:t": 1, "dropped": 2}
+    assert copy.count() == 3
+    assert ek.observed_copy(df.limit(0), binary=["y"])[1] == {"n_rows": 0, "not_binary:y": 0}
+    with pytest.raises(ek.ValidationError):
+        ek.observed_copy(df, binary=["nope"])
