@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib import import_module
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -432,6 +432,20 @@ def q_impute_median(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("balance", F.round("balance", 6))
 
 
+_SHADES = {f"shade{i}": (i % 10, i // 10) for i in range(60)}
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(
+    f"""SELECT 'shade{i}' AS "column", median(CASE WHEN l_linenumber % 7 <> {a % 7} THEN l_extendedprice + {a} * l_quantity
+    + {b} * l_tax END) AS value FROM lineitem""" for i, (a, b) in enumerate(_SHADES.values())) + ")")
+def q_medians_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Medians of sixty columns with gaps, each looked through by one task."""
+    value = "CASE WHEN l_linenumber % 7 <> {} THEN l_extendedprice + {} * l_quantity + {} * l_tax END AS {}"
+    rows = _table(spark, sf, "lineitem").selectExpr(*[value.format(a % 7, a, b, n) for n, (a, b) in _SHADES.items()])
+    medians, _ = ek.exact_medians(rows, list(_SHADES))
+    return spark.createDataFrame(list(medians.items()), "`column` string, value double")
+
+
 @query("""SELECT event_id, round((value - s.m) / s.d, 6) AS value
 FROM events, (SELECT avg(value) AS m, stddev_pop(value) AS d FROM events) s""")
 def q_standardize(spark: SparkSession, sf: str) -> DataFrame:
@@ -1009,5 +1023,33 @@ def q_write_splits(spark: SparkSession, sf: str) -> DataFrame:
     return whole
 
 
+@query(f"""WITH {_split_sql("orders", "o_orderkey", "o_orderkey")}
+SELECT o_orderkey, o_custkey, o_totalprice, split, (SELECT count(DISTINCT split) FROM parts) AS n_written FROM parts""")
+def q_write_splits_once(spark: SparkSession, sf: str) -> DataFrame:
+    """All parts written in one pass over the orders."""
+    path = scratch_path(spark, "splits")
+    rows = _table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    names = ek.write_splits(ek.train_val_test_split(rows, ["o_orderkey"]), path)
+    return ek.read_parquet(spark, path).withColumn("n_written", F.lit(len(names)).cast("bigint"))
+
+
+@query("""WITH g AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS positives,
+    (count(*) FILTER (o_orderstatus = 'F'))::DOUBLE / count(*) AS selection_rate FROM orders GROUP BY o_custkey)
+SELECT *, row_number() OVER (ORDER BY o_custkey) AS place, (SELECT count(*) FROM g) AS n_groups,
+  (SELECT max(selection_rate) - min(selection_rate) FROM g) AS demographic_parity_difference FROM g""")
+def q_write_group_report(spark: SparkSession, sf: str) -> DataFrame:
+    """A report on every customer, written as ordered lines and read back in
+    the order of the files."""
+    path = scratch_path(spark, "group-report")
+    rows = _table(spark, sf, "orders").select("o_custkey", (F.col("o_orderstatus") == "F").cast("int").alias("filled"))
+    report = ek.group_report(rows, "parity", ["o_custkey"], "filled")
+    ek.write_report(report, path)
+    groups = spark.read.schema(report.groups.schema).json(f"{path}/groups")
+    order = Window.orderBy(F.input_file_name(), F.monotonically_increasing_id())
+    summary = spark.read.schema(report.summary.schema).json(f"{path}/summary")
+    placed = groups.withColumn("place", F.row_number().over(order).cast("bigint"))
+    return placed.crossJoin(F.broadcast(summary.select("n_groups", "demographic_parity_difference")))
+
+
 _register("evenkeel.llm.queries")
 _register("corpus_pipeline", needs=("evenkeel.llm",))

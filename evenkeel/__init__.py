@@ -27,6 +27,7 @@ from evenkeel.operators.parity import (
     positive_rate_difference, positive_rate_report, selection_rate_by_group, selection_rate_rollup,
 )
 from evenkeel.operators.quantiles import exact_medians
+from evenkeel.operators.reports import group_report
 from evenkeel.operators.sampling import (
     Splits, cap_rows, draw_with_replacement, exact_rank, shuffle, split_labels, split_sizes,
     train_val_test_split, with_copy_numbers,
@@ -38,7 +39,7 @@ from evenkeel.operators.validate import (
 )
 from evenkeel.plans import land, mitigation_flow, odds_flow, parity_flow, prepare
 from evenkeel.sources import (
-    Landing, infer_types, land_csv, malformed_rows, materialize, read_csv, read_parquet, write_report, write_splits,
+    GroupReport, Landing, infer_types, land_csv, malformed_rows, materialize, read_csv, read_parquet, write_report, write_splits,
     write_table,
 )
 from evenkeel.spec import (

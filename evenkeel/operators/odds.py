@@ -45,7 +45,7 @@ def labelled(df: DataFrame, sensitive: Sequence[str], target: str, prediction: s
     return kept.withColumns(dict(zip(labels, exprs(v for v, _ in labels.values()), strict=True)))
 
 
-def _confusion(df: DataFrame, sensitive: Sequence[str], target: str, prediction: str) -> DataFrame:
+def odds_counts(df: DataFrame, sensitive: Sequence[str], target: str, prediction: str) -> DataFrame:
     keep_free(sensitive, METRICS)
     rows = labelled(df, sensitive, target, prediction)
     y, p = quote(target), quote(prediction)
@@ -57,6 +57,11 @@ def _confusion(df: DataFrame, sensitive: Sequence[str], target: str, prediction:
     return contingency(rows, sensitive, target, prediction, extra)
 
 
+def odds_rates(counts: DataFrame, sensitive: Sequence[str], zero_division: float | None = 0.0) -> DataFrame:
+    """The four metrics per group, from the counts."""
+    return counts.selectExpr(*quotes(sensitive), *_named(_rates(zero_division)))
+
+
 def classification_by_group(
     df: DataFrame,
     sensitive: Sequence[str],
@@ -65,8 +70,7 @@ def classification_by_group(
     zero_division: float | None = 0.0,
 ) -> DataFrame:
     """Count, selection rate of the predictions, TPR and FPR per group."""
-    counts = _confusion(df, sensitive, target, prediction)
-    return counts.selectExpr(*quotes(sensitive), *_named(_rates(zero_division)))
+    return odds_rates(odds_counts(df, sensitive, target, prediction), sensitive, zero_division)
 
 
 def classification_overall(
@@ -77,7 +81,7 @@ def classification_overall(
     zero_division: float | None = 0.0,
 ) -> DataFrame:
     """The same four metrics over all rows, added up from the groups."""
-    counts = recount(_confusion(df, sensitive, target, prediction))
+    counts = recount(odds_counts(df, sensitive, target, prediction))
     return counts.selectExpr(*_named(_rates(zero_division)))
 
 
@@ -138,7 +142,7 @@ def equalized_odds(
     zero_division: float | None = 0.0,
 ) -> DataFrame:
     """The worse of the TPR and FPR spreads, with all metrics and status."""
-    return odds_summary(_confusion(df, sensitive, target, prediction), threshold, zero_division)
+    return odds_summary(odds_counts(df, sensitive, target, prediction), threshold, zero_division)
 
 
 def equalized_odds_report(
@@ -151,8 +155,8 @@ def equalized_odds_report(
     input_data: str | None = None,
 ) -> DataFrame:
     """The equalized odds check as one document row, group labels kept."""
-    counts = _confusion(df, sensitive, target, prediction)
-    groups = counts.selectExpr(*quotes(sensitive), *_named(_rates(zero_division)))
+    counts = odds_counts(df, sensitive, target, prediction)
+    groups = odds_rates(counts, sensitive, zero_division)
     metrics = ", ".join(quotes(METRICS))
     listed = inline_groups(groups, sensitive, f"struct({', '.join(quotes(sensitive))}, {metrics})")
     spread = ", ".join(f"{s} AS `{m}`" for m, s in zip(METRICS, _SPREADS, strict=True))

@@ -41,7 +41,7 @@ def selection_rate_rollup(df: DataFrame, sensitive: Sequence[str], target: str)
     return kept.rollup(*cols(sensitive)).agg(*counts).selectExpr("*", f"{_RATE} AS selection_rate")
 
 
-def _parity_groups(df: DataFrame, sensitive: Sequence[str], target: str) -> DataFrame:
+def parity_groups(df: DataFrame, sensitive: Sequence[str], target: str) -> DataFrame:
     # text is compared by its hash: least and greatest text would sort the table
     value = f"xxhash64({quote(target)})" if is_text(dtype(df, target)) else present(df, target)
     extra = [
@@ -82,14 +82,14 @@ def demographic_parity(
     df: DataFrame, sensitive: Sequence[str], target: str, threshold: float = DP_THRESHOLD
 ) -> DataFrame:
     """Difference between the highest and lowest selection rate, with status."""
-    return parity_summary(_parity_groups(df, sensitive, target), threshold)
+    return parity_summary(parity_groups(df, sensitive, target), threshold)
 
 
 def demographic_parity_report(
     df: DataFrame, sensitive: Sequence[str], target: str, threshold: float = DP_THRESHOLD
 ) -> DataFrame:
     """The parity check as one document row, rates by group included."""
-    groups = _parity_groups(df, sensitive, target)
+    groups = parity_groups(df, sensitive, target)
     entry = f"struct({group_label(sensitive)} AS key, selection_rate AS value)"
     listed = inline_groups(groups, sensitive, entry)
     return parity_summary(groups, threshold).withColumn("__listed", listed).selectExpr(
@@ -107,7 +107,7 @@ def demographic_parity_report(
     )
 
 
-def _rate_gap(groups: DataFrame, threshold: float) -> DataFrame:
+def rate_gap(groups: DataFrame, threshold: float) -> DataFrame:
     return groups.agg(*exprs([
         f"{total('count')} AS n_rows",
         "count(1) AS n_groups",
@@ -121,7 +121,7 @@ def positive_rate_difference(
     df: DataFrame, sensitive: Sequence[str], target: str, threshold: float = DP_THRESHOLD
 ) -> DataFrame:
     """The gap between group means of the target (the older parity report)."""
-    return _rate_gap(positive_rate_by_group(df, sensitive, target), threshold)
+    return rate_gap(positive_rate_by_group(df, sensitive, target), threshold)
 
 
 def positive_rate_report(
@@ -131,7 +131,7 @@ def positive_rate_report(
     groups = positive_rate_by_group(df, sensitive, target)
     entry = f"struct({group_label(sensitive)} AS key, struct(positive_rate, `count`) AS value)"
     listed = inline_groups(groups, sensitive, entry)
-    return _rate_gap(groups, threshold).withColumn("__listed", listed).selectExpr(
+    return rate_gap(groups, threshold).withColumn("__listed", listed).selectExpr(
         f"{whole('map_from_entries(__listed)')} AS group_statistics",
         f"{names_array(sensitive)} AS sensitive_features",
         f"{text(target)} AS target_column",

@@ -311,6 +311,8 @@ class Splits:
     val: DataFrame
     test: DataFrame
     sizes: Mapping[str, int]
+    # the whole table with the column ``split``, for writers
+    labelled: DataFrame | None = None
 
     def items(self) -> Iterator[tuple[str, DataFrame]]:
         return iter({"train": self.train, "val": self.val, "test": self.test}.items())
@@ -341,9 +343,13 @@ def split_labels(
     """The table with a column that says which split each row belongs to."""
     table, names, _ = keyed(df, key)
     train_end, val_end, _ = _cut_split(table, names, test_size, val_size, seed)
+    return _labelled(table, names, seed, train_end, val_end, out).select(*cols(df.columns), col(out))
+
+
+def _labelled(table: DataFrame, names: Sequence[str], seed: int, train_end: str, val_end: str, out: str) -> DataFrame:
     h = F.col(_HASH)
     label = F.when(h <= train_end, "train").when(h <= val_end, "val").otherwise("test")
-    return table.withColumn(_HASH, row_hash(names, seed)).select(*cols(df.columns), label.alias(out))
+    return table.withColumn(_HASH, row_hash(names, seed)).select(*cols(table.columns), label.alias(out))
 
 
 def train_val_test_split(
@@ -365,6 +371,8 @@ def train_val_test_split(
         val=table.filter((h > train_end) & (h <= val_end)).drop(*helpers),
         test=table.filter(h > val_end).drop(*helpers),
         sizes=sizes,
+        labelled=None if "split" in df.columns else _labelled(
+            table, names, seed, train_end, val_end, "split").drop(*helpers),
     )
 
 

@@ -193,7 +193,8 @@ def _split(
     if max_train_rows is not None:
         parts["train"] = cap_rows(parts["train"], max_train_rows, key, spec.seed + 1)
         sizes["train"] = min(sizes["train"], max_train_rows)
-    return Splits(**{n: drop_if_present(f, helpers) for n, f in parts.items()}, sizes=sizes)
+    labelled = drop_if_present(splits.labelled, helpers) if max_train_rows is None else None
+    return Splits(**{n: drop_if_present(f, helpers) for n, f in parts.items()}, sizes=sizes, labelled=labelled)
 
 
 @_listing_scratch
@@ -263,8 +264,7 @@ def odds_flow(
     else:
         raise ValidationError(f"fit_on must be all or train, not {fit_on!r}")
     model = train_regressor(
-        splits.train, spec.target, trees, spec.seed, [*spec.key, *exclude], max_depth
-    )
+        splits.train, spec.target, trees, spec.seed, exclude, max_depth, key=spec.key)
     labels = [spec.target, prediction]
     scored = quality_counts(
         predict(model, splits.test, prediction), binary=labels, essential=[*labels, *spec.sensitive])

@@ -1,6 +1,7 @@
 """Readers and writers."""
 
 from evenkeel.sources.files import (
+    GroupReport,
     Landing,
     infer_types,
     land_csv,
@@ -14,6 +15,6 @@ from evenkeel.sources.files import (
 from evenkeel.sources.shared import materialize, shared_dir
 
 __all__ = [
-    "Landing", "infer_types", "land_csv", "malformed_rows", "materialize", "read_csv", "read_parquet",
+    "GroupReport", "Landing", "infer_types", "land_csv", "malformed_rows", "materialize", "read_csv", "read_parquet",
     "shared_dir", "write_report", "write_splits", "write_table",
 ]

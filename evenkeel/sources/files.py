@@ -267,18 +267,62 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", sep: str = ",",
         raise ValidationError(f"unsupported output format: {fmt}")
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """Save a report as one JSON document, missing values written as null."""
+@dataclass(frozen=True)
+class GroupReport:
+    """A report on any number of groups: one summary row, a table of groups."""
+
+    summary: DataFrame
+    groups: DataFrame
+    keys: tuple[str, ...]
+
+
+def write_report(report: DataFrame | GroupReport, path: str) -> None:
+    """Save a report as one JSON document, missing values written as null.
+
+    A ``GroupReport`` becomes the document ``summary`` and the folder ``groups``:
+    one JSON line per group, in order of the keys from file to file, written by
+    as many tasks as there are ranges of keys.
+    """
+    if isinstance(report, GroupReport):
+        ordered = report.groups.orderBy(*[quote(k) for k in report.keys])
+        ordered.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/groups")
+        report, path = report.summary, f"{path}/summary"
     report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_splits(splits: Mapping[str, DataFrame], paths: Mapping[str, str], fmt: str = "parquet") -> list[str]:
-    """Save each split under its path; empty splits are skipped.
+def _write_labelled(labelled: DataFrame, names: Iterable[str], path: str, fmt: str) -> list[str]:
+    """All splits in one pass, to folders ``split=<name>``; counts come along."""
+    seen = Observation()
+    counted = labelled.observe(seen, *exprs(["count(1) AS n", *[f"count_if(split = {text(n)}) AS {quote(n)}" for n in names]]))
+    out = counted.write.mode("overwrite").partitionBy("split")
+    if fmt == "parquet":
+        out.parquet(path)
+    elif fmt == "csv":
+        out.options(**_csv_options(",", "UTF-8", False)).csv(path)
+    else:
+        raise ValidationError(f"unsupported output format: {fmt}")
+    return [n for n in names if seen.get[n]]
+
+
+def write_splits(splits, paths: str | Mapping[str, str], fmt: str = "parquet") -> list[str]:
+    """Save splits; empty ones are skipped. Returns the names of those written.
 
-    Returns the names of the splits written.
+    With one path, all splits (of ``train_val_test_split``, or a mapping of
+    names to tables) are written in one pass over the table, to folders
+    ``split=<name>`` under it. With a path per split, each is written there.
     """
+    frames = dict(splits.items())
+    if isinstance(paths, str):
+        labelled = getattr(splits, "labelled", None)
+        if labelled is None:
+            for name, frame in frames.items():
+                if "split" in frame.columns:
+                    raise ValidationError("a column is called split; give a path per split")
+                part = frame.selectExpr("*", f"{text(name)} AS split")
+                labelled = part if labelled is None else labelled.unionByName(part)
+        return _write_labelled(labelled, list(frames), paths, fmt)
     written = []
-    for name, frame in splits.items():
+    for name, frame in frames.items():
         if frame.isEmpty():
             continue
         write_table(frame, paths[name], fmt)

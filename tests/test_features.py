@@ -202,3 +202,20 @@ def test_folded_vectors(spark):
     rows = df.select("v", folded_vector(vector_parts(F.col("v")), 4).alias("w")).collect()
     for r in rows:
         assert r["w"].size == 4 and sum(r["w"].toArray()) == sum(r["v"].toArray())
+
+
+def test_medians_of_many_columns(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "SORT_ROWS", 40)
+    rng = random.Random(8)
+    data = [[rng.choice([None, rng.gauss(i, 9), float(i)]) for i in range(120)] for _ in range(101)]
+    df = spark.createDataFrame(data, ", ".join(f"x{i} double" for i in range(120))).repartition(3)
+    want = {f"x{i}": statistics.median([r[i] for r in data if r[i] is not None]) for i in range(120)}
+    assert ek.exact_medians(df, list(want))[0] == want
+    monkeypatch.setattr(quantiles, "SORT_ROWS", 1_000_000)
+    assert ek.exact_medians(df, list(want), rows=101)[0] == want
+
+
+def test_few_rows_are_fitted_in_one_pass(people):
+    with pytest.warns(UserWarning):
+        one, two = [ek.fit_preprocessor(people, ROLES, scale=True, rows=rows) for rows in (3, None)]
+    assert one == two

@@ -1,6 +1,7 @@
 import pytest
 
 import evenkeel as ek
+from evenkeel.operators import model as model_module
 
 
 @pytest.fixture(scope="module")
@@ -35,3 +36,43 @@ def test_missing_numbers_can_be_scored(spark, encoded):
     model = ek.train_regressor(plain, "y", trees=2, max_depth=2)
     gap = spark.createDataFrame([(None, 1)], "x double, y int")
     assert ek.predict(model, gap).first()["prediction"] in (0, 1)
+
+
+@pytest.mark.parametrize("key", [["id"], None])
+def test_forest_does_not_depend_on_partitions(spark, encoded, monkeypatch, key):
+    monkeypatch.setattr(model_module, "LAYOUT_ROWS", 50)
+    rows = encoded if key else encoded.drop("id")
+    scores = []
+    for parts in (1, 3, 8):
+        train = rows.repartition(parts).orderBy("x") if parts > 1 else rows.coalesce(1)
+        fitted = ek.train_regressor(train, "y", trees=7, max_depth=3, key=key)
+        scores.append(sorted(map(str, ek.predict(fitted, encoded, "p").select("id", "p_regression").collect())))
+    assert scores[0] == scores[1] == scores[2]
+    assert fitted.features == ("x", "c_onehot")
+
+
+def test_layout_follows_from_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(model_module, "LAYOUT_ROWS", 20)
+    rows = spark.range(100).selectExpr("id", "id % 3 AS x")
+    parts = [[tuple(r) for r in p] for p in model_module.training_layout(rows, ["id"]).rdd.glom().collect()]
+    again = [[tuple(r) for r in p] for p in model_module.training_layout(rows.repartition(7), ["id"]).rdd.glom().collect()]
+    assert len(parts) == 6 and parts == again
+
+
+def test_wide_vectors_are_folded(spark):
+    df = spark.range(400).selectExpr("id", "concat('c', id % 200) AS c", "'g' AS g", "CAST(id % 200 < 90 AS int) AS y")
+    wide = ek.fit_preprocessor(df, ek.ColumnRoles("y", ("g",), (), ("c",)), category_form="vector").transform(df, keep=["id"])
+    fitted = ek.train_regressor(wide, "y", trees=3, max_depth=8, key=["id"], max_width=64)
+    assert fitted.folded == ("c_onehot",)
+    assert fitted.stages.stages[-1].numFeatures == 64
+    scored = ek.predict(fitted, wide, "p")
+    assert scored.columns == [*wide.columns, "p_regression", "p"]
+    assert scored.filter("p = y").count() > 240
+
+
+def test_a_hundred_thousand_categories(spark):
+    """The vectors of all of them go through a space of the default width."""
+    df = spark.range(100_000).selectExpr("id", "concat('c', id) AS c", "'g' AS g", "CAST(id % 2 AS int) AS y")
+    wide = ek.fit_preprocessor(df, ek.ColumnRoles("y", ("g",), (), ("c",)), category_form="vector").transform(df, keep=["id"])
+    fitted = ek.train_regressor(wide.filter("id % 50 = 0"), "y", trees=1, max_depth=2, key=["id"])
+    assert fitted.stages.stages[-1].numFeatures == model_module.MAX_WIDTH

@@ -153,3 +153,37 @@ def test_observed_copy(spark):
     assert ek.observed_copy(df.limit(0), binary=["y"])[1] == {"n_rows": 0, "not_binary:y": 0}
     with pytest.raises(ek.ValidationError):
         ek.observed_copy(df, binary=["nope"])
+
+
+def test_splits_in_one_pass(spark, tmp_path):
+    splits = ek.train_val_test_split(spark.range(2).withColumnRenamed("id", "k"), ["k"])
+    assert ek.write_splits(splits, str(tmp_path / "a")) == ["train", "val"]
+    assert sorted(p.name for p in (tmp_path / "a").glob("split=*")) == ["split=train", "split=val"]
+    frames = {"train": spark.range(5), "held": spark.range(5, 7), "none": spark.range(0)}
+    assert ek.write_splits(frames, str(tmp_path / "b"), "csv") == ["train", "held"]
+    back = spark.read.option("header", True).csv(str(tmp_path / "b"))
+    assert sorted((r["split"], int(r["id"])) for r in back.collect()) == sorted(
+        [("train", i) for i in range(5)] + [("held", 5), ("held", 6)])
+    with pytest.raises(ek.ValidationError):
+        ek.write_splits({"x": spark.range(2).withColumnRenamed("id", "split")}, str(tmp_path / "c"))
+    with pytest.raises(ek.ValidationError):
+        ek.write_splits(frames, str(tmp_path / "d"), "feather")
+
+
+def test_group_reports(spark, tmp_path, monkeypatch):
+    from evenkeel.operators import contingency
+
+    monkeypatch.setattr(contingency, "DOCUMENT_GROUPS", 10)
+    df = spark.range(4000).selectExpr("concat('g', lpad(id % 500, 3, '0')) AS g", "id % 2 AS h", "CAST(id % 3 = 0 AS int) AS y", "CAST(id % 5 = 0 AS int) AS p")
+    for kind, prediction in (("parity", None), ("rates", None), ("impact", None), ("odds", "p")):
+        report = ek.group_report(df, kind, ["g", "h"], "y", prediction)
+        path = tmp_path / kind
+        ek.write_report(report, str(path))
+        lines = [json.loads(line) for f in sorted((path / "groups").glob("part-*.json")) for line in f.read_text().splitlines()]
+        assert [(r["g"], r["h"]) for r in lines] == sorted((f"g{i:03}", i % 2) for i in range(500))
+        (summary,) = [json.loads(f.read_text()) for f in (path / "summary").glob("part-*.json")]
+        assert summary["n_groups"] == 500 and summary["report"] == kind and summary["sensitive_features"] == ["g", "h"]
+    with pytest.raises(Exception, match="groups do not fit"):
+        ek.demographic_parity_report(df, ["g", "h"], "y").collect()
+    with pytest.raises(ek.ValidationError):
+        ek.group_report(df, "parity", ["g"], "y", "p")
