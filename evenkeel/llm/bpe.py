@@ -3,16 +3,18 @@
 A pre-token that is a vocabulary entry as a whole is resolved by a minimal
 perfect hash: one hash, one displacement, one comparison. All others start as
 linked bytes; a heap hands out the adjacent pair of the lowest rank, the leftmost
-of equals, until no pair has a rank. Results are kept per worker for as many
-pre-tokens as ``MEMO``, then forgotten and begun anew.
+of equals, until no pair has a rank. Results are kept per worker for ``MEMO``
+pre-tokens; when they are full they grow old, and what is not asked for again
+until the next ones are full is forgotten.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
+import struct
 from collections.abc import Iterator, Sequence
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,10 @@ from pyspark.sql import DataFrame
 
 from evenkeel.llm.texts import Shared, blocks, carrying, checked, map_batches, pick, texts_of
 
-MEMO = 400_000
+MEMO = 500_000
 _PART = 1 << 20
+#: Formats of few ids as little-endian 32-bit numbers.
+_FORMATS = [f"<{n}I" for n in range(24)]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -81,52 +85,74 @@ class PerfectHash:
 class Encoder(dict):
     """Pre-token -> its ids as little-endian 32-bit numbers; fills itself."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, known: PerfectHash | None = None):
         super().__init__()
-        self.hash = PerfectHash(ranks)
+        self.hash = known or PerfectHash(ranks)
         self.ranks, self.tokens = ranks, {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
+        self.single = [ranks.get(bytes([b])) for b in range(256)]
+        # for each entry, what it makes with the entry that follows
+        none: dict[int, int] = {}
+        follows = [none] * (max(ranks.values(), default=0) + 1)
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                first, second = ranks.get(token[:i]), ranks.get(token[i:])
+                if first is not None and second is not None:
+                    if follows[first] is none:
+                        follows[first] = {}
+                    follows[first][second] = rank
+        self.made = [f.get for f in follows]
+        self.old: dict[str, bytes] = {}
 
     def __reduce__(self):
-        return Encoder._restored, (self.hash, self.pattern.pattern, self.ranks)
-
-    @staticmethod
-    def _restored(known: PerfectHash, pattern: str, ranks: dict[bytes, int]) -> Encoder:
-        made = Encoder({}, pattern)
-        made.hash, made.ranks = known, ranks
-        made.tokens = {rank: token for token, rank in ranks.items()}
-        return made
+        return Encoder, (self.ranks, self.pattern.pattern, self.hash)
 
     def __missing__(self, piece: str) -> bytes:
-        data = piece.encode()
-        whole = self.hash.get(data)
-        ids = [whole] if whole is not None else self.merge(data)
+        out = self.old.get(piece)
+        if out is None:
+            data = piece.encode()
+            whole = self.hash.get(data)
+            ids = [whole] if whole is not None else self.merge(data)
+            out = struct.pack(_FORMATS[len(ids)], *ids) if len(ids) < len(_FORMATS) else np.array(ids, "<u4").tobytes()
         if len(self) >= MEMO:
+            self.old = dict(self)
             self.clear()
-        self[piece] = out = np.array(ids, "<u4").tobytes()
+        self[piece] = out
         return out
 
     def merge(self, data: bytes) -> list[int]:
-        rank, n = self.ranks.get, len(data)
+        """A heap over linked bytes. Its entries are ranks with the place of the
+        pair below; one is out of date if the place has another rank by now."""
+        made, n = self.made, len(data)
+        ids = [self.single[b] for b in data]
         if n == 2:
-            return [rank(data[:1]), rank(data[1:])]  # the pair is no entry, or it had been found
-        after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-        alive = [True] * n
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(data[i: i + 2])) is not None]
-        heapq.heapify(heap)
+            return ids  # the pair is no entry, or it had been found
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        now = [made[a](b) for a, b in zip(ids, ids[1:])]
+        now.append(None)
+        heap = [rank << 32 | i for i, rank in enumerate(now) if rank is not None]
+        heapify(heap)
         while heap:
-            _, i, stop = heapq.heappop(heap)
-            j = after[i] if alive[i] else n
-            if j >= n or end[j] != stop:
-                continue  # one of the two was merged meanwhile
-            end[i], alive[j], after[i] = stop, False, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if (r := rank(data[i: end[after[i]]])) is not None:
-                    heapq.heappush(heap, (r, i, end[after[i]]))
-            if before[i] >= 0 and (r := rank(data[before[i]: stop])) is not None:
-                heapq.heappush(heap, (r, before[i], stop))
-        return [rank(data[i: end[i]]) for i in range(n) if alive[i]]
+            entry = heappop(heap)
+            i, whole = entry & 0xFFFFFFFF, entry >> 32
+            if now[i] != whole:
+                continue
+            j = after[i]
+            ids[i], ids[j], now[j] = whole, None, None
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                now[i] = rank = made[whole](ids[k])
+                if rank is not None:
+                    heappush(heap, rank << 32 | i)
+            else:
+                now[i] = None
+            k = before[i]
+            if k >= 0:
+                now[k] = rank = made[ids[k]](whole)
+                if rank is not None:
+                    heappush(heap, rank << 32 | k)
+        return [x for x in ids if x is not None]
 
     def encode(self, text: str) -> bytes:
         """Ids of a text; long texts are split piece by piece, not all at once."""

@@ -45,26 +45,39 @@ class TokenTree:
         return [(chars[i: i + LEAF], tokens[i: i + LEAF]) for i in range(0, len(chars), LEAF)] or [([], [])]
 
     def _build(self) -> None:
-        level = np.array([(sum(c), sum(t)) for c, t in self.leaves], np.int64)
-        self.levels = [level]
-        while len(level) > 1:
-            if len(level) % 2:
-                level = np.concatenate([level, [[0, 0]]])
-                self.levels[-1] = level
-            level = level[::2] + level[1::2]
-            self.levels.append(level)
+        chars, tokens = [sum(c) for c, _ in self.leaves], [sum(t) for _, t in self.leaves]
+        self.levels = [(chars, tokens)]
+        while len(chars) > 1:
+            if len(chars) % 2:
+                chars.append(0)
+                tokens.append(0)
+            chars = [x + y for x, y in zip(chars[::2], chars[1::2])]
+            tokens = [x + y for x, y in zip(tokens[::2], tokens[1::2])]
+            self.levels.append((chars, tokens))
+
+    def _update(self, first: int, last: int) -> None:
+        """The sums of some leaves, and those on the ways up from them."""
+        chars, tokens = self.levels[0]
+        for i in range(first, last + 1):
+            chars[i], tokens[i] = sum(self.leaves[i][0]), sum(self.leaves[i][1])
+        for (chars, tokens), (c, t) in zip(self.levels, self.levels[1:]):
+            first, last = first // 2, last // 2
+            for i in range(first, last + 1):
+                c[i], t[i] = chars[2 * i] + chars[2 * i + 1], tokens[2 * i] + tokens[2 * i + 1]
 
     @property
     def tokens(self) -> int:
-        return int(self.levels[-1][0, 1])
+        return self.levels[-1][1][0]
 
     def _seek(self, place: int) -> tuple[int, int]:
         """The leaf that holds a character, and where the leaf begins."""
         node, start = 0, 0
-        for level in reversed(self.levels[:-1]):
+        if place >= self.levels[-1][0][0]:  # no characters are left
+            return 0, 0
+        for chars, _ in reversed(self.levels[:-1]):
             node *= 2
-            if place - start >= level[node, 0]:
-                start += int(level[node, 0])
+            if place - start >= chars[node]:
+                start += chars[node]
                 node += 1
         return min(node, len(self.leaves) - 1), start
 
@@ -76,8 +89,6 @@ class TokenTree:
         text = self.text[:at] + insert + self.text[at + remove:]
         shift = len(insert) - remove
         leaf, begin = self._seek(max(at - REACH, 0))
-        if begin > max(at - REACH, 0):  # the place is the end of the text
-            leaf, begin = max(leaf - 1, 0), begin - int(self.levels[0][max(leaf - 1, 0), 0])
         low, keep = begin, 0
         for size in self.leaves[leaf][0]:
             if low + size + REACH > at:
@@ -98,17 +109,16 @@ class TokenTree:
                 index += 1
         chars, tokens = self._counted(pieces)
         first, end = self.leaves[leaf], self.leaves[last]
-        merged = self._cut(first[0][:keep] + chars + end[0][index:], first[1][:keep] + tokens + end[1][index:])
-        same = last == leaf and len(merged) == 1
-        self.leaves[leaf: last + 1] = merged
+        chars, tokens = first[0][:keep] + chars + end[0][index:], first[1][:keep] + tokens + end[1][index:]
         self.text = text
-        if not same:
+        # a leaf may hold twice as much before it is cut; leaves that are left over stay, empty
+        merged = [(chars, tokens)] if len(chars) <= 2 * LEAF else self._cut(chars, tokens)
+        room = last - leaf + 1
+        self.leaves[leaf: last + 1] = merged + [([], [])] * (room - len(merged))
+        if len(merged) > room:
             self._build()
-            return
-        self.levels[0][leaf] = sum(merged[0][0]), sum(merged[0][1])
-        for below, above in zip(self.levels, self.levels[1:]):
-            leaf //= 2
-            above[leaf] = below[2 * leaf] + below[2 * leaf + 1]
+        else:
+            self._update(leaf, last)
 
 
 def edited_counts(

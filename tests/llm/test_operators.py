@@ -391,3 +391,25 @@ def test_rare_divergent_context_scores(spark):
     scores = {r.doc_id: r.score for r in score_texts(docs.unionByName(docs.sparkSession.createDataFrame(
         [(200, "qxzqxw"), (201, "wqxzxq")], "doc_id long, text string")), "doc_id < 200").collect()}
     assert scores[200] > scores[201] + 3
+
+
+def test_memo_forgets_and_trees_keep_their_shape(ranks, monkeypatch):
+    from evenkeel.llm import bpe
+
+    monkeypatch.setattr(bpe, "MEMO", 50)
+    rng, known = random.Random(9), tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    coder = Encoder(ranks, public_tokenizers.PATTERN)
+    names = ["".join(rng.choices("abcdeé ", k=rng.randrange(1, 14))) for _ in range(400)]
+    for _ in range(30):
+        text = " ".join(rng.choices(names, k=200))
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == known.encode_ordinary(text)
+        assert len(coder) <= 50 and len(coder.old) <= 50
+    tree = TokenTree(text * 20, coder)
+    leaves = len(tree.leaves)
+    for _ in range(60):  # short edits touch one way up, cuts leave empty leaves
+        tree.edit(rng.randrange(len(tree.text)), rng.choice([0, 1, 3000]), rng.choice(["", "x", "new words "]))
+        assert tree.tokens == len(known.encode_ordinary(tree.text)) and len(tree.leaves) == leaves
+    tree.edit(0, len(tree.text), "")
+    assert tree.tokens == 0
+    tree.edit(0, 0, text * 30)
+    assert tree.tokens == len(known.encode_ordinary(text * 30)) and len(tree.leaves) > leaves
