@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.core.broadcast import _broadcastRegistry
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -192,7 +193,9 @@ def texts_of(values: Sequence) -> list[str]:
 class Shared:
     """A broadcast of any object; executors load it once per worker process.
 
-    Callers state why its size is bounded.
+    A worker keeps the one it used last: before it loads another, it lets go of
+    the objects and bytes of all others, which can be loaded again. Callers
+    state why the size is bounded.
     """
 
     def __init__(self, spark: SparkSession, value):
@@ -201,6 +204,10 @@ class Shared:
     @property
     def value(self):
         if not hasattr(self.sent, "loaded"):
+            for other in list(_broadcastRegistry.values()):
+                if getattr(other, "_path", None) is not None:  # in a worker, where values lie in files
+                    other.__dict__.pop("loaded", None)
+                    other.__dict__.pop("_value", None)
             self.sent.loaded = cloudpickle.loads(self.sent.value)
         return self.sent.loaded
 
