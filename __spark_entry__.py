@@ -432,14 +432,14 @@ def q_impute_median(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("balance", F.round("balance", 6))
 
 
-_SHADES = {f"shade{i}": (i % 10, i // 10) for i in range(60)}
+_SHADES = {f"shade{i}": (i % 8, i // 8) for i in range(16)}
 
 
 @query("SELECT * FROM (" + " UNION ALL ".join(
     f"""SELECT 'shade{i}' AS "column", median(CASE WHEN l_linenumber % 7 <> {a % 7} THEN l_extendedprice + {a} * l_quantity
     + {b} * l_tax END) AS value FROM lineitem""" for i, (a, b) in enumerate(_SHADES.values())) + ")")
 def q_medians_wide(spark: SparkSession, sf: str) -> DataFrame:
-    """Medians of sixty columns with gaps, each looked through by one task."""
+    """Medians of sixteen columns with gaps, each looked through by one task."""
     value = "CASE WHEN l_linenumber % 7 <> {} THEN l_extendedprice + {} * l_quantity + {} * l_tax END AS {}"
     rows = _table(spark, sf, "lineitem").selectExpr(*[value.format(a % 7, a, b, n) for n, (a, b) in _SHADES.items()])
     medians, _ = ek.exact_medians(rows, list(_SHADES))

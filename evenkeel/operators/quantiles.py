@@ -23,6 +23,9 @@ RANGES, ALL_RANGES = 4096, 1 << 18
 SORT_ROWS = 100_000
 # Relative rank error of the sketch is at most 1 / SKETCH.
 SKETCH = 100
+# Columns of one pass: Spark compiles no larger expressions, and what it does
+# not compile is many times slower.
+TOGETHER = 12
 _HUGE = sys.float_info.max
 
 
@@ -59,7 +62,7 @@ class _Search:
 
 def exact_medians(
     df: DataFrame, columns: Sequence[str], extra: Sequence[Column] = (), rows: int | None = None
-) -> tuple[dict[str, float | None], Row]:
+) -> tuple[dict[str, float | None], Row | dict]:
     """Medians of numeric columns, null and NaN left out; the mean of the two
     middle values for an even count; None for a column without values.
 
@@ -68,8 +71,18 @@ def exact_medians(
     number of ``rows`` is known and one task may sort all values, one pass does.
 
     Counts of ranges and the last values are tables keyed by column, each column
-    looked through by one task; two ranges per column reach the driver.
+    looked through by one task; two ranges per column reach the driver. More than
+    ``TOGETHER`` columns are worked on in several passes.
     """
+    if len(columns) > TOGETHER:
+        medians, seen = {}, {}
+        for low in range(0, len(columns), TOGETHER):
+            part = columns[low: low + TOGETHER]
+            found, row = exact_medians(df, part, () if low else extra, rows)
+            medians |= found
+            seen |= {} if low else (row if isinstance(row, dict) else row.asDict())
+            seen |= {f"n_{low + i}": row[f"n_{i}"] for i in range(len(part))}
+        return medians, seen
     values = {i: F.expr(number(df, c)) for i, c in enumerate(columns)}
     if rows is not None and rows * len(columns) <= SORT_ROWS:
         first = df.agg(
