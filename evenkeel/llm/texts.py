@@ -22,9 +22,14 @@ BLOCK_BYTES = 1 << 20
 #: Multipliers and salts of the hashes; any odd numbers would do.
 _P = np.uint64(0x9E3779B97F4A7C15)
 _M = np.uint64(0xD6E8FEB86659FD93)
-_SALTS = np.random.Generator(np.random.PCG64(20)).integers(1, 2**63, 256, dtype=np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_SALTS = np.random.Generator(np.random.PCG64(20)).integers(1, 2**63, 256, dtype=np.uint64)[_LOWER]
+#: A second hash is taken modulo a prime, 2^31 - 1, where powers do not vanish.
+_BITS = np.uint64(31)
+_PRIME = np.uint64((1 << 31) - 1)
+_BASE = 1_292_530_417
+_PRIME_SALTS = np.random.Generator(np.random.PCG64(31)).integers(1, int(_PRIME), 256, dtype=np.uint64)[_LOWER]
 
 #: Bytes of a word: all but white space / letters, digits and all non-ASCII.
 NOT_BLANK = np.ones(256, bool)
@@ -137,6 +142,24 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _kept["powers"]
 
 
+def _prime_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a number and of its inverse modulo the prime."""
+    if len(_kept.get("primes", ((),))[0]) < n:
+        out = []
+        for base in (_BASE, pow(_BASE, -1, int(_PRIME))):
+            powers = np.ones(1, np.uint64)
+            while len(powers) < max(n, BLOCK_BYTES + (1 << 16)):
+                powers = np.concatenate([powers, powers * np.uint64(pow(base, len(powers), int(_PRIME))) % _PRIME])
+            out.append(powers)
+        _kept["primes"] = tuple(out)
+    return _kept["primes"]
+
+
+def _partly(x: np.ndarray) -> np.ndarray:
+    """A number that is equal modulo the prime and below 2^34, if ``x`` is below 2^64."""
+    return (x & _PRIME) + (x >> _BITS)
+
+
 def words(
     data: np.ndarray, offsets: np.ndarray, member: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,7 +168,9 @@ def words(
 
     A word is a longest run of ``member`` bytes. Equal words have equal hashes
     wherever they stand: the hash is the sum of salted bytes times powers of an
-    odd number, divided by the power of the position.
+    odd number, divided by the power of the position. Alone, such a sum modulo 2^64
+    is equal for words that can be written down whatever the number (Thue and
+    Morse's and its complement), so a second sum, modulo a prime, is mixed in.
     """
     n = len(data)
     inside = np.zeros(n + 2, bool)
@@ -156,9 +181,12 @@ def words(
     ends = np.flatnonzero(inside[1:-1] & (~inside[2:] | head[1:])) + 1
     power, inverse = _tables(n)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_SALTS[_LOWER[data]] * power[:n], out=total[1:])
-    hashes = mixed((total[ends] - total[begins]) * inverse[begins])
-    return hashes, np.searchsorted(begins, offsets), begins
+    np.cumsum(_SALTS[data] * power[:n], out=total[1:])
+    hashes = (total[ends] - total[begins]) * inverse[begins]
+    power, inverse = _prime_tables(n)
+    np.cumsum(_partly(_PRIME_SALTS[data] * power[:n]), out=total[1:])  # 2^30 bytes of text fit
+    second = _partly(_partly(total[ends] - total[begins])) % _PRIME * inverse[begins] % _PRIME
+    return mixed(hashes ^ mixed(second)), np.searchsorted(begins, offsets), begins
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -253,14 +281,14 @@ def letters(data: np.ndarray, offsets: np.ndarray, pad: int) -> tuple[np.ndarray
     return out, begin
 
 
-def grams(chars: np.ndarray, order: int) -> np.ndarray:
-    """Hashes of the ``order`` characters that end at each place from the
-    ``order``-th on."""
+def grams(chars: np.ndarray, order: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the ``order`` characters from each place on that has so many,
+    or from the places ``at`` on."""
     n = len(chars) - order + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    h = np.full(n, order, np.uint64)
+    h = np.full(n if at is None else len(at), order, np.uint64)
     for j in range(order):
         h *= _M
-        h += chars[j: n + j]
+        h += chars[j: n + j] if at is None else chars[at + j]
     return mixed(h)
