@@ -1,10 +1,11 @@
-"""Toxicity by a linear classifier on parts of words scaled by naive Bayes.
+"""Toxicity by a linear classifier on character n-grams scaled by naive Bayes.
 
-A text is the set of its words and of the first 3 to 9 letters of each (word
-boundaries included), hashed to BUCKETS numbers; in scripts that set no spaces
-between words, of its runs of 2 to 10 characters. Each is scaled by its log-count
-ratio, the log of how much more often toxic texts hold it than others. Logistic regression
-is fitted on the scaled sets; ratio times coefficient is the weight of a part.
+A text is the set of its words and of their runs of 4 to 8 letters, boundaries
+included, and of the first 3 to 9 letters of each word, hashed to BUCKETS numbers;
+in scripts that set no spaces between words, of its runs of 2 to 10 characters. Each
+is scaled by its log-count ratio, the log of how much more often toxic texts hold it
+than others. Logistic regression is fitted on the scaled sets; ratio times
+coefficient is the weight of a part.
 
 The classifier is fitted on a sample of labelled texts of bounded size. Scoring
 reads all texts, with one small array of weights.
@@ -25,7 +26,8 @@ from evenkeel.llm.texts import Shared, _tables, blocks, carrying, checked, fold,
 from evenkeel.sources.shared import materialize
 
 BITS = 20
-ORDERS, BUCKETS = tuple(range(4, 11)), 1 << BITS
+#: Runs from the beginning of a word on, and those that are parts anywhere in it.
+ORDERS, INNER, BUCKETS = tuple(range(4, 11)), tuple(range(4, 9)), 1 << BITS
 #: Scripts without spaces between words (first and last character), and the
 #: shorter runs that are parts there too.
 UNSPACED, SHORT = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)), (2, 3)
@@ -37,32 +39,46 @@ LEAST_RATIO, LEAST_TEXTS, SMOOTHING = 2.0, 5, 2.0
 PENALTY, ROUNDS = 0.003, 40
 
 
-def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, bucket) pairs, sorted."""
+def _features(
+    data: np.ndarray, offsets: np.ndarray, asked: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text, bucket) pairs, sorted; only of buckets ``asked`` for (a
+    flag each), if given."""
     chars, begin = letters(data, offsets, max(ORDERS) - 1)
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(begin)) << 32
+    owner = np.repeat(np.arange(len(offsets) - 1) << 32, np.diff(begin))
     blank, dense = chars == 32, np.zeros(len(chars), bool)
     for low, high in UNSPACED if len(chars) and chars.max() >= UNSPACED[0][0] else ():
         dense |= (chars >= low) & (chars <= high)
     blanks = np.concatenate([[0], np.cumsum(blank)])
     parts = []
+
+    def add(at: np.ndarray, hashes: np.ndarray) -> None:
+        bucket = _bucket(hashes)
+        if asked is not None:
+            some = asked[bucket]
+            at, bucket = at[some], bucket[some]
+        parts.append(owner[at] | bucket)
+
     for k in (*SHORT, *ORDERS):
         n = len(chars) - k + 1
         if n <= 0:
             continue
         begins = dense[:n] & ~blank[k - 1:]  # so that no part holds two texts' letters
-        if k in ORDERS:
+        if k in INNER:
+            begins = np.ones(n, bool)
+        elif k in ORDERS:
             begins |= blank[:n]
         at = np.flatnonzero(begins & (blanks[k - 1: k - 1 + n] == blanks[1: n + 1]))
-        parts.append(owner[at] | _bucket(grams(chars, k)[at]))
+        add(at, grams(chars, k)[at] if k in INNER else grams(chars, k, at))
     ends = np.flatnonzero(blank)
     low, high = ends[:-1], ends[1:]
     low, high = low[high - low > 1], high[high - low > 1]
     power, inverse = _tables(len(chars))
     total = np.zeros(len(chars) + 1, np.uint64)
     np.cumsum(mixed(chars.astype(np.uint64)) * power[: len(chars)], out=total[1:])
-    parts.append(owner[low] | _bucket(mixed((total[high] - total[low + 1]) * inverse[low])))
-    pairs = np.unique(np.concatenate(parts))
+    add(low, mixed((total[high] - total[low + 1]) * inverse[low]))
+    pairs = np.sort(np.concatenate(parts))
+    pairs = pairs[np.flatnonzero(np.diff(pairs, prepend=-1))]
     return pairs >> 32, pairs & 0xFFFFFFFF
 
 
@@ -141,12 +157,13 @@ def score_toxicity(
     """
     checked(carry, {"score", "predicted"})
     docs = pick(docs, *dict.fromkeys([*carry, "text"]))
-    shared = Shared(docs.sparkSession, weights)
+    shared = Shared(docs.sparkSession, (weights, weights != 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch, data, offsets in blocks(batches):
-            owner, bucket = _features(data, offsets)
-            total = np.bincount(owner, shared.value[bucket], minlength=batch.num_rows) + intercept
+            weights, asked = shared.value
+            owner, bucket = _features(data, offsets, asked)
+            total = np.bincount(owner, weights[bucket], minlength=batch.num_rows) + intercept
             score = 1 / (1 + np.exp(-np.clip(total, -500, 500)))
             yield {c: batch.column(c) for c in carry} | {
                 "score": score, "predicted": (score >= 0.5).astype(np.int32)}

@@ -413,3 +413,35 @@ def test_memo_forgets_and_trees_keep_their_shape(ranks, monkeypatch):
     assert tree.tokens == 0
     tree.edit(0, 0, text * 30)
     assert tree.tokens == len(known.encode_ordinary(text * 30)) and len(tree.leaves) > leaves
+
+
+def thue_morse(letters):
+    """A word of 1,024 letters and its complement."""
+    word = [bin(i).count("1") % 2 for i in range(1024)]
+    return "".join(letters[b] for b in word), "".join(letters[1 - b] for b in word)
+
+
+def test_words_built_to_collide(spark):
+    one, other = thue_morse("ab")
+    docs = spark.createDataFrame([(1, f"{one} x"), (2, f"{other} x"), (3, f"{one.upper()}\nx")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+    bench = spark.createDataFrame([(7, one)], "item_id long, text string")
+    assert {r.doc_id: r.n_hit for r in decontaminate(docs, bench).collect()} == {1: 1, 2: 0, 3: 1}
+    known = {r.doc_id: r.n_known for r in score_texts(docs, "doc_id <> 2").collect()}
+    assert known == {1: 3, 2: 2, 3: 3}  # x and the end, and in two texts the long word
+
+
+def test_toxic_parts_inside_words(spark):
+    rows, marks = [], []
+    for i in range(800):
+        bad = i % 4 == 0
+        word = f"{'qwrt'[i % 4]}{'mnpl'[i // 4 % 4]}{i % 7}scoundrel{'zk'[i % 2]}{i % 5}" if bad else f"w{i % 50}"
+        rows.append((i, f"plain words and {word} in a line {i % 13}"))
+        marks.append((i, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    weights, intercept = fit_toxicity(training_sample(docs, labels))
+    new = spark.createDataFrame([(1, "aascoundrelee"), (2, "aalanternee"), (3, None), (4, "")], "doc_id long, text string")
+    got = {r.doc_id: r.predicted for r in score_toxicity(new, weights, intercept).collect()}
+    assert got == {1: 1, 2: 0, 3: 0, 4: 0}
