@@ -26,7 +26,7 @@ what is joined is rare by definition, so no key of the join is hot.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -49,6 +49,9 @@ END, RARE = 0, ALPHABET - 1
 #: Stands for the weight of the shorter context among next symbols.
 BACK = (1 << BITS) - 1
 _FLUSH = 2_000_000
+#: Codes whose answers a process keeps: 2^MEMO_BITS of 16 bytes each.
+MEMO_BITS = 21
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _normal(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,6 +197,35 @@ def _retained(value: np.ndarray, n: np.ndarray, below: np.ndarray) -> Iterator[t
         yield i + 2, codes, np.log10(np.concatenate([p[mine], PRIOR / (total[keep[i]] + PRIOR)]))
 
 
+class Memo:
+    """Answers to the codes a process was asked for, one per slot, the last one
+    stays. Each process fills its own; a copy that is sent starts empty."""
+
+    def __init__(self):
+        self.codes = self.logs = None
+
+    def __reduce__(self):
+        return Memo, ()
+
+    def answers(self, code: np.ndarray, look_up: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """``look_up`` of all codes, asked only for distinct ones that are not here."""
+        if self.codes is None:
+            self.codes, self.logs = np.full(1 << MEMO_BITS, -1, np.int64), np.zeros(1 << MEMO_BITS)
+        slot = self._slot(code)
+        out = self.logs[slot]
+        missed = np.flatnonzero(self.codes[slot] != code)
+        new, of = np.unique(code[missed], return_inverse=True)
+        found = look_up(new)
+        out[missed] = found[of]
+        slot, last = np.unique(self._slot(new), return_index=True)
+        self.codes[slot], self.logs[slot] = new[last], found[last]
+        return out
+
+    @staticmethod
+    def _slot(code: np.ndarray) -> np.ndarray:
+        return ((code.view(np.uint64) * _ODD) >> np.uint64(64 - MEMO_BITS)).view(np.int64)
+
+
 class SuffixTree(NamedTuple):
     """Characters and contexts. ``symbol``: symbols by character; ``extra``:
     log10 frequencies of characters among those that share a symbol; ``short``:
@@ -218,7 +250,7 @@ class SuffixTree(NamedTuple):
                 at = np.flatnonzero(depth == d)
                 at = at[np.argsort(code[at])]
                 tables.append((code[at], log[at]))
-            yield Block(self.symbol, self.extra, self.short, tables, self.groups, passes, i)
+            yield Block(self.symbol, self.extra, self.short, tables, self.groups, passes, i, Memo())
 
 
 class Block(NamedTuple):
@@ -231,10 +263,12 @@ class Block(NamedTuple):
     groups: int
     passes: int
     number: int
+    memo: Memo
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Log10 probabilities of the characters of texts that are of this part.
-        Equal characters after equal contexts are looked up once."""
+        Equal characters after equal contexts are looked up once while the memo
+        holds them."""
         chars, begin = _normal(data, offsets)
         size = np.diff(begin) - DEPTH
         owner = np.repeat(np.arange(len(size)), size)
@@ -242,22 +276,27 @@ class Block(NamedTuple):
         if self.passes > 1:
             mine = _group_of(code >> BITS * (DEPTH - 1), self.groups) % self.passes == self.number
             owner, code = owner[mine], code[mine]
-        code, of = np.unique(code, return_inverse=True)
-        log = self.short[_shorter(code, DEPTH, 1)].astype(np.float64)
-        left = np.arange(len(code))
-        for d, (keys, logs) in enumerate(self.tables, 2):
-            own = _shorter(code[left], DEPTH, d)
-            at, found = _find(keys, own | BACK)
-            left, own, at = left[found], own[found], at[found]  # suffixes of what is retained are
-            log[left] += logs[at]
-            at, found = _find(keys, own)
-            log[left[found]] = logs[at[found]]
-        out = np.bincount(owner, log[of], minlength=len(size))
+        out = np.bincount(owner, self.memo.answers(code, self._logs), minlength=len(size))
         if self.number == 0:
             rare = np.flatnonzero(self.symbol[chars] == RARE)
             out += np.bincount(np.searchsorted(begin, rare, "right") - 1, self.extra[chars[rare]], minlength=len(size))
         return out
 
+    def _logs(self, code: np.ndarray) -> np.ndarray:
+        """Log10 probabilities of distinct sorted codes."""
+        log = self.short[_shorter(code, DEPTH, 1)].astype(np.float64)
+        left = np.arange(len(code))
+        for d, (keys, logs) in enumerate(self.tables, 2):
+            context = code[left] >> BITS * (DEPTH - d + 1)  # sorted, so equal ones are neighbours
+            first = np.flatnonzero(np.diff(context, prepend=-1))
+            at, found = _find(keys, (context[first] << BITS) | BACK)
+            size = np.diff(first, append=len(left))
+            left = left[np.repeat(found, size)]  # suffixes of what is retained are
+            log[left] += np.repeat(logs[at[found]], size[found])
+            at, found = _find(keys, _shorter(code[left], DEPTH, d))
+            log[left[found]] = logs[at[found]]
+        return log
+
 
 def fit_suffix_tree(docs: DataFrame) -> SuffixTree:
     """Learn from all texts of ``docs`` (text); null texts are empty. Without
