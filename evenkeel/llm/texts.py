@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 BLOCK_BYTES = 1 << 20
+#: Bytes of the batches that Python tasks get, in place of Spark's 64 MB.
+BATCH_BYTES = 4 << 20
 #: Multipliers and salts of the hashes; any odd numbers would do.
 _P = np.uint64(0x9E3779B97F4A7C15)
 _M = np.uint64(0xD6E8FEB86659FD93)
@@ -91,7 +93,14 @@ def carrying(df: DataFrame, carry: Sequence[str], results: str) -> T.StructType:
 
 
 def map_batches(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` of a function from batches to dicts of columns."""
+    """``mapInArrow`` of a function from batches to dicts of columns.
+
+    A batch lies in memory several times, in the JVM and in Python, so sessions
+    that keep Spark's own bound on its bytes get a smaller one.
+    """
+    conf, bound = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(bound).rstrip("b") == str(64 << 20):
+        conf.set(bound, f"{BATCH_BYTES}b")
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     kinds = {f.name: f.type for f in to_arrow_schema(schema)}
 
