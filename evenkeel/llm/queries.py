@@ -17,7 +17,7 @@ from evenkeel.llm.language import fit_language, identify, training_rows
 from evenkeel.llm.manifest import merkle_manifest
 from evenkeel.llm.multi_index import near_vectors
 from evenkeel.llm.neighbours import nearest
-from evenkeel.llm.pii import KINDS, count_of, digest, fit_judge, with_spans
+from evenkeel.llm.pii import BASE, count_of, digest, fit_judge, with_spans
 from evenkeel.llm.suffix_tree import score_texts, training_condition
 from evenkeel.llm.texts import fold
 from evenkeel.llm.token_counts import edited_counts
@@ -52,9 +52,10 @@ def op1_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     rows = with_spans(docs, fit_judge(docs))
     spans = F.col("spans")
-    counts = [count_of(spans, k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [count_of(spans, k).alias(f"n_{name}") for k, name in enumerate(BASE)]
     return rows.select(
-        "doc_id", *counts, F.sha2(digest(spans, True), 256).alias("base_sha256"), digest(spans, False).alias("spans"))
+        "doc_id", *counts, F.sha2(digest(spans, True), 256).alias("base_sha256"), digest(spans, False).alias("spans"),
+        F.size(spans).cast("long").alias("n_spans"))
 
 
 # --- 2: nearest neighbours
