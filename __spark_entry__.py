@@ -356,7 +356,7 @@ SELECT o_orderkey::VARCHAR AS grp, avg(filled)::DOUBLE AS rate, (SELECT count(*)
 FROM ords GROUP BY o_orderkey""")
 def q_parity_report_many_groups(spark: SparkSession, sf: str) -> DataFrame:
     """A report lists all groups, however many."""
-    report = ek.demographic_parity_report(_orders(spark, sf), ["o_orderkey"], "filled")
+    report = ek.demographic_parity_report(_orders(spark, sf), ["o_orderkey"], "filled", groups_per_row=10_000)
     return report.select(F.explode("selection_rate_by_group").alias("grp", "rate"), "n_groups")
 
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import cols, exprs, is_one, keep_free, quote, quotes, total
+from evenkeel.functions.columns import cols, exprs, group_label, is_one, keep_free, quote, quotes, total
 
 BASE = ("n", "positives")
 CONFUSION = ("selected", "tp", "fp", "fn", "tn")
@@ -67,6 +67,26 @@ def inline_groups(by_group: DataFrame, keys: Sequence[str], entry: str) -> Colum
     return first.agg(F.expr(f"transform({ordered}, g -> g.__entry)")).scalar()
 
 
+def groups_in_parts(
+    by_group: DataFrame, summary: DataFrame, keys: Sequence[str], entry: str, size: int
+) -> DataFrame:
+    """``summary`` (one row with ``n_groups``) once per part of about ``size``
+    groups, with ``entry`` of its groups, in order of the key, as ``__listed``.
+
+    Groups are dealt to parts by the hash of their label, so no task holds more
+    than a few parts. Without groups there is one part, an empty one.
+    """
+    names = ", ".join(quotes(keys))
+    parts = summary.selectExpr(f"greatest(1L, CAST(ceil(n_groups / {int(size)}) AS long))").scalar()
+    part = F.pmod(F.expr(f"xxhash64({group_label(keys)})"), parts)
+    ordered = f"sort_array(collect_list(struct({names}, {entry} AS __entry)))"
+    listed = by_group.groupBy(part.alias("__part")).agg(
+        F.expr(f"transform({ordered}, g -> g.__entry)").alias("__listed")).drop("__part")
+    none = F.array().cast(listed.schema["__listed"].dataType).alias("__listed")
+    return listed.crossJoin(F.broadcast(summary)).unionByName(
+        summary.where("n_groups = 0").select("*", none))
+
+
 def whole(value: str) -> str:
     """``value``, or an error where ``n_groups`` are too many for a document."""
     return (f"CASE WHEN n_groups <= {DOCUMENT_GROUPS} THEN {value} ELSE raise_error("

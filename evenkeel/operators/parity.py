@@ -12,8 +12,9 @@ from evenkeel.functions.columns import (
 )
 from evenkeel.functions.status import dp_status
 from evenkeel.operators.clean import drop_missing
-from evenkeel.operators.contingency import contingency, inline_groups, recount, whole
+from evenkeel.operators.contingency import contingency, groups_in_parts, inline_groups, recount, whole
 from evenkeel.operators.impact import positive_rate_by_group
+from evenkeel.sources.shared import materialize
 from evenkeel.spec import DP_THRESHOLD
 
 _RATE = ratio("positives", "n")
@@ -86,15 +87,30 @@ def demographic_parity(
 
 
 def demographic_parity_report(
-    df: DataFrame, sensitive: Sequence[str], target: str, threshold: float = DP_THRESHOLD
+    df: DataFrame,
+    sensitive: Sequence[str],
+    target: str,
+    threshold: float = DP_THRESHOLD,
+    groups_per_row: int | None = None,
 ) -> DataFrame:
-    """The parity check as one document row, rates by group included."""
+    """The parity check as one document row, rates by group included.
+
+    With ``groups_per_row`` any number of groups fits: the document comes as
+    rows that share all columns but the rates, of which each row holds those of
+    about so many groups. Groups are counted once and written to the shared folder.
+    """
     groups = parity_groups(df, sensitive, target)
     entry = f"struct({group_label(sensitive)} AS key, selection_rate AS value)"
-    listed = inline_groups(groups, sensitive, entry)
-    return parity_summary(groups, threshold).withColumn("__listed", listed).selectExpr(
+    rates = "map_from_entries(__listed)"
+    if groups_per_row is None:
+        listed = inline_groups(groups, sensitive, entry)
+        documents, rates = parity_summary(groups, threshold).withColumn("__listed", listed), whole(rates)
+    else:
+        groups = materialize(groups, "report-groups")
+        documents = groups_in_parts(groups, parity_summary(groups, threshold), sensitive, entry, groups_per_row)
+    return documents.selectExpr(
         f"CASE WHEN target_is_constant THEN CAST(map() AS map<string, double>)"
-        f" ELSE {whole('map_from_entries(__listed)')} END AS selection_rate_by_group",
+        f" ELSE {rates} END AS selection_rate_by_group",
         "overall_selection_rate",
         "demographic_parity_difference",
         "bias_threshold_used",

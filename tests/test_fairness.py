@@ -86,6 +86,24 @@ def test_all_groups_are_listed(spark):
     assert len(ek.disparate_impact_report(df, ["g"], "y").first()["group_statistics"]) == 10_001
 
 
+@pytest.mark.parametrize("per_row", [1, 4, 1000])
+def test_more_groups_than_a_document_holds(spark, monkeypatch, per_row):
+    monkeypatch.setattr(contingency_module, "DOCUMENT_GROUPS", 2)
+    df = frame(spark, [(f"g{i}", float(i % 2)) for i in range(20)] + [(None, 1.0), ("g1", 0.0)])
+    rows = ek.demographic_parity_report(df, ["g"], "y", groups_per_row=per_row).collect()
+    rates = [r["selection_rate_by_group"] for r in rows]
+    assert sum(map(len, rates)) == 20 and (len(rows) == 1) == (per_row == 1000)
+    assert {k: v for r in rates for k, v in r.items()} == {f"g{i}": 0.5 if i == 1 else i % 2 for i in range(20)}
+    assert {(r["n_rows"], r["n_groups"], r["demographic_parity_difference"]) for r in rows} == {(21, 20, 1.0)}
+
+
+def test_parts_of_a_report_on_no_groups_or_one_value(spark):
+    for rows in ([], [("a", 1.0), ("b", 1.0)]):
+        df = frame(spark, rows, "g string, y double")
+        whole = ek.demographic_parity_report(df, ["g"], "y").collect()
+        assert ek.demographic_parity_report(df, ["g"], "y", groups_per_row=10).collect() == whole
+
+
 # Rates per group, then ratio and status.
 LADDER = [
     ([1.0, 0.5], 0.5, "Warning: Potential Adverse Impact Detected"),
