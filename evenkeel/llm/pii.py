@@ -6,14 +6,13 @@ such matches, written-out addresses, other spacing, numbers without a country
 code, long network addresses, account numbers, access keys.
 
 Boosted trees judge candidates by format and context. Their positive examples
-are spans of the base and, for each looser form, base spans of a sample
-rewritten into that form where they stand; their negative ones are all other
-candidates of the same generators. What sets a form off (its at sign, its plus)
+are spans of the base and, for each looser form, base spans rewritten into
+that form where they stand; their negative ones are all other candidates of the
+same generators. All documents and candidates are learned from. What sets a form off (its at sign, its plus)
 is no feature. Per generator, a threshold is set on candidates kept out of the
 fit, so that at most one document in FALSE_ALARM has a negative candidate above
 it; candidates above it are added, from left to right, where they touch no other
-span. A form whose kind has no base span in the sample is not learned and adds
-nothing.
+span. A form whose kind has no base span is not learned and adds nothing.
 
 All of it is DataFrame and SQL functions. Spans are arrays within a row: finding,
 judging and redacting need no shuffle. The fitted trees are small and become SQL
@@ -92,8 +91,8 @@ FORMS = (
 )
 #: Generators by number: the exact rules, then the looser forms.
 GENERATORS = [(KINDS.index(kind), pattern) for kind, pattern in BASE.items()] + [(KINDS.index(f.kind), f.pattern) for f in FORMS]
-#: Documents that the trees are fitted on, and candidates per generator and label, at most.
-SAMPLE_DOCS, SAMPLE = 40_000, 2_000
+#: The candidates of a generator and label weigh as much as so many, at most.
+EVEN = 2_000
 TREES, TREE_DEPTH = 16, 4
 #: One document in so many may have a negative candidate above the threshold of a generator.
 FALSE_ALARM = 500
@@ -315,39 +314,38 @@ def _rewritten(spans: DataFrame) -> DataFrame:
     return found.where("x.start < high AND low < x.end").select("x")
 
 
-def fit_judge(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample: int = SAMPLE) -> Judge | None:
-    """Fit trees and thresholds on candidates of ``docs`` (text).
+def fit_judge(docs: DataFrame, even: int = EVEN) -> Judge | None:
+    """Fit trees and thresholds on all candidates of all ``docs`` (text).
 
-    At most about ``sample_docs`` documents, those of the smallest hashes, and
-    of their candidates about ``sample`` per generator and label. Without
-    candidates of both labels there is nothing to learn and None is returned;
-    then nothing is added to the base.
+    Candidates of a generator and label weigh as much as ``even`` of them
+    where there are more, so that frequent ones do not drown out the others.
+    Without candidates of both labels there is nothing to learn and None is
+    returned; then nothing is added to the base.
     """
     rows = pick(docs, "text").where("text IS NOT NULL")
-    share = min(1.0, sample_docs / max(rows.count(), 1))
-    rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)))
     found = with_candidates(rows).withColumn("exact", F.filter("found", lambda x: x["base"]))
     # what touches the base is no counter-example
     found = found.withColumn("apart", _free(F.col("found"), F.col("exact")))
-    found = materialize(found.select(F.xxhash64("text").alias("doc"), F.explode(F.concat("exact", "apart")).alias("x")), "candidates")
+    found = found.select(F.xxhash64("text").alias("doc"), F.explode_outer(F.concat("exact", "apart")).alias("x"))
+    found = materialize(found.where("x IS NOT NULL"), "candidates")
     own = found.select("doc", "x", F.col("x.base").alias("label"))
-    new = _rewritten(found.where("x.base").groupBy(F.xxhash64("x.body", "x.before").alias("h")).agg(F.first("x").alias("x")).where(
-        F.pmod("h", F.lit(1 << 20)) < int((1 << 20) * min(1.0, 10 * sample / max(found.where("x.base").count(), 1)))).select("x.*"))
+    # few bytes, much work: dealt to all tasks
+    spans = found.where("x.base").groupBy(F.xxhash64("x.body", "x.before").alias("h")).agg(F.first("x").alias("x"))
+    new = _rewritten(spans.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "h").select("x.*"))
     every = own.unionByName(new.select(F.xxhash64("x.body", "x.before").alias("doc"), "x", F.lit(True).alias("label")))
     every = materialize(every.select(
         F.xxhash64("doc", "x.start", "x.body").alias("key"), "doc", F.col("x.gen").alias("generator"), "label", _features(F.col("x")).alias("f")), "judged")
     totals = every.groupBy("generator", "label").count().collect()
-    shares = {(r["generator"], r["label"]): min(1.0, sample / r["count"]) for r in totals}
-    if len({label for _, label in shares}) < 2:
+    weights = {(r["generator"], r["label"]): min(1.0, even / r["count"]) for r in totals}
+    if len({label for _, label in weights}) < 2:
         return None
-    taken = F.coalesce(*[F.when((F.col("generator") == g) & (F.col("label") == label), F.lit(int(v * (1 << 30)))) for (g, label), v in shares.items()])
-    few = every.where(F.pmod(F.hash("key"), F.lit(1 << 30)) < taken).select(
-        "key", "label", *[F.col("f")[i].alias(n) for i, n in enumerate(FEATURES)])
-    few = materialize(few.orderBy("key", "gen", "label").withColumn("label", F.col("label").cast("double")), "examples")
-    fit = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(few).where(F.pmod("key", F.lit(3)) != 0)
+    weight = F.coalesce(*[F.when((F.col("generator") == g) & (F.col("label") == label), F.lit(v)) for (g, label), v in weights.items()])
+    every = every.select("key", "label", weight.alias("weight"), *[F.col("f")[i].alias(n) for i, n in enumerate(FEATURES)])
+    every = materialize(every.orderBy("key", "gen", "label").withColumn("label", F.col("label").cast("double")), "examples")
+    fit = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(every).where(F.pmod("key", F.lit(3)) != 0)
     if fit.select("label").distinct().count() < 2:
         return None
-    model = GBTClassifier(maxIter=TREES, maxDepth=TREE_DEPTH, stepSize=0.3, seed=7).fit(fit.select("features", "label"))
+    model = GBTClassifier(maxIter=TREES, maxDepth=TREE_DEPTH, stepSize=0.3, seed=7, weightCol="weight").fit(fit.select("features", "label", "weight"))
     trees = []
     for weight, tree in zip(model.treeWeights, model.trees):
         lines = [s.strip() for s in tree.toDebugString.splitlines()[1:] if s.strip()]
@@ -355,17 +353,18 @@ def fit_judge(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample: int = SAM
     judge = Judge(tuple(trees), ())
     # rounded down, so that a threshold is never above the candidates that set it
     p = F.floor(1000 * judge.probability(F.array(*[F.col(n) for n in FEATURES]))) / 1000
-    seen = few.where(F.pmod("key", F.lit(3)) == 0).groupBy("gen", p.alias("p")).agg(
+    seen = every.where(F.pmod("key", F.lit(3)) == 0).groupBy("gen", p.alias("p")).agg(
         F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad")).orderBy("gen", F.desc("p")).collect()
     documents = rows.count()
     least = []
     for g in range(len(GENERATORS)):
-        # candidates kept out are a third of those taken
-        allowed = documents / FALSE_ALARM / 3 * shares.get((g, False), 1.0)
+        # candidates kept out are a third of all
+        allowed = documents / FALSE_ALARM / 3
         good, bad, bar = 0.0, 0.0, 2.0  # a probability that nothing reaches
         for r in (r for r in seen if r["gen"] == g):
             good, bad = good + r["good"], bad + r["bad"]
-            if good and bad <= allowed and (g >= len(BASE) or good >= PRECISION * (good + bad)):
+            weighed = weights.get((g, True), 1.0) * good, weights.get((g, False), 1.0) * bad
+            if good and bad <= allowed and (g >= len(BASE) or weighed[0] >= PRECISION * sum(weighed)):
                 bar = r["p"]
         least.append(bar)
     return Judge(tuple(trees), tuple(least))

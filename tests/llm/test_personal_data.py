@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from evenkeel.llm import pii
 from evenkeel.llm.pii import BASE, FORMS, KINDS, Judge, fit_judge, redacted, with_candidates, with_spans
 
 WORDS = "the report of last year shows that prices went up in most regions while trade fell at home and abroad".split()
@@ -100,3 +101,15 @@ def test_added_spans_by_hand(spark):
                 if all(c.end <= b.start or b.end <= c.start for b in base + want):
                     want.append(c)
             assert [tuple(s) for s in r.spans] == sorted((c.kind, c.start, c.end, c.base) for c in base + want)
+
+
+def test_all_candidates_are_learned_from(spark, monkeypatch):
+    tables, write = {}, pii.materialize
+    monkeypatch.setattr(pii, "materialize", lambda df, name: tables.setdefault(name, write(df, name)))
+    docs = spark.range(120).selectExpr("concat('write to u', id, '@example.org, not 300.1.1.', id, ' but 10.0.0.', id) AS text")
+    assert fit_judge(docs, 5) is not None
+    own = {(r["generator"], r["label"]): r["count"] for r in tables["judged"].groupBy("generator", "label").count().collect()}
+    assert own[0, True] >= 120 and own[1, True] >= 120 and own[1, False] >= 120
+    seen = tables["examples"].groupBy("gen", "label").agg({"*": "count", "weight": "sum"}).collect()
+    assert {(r["gen"], r["label"] == 1): r["count(1)"] for r in seen} == own
+    assert all(abs(r["sum(weight)"] - min(5, r["count(1)"])) < 1e-6 for r in seen)
