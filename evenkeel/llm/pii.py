@@ -307,10 +307,11 @@ def _rewritten(spans: DataFrame) -> DataFrame:
     for f, form in enumerate(FORMS):
         source = F.lit(True) if form.source is None else F.col("kind") == KINDS.index(form.source)
         forms += [F.when(source, F.struct(F.lit(len(BASE) + f).alias("form"), F.expr(sql).alias("made"))) for sql in form.rewrite]
-    each = spans.select("body", "before", "after", F.explode(F.array_compact(F.array(*forms))).alias("one"))
+    # Spark would filter by the size of a list it explodes, and make that list once more to do so; not with outer
+    each = spans.select("body", "before", "after", F.explode_outer(F.array_compact(F.array(*forms))).alias("one")).where("one IS NOT NULL")
     each = each.select("before", "one.*", F.concat("before", "one.made", "after").alias("text"))
     low = F.length("before")
-    found = with_candidates(each, "form").select("form", low.alias("low"), (low + F.length("made")).alias("high"), F.explode("found").alias("x"))
+    found = with_candidates(each, "form").select("form", low.alias("low"), (low + F.length("made")).alias("high"), F.explode_outer("found").alias("x"))
     return found.where("x.start < high AND low < x.end").select("x")
 
 
