@@ -43,7 +43,8 @@ FREQUENT, ORDER_SIZE = 8, 1 << 20
 MOST_MATCHES = 4
 #: Cost of verifying a pair, in rows of a list.
 VERIFY_COST = 20
-TILE = 512
+#: Classes and shingles of each side of a tile, about.
+TILE, TILE_TOKENS = 512, 1 << 20
 BITMAP = 1 << 26
 
 
@@ -240,13 +241,14 @@ def _filtered(matches: DataFrame, similar: int, dense: bool = False) -> DataFram
 def _inner_links(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """Links within blocks: (class, links, leader), a row per class and tile.
 
-    ``members``: (block, class, copies). The pairs of a block are cut into
-    tiles of some TILE x TILE classes; a class goes to as many tiles as the
-    block has parts. ``links`` counts linked documents, ``leader`` is the
-    smallest class that links of the tile reach.
+    ``members``: (block, class, n, copies). The pairs of a block are cut into
+    tiles of some TILE x TILE classes, fewer if their sets are long, so that a
+    tile's memory is bounded; a class goes to as many tiles as the block has
+    parts. ``links`` counts linked documents, ``leader`` is the smallest class
+    that links of the tile reach.
     """
-    sizes = members.groupBy("block").agg(F.count("*").alias("g")).where("g > 1")
-    parts = F.ceil(F.col("g") / TILE).cast("int")
+    sizes = members.groupBy("block").agg(F.count("*").alias("g"), F.sum("n").alias("tokens")).where("g > 1")
+    parts = F.least(F.col("g"), F.greatest(F.ceil(F.col("g") / TILE), F.ceil(F.col("tokens") / TILE_TOKENS))).cast("int")
     placed = members.join(sizes, "block").withColumn("parts", parts).withColumn(
         "own", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
@@ -257,12 +259,15 @@ def _inner_links(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame
         own = table.column("own").to_numpy()
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         name, copies = table.column("class").to_numpy(), table.column("copies").to_numpy()
-        tokens = table.column("tokens").combine_chunks()
-        n = np.diff(tokens.offsets.to_numpy())
-        ids = np.unique(tokens.flatten().to_numpy(), return_inverse=True)[1]
-        row = np.repeat(np.arange(len(n)), n)
-        order = np.argsort(ids, kind="stable")
-        ids, row = ids[order], row[order]
+        tokens = table.column("tokens")
+        n = np.concatenate([np.diff(c.offsets.to_numpy()) for c in tokens.chunks])
+        flat = np.concatenate([c.flatten().to_numpy() for c in tokens.chunks])
+        order = np.argsort(flat)
+        flat = flat[order]
+        ids = np.zeros(len(flat), np.int32)
+        np.cumsum(flat[1:] != flat[:-1], out=ids[1:])
+        row = np.repeat(np.arange(len(n), dtype=np.int32), n)[order]
+        del tokens, flat, order
         a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
         place = np.zeros(len(n), np.int64)
         place[a] = np.arange(len(a))
@@ -356,9 +361,9 @@ def jaccard_join(
     def sets_for(ids: DataFrame) -> DataFrame:
         return materialize(_sets_of(docs, materialize(rep.join(ids.distinct(), "class"), "wanted"), size), "sets")
 
-    members = blocks_of.withColumnRenamed("node", "class").join(classes.select("class", "copies"), "class")
+    members = blocks_of.withColumnRenamed("node", "class").join(classes.select("class", "n", "copies"), "class")
     inner = materialize(_inner_links(
-        members.select("block", "class", "copies"), sets_for(members.select("class")), similar), "inner")
+        members.select("block", "class", "n", "copies"), sets_for(members.select("class")), similar), "inner")
 
     # lists make pairs between blocks only; a class outside is a block of its own
     placed = tokens.join(blocks_of, tokens["class"] == blocks_of["node"], "left").withColumn(
