@@ -49,8 +49,8 @@ END, RARE = 0, ALPHABET - 1
 #: Stands for the weight of the shorter context among next symbols.
 BACK = (1 << BITS) - 1
 _FLUSH = 2_000_000
-#: Codes whose answers a process keeps: 2^MEMO_BITS of 16 bytes each.
-MEMO_BITS = 21
+#: Codes whose answers a process keeps: 2^MEMO_BITS of 12 bytes each.
+MEMO_BITS = 22
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -128,7 +128,8 @@ def _count(docs: DataFrame, values_of, what: str) -> DataFrame:
         yield dict(zip(("value", "n"), sums.merge()))
 
     rows = map_batches(docs.select("text"), run, "value long, n long")
-    return materialize(rows.groupBy("value").agg(F.sum("n").alias("n")), what)
+    # tasks have added up already; to do it again before the shuffle costs more than it saves
+    return materialize(rows.repartition("value").groupBy("value").agg(F.sum("n").alias("n")), what)
 
 
 def _codes(points: np.ndarray, begin: np.ndarray, symbol: np.ndarray) -> np.ndarray:
@@ -210,15 +211,24 @@ class Memo:
     def answers(self, code: np.ndarray, look_up: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
         """``look_up`` of all codes, asked only for distinct ones that are not here."""
         if self.codes is None:
-            self.codes, self.logs = np.full(1 << MEMO_BITS, -1, np.int64), np.zeros(1 << MEMO_BITS)
+            # logs of tables are 32-bit numbers, so nothing is rounded
+            self.codes, self.logs = np.full(1 << MEMO_BITS, -1, np.int64), np.zeros(1 << MEMO_BITS, np.float32)
         slot = self._slot(code)
         out = self.logs[slot]
         missed = np.flatnonzero(self.codes[slot] != code)
-        new, of = np.unique(code[missed], return_inverse=True)
+        if not len(missed):
+            return out
+        code, slot = code[missed], slot[missed]
+        new = np.unique(code)
         found = look_up(new)
-        out[missed] = found[of]
-        slot, last = np.unique(self._slot(new), return_index=True)
-        self.codes[slot], self.logs[slot] = new[last], found[last]
+        at = self._slot(new)
+        self.codes[at] = new
+        kept = self.codes[at] == new
+        self.logs[at[kept]] = found[kept]
+        answers = self.logs[slot]
+        lost = np.flatnonzero(self.codes[slot] != code)  # others took their slots
+        answers[lost] = found[np.searchsorted(new, code[lost])]
+        out[missed] = answers
         return out
 
     @staticmethod
@@ -284,7 +294,7 @@ class Block(NamedTuple):
 
     def _logs(self, code: np.ndarray) -> np.ndarray:
         """Log10 probabilities of distinct sorted codes."""
-        log = self.short[_shorter(code, DEPTH, 1)].astype(np.float64)
+        log = self.short[_shorter(code, DEPTH, 1)]
         left = np.arange(len(code))
         for d, (keys, logs) in enumerate(self.tables, 2):
             context = code[left] >> BITS * (DEPTH - d + 1)  # sorted, so equal ones are neighbours
