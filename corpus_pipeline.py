@@ -18,7 +18,7 @@ from evenkeel.llm.jaccard import jaccard_join
 from evenkeel.llm.language import fit_language, identify, training_rows
 from evenkeel.llm.pii import fit_judge, redacted, with_spans
 from evenkeel.llm.queries import VOCABULARY
-from evenkeel.llm.texts import pick
+from evenkeel.llm.texts import Marks, pick
 from evenkeel.sources.shared import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -42,20 +42,29 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     known = [F.col(c).isNotNull() for c in COLUMNS]  # the hash skips nulls
     rows = pick(docs, *COLUMNS).withColumn("row", F.xxhash64(*COLUMNS, *known))
     worded = F.coalesce(F.col("text").rlike(r"[^\t\n\x0B\f\r\x20]"), F.lit(False))
-    empty, rows = rows.where(~worded).select(*COLUMNS), rows.where(worded)
-    groups = jaccard_join(rows.select(F.col("row").alias("doc_id"), "text"))
+    full = rows.where(worded)
+    groups = jaccard_join(full.select(F.col("row").alias("doc_id"), "text"))
     parts = groups.groupBy(F.col("doc_id").alias("row")).agg(F.min("component_id").alias("part"))
-    ids = rows.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    ids = full.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "n"))
-    kept = ids.join(parts, "row").groupBy("part").agg(first.alias("r")).select("r.row", "r.n")
-    kept = materialize(kept, "kept")
-    one = rows.join(kept.where("n = 1").select("row"), "row", "left_semi").select(*COLUMNS)
+    placed = materialize(ids.join(parts, "row"), "placed")
+    kept = materialize(placed.groupBy("part").agg(first.alias("r")).select("r.row", "r.n"), "kept")
+    # few rows are dropped or repeated: texts of others stay where they lie. Rows that hit
+    # the marks of those by chance are looked up among the kept ones that do
+    aside = placed.select("row").join(kept.where("n = 1"), "row", "left_anti")
+    marks = Marks(materialize(aside, "aside"), "row")
+    sure = F.col("empty") | ~marks.hits("row")
+    told = rows.withColumn("empty", ~worded)
+    one = told.where(sure).select(*COLUMNS)
+    kept = materialize(kept.where(marks.hits("row")), "kept")
+    doubtful = told.where(~sure)
+    one = one.unionByName(doubtful.join(kept.where("n = 1").select("row"), "row", "left_semi").select(*COLUMNS))
     repeated = kept.where("n > 1").select("row")
     if not repeated.isEmpty():
-        again = rows.join(repeated, "row", "left_semi")
+        again = doubtful.join(repeated, "row", "left_semi")
         least = again.groupBy("row").agg(F.min(F.struct(*COLUMNS)).alias("r")).select("r.*")
         one = one.unionByName(least)
-    return one.unionByName(empty)
+    return one
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.components import components
-from evenkeel.llm.texts import NOT_BLANK, Shared, blocks, map_batches, mixed, pick, ragged, shingles, words
+from evenkeel.llm.texts import NOT_BLANK, Marks, Shared, blocks, map_batches, mixed, pick, ragged, shingles, words
 from evenkeel.sources.shared import materialize
 
 SIZE, SIMILAR = 4, 85
@@ -45,7 +45,6 @@ MOST_MATCHES = 4
 VERIFY_COST = 20
 #: Classes and shingles of each side of a tile, about.
 TILE, TILE_TOKENS = 512, 1 << 20
-BITMAP = 1 << 26
 
 
 def _sets(batches, size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -171,36 +170,26 @@ def _prefixes(docs: DataFrame, size: int, similar: int, order: _Order) -> DataFr
 def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """The whole sets of classes (class, doc_id, text_hash).
 
-    A bitmap of fixed size drops most other texts before they are read; what it
-    lets through by chance goes in the join.
+    Marks of the rows wanted drop most other texts before they are read; what
+    they let through by chance goes in the join. Sets are dealt out once, by class.
     """
-    spot = F.pmod(F.col("text_hash"), F.lit(BITMAP)) + 1  # positions are numbered from 1
-    bits = wanted.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")).collect()
-    table = np.zeros(BITMAP // 8, np.uint8)
-    for r in bits:
-        part = np.frombuffer(bytes(r["bits"]), np.uint8)
-        table[(r["bucket"] - 1) * len(part):][: len(part)] = part
-    shared = Shared(docs.sparkSession, table)
+    row = F.xxhash64("doc_id", "text_hash")
+    marks = Marks(wanted.select(row.alias("row")), "row")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         def some() -> Iterator[pa.RecordBatch]:
             for b in batches:
-                at = np.mod(b.column("text_hash").to_numpy(zero_copy_only=False), BITMAP)
-                yield b.filter(pa.array((shared.value[at >> 3] >> (at & 7) & 1).astype(bool)))
+                yield b.filter(pa.array(marks.hit(b.column("row").to_numpy(zero_copy_only=False))))
 
         for batch, sets in _sets(some(), size):
             yield {
-                "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
                 "class": np.array([_name(s) for s in sets], np.int64),
                 "tokens": ragged(np.concatenate(sets).view(np.int64), np.array([len(s) for s in sets])),
             }
 
-    found = map_batches(docs, read, "doc_id long, text_hash long, class long, tokens array<long>")
-    keys = ["class", "doc_id", "text_hash"]
-    on = [found[k].eqNullSafe(wanted[k]) if k == "doc_id" else found[k] == wanted[k] for k in keys]
     # a row that stands in the table more than once gives its set once
-    return found.join(wanted, on, "left_semi").dropDuplicates(["class"]).select("class", "tokens")
+    found = map_batches(docs.withColumn("row", row), read, "class long, tokens array<long>").dropDuplicates(["class"])
+    return found.join(wanted.select("class"), "class", "left_semi")
 
 
 def _enough(shared: Column, a: Column, b: Column, similar: int) -> Column:
@@ -359,7 +348,7 @@ def jaccard_join(
     rep = classes.select("class", "doc_id", "text_hash")
 
     def sets_for(ids: DataFrame) -> DataFrame:
-        return materialize(_sets_of(docs, materialize(rep.join(ids.distinct(), "class"), "wanted"), size), "sets")
+        return _sets_of(docs, materialize(rep.join(ids.distinct(), "class"), "wanted"), size)
 
     members = blocks_of.withColumnRenamed("node", "class").join(classes.select("class", "n", "copies"), "class")
     inner = materialize(_inner_links(
@@ -376,7 +365,8 @@ def jaccard_join(
     between = a.join(meets, ["token", "block"]).join(b, ["token", "other"])
     between = materialize(_filtered(between, similar), "between")
     ends = between.select(F.col("a").alias("class")).union(between.select("b"))
-    outer = materialize(_verified(between, sets_for(ends), similar).select("a", "b"), "outer")
+    ends = materialize(sets_for(ends), "sets")
+    outer = materialize(_verified(between, ends, similar).select("a", "b"), "outer")
 
     # components of classes, then of documents
     led = inner.where("leader <> class").select(F.col("class").alias("a"), F.col("leader").alias("b"))

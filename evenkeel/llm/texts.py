@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.core.broadcast import _broadcastRegistry
@@ -21,6 +22,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 BLOCK_BYTES = 1 << 20
 #: Bytes of the batches that Python tasks get, in place of Spark's 64 MB.
 BATCH_BYTES = 4 << 20
+#: Bits of a table of marks, 8 MB.
+MARKS = 1 << 26
 #: Multipliers and salts of the hashes; any odd numbers would do.
 _P = np.uint64(0x9E3779B97F4A7C15)
 _M = np.uint64(0xD6E8FEB86659FD93)
@@ -249,6 +252,40 @@ class Shared:
         return self.sent.loaded
 
 
+class Marks:
+    """Marks of 64-bit hashes in a bitmap that is sent to all tasks, of 64 bits
+    a hash and MARKS bits at most.
+
+    Every hash of ``column`` hits its mark; others do by chance, so hits are
+    checked by a join.
+    """
+
+    def __init__(self, hashes: DataFrame, column: str):
+        self.size = min(MARKS, 1 << max(16, (64 * hashes.count()).bit_length()))
+        spot = F.pmod(F.col(column), F.lit(self.size)) + 1  # positions are numbered from 1
+        bits = hashes.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+        table = np.zeros(self.size // 8, np.uint8)
+        for r in bits.collect():
+            part = np.frombuffer(bytes(r["bits"]), np.uint8)
+            table[(r["bucket"] - 1) * len(part):][: len(part)] = part
+        self.sent = Shared(hashes.sparkSession, table)
+
+    def hit(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.mod(hashes, self.size)
+        return (self.sent.value[at >> 3] >> (at & 7) & 1).astype(bool)
+
+    def hits(self, column: str) -> Column:
+        """Whether a column of hashes hits a mark."""
+        marks = self
+
+        @F.pandas_udf("boolean")
+        def hit(hashes: pd.Series) -> pd.Series:
+            return pd.Series(marks.hit(hashes.to_numpy()))
+
+        return hit(column)
+
+
 def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The characters of texts as numbers, and where each text begins."""
     total = np.zeros(len(data) + 1, np.int64)

@@ -3,6 +3,8 @@
 import corpus_pipeline
 from pyspark.sql import functions as F
 
+from evenkeel.llm import texts
+
 
 def test_stages(spark):
     folder = "/root/testdata/sf0.001"
@@ -39,3 +41,20 @@ def test_near_copies_by_row(spark):
 def test_null_id_is_not_smallest(spark):
     docs = spark.createDataFrame([(None, "one two three four five"), (7, "one two three four five")], "doc_id long, text string")
     assert {r.component_id for r in corpus_pipeline.jaccard_join(docs).collect()} == {7}
+
+
+def test_near_copies_leave_most_texts_where_they_lie(spark, monkeypatch):
+    monkeypatch.setattr(texts, "MARKS", 1 << 16)  # so small that rows hit marks of others
+    folder = spark.range(6000).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(0, 9), i -> concat('w', i, 'x', id - if(id % 2 = 1 AND id < 4000, 1, 0)))) AS text",
+        "'en' AS lang", "'a' AS source", "1L AS n_chars")
+    twice = folder.unionByName(folder.where("doc_id % 500 = 0"))
+    kept = corpus_pipeline.near_copies(spark, twice, "")
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [*range(0, 4000, 2), *range(4000, 6000)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = corpus_pipeline.near_copies(spark, folder, "")._jdf.queryExecution().sparkPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    first = plan.children().apply(0).toString()
+    assert plan.nodeName() == "Union" and "Join" not in first and "Exchange" not in first
