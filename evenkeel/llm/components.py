@@ -3,7 +3,8 @@
 Each round first links all larger neighbours of a node to its smallest one,
 then all smaller ones. Rounds end when nothing changes, after about log(n) of
 them. Every round is written to the shared folder, so a lost executor costs one
-round; no links reach the driver.
+round; no links reach the driver: its joins merge, as a broadcast would be built
+there, and a small graph would have two of them a round.
 """
 
 from __future__ import annotations
@@ -31,10 +32,10 @@ def components(links: DataFrame) -> DataFrame:
     while state[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.join(least.hint("merge"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.join(down.hint("merge"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = materialize(
             small.unionByName(down.withColumnRenamed("m", "b")).where("a <> b").distinct(), "links")
         now = _state(edges)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.texts import ALNUM, Shared, as_bytes, blocks, carrying, checked, map_batches, pick, shingles, spans, words
+from evenkeel.llm.texts import ALNUM, Shared, blocks, carrying, checked, map_batches, pick, shingles, spans, words
 
 WINDOW, SHINGLE = 13, 3
 #: Characters of items in one broadcast index.
@@ -34,8 +34,7 @@ HIT_SHARE = 20
 class _Windows:
     """The distinct windows of a block of items, and the items that hold each."""
 
-    def __init__(self, ids: Sequence, texts: pa.Array, window: int, shingle: int):
-        hashes, first, _ = words(*as_bytes(texts), ALNUM)
+    def __init__(self, ids: Sequence, hashes: np.ndarray, first: np.ndarray, window: int, shingle: int):
         runs, owners = [], []
         n_words = np.diff(first)
         for item, (a, n) in enumerate(zip(first, n_words)):
@@ -163,10 +162,24 @@ def _digest(ids: Sequence) -> str:
     return hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest()
 
 
+def _hashed(items: DataFrame) -> DataFrame:
+    """Items (item_id, text) with the hashes of their words in place of their
+    text, one after another as bytes."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch, data, offsets in blocks(batches):
+            hashes, first, _ = words(data, offsets, ALNUM)
+            yield {"item_id": batch.column("item_id"),
+                   "words": [hashes[a:b].tobytes() for a, b in zip(first, first[1:])]}
+
+    return map_batches(items, read, carrying(items, ["item_id"], "words binary"))
+
+
 def _pass(docs: DataFrame, carry: Sequence[str], items: list, window: int, shingle: int) -> DataFrame:
     """One block of items: per document its words, hit ranges and items."""
-    found = _Windows([r["item_id"] for r in items],
-                     pa.array([r["text"] for r in items], pa.string()), window, shingle)
+    hashes = np.frombuffer(b"".join(r["words"] for r in items), np.uint64)
+    first = np.concatenate([[0], np.cumsum([len(r["words"]) // 8 for r in items], dtype=np.int64)]).astype(np.int64)
+    found = _Windows([r["item_id"] for r in items], hashes, first, window, shingle)
     counts = _counts(docs.select("text"), found.shingles_of()) if found.parts else {}
     index = Shared(docs.sparkSession, _Index(found, counts))
     schema = carrying(docs, carry, "n_words long, hit_from array<long>, hit_to array<long>, items array<string>")
@@ -232,7 +245,7 @@ def decontaminate(
     parts = -(-chars // item_chars) or 1
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
     passes = [
-        _pass(docs, [*carry, "__text"], items.where(block == b).collect(), window, shingle) for b in range(parts)
+        _pass(docs, [*carry, "__text"], _hashed(items.where(block == b)).collect(), window, shingle) for b in range(parts)
     ]
     if parts == 1:
         rows = passes[0].withColumn("hits", F.arrays_zip("hit_from", "hit_to"))

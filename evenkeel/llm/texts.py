@@ -145,7 +145,7 @@ _kept = _Kept()
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse."""
-    if len(_kept.get("powers", ((),))[0]) < n:
+    if len(_kept.get("powers", ((),))[0]) < max(n, 1):
         size = max(n, BLOCK_BYTES + (1 << 16))
         steps = np.full(size, _P), np.full(size, np.uint64(pow(int(_P), -1, 2**64)))
         for s in steps:
@@ -156,7 +156,7 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _prime_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a number and of its inverse modulo the prime."""
-    if len(_kept.get("primes", ((),))[0]) < n:
+    if len(_kept.get("primes", ((),))[0]) < max(n, 1):
         out = []
         for base in (_BASE, pow(_BASE, -1, int(_PRIME))):
             powers = np.ones(1, np.uint64)

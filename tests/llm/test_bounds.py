@@ -1,7 +1,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from evenkeel.llm import jaccard, suffix_tree
+from evenkeel.llm import jaccard, suffix_tree, texts
+from evenkeel.llm.decontaminate import decontaminate
 
 
 def test_tiles_of_long_sets_are_small(spark, monkeypatch):
@@ -39,3 +40,19 @@ def test_kept_answers_of_few_slots(monkeypatch):
     memo.answers(codes[:1].repeat(9), look_up)
     memo.answers(codes[:1], look_up)
     assert len(asked) <= before + 1 and memo.logs.dtype == np.float32
+
+
+def test_items_are_hashed_by_tasks(spark, monkeypatch):
+    monkeypatch.setattr(texts, "_kept", texts._Kept())
+    docs = spark.createDataFrame([(1, "so One two, three four!"), (2, ""), (3, "three two one")], "doc_id long, text string")
+    items = [("none", ""), ("null", None), ("b", "one two three"), (None, "two one")]
+    bench = spark.createDataFrame(items, "item_id string, text string").repartition(4)
+    assert {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate(docs, bench).collect()} == {
+        1: (5, 3, 1), 2: (0, 0, 0), 3: (3, 2, 1)}
+    assert not texts._kept  # the driver made no tables of its own
+
+
+def test_words_of_empty_texts(monkeypatch):
+    monkeypatch.setattr(texts, "_kept", texts._Kept())
+    hashes, first, begins = texts.words(np.zeros(0, np.uint8), np.zeros(3, np.int64), texts.NOT_BLANK)
+    assert not len(hashes) and not len(begins) and first.tolist() == [0, 0, 0]
