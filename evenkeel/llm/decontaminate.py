@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.texts import ALNUM, Shared, blocks, carrying, checked, map_batches, pick, shingles, spans, words
+from evenkeel.llm.texts import (
+    ALNUM, WORD_BLOCK, Shared, blocks, carrying, checked, map_batches, pick, shingles, spans, words,
+)
 
 WINDOW, SHINGLE = 13, 3
 #: Characters of items in one broadcast index.
@@ -142,7 +144,7 @@ def _counts(docs: DataFrame, named: dict[int, np.ndarray]) -> dict[int, np.ndarr
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         sums = {k: np.zeros(len(f.keys), np.int64) for k, f in shared.value.items()}
-        for _, data, offsets in blocks(batches):
+        for _, data, offsets in blocks(batches, size=WORD_BLOCK):
             hashes, first, _ = words(data, offsets, ALNUM)
             for k, finder in shared.value.items():
                 key = finder(shingles(hashes, first, k)[0])[1]
@@ -167,7 +169,7 @@ def _hashed(items: DataFrame) -> DataFrame:
     text, one after another as bytes."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch, data, offsets in blocks(batches):
+        for batch, data, offsets in blocks(batches, size=WORD_BLOCK):
             hashes, first, _ = words(data, offsets, ALNUM)
             yield {"item_id": batch.column("item_id"),
                    "words": [hashes[a:b].tobytes() for a, b in zip(first, first[1:])]}
@@ -185,7 +187,7 @@ def _pass(docs: DataFrame, carry: Sequence[str], items: list, window: int, shing
     schema = carrying(docs, carry, "n_words long, hit_from array<long>, hit_to array<long>, items array<string>")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch, data, offsets in blocks(batches):
+        for batch, data, offsets in blocks(batches, size=WORD_BLOCK):
             hashes, first, _ = words(data, offsets, ALNUM)
             begin, w = index.value.hits(hashes, first)
             n = len(offsets) - 1

@@ -35,7 +35,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.components import components
-from evenkeel.llm.texts import NOT_BLANK, Marks, Shared, blocks, map_batches, mixed, pick, ragged, shingles, words
+from evenkeel.llm.texts import (
+    NOT_BLANK, WORD_BLOCK, Marks, Shared, blocks, map_batches, mixed, pick, ragged, shingles, words,
+)
 from evenkeel.sources.shared import materialize
 
 SIZE, SIMILAR = 4, 85
@@ -49,7 +51,7 @@ TILE, TILE_TOKENS = 512, 1 << 20
 
 def _sets(batches, size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """The sorted distinct shingles of each text."""
-    for batch, data, offsets in blocks(batches):
+    for batch, data, offsets in blocks(batches, size=WORD_BLOCK):
         hashes, first, _ = words(data, offsets, NOT_BLANK)
         found, at = shingles(hashes, first, size)
         cut = np.searchsorted(at, first)

@@ -13,15 +13,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.core.broadcast import _broadcastRegistry
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 BLOCK_BYTES = 1 << 20
+#: Of blocks that words are read from, which take some 60 bytes for one of text.
+WORD_BLOCK = 1 << 18
 #: Bytes of the batches that Python tasks get, in place of Spark's 64 MB.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Bits of a table of marks, 8 MB.
 MARKS = 1 << 26
 #: Multipliers and salts of the hashes; any odd numbers would do.
@@ -146,7 +147,7 @@ _kept = _Kept()
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse."""
     if len(_kept.get("powers", ((),))[0]) < max(n, 1):
-        size = max(n, BLOCK_BYTES + (1 << 16))
+        size = max(1 << max(n - 1, 0).bit_length(), WORD_BLOCK)
         steps = np.full(size, _P), np.full(size, np.uint64(pow(int(_P), -1, 2**64)))
         for s in steps:
             s[0] = 1
@@ -160,7 +161,7 @@ def _prime_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
         out = []
         for base in (_BASE, pow(_BASE, -1, int(_PRIME))):
             powers = np.ones(1, np.uint64)
-            while len(powers) < max(n, BLOCK_BYTES + (1 << 16)):
+            while len(powers) < max(n, WORD_BLOCK):
                 powers = np.concatenate([powers, powers * np.uint64(pow(base, len(powers), int(_PRIME))) % _PRIME])
             out.append(powers)
         _kept["primes"] = tuple(out)
@@ -168,8 +169,12 @@ def _prime_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _partly(x: np.ndarray) -> np.ndarray:
-    """A number that is equal modulo the prime and below 2^34, if ``x`` is below 2^64."""
-    return (x & _PRIME) + (x >> _BITS)
+    """A number that is equal modulo the prime and below 2^34, if ``x`` is below 2^64.
+    It takes the place of ``x``."""
+    high = x >> _BITS
+    x &= _PRIME
+    x += high
+    return x
 
 
 def words(
@@ -192,11 +197,14 @@ def words(
     begins = np.flatnonzero(inside[1:-1] & (~inside[:-2] | head[:-1]))
     ends = np.flatnonzero(inside[1:-1] & (~inside[2:] | head[1:])) + 1
     power, inverse = _tables(n)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_SALTS[data] * power[:n], out=total[1:])
+    total, terms = np.zeros(n + 1, np.uint64), _SALTS[data]
+    terms *= power[:n]
+    np.cumsum(terms, out=total[1:])
     hashes = (total[ends] - total[begins]) * inverse[begins]
     power, inverse = _prime_tables(n)
-    np.cumsum(_partly(_PRIME_SALTS[data] * power[:n]), out=total[1:])  # 2^30 bytes of text fit
+    np.take(_PRIME_SALTS, data, out=terms, mode="clip")  # bytes are in range; other modes copy
+    terms *= power[:n]
+    np.cumsum(_partly(terms), out=total[1:])  # 2^30 bytes of text fit
     second = _partly(_partly(total[ends] - total[begins])) % _PRIME * inverse[begins] % _PRIME
     return mixed(hashes ^ mixed(second)), np.searchsorted(begins, offsets), begins
 
@@ -234,8 +242,8 @@ class Shared:
     """A broadcast of any object; executors load it once per worker process.
 
     A worker keeps the one it used last: before it loads another, it lets go of
-    the objects and bytes of all others, which can be loaded again. Callers
-    state why the size is bounded.
+    the objects of all others, which can be loaded again. The bytes go once the
+    object is made. Callers state why the size is bounded.
     """
 
     def __init__(self, spark: SparkSession, value):
@@ -244,11 +252,15 @@ class Shared:
     @property
     def value(self):
         if not hasattr(self.sent, "loaded"):
+            # by name: a registry that came along with this class would be an empty copy
+            from pyspark.core.broadcast import _broadcastRegistry
+
+            for other in list(_broadcastRegistry.values()):
+                other.__dict__.pop("loaded", None)
+            self.sent.loaded = cloudpickle.loads(self.sent.value)
             for other in list(_broadcastRegistry.values()):
                 if getattr(other, "_path", None) is not None:  # in a worker, where values lie in files
-                    other.__dict__.pop("loaded", None)
                     other.__dict__.pop("_value", None)
-            self.sent.loaded = cloudpickle.loads(self.sent.value)
         return self.sent.loaded
 
 

@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from evenkeel.llm import jaccard, suffix_tree, texts
@@ -56,3 +59,28 @@ def test_words_of_empty_texts(monkeypatch):
     monkeypatch.setattr(texts, "_kept", texts._Kept())
     hashes, first, begins = texts.words(np.zeros(0, np.uint8), np.zeros(3, np.int64), texts.NOT_BLANK)
     assert not len(hashes) and not len(begins) and first.tolist() == [0, 0, 0]
+
+
+def test_workers_keep_one_shared_object(spark):
+    one, two = texts.Shared(spark, np.arange(5)), texts.Shared(spark, np.arange(9))
+
+    def look(batches):
+        for _ in batches:
+            total = one.value.sum() + two.value.sum()
+            held = [name for x in (one, two) for name in ("loaded", "_value") if name in vars(x.sent)]
+            yield {"total": [total + one.value.sum()], "held": [len(held)]}
+
+    seen = texts.map_batches(spark.range(1).repartition(1), look, "total long, held int").collect()
+    assert [tuple(r) for r in seen] == [(10 + 36 + 10, 1)]
+
+
+def test_sets_take_little_memory(monkeypatch):
+    monkeypatch.setattr(texts, "_kept", texts._Kept())
+    batch = pa.record_batch({"text": [f"one text number {i} of ten words and some letters" for i in range(40_000)]})
+    tracemalloc.start()
+    try:
+        n = sum(len(sets) for _, sets in jaccard._sets([batch], 4))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 40_000 and peak < 48 << 20
